@@ -7,11 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import op8_bpe
+from .fsttok import op10_token_counts
+from .langid import op1_language_id
 from .packing import op5_packing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": op1_language_id,
     "op5_packing": op5_packing,
     "op8_bpe": op8_bpe,
+    "op10_token_counts": op10_token_counts,
 }
 
 ORACLE_SQL: dict[str, str] = {}
