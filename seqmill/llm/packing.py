@@ -50,10 +50,22 @@ class _LibraryBpe(WordBpe):
 
         if len(self.memo_ids) + len(pieces) > MEMO_PIECES:
             self.memo_ids.clear()
-        fresh = list(pieces)
-        found = self.library.encode_batch_fast([p[2:] if p[2:] in self.special and p.startswith("\0\0") else p for p in fresh], add_special_tokens=False)
-        for p, e in zip(fresh, found, strict=True):
-            self.memo_ids[p] = np.array(e.ids, "<u4").tobytes()
+        fresh = []
+        for p in pieces:
+            if p[2:] in self.special and p.startswith("\0\0"):
+                self.memo_ids[p] = np.array([self.special[p[2:]]], "<u4").tobytes()
+            else:
+                fresh.append(p)
+        # white space keeps pieces apart, and a piece by itself is one word of the library's
+        for a in range(0, len(fresh), 2000):
+            part = fresh[a : a + 2000]
+            e = self.library.encode(" ".join(part), add_special_tokens=False)
+            ids, words = np.array(e.ids, "<u4"), np.array(e.word_ids)
+            ends = np.searchsorted(words, np.arange(len(part) + 1)).tolist()
+            if words[-1] != len(part) - 1:
+                raise AssertionError("the library cut a piece")
+            for k, p in enumerate(part):
+                self.memo_ids[p] = ids[ends[k] : ends[k + 1]].tobytes()
 
 
 _OPEN: dict[str, _LibraryBpe] = {}

@@ -6,16 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import chat, urlrules
 from .bpe import op8_bpe
+from .chat import op9_chat_format
 from .fsttok import op10_token_counts
 from .langid import op1_language_id
 from .packing import op5_packing
+from .quality import op4_quality
+from .urlrules import op2_url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
+    "op2_url_filter": op2_url_filter,
+    "op4_quality": op4_quality,
     "op5_packing": op5_packing,
     "op8_bpe": op8_bpe,
+    "op9_chat_format": op9_chat_format,
     "op10_token_counts": op10_token_counts,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_url_filter": urlrules.SQL,
+    "op9_chat_format": chat.SQL,
+}
