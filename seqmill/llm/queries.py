@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, urlrules
+from . import chat, topk, urlrules
 from .bpe import op8_bpe
 from .chat import op9_chat_format
 from .fsttok import op10_token_counts
 from .langid import op1_language_id
+from .mpegaudio import op6_media
 from .packing import op5_packing
 from .quality import op4_quality
+from .topk import op7_topk
 from .urlrules import op2_url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -20,6 +22,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_url_filter": op2_url_filter,
     "op4_quality": op4_quality,
     "op5_packing": op5_packing,
+    "op6_media": op6_media,
+    "op7_topk": op7_topk,
     "op8_bpe": op8_bpe,
     "op9_chat_format": op9_chat_format,
     "op10_token_counts": op10_token_counts,
@@ -27,5 +31,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op2_url_filter": urlrules.SQL,
+    "op7_topk": topk.SQL,
     "op9_chat_format": chat.SQL,
 }
