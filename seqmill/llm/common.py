@@ -95,3 +95,19 @@ def texts_of(batch: pa.RecordBatch, column: str, start: int, stop: int) -> list[
 
 def out_batch(schema: pa.Schema, columns: Iterable) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(columns, schema.types, strict=True)], schema=schema)
+
+
+def filtered(docs: DataFrame, text_col: str, keep, shared=None) -> DataFrame:
+    """Rows of ``docs``, all columns as they are, whose text ``keep(shared value, texts)`` says yes to."""
+    prepare(docs.sparkSession)
+
+    def run(batches):
+        value = shared.value if shared is not None else None
+        for batch in batches:
+            at = batch.schema.names.index(text_col)
+            for a, b in chunks(batch, text_col):
+                part = batch.slice(a, b - a)
+                texts = [x or "" for x in part.column(at).to_pylist()]
+                yield part.filter(pa.array(keep(value, texts), pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -12,6 +12,7 @@ from .chat import op9_chat_format
 from .fsttok import op10_token_counts
 from .langid import op1_language_id
 from .mpegaudio import op6_media
+from .neardup import op3_near_duplicates
 from .packing import op5_packing
 from .quality import op4_quality
 from .topk import op7_topk
@@ -20,6 +21,7 @@ from .urlrules import op2_url_filter
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_url_filter": op2_url_filter,
+    "op3_near_duplicates": op3_near_duplicates,
     "op4_quality": op4_quality,
     "op5_packing": op5_packing,
     "op6_media": op6_media,
