@@ -1,4 +1,748 @@
 """Registered queries of the core operators, each with the SQL that gives the same rows."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from ..functions import dna
+from ..functions import taxa as tx
+from ..operators import abundance, chimera, cluster, curation, provenance, rollup, samples, sampling, sequence, tagjump, taxonomy
+from ..sources import fastx
+from ..streaming import summaries
+from . import views
+from .views import table, with_views
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    """Register a function under its name, with its SQL."""
+
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+RANKS = tx.DEFAULT.ranks
+_Q = {r: f'"{r}"' for r in RANKS}
+
+
+# ---- abundance tables
+
+
+@query("SELECT CAST(l_suppkey AS VARCHAR) AS sample, CAST(l_partkey AS VARCHAR) AS seq, CAST(SUM(l_quantity) AS BIGINT) AS nread FROM lineitem GROUP BY 1, 2 HAVING SUM(l_quantity) <> 0")
+def long_table(spark, d):
+    rows = table(spark, d, "lineitem").select(F.col("l_suppkey").cast("string").alias("sample"), F.col("l_partkey").cast("string").alias("seq"), F.col("l_quantity").alias("nread"))
+    return abundance.long_table(rows)
+
+
+@query("SELECT l_suppkey AS sample, CAST(l_partkey AS VARCHAR) AS seq, CAST(SUM(l_quantity) AS BIGINT) AS nread FROM lineitem WHERE l_linestatus = 'F' GROUP BY 1, 2 HAVING SUM(l_quantity) <> 0")
+def long_table_accept(spark, d):
+    rows = table(spark, d, "lineitem").select(F.col("l_suppkey").alias("sample"), F.col("l_partkey").cast("string").alias("seq"), F.col("l_quantity").alias("nread"), (F.col("l_linestatus") == "F").alias("ok"))
+    return abundance.long_table(rows, accept="ok")
+
+
+_RC = "reverse(translate({0}, 'ACGTUMRWSYKVHDBNacgtumrwsykvhdbn', 'TGCAAKYWSRMBDHVNtgcaakywsrmbdhvn'))"
+
+
+@query(f"SELECT l_suppkey AS sample, {_RC.format('p_name')} AS seq, CAST(SUM(l_quantity) AS BIGINT) AS nread FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2 HAVING SUM(l_quantity) <> 0")
+def long_table_revcomp(spark, d):
+    rows = table(spark, d, "lineitem").join(table(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    return abundance.long_table(rows, "l_suppkey", "p_name", "l_quantity", rc=True)
+
+
+@query("""SELECT sample, CAST(SUM(n) AS BIGINT) AS nread, seq FROM (
+  SELECT l_returnflag AS sample, CAST(l_partkey AS VARCHAR) AS seq, SUM(l_quantity) AS n FROM lineitem GROUP BY 1, 2) GROUP BY sample, seq HAVING SUM(n) <> 0""")
+def union_tables(spark, d):
+    rows = table(spark, d, "lineitem").select("l_returnflag", F.col("l_partkey").cast("string").alias("seq"), F.col("l_quantity").alias("nread"))
+    return abundance.union_tables({k: rows.filter(F.col("l_returnflag") == k).select("seq", "nread") for k in ("A", "N", "R")})
+
+
+@query("""SELECT o_custkey AS sample, m.seq_idx, CAST(COUNT(*) AS BIGINT) AS nread FROM orders LEFT JOIN
+  (SELECT o_orderpriority AS seq, MIN(o_orderkey) AS seq_idx FROM orders WHERE o_orderstatus = 'F' GROUP BY 1) m ON o_orderpriority = m.seq GROUP BY 1, 2""")
+def mapped_table(spark, d):
+    o = table(spark, d, "orders")
+    rows = o.select(F.col("o_custkey").alias("sample"), F.col("o_orderpriority").alias("seq"), F.lit(1).alias("nread"))
+    known = o.filter("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("seq_idx"), F.col("o_orderpriority").alias("seq"))
+    return abundance.mapped_table(rows, known)
+
+
+_FLAGS = ["A", "N", "R"]
+
+
+@query("SELECT l_suppkey AS sample, " + ", ".join(f"CAST(COALESCE(SUM(l_quantity) FILTER (l_returnflag = '{x}'), 0) AS BIGINT) AS s{x}" for x in _FLAGS) + " FROM lineitem GROUP BY 1")
+def wide_table(spark, d):
+    rows = table(spark, d, "lineitem").select(F.col("l_suppkey").alias("sample"), F.col("l_returnflag").alias("seq_idx"), F.col("l_quantity").alias("nread"))
+    return abundance.widen(rows, _FLAGS)
+
+
+@query("SELECT l_suppkey AS sample, 's' || l_returnflag AS seq_idx, CAST(SUM(l_quantity) AS BIGINT) AS nread FROM lineitem GROUP BY 1, 2")
+def melt_table(spark, d):
+    return abundance.melt(wide_table(spark, d), [f"s{x}" for x in _FLAGS])
+
+
+_DEDUP = """, moved AS (SELECT sample, COALESCE(hit, seq_idx) AS idx, CAST(SUM(nread) AS BIGINT) AS nread FROM seqtab LEFT JOIN hits ON seq_idx = query GROUP BY 1, 2),
+gone AS (SELECT query, ROW_NUMBER() OVER (ORDER BY query) AS k FROM (SELECT DISTINCT query FROM hits)),
+renum AS (SELECT DISTINCT idx, idx - COALESCE((SELECT MAX(k) FROM gone WHERE query <= idx), 0) AS seq_idx FROM (SELECT DISTINCT idx FROM moved))
+"""
+
+
+@query(with_views(_DEDUP + "SELECT sample, renum.seq_idx, nread FROM moved JOIN renum USING (idx)", "seqtab", "hits"))
+def dedup_seqtable(spark, d):
+    return abundance.deduplicate(views.seqtab(spark, d), abundance.exact_hits(views.parts_seq(spark, d)))
+
+
+@query(with_views(_DEDUP + "SELECT DISTINCT seq_idx FROM renum", "seqtab", "hits"))
+def dedup_ids(spark, d):
+    return abundance.deduplicate_ids(views.seqtab(spark, d).select("seq_idx"), abundance.exact_hits(views.parts_seq(spark, d)))
+
+
+@query(with_views(", moved AS (SELECT DISTINCT seq_idx AS seq_idx_in, COALESCE(hit, seq_idx) AS idx FROM seqtab LEFT JOIN hits ON seq_idx = query), gone AS (SELECT query, ROW_NUMBER() OVER (ORDER BY query) AS k FROM hits) SELECT seq_idx_in, idx - COALESCE((SELECT MAX(k) FROM gone WHERE query <= idx), 0) AS seq_idx_out FROM moved", "seqtab", "hits"))
+def dedup_map(spark, d):
+    return abundance.collapse(views.seqtab(spark, d), abundance.exact_hits(views.parts_seq(spark, d)))[1]
+
+
+@query(with_views("SELECT seq_idx, seq, ROW_NUMBER() OVER (ORDER BY seq_idx) AS new_idx FROM seqs WHERE seq_idx NOT IN (SELECT s.seq_idx FROM seqs s JOIN seqs t ON s.seq = t.seq AND t.seq_idx < s.seq_idx)", "seqs"))
+def dedup_seqs(spark, d):
+    s = views.seqs(spark, d)
+    return abundance.deduplicate_seqs(s, abundance.exact_hits(s))
+
+
+@query(with_views("SELECT seq_idx AS query, hit FROM (SELECT seq_idx, MIN(seq_idx) OVER (PARTITION BY seq) AS hit FROM seqs) WHERE seq_idx <> hit", "seqs"))
+def nomismatch_hits(spark, d):
+    return abundance.exact_hits(views.seqs(spark, d))
+
+
+@query("SELECT a.p_partkey AS query, MIN(b.p_partkey) AS hit FROM part a JOIN part b ON (length(b.p_name) > length(a.p_name) OR (length(b.p_name) = length(a.p_name) AND b.p_partkey < a.p_partkey)) AND contains(b.p_name, a.p_name) WHERE length(a.p_name) >= 4 GROUP BY 1")
+def contained_hits(spark, d):
+    p = table(spark, d, "part").select(F.col("p_partkey").alias("seq_idx"), F.col("p_name").alias("seq"))
+    first = p.groupBy("seq").agg(F.min("seq_idx").alias("seq_idx"))
+    # distinct sequences are looked for among each other; copies have the first of their kind, which is the smaller
+    inside = abundance.contained_hits(first, k=4).withColumnRenamed("query", "first")
+    same = p.join(first.withColumnRenamed("seq_idx", "first"), "seq").join(inside, "first", "left")
+    longer = F.length("seq") >= 4
+    return same.select(F.col("seq_idx").alias("query"), F.when(F.col("seq_idx") != F.col("first"), F.least("first", F.coalesce("hit", "first"))).otherwise(F.col("hit")).alias("hit"), longer.alias("ok")).filter("hit is not null and ok").select("query", "hit")
+
+
+@query(with_views("""SELECT seq_idx, prevalence, abundance, variance, hash, ROW_NUMBER() OVER (ORDER BY prevalence DESC, abundance DESC, ROUND(variance, 6) DESC, hash, seq_idx) AS position FROM (
+  SELECT seq_idx, COUNT(*) AS prevalence, CAST(SUM(nread) AS BIGINT) AS abundance, COALESCE(VAR_SAMP(nread), 0) AS variance, MD5(CAST(seq_idx AS VARCHAR)) AS hash FROM seqtab GROUP BY 1)""".replace("seq_idx, prevalence, abundance, variance, hash,", "seq_idx, prevalence, abundance, ROUND(variance, 4) AS variance, hash,", 1), "seqtab"))
+def sort_seq_table(spark, d):
+    return abundance.sort_order(views.seqtab(spark, d)).withColumn("variance", F.round("variance", 4))
+
+
+@query("SELECT doc_id, text FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)")
+def select_sequence(spark, d):
+    return abundance.select_rows(table(spark, d, "documents").select("doc_id", "text"), table(spark, d, "labels"), "doc_id")
+
+
+@query("SELECT doc_id, text FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def drop_sequence(spark, d):
+    return abundance.select_rows(table(spark, d, "documents").select("doc_id", "text"), table(spark, d, "labels"), "doc_id", negate=True)
+
+
+@query(with_views("SELECT CAST(SUM(nread) AS BIGINT) AS nread, COUNT(DISTINCT seq_idx) AS n_seq, COUNT(DISTINCT sample) AS n_sample FROM seqtab", "seqtab"))
+def table_summary(spark, d):
+    return abundance.summary(views.seqtab(spark, d))
+
+
+@query("SELECT COUNT(*) AS n, bool_and(regexp_full_match(text, '[ACGT]*')) AS is_dna FROM documents")
+def sequence_size(spark, d):
+    return table(spark, d, "documents").agg(F.count(F.lit(1)).alias("n"), F.bool_and(dna.has_alphabet(F.col("text"), "ACGT")).alias("is_dna"))
+
+
+# ---- tag jumps, chimeras, curation
+
+_JUMP = """, n AS (SELECT COUNT(DISTINCT sample) AS n FROM seqtab),
+s AS (SELECT sample, seq_idx, nread, CAST(SUM(nread) OVER (PARTITION BY seq_idx) AS BIGINT) AS total FROM seqtab),
+scored AS (SELECT s.*, 2 / (1 + exp(0.05 * nread / (0.05 * total / n))) AS score FROM s, n)
+"""
+
+
+@query(with_views(_JUMP + "SELECT sample, seq_idx, nread, total, ROUND(score, 6) AS uncross, score >= 0.1 AS is_tag_jump FROM scored", "seqtab"))
+def tag_jump_score(spark, d):
+    return tagjump.score(views.seqtab(spark, d), 0.05, 0.05).select("sample", "seq_idx", "nread", "total", F.round("uncross", 6).alias("uncross"), "is_tag_jump")
+
+
+@query(with_views(_JUMP + """SELECT sample, CAST(SUM(nread) AS BIGINT) AS total_reads, COUNT(*) FILTER (score >= 0.1) AS n_events,
+CAST(COALESCE(SUM(nread) FILTER (score >= 0.1), 0) AS BIGINT) AS tag_jump_reads, ROUND(100.0 * COALESCE(SUM(nread) FILTER (score >= 0.1), 0)::DOUBLE / SUM(nread)::DOUBLE, 6) AS read_percent_removed FROM scored GROUP BY sample""", "seqtab"))
+def tag_jump_summary(spark, d):
+    return tagjump.summarize(tagjump.score(views.seqtab(spark, d), 0.05, 0.05)).withColumn("read_percent_removed", F.round("read_percent_removed", 6))
+
+
+@query(with_views(_JUMP + """SELECT l_orderkey, l_linenumber, l_suppkey AS sample, l_partkey AS seq_idx, CASE WHEN score >= 0.1 THEN 3 ELSE 3 | 8 END AS flags
+FROM lineitem JOIN scored ON sample = l_suppkey AND seq_idx = l_partkey""", "seqtab"))
+def provenance_tag_jump(spark, d):
+    reads = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_suppkey").alias("sample"), F.col("l_partkey").alias("seq_idx"), F.lit(3).alias("flags"))
+    return tagjump.flag_reads(reads, tagjump.score(views.seqtab(spark, d), 0.05, 0.05)).select("l_orderkey", "l_linenumber", "sample", "seq_idx", "flags")
+
+
+@query(with_views("""SELECT * FROM (SELECT seq_idx, COUNT(*) FILTER (nread < 20) AS nflag, COUNT(*) AS nsam FROM seqtab_runs GROUP BY 1)
+WHERE nflag >= nsam OR (nflag > 0 AND nflag >= (nsam - 1) * 0.9::DOUBLE)""", "seqtab_runs"))
+def chimera_consensus(spark, d):
+    per = views.seqtab_runs(spark, d).groupBy("seq_idx", "seqrun").agg(F.count_if(F.col("nread") < 20).alias("nflag"), F.count(F.lit(1)).alias("nsam"))
+    return chimera.consensus(per)
+
+
+@query()
+def chimera_flags(spark, d):
+    return chimera.flag_samples(views.seqtab(spark, d), views.parts_seq(spark, d), max_shift=2)
+
+
+_CURATE = """, ids AS (SELECT seq_idx, COUNT(*) AS occ, CAST(SUM(nread) AS BIGINT) AS total, ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, SUM(nread) DESC, seq_idx) AS place FROM seqtab GROUP BY 1),
+pairs AS (SELECT CASE WHEN a.place < b.place THEN b.seq_idx ELSE a.seq_idx END AS child, CASE WHEN a.place < b.place THEN a.seq_idx ELSE b.seq_idx END AS parent,
+  LEAST(a.place, b.place) AS parent_place, CASE WHEN a.place < b.place THEN nread1::DOUBLE / nread2 ELSE nread2::DOUBLE / nread1 END AS ratio
+  FROM matches JOIN ids a ON a.seq_idx = seq_idx1 JOIN ids b ON b.seq_idx = seq_idx2 WHERE dist <= 0.1),
+stats AS (SELECT child, parent, parent_place, COUNT(*) AS shared, MIN(ratio) AS min_ratio, AVG(ratio) AS mean_ratio FROM pairs GROUP BY 1, 2, 3),
+"""
+
+
+def _curated(ratio: str, value: float) -> str:
+    return f"""fit AS (SELECT child, arg_min(parent, parent_place) AS parent FROM stats JOIN ids ON ids.seq_idx = child WHERE shared >= 0.1::DOUBLE * occ AND {ratio} > {value} GROUP BY 1),
+walk(child, parent) AS (SELECT child, parent FROM fit UNION SELECT w.child, f.parent FROM walk w JOIN fit f ON w.parent = f.child),
+roots AS (SELECT child, parent FROM walk WHERE parent NOT IN (SELECT child FROM fit)),
+mapped AS (SELECT seq_idx, COALESCE(parent, seq_idx) AS parent_idx FROM ids LEFT JOIN roots ON child = seq_idx)
+"""
+
+
+@query(with_views(_CURATE.rstrip(",\n ") + "\nSELECT child, parent, shared, ROUND(min_ratio, 6) AS min_ratio, ROUND(mean_ratio, 6) AS mean_ratio FROM stats", "seqtab", "matches"))
+def curation_pairs(spark, d):
+    s = curation.pair_stats(views.matches(spark, d), curation.ranked_ids(views.seqtab(spark, d)))
+    return s.select("child", "parent", "shared", F.round("min_ratio", 6).alias("min_ratio"), F.round("mean_ratio", 6).alias("mean_ratio"))
+
+
+@query(with_views(_CURATE + _curated("min_ratio", 0.2) + "SELECT * FROM mapped", "seqtab", "matches", recursive=True))
+def curation_map(spark, d):
+    return curation.parent_map(views.seqtab(spark, d), views.matches(spark, d), 0.1, 0.2, 0.1)
+
+
+@query(with_views(_CURATE + _curated("mean_ratio", 1.0) + "SELECT * FROM mapped", "seqtab", "matches", recursive=True))
+def curation_map_mean(spark, d):
+    return curation.parent_map(views.seqtab(spark, d), views.matches(spark, d), 0.1, 1.0, 0.1, use_mean=True)
+
+
+@query(with_views(_CURATE + _curated("min_ratio", 0.2) + "SELECT sample, parent_idx AS seq_idx, CAST(SUM(nread) AS BIGINT) AS nread FROM seqtab JOIN mapped USING (seq_idx) GROUP BY 1, 2", "seqtab", "matches", recursive=True))
+def curation_table(spark, d):
+    t = views.seqtab(spark, d)
+    return curation.merged_table(t, curation.parent_map(t, views.matches(spark, d), 0.1, 0.2, 0.1))
+
+
+@query("""WITH t AS (SELECT DISTINCT s_nationkey AS sample, s_suppkey AS seq_idx, s_name AS seq FROM supplier)
+SELECT a.sample, a.seq_idx AS seq_idx1, b.seq_idx AS seq_idx2, 1 AS nread1, 1 AS nread2, levenshtein(a.seq, b.seq)::DOUBLE / greatest(length(a.seq), length(b.seq)) AS dist
+FROM t a JOIN t b ON a.sample = b.sample AND a.seq_idx < b.seq_idx WHERE levenshtein(a.seq, b.seq) <= floor(greatest(length(a.seq), length(b.seq)) * 0.1::DOUBLE)""")
+def distance_pairs(spark, d):
+    s = table(spark, d, "supplier")
+    t = s.select(F.col("s_nationkey").alias("sample"), F.col("s_suppkey").alias("seq_idx"), F.lit(1).alias("nread"))
+    return curation.sample_matches(t, s.select(F.col("s_suppkey").alias("seq_idx"), F.col("s_name").alias("seq")), 0.1, 64)
+
+
+# ---- provenance
+
+_STAGES = [("value > 20", "stage1"), ("value > 40", "stage2"), ("event_type <> 'error'", "stage3")]
+
+
+def _stage(r, cond):
+    kept = r.filter(cond)
+    n = Window.partitionBy("event_type").orderBy("rec_idx")
+    return kept.withColumn("rec_idx", F.row_number().over(n))
+
+
+def _stages(spark, d):
+    """Stages by event type: each type is a file of its own, with its own record numbers."""
+    r = views.reads(spark, d)
+    return r, {name: _stage(r, cond) for cond, name in _STAGES}
+
+
+@query(with_views("SELECT rec_idx AS read_idx, (CASE WHEN value > 20 THEN 1 ELSE 0 END) + (CASE WHEN value > 40 THEN 2 ELSE 0 END) + (CASE WHEN event_type <> 'error' THEN 4 ELSE 0 END) AS flags FROM reads", "reads"))
+def stage_flags(spark, d):
+    r, s = _stages(spark, d)
+    return provenance.stage_flags(r, list(s.values()))
+
+
+@query(with_views("SELECT rec_idx AS raw_idx, " + ", ".join(f"CASE WHEN {c} THEN ROW_NUMBER() OVER (PARTITION BY event_type, {c} ORDER BY rec_idx) END AS {n}_idx" for c, n in _STAGES) + " FROM reads", "reads"))
+def stage_map(spark, d):
+    r, s = _stages(spark, d)
+    out = provenance.stage_map(r, s)
+    return out.select("raw_idx", *[F.col(f"{n}_idx").cast("bigint").alias(f"{n}_idx") for _, n in _STAGES])
+
+
+@query(with_views(""", f AS (SELECT event_type AS sample, rec_idx AS raw_idx, rec_idx * 2 AS seq_idx, 3 AS flags FROM reads WHERE value > 30),
+r AS (SELECT event_type AS sample, rec_idx AS raw_idx, rec_idx * 3 AS seq_idx, 4 AS flags FROM reads WHERE value < 50)
+SELECT sample, raw_idx, COALESCE(f.seq_idx, r.seq_idx) AS seq_idx, COALESCE(f.flags, 0) | COALESCE(r.flags, 0) AS flags FROM f FULL JOIN r USING (sample, raw_idx)""", "reads"))
+def merge_maps(spark, d):
+    r = views.reads(spark, d)
+    part = lambda cond, k, f: r.filter(cond).select(F.col("event_type").alias("sample"), F.col("rec_idx").alias("raw_idx"), (F.col("rec_idx") * k).alias("seq_idx"), F.lit(f).alias("flags"))
+    return provenance.merge_orientations(part("value > 30", 2, 3), part("value < 50", 3, 4))
+
+
+@query("""SELECT 'x' AS sample, o_orderkey AS raw_idx, CASE WHEN o_orderstatus = 'F' THEN m.seq_idx END AS seq_idx,
+CAST(CASE WHEN o_orderstatus IN ('F', 'O') THEN 1 ELSE 0 END + CASE WHEN o_orderstatus = 'F' THEN 2 ELSE 0 END + CASE WHEN o_orderstatus = 'F' AND m.seq_idx IS NOT NULL THEN 4 ELSE 0 END AS INTEGER) AS flags
+FROM orders LEFT JOIN (SELECT c_mktsegment AS seq, MIN(c_custkey) AS seq_idx FROM customer GROUP BY 1) m
+ON m.seq = (SELECT c_mktsegment FROM customer WHERE c_custkey = o_custkey)""")
+def read_map(spark, d):
+    o, c = table(spark, d, "orders"), table(spark, d, "customer")
+    key = F.col("o_orderkey")
+    stages = o.select(key.alias("raw_idx"), F.when(F.col("o_orderstatus").isin("F", "O"), key).alias("trim_idx"), F.when(F.col("o_orderstatus") == "F", key).alias("filt_idx"))
+    merged = o.join(c, F.col("o_custkey") == F.col("c_custkey"), "left").select(key.alias("filt_idx"), F.col("c_mktsegment").alias("seq"))
+    return provenance.read_map(stages, merged, c.select(F.col("c_custkey").alias("seq_idx"), F.col("c_mktsegment").alias("seq")), "x")
+
+
+@query("""WITH f AS (SELECT o_orderstatus AS k, MIN(o_orderkey) AS i FROM orders GROUP BY 1), r AS (SELECT o_orderpriority AS k, MIN(o_orderkey) AS i FROM orders GROUP BY 1)
+SELECT o_orderkey AS rec_idx, CASE WHEN o_orderstatus <> 'P' THEN f.i * 1000000 + r.i END AS merge_idx FROM orders JOIN f ON o_orderstatus = f.k JOIN r ON o_orderpriority = r.k""")
+def merged_reads(spark, d):
+    o = table(spark, d, "orders").withColumnRenamed("o_orderkey", "rec_idx")
+    f = o.groupBy(F.col("o_orderstatus").alias("derep_idx")).agg(F.min("rec_idx").alias("denoised_idx"))
+    r = o.groupBy(F.col("o_orderpriority").alias("derep_idx")).agg(F.min("rec_idx").alias("denoised_idx"))
+    pairs = f.filter("derep_idx <> 'P'").select(F.col("denoised_idx").alias("fwd_idx"), F.explode(F.array(*[F.lit(x[0]) for x in r.select("denoised_idx").collect()])).alias("rev_idx"))
+    merged = pairs.withColumn("merge_idx", F.col("fwd_idx") * 1000000 + F.col("rev_idx"))
+    return provenance.merged_reads(o, o.select("rec_idx", F.col("o_orderstatus").alias("derep_idx")), f, o.select("rec_idx", F.col("o_orderpriority").alias("derep_idx")), r, merged)
+
+
+# ---- taxonomy
+
+_NA = {r: f"COALESCE({_Q[r]}, 'NA')" for r in RANKS}
+_HEADERS = {
+    "sintax": "'s' || seq_idx || ';tax=' || " + " || ',' || ".join(f"'{r[0]}:' || {_NA[r]}" for r in RANKS) + " || ';'",
+    "unite": "'s' || seq_idx || '|' || " + " || ';' || ".join(f"'{r[0]}__' || {_NA[r]}" for r in RANKS) + " || '|SH1'",
+    "bold": "'s' || seq_idx || '|a|' || " + " || ',' || ".join([*(_NA[r] for r in RANKS[:5]), "''", "''", *(_NA[r] for r in RANKS[5:]), "''"]),
+    "bayesant": "'s' || seq_idx || ' Root;' || " + " || ';' || ".join(_NA[r] for r in RANKS),
+}
+_PART = {
+    "sintax": lambda k: f"NULLIF(regexp_extract(h, '[=,]{k}:([^,;]*)', 1), '')",
+    "unite": lambda k: f"NULLIF(regexp_extract(h, '[|;]{k}__([^;|]*)', 1), '')",
+}
+
+
+def _header_sql(kind: str, columns: str) -> str:
+    return with_views(f", x AS (SELECT seq_idx, {_HEADERS[kind]} AS h FROM taxa) SELECT 's' || seq_idx AS seq_id, {columns} FROM x", "taxa")
+
+
+@query(_header_sql("sintax", ", ".join(f'{_PART["sintax"](k)} AS "{r}"' for k, r in tx.SINTAX_RANKS.items())))
+def parse_sintax(spark, d):
+    return taxonomy.parse_sintax(views.headers(spark, d, "sintax"))
+
+
+@query(_header_sql("unite", ", ".join(f'{_PART["unite"](k)} AS "{r}"' for k, r in tx.UNITE_RANKS.items())))
+def parse_unite(spark, d):
+    return taxonomy.parse_unite(views.headers(spark, d, "unite"))
+
+
+@query(_header_sql("bold", ", ".join(f"NULLIF(trim(string_split(string_split(h, '|')[3], ',')[{i + 1}]), '') AS \"{r}\"" for i, r in enumerate(tx.BOLD_RANKS))))
+def parse_bold(spark, d):
+    return taxonomy.parse_bold(views.headers(spark, d, "bold"))
+
+
+@query(_header_sql("bayesant", ", ".join(f"NULLIF(trim(string_split(h, ';')[{i + 2}]), '') AS \"{r}\"" for i, r in enumerate(RANKS))))
+def parse_bayesant(spark, d):
+    return taxonomy.parse_bayesant(views.headers(spark, d, "bayesant"))
+
+
+@query(_header_sql("unite", ", ".join(f'{_PART["unite"](k)} AS "{r}"' for k, r in tx.UNITE_RANKS.items())))
+def parse_headers(spark, d):
+    return taxonomy.parse_headers(views.headers(spark, d, "unite"))
+
+
+@query("SELECT true AS is_sintax, false AS is_bold, false AS is_unite, false AS is_bayesant")
+def detect_format(spark, d):
+    return taxonomy.detect_formats(views.headers(spark, d, "sintax"))
+
+
+@query("SELECT c_custkey AS seq_id, " + ", ".join(f"NULLIF(trim(regexp_split_to_array(c_mktsegment || ';' || c_name || ',x| ', '[,;|]')[{i + 1}]), '') AS \"{r}\"" for i, r in enumerate(RANKS)) + " FROM customer")
+def parse_tabular(spark, d):
+    rows = table(spark, d, "customer").select(F.col("c_custkey").alias("seq_id"), F.concat("c_mktsegment", F.lit(";"), "c_name", F.lit(",x| ")).alias("taxonomy"))
+    return taxonomy.parse_tabular(rows)
+
+
+@query(with_views(", ".join([""] + ["u AS (" + " UNION ALL ".join(f"SELECT seq_idx AS seq_id, '{r}' AS rank, {_Q[r]} AS taxon, CAST({1 - i / 10} AS DOUBLE) AS prob FROM taxa" for i, r in enumerate(RANKS)) + ")"]) + " SELECT seq_id, rank, CAST(NULL AS VARCHAR) AS parent_taxonomy, taxon, prob FROM u", "taxa"))
+def tax_long(spark, d):
+    t = views.taxa(spark, d).withColumnRenamed("seq_idx", "seq_id")
+    p = t.select("seq_id", *[F.lit(1 - i / 10).alias(r) for i, r in enumerate(RANKS)])
+    return taxonomy.wide_to_long(t, p)
+
+
+@query(with_views("SELECT classification, array_to_string(string_split(classification, ',')[1:2], ',') AS two, CAST(NULL AS VARCHAR) AS five FROM paths", "paths"))
+def truncate_taxonomy(spark, d):
+    c = F.col("classification")
+    return views.paths(spark, d).select(c, tx.truncate(c, 2).alias("two"), tx.truncate(c, 5).alias("five"))
+
+
+@query(with_views("SELECT seq_idx, regexp_replace(species, '_[0-9]+$', '') AS species, CASE WHEN starts_with(class, 'pseudo') THEN class ELSE regexp_replace(class, '_[0-9]+$', '') END AS class FROM taxa", "taxa"))
+def strip_number(spark, d):
+    return views.taxa(spark, d).select("seq_idx", tx.strip_number(F.col("species")).alias("species"), tx.strip_number(F.col("class")).alias("class"))
+
+
+@query(with_views("SELECT 'tax=d:' || regexp_replace(regexp_replace(classification, ',', ';p:'), ',', ',c:') AS x, classification FROM paths", "paths").replace("'tax=d:' || regexp_replace(regexp_replace(classification, ',', ';p:'), ',', ',c:') AS x", "'tax=d:' || string_split(classification, ',')[1] || ',p:' || string_split(classification, ',')[2] || ',c:' || string_split(classification, ',')[3] || ';' AS x"))
+def sintax_format(spark, d):
+    c = F.col("classification")
+    return views.paths(spark, d).select(tx.sintax_format(c).alias("x"), c)
+
+
+_TREE = """, one AS (SELECT DISTINCT string_split(classification, ',')[1] AS c FROM paths), two AS (SELECT DISTINCT array_to_string(string_split(classification, ',')[1:2], ',') AS c FROM paths),
+every AS (SELECT c, 1 AS rank, 'root' AS parent FROM one UNION ALL SELECT c, 2, string_split(c, ',')[1] FROM two UNION ALL SELECT classification, 3, array_to_string(string_split(classification, ',')[1:2], ',') FROM paths),
+ids AS (SELECT *, ROW_NUMBER() OVER (ORDER BY rank, c) AS taxon_id FROM every), n AS (SELECT COUNT(*) AS n FROM paths)
+"""
+
+
+@query(with_views(_TREE + """SELECT 0 AS taxon_id, 0 AS parent_id, 0 AS rank, 'root' AS classification, 1.0::DOUBLE AS prior UNION ALL
+SELECT i.taxon_id, COALESCE(p.taxon_id, 0), i.rank, i.c, ROUND(CASE i.rank WHEN 1 THEN CASE ROW_NUMBER() OVER (PARTITION BY i.rank ORDER BY i.c) WHEN 1 THEN 0.99 WHEN 2 THEN 0.01 END
+ ELSE 0.99 / n * (SELECT COUNT(*) FROM paths WHERE classification = i.c OR starts_with(classification, i.c || ',')) END::DOUBLE, 6)
+FROM ids i LEFT JOIN ids p ON i.parent = p.c, n""", "paths"))
+def build_taxonomy(spark, d):
+    p = views.paths(spark, d).cache()
+    inner = p.select(tx.truncate(F.col("classification"), 1).alias("classification")).union(p.select(tx.truncate(F.col("classification"), 2)))
+    return taxonomy.tree(p.union(inner)).withColumn("prior", F.round("prior", 6))
+
+
+@query(with_views(_TREE + """SELECT 0 AS taxon_id, 0 AS parent_id, 0 AS rank, 'root' AS classification, 1.0::DOUBLE AS prior UNION ALL
+SELECT i.taxon_id, COALESCE(p.taxon_id, 0), i.rank, i.c, ROUND((SELECT COUNT(*) FROM paths WHERE classification = i.c OR starts_with(classification, i.c || ','))::DOUBLE / n, 6)
+FROM ids i LEFT JOIN ids p ON i.parent = p.c, n""", "paths"))
+def build_taxonomy_new(spark, d):
+    return taxonomy.tree_by_leaves(views.paths(spark, d)).withColumn("prior", F.round("prior", 6))
+
+
+@query("""WITH x AS (SELECT c_nationkey AS seq_id, r_name AS a, n_name AS b, c_mktsegment AS c, (c_acctbal + 2000) / 100000 AS p FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
+u AS (SELECT seq_id, 'kingdom' AS rank, NULL AS parent_taxonomy, a AS taxon, p FROM x UNION ALL SELECT seq_id, 'phylum', a, b, p FROM x UNION ALL SELECT seq_id, 'class', a || ',' || b, c, p FROM x)
+SELECT seq_id, rank, parent_taxonomy, taxon, ROUND(SUM(p), 4) AS prob FROM u GROUP BY ALL HAVING SUM(p) >= 0.01""")
+def classifier_paths(spark, d):
+    c = table(spark, d, "customer").join(table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    rows = c.select(F.col("c_nationkey").alias("seq_id"), F.concat_ws(",", "r_name", "n_name", "c_mktsegment").alias("path"), ((F.col("c_acctbal") + 2000) / 100000).alias("prob"))
+    return taxonomy.path_probabilities(rows, least=0.01).withColumn("prob", F.round("prob", 4))
+
+
+@query("""SELECT c_custkey AS seq_id, 'kingdom' AS rank, NULL AS parent_taxonomy, c_mktsegment AS taxon, 0.9::DOUBLE AS prob FROM customer
+UNION ALL SELECT c_custkey, 'phylum', c_mktsegment, c_name, 0.5 FROM customer""")
+def classifier_rows(spark, d):
+    c = table(spark, d, "customer")
+    return taxonomy.kmer_classifier_rows(c.select(F.col("c_custkey").alias("seq_id"), F.concat(F.lit("k:"), "c_mktsegment", F.lit("(0.90),p:"), "c_name", F.lit("(0.5)")).alias("taxonomy")))
+
+
+@query("""SELECT CAST(c_custkey AS VARCHAR) AS seq_id, 'phylum' AS rank, 'Fungi' AS parent_taxonomy, c_mktsegment AS taxon, 0.75::DOUBLE AS prob FROM customer
+UNION ALL SELECT CAST(c_custkey AS VARCHAR), 'class', 'Fungi,' || c_mktsegment, NULL, 0.25 FROM customer""")
+def assignment_rows(spark, d):
+    c = table(spark, d, "customer")
+    return taxonomy.assignment_rows(c.select(F.concat_ws(" ", F.col("c_custkey").cast("string"), "c_mktsegment", F.lit("0.75"), F.concat("c_mktsegment", F.lit(",unk")), F.lit("0.25")).alias("line")))
+
+
+@query("""SELECT c_custkey AS seq_id, 'class' AS rank, r_name || ',' || n_name AS parent_taxonomy, NULL AS taxon, 0.25::DOUBLE AS prob FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE c_acctbal > 0
+UNION ALL SELECT c_custkey, 'phylum', r_name, n_name, 0.5 FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""")
+def placement_rows(spark, d):
+    c = table(spark, d, "customer").join(table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    return taxonomy.placement_rows(c.select(F.col("c_custkey").alias("name"), F.when(F.col("c_acctbal") > 0, 0.25).otherwise(0.0).alias("fract"), F.lit(0.5).alias("afract"), F.concat_ws(";", "r_name", "n_name").alias("taxopath")))
+
+
+@query(with_views(""", p AS (SELECT seq_idx AS asv_seq_id, 'species' AS rank, species AS candidate_taxon, 0.5::DOUBLE AS candidate_prob FROM taxa UNION ALL SELECT seq_idx, 'order', "order", 0.75 FROM taxa),
+otu AS (SELECT MIN(seq_idx) AS seq_id, species, MIN("order") AS ord FROM taxa WHERE species IS NOT NULL GROUP BY species),
+f AS (SELECT p.*, otu.seq_id, otu.species, otu.ord FROM p JOIN taxa t ON t.seq_idx = p.asv_seq_id JOIN otu ON otu.species = t.species)
+SELECT seq_id, asv_seq_id, CASE rank WHEN 'species' THEN species ELSE ord END AS otu_taxon, rank, candidate_taxon, candidate_prob FROM f WHERE seq_id IN (SELECT seq_id FROM f WHERE candidate_taxon = 'Brand#11')""", "taxa"))
+def target_taxa(spark, d):
+    t = views.taxa(spark, d)
+    prob = t.select(F.col("seq_idx").alias("seq_id"), F.lit("species").alias("rank"), F.col("species").alias("taxon"), F.lit(0.5).alias("prob")).union(t.select("seq_idx", F.lit("order"), "order", F.lit(0.75)))
+    otu = t.filter("species is not null").groupBy("species").agg(F.min("seq_idx").alias("seq_id"), F.min("order").alias("order"), *[F.min(r).alias(r) for r in RANKS if r not in ("species", "order")])
+    return taxonomy.target_taxa(["Brand#11"], prob, t.withColumnRenamed("seq_idx", "seq_id"), otu)
+
+
+@query(with_views("SELECT seq_idx, CASE WHEN species IS NOT NULL THEN 1 WHEN genus IS NOT NULL THEN 2 WHEN family IS NOT NULL THEN 3 ELSE 4 END AS lowest FROM taxa", "taxa"))
+def rank_ordinals(spark, d):
+    name = F.when(F.col("species").isNotNull(), "species").when(F.col("genus").isNotNull(), "genus").when(F.col("family").isNotNull(), "family").otherwise("order")
+    return views.taxa(spark, d).select("seq_idx", tx.DEFAULT.ordinal(name).alias("lowest"))
+
+
+# ---- rollup
+
+_BELOW = RANKS[1:]
+_U = {r: f"(CASE WHEN starts_with({_Q[r]}, 'pseudo') THEN 1.0 ELSE 0.0 END)" for r in _BELOW}
+_W = {"fread": "nread", "focc": "nsample", "fotu": "1"}
+
+
+def _rollup_sql() -> str:
+    strip = lambda r: f"CASE WHEN starts_with({r}, 'pseudo') THEN {r} ELSE regexp_replace({r}, '_[0-9]+$', '') END AS {r}"
+    named = f"named AS (SELECT kingdom, phylum, class, \"order\", family, {strip('genus')}, {strip('species')}, nread, nsample FROM otus)"
+    parts = []
+    for i, r in enumerate(RANKS):
+        parent = " || ',' || ".join(f"COALESCE({_Q[p]}, 'NA')" for p in RANKS[:i]) or "NULL"
+        shares = ", ".join(f"ROUND(SUM({w} * {_U[b]}) / SUM({w}), 6) AS {b}_unknown_{k}" for b in _BELOW for k, w in _W.items())
+        child = RANKS[min(i + 1, len(RANKS) - 1)]
+        kids = ", ".join(f"ROUND(SUM({w} * {_U[child]}) / SUM({w}), 6) AS child_unknown_{k}" for k, w in _W.items())
+        parts.append(f"SELECT '{r}' AS rank, translate({_Q[r]}, '_', ' ') AS taxon, {parent} AS parent_taxonomy, {shares}, CAST(SUM(nread) AS BIGINT) AS nread, CAST(SUM(nsample) AS BIGINT) AS nocc, COUNT(*) AS notu, {kids} FROM named GROUP BY 1, 2, 3")
+    every = " UNION ALL ".join(parts)
+    return f", {named}, every AS ({every}) SELECT *, ROUND(nread::DOUBLE / SUM(nread) OVER (PARTITION BY rank), 6) AS fread, ROUND(nocc::DOUBLE / SUM(nocc) OVER (PARTITION BY rank), 6) AS focc, ROUND(notu::DOUBLE / SUM(notu) OVER (PARTITION BY rank), 6) AS fotu FROM every"
+
+
+@query(with_views(_rollup_sql(), "otus"))
+def taxon_rollup(spark, d):
+    out = rollup.rollup(views.otus(spark, d))
+    return out.select(*[F.round(c, 6).alias(c) if k == "double" else F.col(c) for c, k in out.dtypes])
+
+
+# ---- clustering
+
+_GROUPS = ', g AS (SELECT "order" AS p, COUNT(*) FILTER (family IS NULL) AS n_unknown, COUNT(*) FILTER (family IS NOT NULL) AS n_known FROM taxa GROUP BY 1),'
+_PRE = _GROUPS + ' w AS (SELECT *, n_unknown * n_known AS ops, DENSE_RANK() OVER (ORDER BY p) AS tar_group FROM g WHERE n_unknown > 0 AND n_known > 0)'
+_DEN = _GROUPS + " w AS (SELECT p, n_unknown, CAST(0 AS BIGINT) AS n_known, n_unknown * (n_unknown - 1) // 2 AS ops, DENSE_RANK() OVER (ORDER BY p) AS tar_group FROM g WHERE n_unknown > 1)"
+_WORK = ' SELECT seq_idx, "order", family, n_unknown, n_known, ops, {g} AS tar_group FROM taxa JOIN w ON "order" = p {where}'
+_COLS = ("seq_idx", "`order`", "family", "n_unknown", "n_known", "ops", "CAST(tar_group AS BIGINT) AS tar_group")
+_LIMIT = 150
+
+
+def _pre(spark, d):
+    return cluster.preclosed(views.taxa(spark, d), "family", "order")
+
+
+def _den(spark, d):
+    return cluster.predenovo(views.taxa(spark, d), "family", "order")
+
+
+_LARGE = ", l AS (SELECT p AS lp, DENSE_RANK() OVER (ORDER BY p) AS lg FROM w WHERE ops > {n})"
+
+
+@query(with_views(_PRE + _WORK.format(g="tar_group", where=""), "taxa"))
+def preclosed_full(spark, d):
+    return _pre(spark, d).selectExpr(*_COLS)
+
+
+@query(with_views(_PRE + _LARGE.format(n=_LIMIT) + _WORK.format(g="lg", where="JOIN l ON p = lp"), "taxa"))
+def preclosed_large(spark, d):
+    return cluster.large(_pre(spark, d), "order", _LIMIT).selectExpr(*_COLS)
+
+
+@query()
+def preclosed_small(spark, d):
+    return cluster.small(_pre(spark, d), "order", 1e6).selectExpr(*_COLS)
+
+
+@query(with_views(_DEN + _WORK.format(g="tar_group", where="WHERE family IS NULL"), "taxa"))
+def predenovo_full(spark, d):
+    return _den(spark, d).selectExpr(*_COLS)
+
+
+@query(with_views(_DEN + _LARGE.format(n=30) + _WORK.format(g="lg", where="JOIN l ON p = lp WHERE family IS NULL"), "taxa"))
+def predenovo_large(spark, d):
+    return cluster.large(_den(spark, d), "order", 30).selectExpr(*_COLS)
+
+
+@query()
+def predenovo_small(spark, d):
+    return cluster.small(_den(spark, d), "order", 1e6).selectExpr(*_COLS)
+
+
+@query("""WITH RECURSIVE w AS (SELECT c_custkey AS k, ROW_NUMBER() OVER (ORDER BY c_custkey) AS i, CAST(c_nationkey + 1 AS DOUBLE) AS w FROM customer),
+p(i, bins, bin) AS (SELECT 0::BIGINT, []::DOUBLE[], 0::BIGINT UNION ALL
+ SELECT p.i + 1, CASE WHEN f IS NULL THEN list_append(bins, w.w) ELSE list_concat(list_append(bins[:f - 1], bins[f] + w.w), bins[f + 1:]) END, COALESCE(f, len(bins) + 1)
+ FROM (SELECT p.*, (SELECT MIN(j) FROM range(1, len(bins) + 1) r(j) WHERE bins[j] + (SELECT w FROM w WHERE w.i = p.i + 1) <= 2000) AS f FROM p) p JOIN w ON w.i = p.i + 1)
+SELECT w.k AS task, CAST(p.bin AS INTEGER) AS bin FROM p JOIN w ON w.i = p.i""")
+def distribute_tasks(spark, d):
+    rows = table(spark, d, "customer").select("c_custkey", "c_nationkey").orderBy("c_custkey").collect()  # a weight for each task, on the driver
+    bins = cluster.distribute([r["c_nationkey"] + 1 for r in rows], 2000)
+    return spark.createDataFrame([(r["c_custkey"], b) for r, b in zip(rows, bins, strict=True)], "task bigint, bin int")
+
+
+def _vectors(spark, d):
+    e = table(spark, d, "embeddings")
+    return e.select(F.col("vec_id").alias("id"), F.col("label").alias("block"), F.transform("embedding", lambda x: x.cast("double")).alias("v"))
+
+
+_KNOWN = "len(vecs.e) > 0 AND vecs.e[1] > 0"
+_VEC = "vecs AS (SELECT vec_id AS id, label AS block, CAST(embedding AS DOUBLE[]) AS e FROM embeddings)"
+_COS = "round(1 - list_cosine_similarity(a.e, b.e), 9)"
+
+
+@query(f"""WITH {_VEC}, k AS (SELECT * FROM vecs WHERE e[1] > 0), u AS (SELECT * FROM vecs WHERE NOT e[1] > 0)
+SELECT id, ref FROM (SELECT a.id, b.id AS ref, ROW_NUMBER() OVER (PARTITION BY a.id ORDER BY {_COS}, b.id) AS r FROM u a JOIN k b ON a.block = b.block AND {_COS} <= 0.6::DOUBLE) WHERE r = 1""")
+def closed_ref(spark, d):
+    v = _vectors(spark, d)
+    known = F.get("v", F.lit(0)) > 0
+    return cluster.closed_reference(v.filter(~known), v.filter(known), "block", 0.6)
+
+
+@query()
+def closed_ref_closure(spark, d):
+    v = _vectors(spark, d)
+    known = F.get("v", F.lit(0)) > 0.2
+    return cluster.closed_reference(v.filter(~known), v.filter(known), "block", 0.6, closure=True)
+
+
+_T = {"loose": 0.6, "tight": 0.5}
+
+
+@query(f"""WITH RECURSIVE {_VEC}, edges AS (SELECT a.id, b.id AS id2, {_COS} AS dist FROM vecs a JOIN vecs b ON a.block = b.block AND {_COS} <= 0.6::DOUBLE),
+l(id, c) AS (SELECT id, id FROM vecs UNION SELECT e.id2, l.c FROM l JOIN edges e ON e.id = l.id WHERE e.dist <= 0.6::DOUBLE AND l.c < e.id2),
+t(id, c) AS (SELECT id, id FROM vecs UNION SELECT e.id2, t.c FROM t JOIN edges e ON e.id = t.id WHERE e.dist <= 0.5::DOUBLE AND t.c < e.id2)
+SELECT id, loose, tight FROM (SELECT id, MIN(c) AS loose FROM l GROUP BY 1) JOIN (SELECT id, MIN(c) AS tight FROM t GROUP BY 1) USING (id)""")
+def denovo_clusters(spark, d):
+    return cluster.denovo(_vectors(spark, d), "block", _T)
+
+
+# ---- sample tables and sampling
+
+
+@query("SELECT o_orderstatus AS seqrun, o_custkey AS sample, string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY o_orderkey) AS fastq_R1, string_agg(CAST(o_orderkey + 1 AS VARCHAR), ',' ORDER BY o_orderkey) AS fastq_R2 FROM orders GROUP BY 1, 2")
+def sample_table_merge(spark, d):
+    # keys are padded while they are sorted as text
+    pad = lambda c: F.lpad(c.cast("string"), 20, "0")
+    t = table(spark, d, "orders").select(F.col("o_orderstatus").alias("seqrun"), F.col("o_custkey").alias("sample"), pad(F.col("o_orderkey")).alias("fastq_R1"), pad(F.col("o_orderkey") + 1).alias("fastq_R2"))
+    out = samples.merge_duplicates(t, "merge")
+    bare = lambda c: F.array_join(F.transform(F.split(c, ","), lambda x: F.ltrim(x, F.lit("0"))), ",")
+    return out.select("seqrun", "sample", bare("fastq_R1").alias("fastq_R1"), bare("fastq_R2").alias("fastq_R2"))
+
+
+_ORIENT = "CASE c_mktsegment WHEN 'BUILDING' THEN 'mixed' WHEN 'MACHINERY' THEN 'rev' ELSE 'fwd' END"
+
+
+@query(f"SELECT c_custkey AS sample, unnest(CASE WHEN o = 'mixed' THEN ['fwd', 'rev'] ELSE [o] END) AS orient FROM (SELECT c_custkey, {_ORIENT} AS o FROM customer)")
+def orient_expand(spark, d):
+    seg = F.col("c_mktsegment")
+    t = table(spark, d, "customer").select(F.col("c_custkey").alias("sample"), F.when(seg == "BUILDING", "mixed").when(seg == "MACHINERY", "rev").otherwise("fwd").alias("orient"))
+    return samples.expand_orientation(t)
+
+
+@query("""SELECT CAST(c_custkey AS VARCHAR) AS sample, orient, rarefy_text, 'run1_' || c_custkey || CASE WHEN rarefy_text = 'full' THEN '' ELSE '_' || rarefy_text END AS sample_key,
+'trim/run1_' || c_custkey || '_' || orient || '_R1_trim.fastq.gz' AS trim_R1,
+CASE WHEN rarefy_text = 'full' THEN 'filt/run1_' || c_custkey || '_' || orient || '_R1_filt.fastq.gz' ELSE 'rarefy/run1_' || c_custkey || '_' || rarefy_text || '_' || orient || '_R1.fastq.gz' END AS to_denoise_R1
+FROM customer, (VALUES ('fwd'), ('rev')) o(orient), (VALUES ('1_per_10'), ('100_reads'), ('full')) r(rarefy_text)""")
+def rarefy_cross(spark, d):
+    t = table(spark, d, "customer").select(F.lit("run1").alias("seqrun"), F.col("c_custkey").cast("string").alias("sample"), F.lit("a").alias("fastq_R1"), F.lit("b").alias("fastq_R2"))
+    out = samples.finalize(t, "mixed", levels=sampling.rarefaction_levels(spark, [(1, 10)], [100]))
+    return out.select("sample", "orient", "rarefy_text", "sample_key", "trim_R1", "to_denoise_R1")
+
+
+@query("""SELECT 'run' || c_nationkey AS seqrun, 's' || c_custkey AS sample, 'run' || c_nationkey || '/s' || c_custkey || '_R1.fastq.gz' AS fastq_R1, 'run' || c_nationkey || '/s' || c_custkey || '_R2.fastq.gz' AS fastq_R2,
+false AS neg_control, false AS pos_control FROM customer""")
+def infer_samples(spark, d):
+    c = table(spark, d, "customer")
+    files = c.select(F.explode(F.array(*[F.concat(F.lit("run"), F.col("c_nationkey").cast("string"), F.lit("/s"), F.col("c_custkey").cast("string"), F.lit(f"_R{k}.fastq.gz")) for k in (1, 2)])).alias("path"))
+    return samples.infer(files)
+
+
+_MD5 = "md5('1-' || rec_idx)"
+
+
+@query(with_views(f""", p AS (SELECT b * 100 + i AS rec_idx, b FROM (SELECT DISTINCT (rec_idx - 1) // 100 AS b FROM reads), range(1, 101) r(i)),
+k AS (SELECT rec_idx, ROW_NUMBER() OVER (PARTITION BY b ORDER BY {_MD5}, rec_idx) AS n FROM p) SELECT rec_idx, name FROM reads WHERE rec_idx IN (SELECT rec_idx FROM k WHERE n <= 13)""", "reads"))
+def sample_fraction(spark, d):
+    return sampling.sample_fraction(views.reads(spark, d), 13, 100).select("rec_idx", "name")
+
+
+@query(with_views(f"SELECT rec_idx, name FROM (SELECT *, ROW_NUMBER() OVER (ORDER BY {_MD5}, rec_idx) AS n FROM reads) WHERE n <= 250", "reads"))
+def sample_number(spark, d):
+    return sampling.sample_number(views.reads(spark, d), 250).select("rec_idx", "name")
+
+
+@query(with_views(f"SELECT rec_idx, name AS name_R1, event_type AS name_R2 FROM (SELECT *, ROW_NUMBER() OVER (ORDER BY {_MD5}, rec_idx) AS n FROM reads) WHERE n <= 250", "reads"))
+def sample_pairs(spark, d):
+    r = views.reads(spark, d)
+    both = sampling.paired(r.select("rec_idx", "name"), r.select("rec_idx", F.col("event_type").alias("name")))
+    return sampling.sample_number(both, 250)
+
+
+@query(with_views("SELECT rec_idx, name, CAST((rec_idx - 1) % 7 AS INTEGER) AS part, (rec_idx - 1) // 7 + 1 AS part_idx FROM reads", "reads"))
+def split_round_robin(spark, d):
+    return fastx.split_round_robin(views.reads(spark, d).select("rec_idx", "name"), 7)
+
+
+@query(with_views("SELECT rec_idx, name FROM reads", "reads"))
+def interleave(spark, d):
+    parts = fastx.split_round_robin(views.reads(spark, d).select("rec_idx", "name"), 7)
+    return fastx.interleave(parts.drop("rec_idx")).select("rec_idx", "name")
+
+
+@query(with_views("SELECT o_orderkey AS req_pos, o_custkey AS rec_idx, CAST(o_orderkey AS VARCHAR) AS name FROM orders JOIN reads ON rec_idx = o_custkey", "reads"))
+def random_access(spark, d):
+    wanted = table(spark, d, "orders").select(F.col("o_orderkey").alias("req_pos"), F.col("o_custkey").alias("rec_idx"))
+    return fastx.extract(views.reads(spark, d).select("rec_idx", "name"), wanted, renumber=True).select("req_pos", "rec_idx", "name")
+
+
+# ---- sequences and qualities
+
+
+@query("SELECT doc_id, md5(text) AS hash, 'ASV' || lpad(CAST(doc_id AS VARCHAR), 7, '0') AS name FROM documents")
+def name_and_hash(spark, d):
+    return table(spark, d, "documents").select("doc_id", dna.seq_hash(F.col("text")).alias("hash"), dna.seq_name("ASV", F.col("doc_id"), 1_000_000).alias("name"))
+
+
+@query(f"SELECT p_partkey, {_RC.format('p_name')} AS rc FROM part")
+def revcomp(spark, d):
+    return table(spark, d, "part").select("p_partkey", dna.revcomp(F.col("p_name")).alias("rc"))
+
+
+@query("SELECT item_id, array_to_string([CASE WHEN regexp_full_match(c, '[!-~]') THEN c ELSE repeat('x', strlen(c)) END FOR c IN string_split(text, '')], '') AS clean FROM benchmark")
+def ascii_clean(spark, d):
+    return table(spark, d, "benchmark").select("item_id", dna.ascii_clean(F.col("text")).alias("clean"))
+
+
+@query("SELECT DISTINCT ascii(c) - 33 AS score FROM (SELECT unnest(string_split(p_name || p_brand, '')) AS c FROM part) WHERE c <> ''")
+def qual_bins(spark, d):
+    return sequence.quality_bins(table(spark, d, "part").select(F.col("p_partkey").alias("rec_idx"), F.concat("p_name", "p_brand").alias("qual")))
+
+
+_EE = "list_sum([pow(10.0::DOUBLE, -(ascii(c) - 33) / 10.0::DOUBLE) FOR c IN string_split(p_brand, '')])"
+
+
+@query(f"SELECT p_partkey, ROUND({_EE}, 9) AS ee FROM part")
+def expected_errors(spark, d):
+    return table(spark, d, "part").select("p_partkey", F.round(dna.expected_errors(F.col("p_brand")), 9).alias("ee"))
+
+
+@query(f"SELECT p_partkey FROM part WHERE {_EE} <= 0.2::DOUBLE AND length(p_name) >= 5")
+def filter_reads(spark, d):
+    return sequence.filter_reads(table(spark, d, "part"), max_ee=0.2, min_length=5, seq="p_name", qual="p_brand").select("p_partkey")
+
+
+@query("SELECT s.p_partkey AS rec_idx, u.derep_idx FROM part s JOIN (SELECT p_name, ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, p_name) AS derep_idx FROM part GROUP BY 1) u USING (p_name)")
+def dereplicate(spark, d):
+    p = table(spark, d, "part").select(F.col("p_partkey").alias("rec_idx"), F.col("p_name").alias("seq"), F.col("p_name").alias("qual"))
+    return sequence.dereplicate(p)[1]
+
+
+@query("SELECT 'run_' || c_custkey AS key FROM customer")
+def sample_keys(spark, d):
+    p = F.concat(F.lit("a/b/run_"), F.col("c_custkey").cast("string"), F.lit("_fwd_R1_filt.fastq.gz"))
+    return table(spark, d, "customer").select(dna.sample_key(p).alias("key"))
+
+
+@query("""SELECT c || '2' || c AS transition, CAST(ascii(q) - 33 AS INTEGER) AS qual, COUNT(*) AS n FROM (
+SELECT unnest(string_split(p_name, '')) AS c, unnest(string_split(rpad(p_brand, CAST(length(p_name) AS INTEGER), '#'), '')) AS q FROM part) GROUP BY 1, 2""")
+def transition_matrix(spark, d):
+    p = table(spark, d, "part")
+    q = F.rpad("p_brand", F.length("p_name"), F.lit("#"))
+    return sequence.transitions(p.select(F.col("p_name").alias("true_seq"), F.col("p_name").alias("obs_seq"), q.alias("obs_qual"), F.lit("=").alias("cigar")))
+
+
+@query("SELECT p_partkey AS seq_id, 'stop_codon' AS indicator, 5 AS pos, 3 AS len FROM part UNION ALL SELECT p_partkey, 'frameshift', 4, 1 FROM part")
+def numts(spark, d):
+    a = table(spark, d, "part").select(F.col("p_partkey").alias("seq_id"), F.lit("acgACG-TAAGGGCCC").alias("seq"))
+    return sequence.nuclear_copies(a)
+
+
+@query()
+def primer_trim(spark, d):
+    r = table(spark, d, "part").select(F.col("p_partkey").alias("rec_idx"), F.concat(F.lit("TTACGTGGA"), F.upper("p_name")).alias("seq"))
+    return sequence.trim_primer(r, "ACGTNG", qual=None, min_overlap=6)
+
+
+@query()
+def merge_pairs(spark, d):
+    p = table(spark, d, "part")
+    rev = F.reverse(F.translate(F.concat(F.lit("ACGTACGTACGTAC"), F.lit("GGTT")), dna.CODES, dna.COMPLEMENTS))
+    return sequence.merge_pairs(p.select(F.col("p_partkey").alias("rec_idx"), F.concat(F.translate(F.upper("p_name"), "BDEFGHIJKLMNOPQRSUVWXYZ ", "CAGTACGTACGTACGTACGTACGTA"), F.lit("ACGTACGTACGTAC")).alias("seq_fwd"), rev.alias("seq_rev")))
+
+
+# ---- streams, run as batches here; tests run them as streams
+
+
+@query("SELECT date_trunc('hour', ts) AS start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS \"end\", event_type, COUNT(*) AS n, ROUND(SUM(value), 4) AS total FROM events GROUP BY 1, 2, 3")
+def event_windows(spark, d):
+    return summaries.event_counts(table(spark, d, "events")).withColumn("total", F.round("total", 4))
+
+
+@query("""SELECT user_id, MIN(ts) AS start, MAX(ts) + INTERVAL 30 MINUTE AS "end", COUNT(*) AS n FROM (
+SELECT user_id, ts, SUM(fresh) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS k FROM (
+SELECT *, CASE WHEN ts - LAG(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS fresh FROM events)) GROUP BY user_id, k""")
+def event_sessions(spark, d):
+    return summaries.sessions(table(spark, d, "events"))
