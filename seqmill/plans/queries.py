@@ -582,14 +582,14 @@ def denovo_clusters(spark, d):
 # ---- sample tables and sampling
 
 
-@query("SELECT o_orderstatus AS seqrun, o_custkey AS sample, string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY o_orderkey) AS fastq_R1, string_agg(CAST(o_orderkey + 1 AS VARCHAR), ',' ORDER BY o_orderkey) AS fastq_R2 FROM orders GROUP BY 1, 2")
+_PAD = "lpad(CAST({0} AS VARCHAR), 12, '0')"
+
+
+@query(f"SELECT o_orderstatus AS seqrun, o_custkey AS sample, string_agg({_PAD.format('o_orderkey')}, ',' ORDER BY o_orderkey) AS fastq_R1, string_agg({_PAD.format('o_orderkey + 1')}, ',' ORDER BY o_orderkey) AS fastq_R2 FROM orders GROUP BY 1, 2")
 def sample_table_merge(spark, d):
-    # keys are padded while they are sorted as text
-    pad = lambda c: F.lpad(c.cast("string"), 20, "0")
+    pad = lambda c: F.lpad(c.cast("string"), 12, "0")
     t = table(spark, d, "orders").select(F.col("o_orderstatus").alias("seqrun"), F.col("o_custkey").alias("sample"), pad(F.col("o_orderkey")).alias("fastq_R1"), pad(F.col("o_orderkey") + 1).alias("fastq_R2"))
-    out = samples.merge_duplicates(t, "merge")
-    bare = lambda c: F.array_join(F.transform(F.split(c, ","), lambda x: F.ltrim(x, F.lit("0"))), ",")
-    return out.select("seqrun", "sample", bare("fastq_R1").alias("fastq_R1"), bare("fastq_R2").alias("fastq_R2"))
+    return samples.merge_duplicates(t, "merge").select("seqrun", "sample", "fastq_R1", "fastq_R2")
 
 
 _ORIENT = "CASE c_mktsegment WHEN 'BUILDING' THEN 'mixed' WHEN 'MACHINERY' THEN 'rev' ELSE 'fwd' END"
