@@ -3,24 +3,25 @@
 1. Each text becomes its set of word shingles, a 128-bit key of that set, and
    MinHash minima. Minima make band keys; their low bits are packed into a
    signature of a few words. Texts with equal sets are one node from here on.
-2. Nodes that share a band key share a bucket. First, every node is held
-   against its buckets' smallest node: the share of equal packed fields,
-   counted in bits and corrected for chance collisions, estimates the
-   similarity, and each node's best pair is confirmed on the full sets.
-   Confirmed links join components.
-3. Buckets whose nodes are in several components are looked at again: nodes
-   outside their bucket's main component are held against all of the bucket,
-   a tile of bounded size at a time, and pairs that the estimate lets pass are
-   confirmed; first each node's best two, then all that still lie between
-   components. So a group of copies costs a star and not its square, and no
-   pair that could join two components goes untested.
+2. Nodes that share a band key share a bucket. Every node is held against its
+   buckets' smallest node: the share of equal packed fields, counted in bits
+   and corrected for chance collisions, estimates the similarity. Then nodes
+   outside their bucket's main group are held against the whole bucket, a tile
+   of bounded size at a time. Pairs that the estimate lets pass make families;
+   a tile gives a spanning forest of them and not all pairs.
+3. Links are confirmed on full sets, inside families: first each node with the
+   bucket's smallest node that it resembles most, then, in families that are
+   still in several parts, all nodes outside the main part against tiles of
+   the family. A tile's inverted index gives every exact intersection, and
+   again a spanning forest of the links. So a group of copies costs a star and
+   not its square, and no pair that could join two parts goes untested.
 
 The estimate lets pass what is within five standard deviations of the
 threshold; with 28 bands of 5 a pair at a similarity of 0.85 is missed by all
 bands once in ten million. Every link is confirmed exactly.
 
 What is stored in the shared folder: signatures, bucket members, and the sets
-of nodes that share a bucket. Components are found by rounds of minima and
+of nodes that have a family. Components are found by rounds of minima and
 pointer jumping over tables; nothing of the corpus is collected.
 
 Defined results: null texts and texts without words have no shingles, are
@@ -42,8 +43,8 @@ from .common import chunks, out_batch, prepare, stored, table, texts_of
 
 BANDS, ROWS, BITS = 28, 5, 4
 HASHES = 144
-#: Rows of a bucket that are held against others at once.
-TILE = 4096
+#: Rows of a bucket, and sets of a family, that others are held against at once.
+TILE, FAMILY_TILE = 4096, 1024
 #: Ids that may be broadcast to filter sets where they lie: 16 MB. More are joined by a shuffle.
 FEW_IDS = 1_000_000
 
@@ -187,7 +188,7 @@ def _alike(threshold: int):
 
 
 def _star(members: DataFrame, sigs: DataFrame, threshold: int) -> DataFrame:
-    """Each node's best pair with one of its buckets' smallest nodes."""
+    """``a, b, est`` of every node b and the smallest nodes a of its buckets that the estimate lets pass."""
     pairs = members.filter("node <> hub").select("hub", "node").distinct()
     hubs = sigs.select(F.col("node").alias("hub"), F.col("n").alias("n2"), F.col("sig").alias("sig2"))
     both = pairs.join(sigs, "node").join(hubs, "hub").filter(_alike(threshold)).select("hub", "node", "sig", "sig2")
@@ -202,58 +203,127 @@ def _star(members: DataFrame, sigs: DataFrame, threshold: int) -> DataFrame:
                 mask = pa.array(est >= least)
                 yield out_batch(schema, (batch.column("hub").filter(mask), batch.column("node").filter(mask), pa.array(est).filter(mask)))
 
-    found = both.mapInArrow(run, "a long, b long, est double")
-    return found.groupBy("b").agg(F.max(F.struct("est", F.negative("a").alias("minus"))).alias("best")).select(F.negative("best.minus").alias("a"), "b")
-
-
-def _across(members: DataFrame, sigs: DataFrame, labels: DataFrame | None, threshold: int, best: int | None) -> DataFrame:
-    """Pairs of nodes of one bucket and different labels that the estimate lets pass; only each node's ``best`` if that is given."""
-    known = members.select("key", "node", "hub", F.col("node").alias("label"), F.col("hub").alias("main"))
-    if labels is not None:
-        known = relabel(relabel(known, labels), labels, "main")
-    open_ = known.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("c")).filter("x <> y").select("key", "c")
-    rows = known.join(open_, "key").join(sigs, "node")
-    tiles = F.ceil(F.col("c") / TILE).cast("int")
-    dealt = rows.select("key", F.pmod(F.xxhash64("node"), tiles).cast("int").alias("tile"), F.lit(0).alias("outside"), "node", "label", "n", "sig")
-    outside = rows.filter("label <> main").select("key", F.explode(F.sequence(F.lit(0), tiles - 1)).alias("tile"), F.lit(1).alias("outside"), "node", "label", "n", "sig")
-    dealt = dealt.union(outside).repartition("key", "tile").sortWithinPartitions("key", "tile", "outside", "node")
-    least = passing(threshold / 100)
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("est", pa.float64())])
+    return both.mapInArrow(run, "a long, b long, est double")
+
+
+class Forest:
+    """Labels that a task has joined."""
+
+    def __init__(self):
+        self.up: dict[int, int] = {}
+
+    def root(self, x: int) -> int:
+        up = self.up
+        while (y := up.get(x, x)) != x:
+            up[x] = x = up.get(y, y)
+        return x
+
+    def join(self, x: int, y: int) -> bool:
+        """Whether the two were apart."""
+        x, y = self.root(x), self.root(y)
+        self.up[max(x, y)] = min(x, y)
+        return x != y
 
-    def tile(inside: list, out: list):
-        """A function that holds rows from outside the main label against a tile."""
-        node, label, n = (np.array(x, np.int64) for x in list(zip(*inside, strict=True))[:3])
-        sig = np.frombuffer(b"".join(r[3] for r in inside), "<u8").reshape(len(node), -1)
 
-        def against(rows: list):
-            for r in rows:
-                fit = np.flatnonzero((label != r[1]) & (100 * np.minimum(n, r[2]) >= threshold * np.maximum(n, r[2])))
-                est = estimate(sig[fit], np.frombuffer(r[3], "<u8"))
-                ok = np.flatnonzero(est >= least)
-                if best is not None and len(ok) > best:
-                    ok = ok[np.argsort(-est[ok], kind="stable")[:best]]
-                for k in ok.tolist():
-                    x = int(node[fit[k]])
-                    out.append((min(x, r[0]), max(x, r[0]), float(est[k])))
+def _forest(rows: DataFrame, group: str, columns: tuple[str, ...], hold) -> DataFrame:
+    """``a, b``: a spanning forest of the pairs that ``hold`` finds in each tile.
 
-        return against
+    ``rows`` are ``group, tile, outside, node, label, *columns``; the tile's own
+    rows come first, then those that are held against it one at a time.
+    ``hold(inside)`` gives a function from a row to positions inside.
+    """
+    rows = rows.repartition(group, "tile").sortWithinPartitions(group, "tile", "outside", "node")
+    names = (group, "tile", "outside", "node", "label", *columns)
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches):
-        place, inside, out, against = None, [], [], None
+        place, inside, found, forest, labels, out = None, [], None, None, None, []
         for batch in batches:
-            for key, t, side, *row in zip(*(batch.column(c).to_pylist() for c in ("key", "tile", "outside", "node", "label", "n", "sig")), strict=True):
+            for key, t, side, *row in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
                 if place != (key, t):
-                    place, inside, against = (key, t), [], None
+                    place, inside, found, forest = (key, t), [], None, Forest()
                 if not side:
                     inside.append(row)
                 elif inside:
-                    against = against or tile(inside, out)
-                    against([row])
+                    if found is None:
+                        labels = np.array([r[1] for r in inside], np.int64)
+                        found = hold(inside)
+                    at = found(row)
+                    # one pair for each label that is met
+                    for k in at[np.unique(labels[at], return_index=True)[1]].tolist():
+                        if labels[k] != row[1] and forest.join(int(labels[k]), row[1]):
+                            out.append((min(inside[k][0], row[0]), max(inside[k][0], row[0])))
             if out:
                 yield out_batch(schema, map(list, zip(*out, strict=True)))
-                out.clear()
+                out = []
+
+    return rows.select(*names).mapInArrow(run, "a long, b long").distinct()
+
+
+def _dealt(rows: DataFrame, group: str, size: DataFrame, tile: int) -> DataFrame:
+    """Every row in one tile of its group by a hash of the node, and rows outside the group's ``main`` label in all of them."""
+    rows = rows.join(size, group)
+    tiles = F.ceil(F.col("c") / tile).cast("int")
+    own = rows.select(group, F.pmod(F.xxhash64("node"), tiles).cast("int").alias("tile"), F.lit(0).alias("outside"), "node", "label")
+    rest = rows.filter("label <> main").select(group, F.explode(F.sequence(F.lit(0), tiles - 1)).alias("tile"), F.lit(1).alias("outside"), "node", "label")
+    return own.unionByName(rest)
+
+
+def _across(members: DataFrame, sigs: DataFrame, labels: DataFrame, threshold: int) -> DataFrame:
+    """Pairs that the estimate lets pass between nodes of one bucket and different labels, as forests."""
+    known = members.select("key", "node", F.col("node").alias("label"), F.col("hub").alias("main"))
+    known = relabel(relabel(known, labels), labels, "main")
+    size = known.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("c")).filter("x <> y").select("key", "c")
+    rows = _dealt(known, "key", size, TILE).join(sigs, "node")
+    least = passing(threshold / 100)
+
+    def hold(inside):
+        label, n = np.array([r[1] for r in inside], np.int64), np.array([r[2] for r in inside], np.int64)
+        sig = np.frombuffer(b"".join(r[3] for r in inside), "<u8").reshape(len(inside), -1)
+
+        def found(row):
+            fit = np.flatnonzero((label != row[1]) & (100 * np.minimum(n, row[2]) >= threshold * np.maximum(n, row[2])))
+            return fit[estimate(sig[fit], np.frombuffer(row[3], "<u8")) >= least]
+
+        return found
+
+    return _forest(rows, "key", ("n", "sig"), hold)
+
+
+def _inside(families: DataFrame, labels: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """Links on full sets between nodes of one family and different labels, as forests."""
+    rows = relabel(families.select(F.col("label").alias("family"), "node", F.col("node").alias("label")), labels)
+    part = rows.groupBy("family", "label").agg(F.count(F.lit(1)).alias("c"))
+    size = part.groupBy("family").agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("parts"), F.max(F.struct("c", "label")).alias("m")).filter("parts > 1").select("family", "c", F.col("m.label").alias("main"))
+    dealt = _dealt(rows, "family", size, FAMILY_TILE).join(sets, "node")
 
-    return dealt.mapInArrow(run, "a long, b long, est double").select("a", "b").distinct()
+    def hold(inside):
+        label = np.array([r[1] for r in inside], np.int64)
+        own = [np.frombuffer(r[2], "<u8") for r in inside]
+        n = np.array([len(x) for x in own], np.int64)
+        values, owner = np.concatenate(own), np.repeat(np.arange(len(own)), n)
+        order = np.argsort(values, kind="stable")
+        values, owner = values[order], owner[order]
+
+        def found(row):
+            y = np.frombuffer(row[2], "<u8")
+            lo, hi = np.searchsorted(values, y, "left"), np.searchsorted(values, y, "right")
+            m = hi - lo
+            at = np.repeat(lo - np.cumsum(m) + m, m) + np.arange(m.sum())
+            common = np.bincount(owner[at], minlength=len(own))
+            return np.flatnonzero((label != row[1]) & (100 * common >= threshold * (n + len(y) - common)))
+
+        return found
+
+    return _forest(dealt, "family", ("own",), hold)
+
+
+def _joined(labels: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Labels after further pairs of nodes: components of the labels, which stand for their nodes."""
+    edges = relabel(relabel(pairs, labels, "a"), labels, "b").filter("a <> b")
+    more = components(edges)
+    known = labels.select("node", "label").union(more.select("node", F.col("node").alias("label"))).groupBy("node").agg(F.min("label").alias("label"))
+    return stored(relabel(known, more), "labels")
 
 
 def groups(docs: DataFrame, size: int = 5, threshold: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -262,29 +332,23 @@ def groups(docs: DataFrame, size: int = 5, threshold: int = 80, id_col: str = "d
     full = signed.filter("n_shingles > 0 and doc_id is not null")
     keys = full.groupBy("k1", "k2").agg(F.min("doc_id").alias("node"))
     nodes = full.join(keys.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    sigs = nodes.select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), "sig")
     buckets = nodes.select(F.col("doc_id").alias("node"), F.posexplode("bands").alias("band", "value")).select(F.xxhash64("band", "value").alias("key"), "node")
     hubs = buckets.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("top")).filter("hub <> top").select("key", "hub")
     members = stored(buckets.join(hubs, "key").distinct(), "members")
-    sharing = members.select("node")
+    sigs = nodes.select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), "sig")
+    sigs = stored(only(sigs, members.select("node"), "node"), "sigs")
+    star = stored(_star(members, sigs, threshold).filter("a <> b"), "star")
+    families = components(star)
+    more = stored(_across(members, sigs, families, threshold), "across")
+    if more.limit(1).count():
+        families = _joined(families, more)
     texts = docs.select(docs[id_col].cast("long").alias("node"), docs[text_col].cast("string").alias("text"))
-    sets = stored(_set_bytes(only(texts, sharing, "node"), size).filter("length(own) > 0"), "sets")
-    sigs = stored(only(sigs, sharing, "node"), "sigs")
-    tested = stored(_star(members, sigs, threshold).filter("a <> b"), "pairs")
-    labels = components(links(tested, sets, threshold))
-    for best in (2, None):
-        pairs = stored(_across(members, sigs, labels, threshold, best).join(tested.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
-        if not pairs.limit(1).count():
-            if best is None:
-                break
-            continue
-        more = links(pairs, sets, threshold)
-        # edges between what is joined already; its labels stand for their nodes
-        edges = relabel(relabel(more, labels, "a"), labels, "b")
-        joined = components(edges)
-        known = labels.select("node", "label").union(joined.select("node", F.col("node").alias("label"))).groupBy("node").agg(F.min("label").alias("label"))
-        labels = stored(relabel(known, joined), "labels")
-        tested = stored(tested.select("a", "b").union(pairs), "tested")
+    sets = stored(_set_bytes(only(texts, families.select("node"), "node"), size).filter("length(own) > 0"), "sets")
+    best = star.groupBy("b").agg(F.max(F.struct("est", F.negative("a").alias("minus"))).alias("best")).select(F.negative("best.minus").alias("a"), "b")
+    labels = components(links(best, sets, threshold))
+    more = stored(_inside(families, labels, sets, threshold), "links")
+    if more.limit(1).count():
+        labels = _joined(labels, more)
     named = keys.join(labels, "node", "left").select("k1", "k2", F.coalesce("label", "node").alias("label"))
     out = signed.join(named, ["k1", "k2"], "left")
     return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("label", "doc_id")).alias("component_id"))
