@@ -746,3 +746,82 @@ SELECT user_id, ts, SUM(fresh) OVER (PARTITION BY user_id ORDER BY ts, event_id)
 SELECT *, CASE WHEN ts - LAG(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS fresh FROM events)) GROUP BY user_id, k""")
 def event_sessions(spark, d):
     return summaries.sessions(table(spark, d, "events"))
+
+
+# ---- further sources and operators
+
+
+@query(with_views("SELECT rec_idx, event_type || '_' || rec_idx AS name, value FROM reads", "reads"))
+def rename_reads(spark, d):
+    r = views.reads(spark, d)
+    names = r.select("rec_idx", F.concat_ws("_", "event_type", F.col("rec_idx").cast("string")).alias("name"))
+    return fastx.rename(r.select("rec_idx", "name", "value"), names).select("rec_idx", "name", "value")
+
+
+@query("SELECT p_partkey, substr(p_brand, 1, 1) || substr(p_brand, 3, 2) || substr(p_brand, 6, 1) AS kept FROM part")
+def consensus_columns(spark, d):
+    return table(spark, d, "part").select("p_partkey", sequence.consensus_columns(F.col("p_brand"), "x.xx.x").alias("kept"))
+
+
+@query("SELECT p_partkey, regexp_extract(p_brand, '^[^!\"#]*') AS p_brand, left(p_name, length(regexp_extract(p_brand, '^[^!\"#]*'))) AS p_name FROM part")
+def truncate_quality(spark, d):
+    return sequence.truncate_quality(table(spark, d, "part").select("p_partkey", "p_name", "p_brand"), 2, seq="p_name", qual="p_brand")
+
+
+@query("SELECT p_partkey, substr(p_name, 2, greatest(length(p_name) - 3, 0)) AS p_name, substr(p_brand, 2, greatest(length(p_brand) - 3, 0)) AS p_brand FROM part")
+def cut_ends(spark, d):
+    return sequence.cut_ends(table(spark, d, "part").select("p_partkey", "p_name", "p_brand"), (1, 2), seq="p_name", qual="p_brand")
+
+
+@query("SELECT p_partkey, p_name || ' ' || p_brand AS name FROM part WHERE p_brand NOT IN (SELECT p_brand FROM part WHERE p_size = 50)")
+def without_labels(spark, d):
+    from ..sources import tables
+
+    p = table(spark, d, "part")
+    refs = p.select("p_partkey", F.concat_ws(" ", "p_name", "p_brand").alias("name"))
+    return tables.without_labels(refs, p.filter("p_size = 50").select(F.col("p_brand").alias("label")))
+
+
+@query("SELECT 'c' || c_custkey AS name, CAST(c_nationkey AS DOUBLE) AS edge_num, 0.5::DOUBLE AS like_weight_ratio FROM customer")
+def placement_files(spark, d):
+    from ..sources import tables
+
+    c = table(spark, d, "customer")
+    row = F.struct(F.array(F.array(F.col("c_nationkey").cast("double"), F.lit(0.5))).alias("p"), F.array(F.concat(F.lit("c"), F.col("c_custkey").cast("string"))).alias("n"))
+    j = F.to_json(F.struct(F.lit("(a,b);").alias("tree"), F.array(row).alias("placements"), F.create_map(F.lit("k"), F.lit("v")).alias("metadata"), F.lit(3).alias("version"), F.array(F.lit("edge_num"), F.lit("like_weight_ratio")).alias("fields")))
+    return tables.placements(c.select(j.alias("value"))).select("name", F.col("values")["edge_num"].alias("edge_num"), F.col("values")["like_weight_ratio"].alias("like_weight_ratio"))
+
+
+@query("""SELECT CAST(c_custkey AS VARCHAR) AS seq_id, 'phylum' AS rank, 'Fungi' AS parent_taxonomy, c_mktsegment AS taxon, 0.75::DOUBLE AS prob FROM customer
+UNION ALL SELECT CAST(c_custkey AS VARCHAR), 'phylum', 'Fungi', NULL, 0.25 FROM customer""")
+def name_probabilities(spark, d):
+    c = table(spark, d, "customer")
+    line = F.concat_ws("\t", F.col("c_custkey").cast("string"), F.concat(F.lit("Fungi,"), "c_mktsegment"), F.lit("0.75"), F.lit("Fungi,unk"), F.lit("0.25"))
+    return taxonomy.name_probability_rows(c.select(F.lit("x/query2.nameprob").alias("file"), line.alias("line")))
+
+
+@query(with_views(", n AS (SELECT MAX(rec_idx) AS n FROM reads) SELECT rec_idx, name FROM reads, n WHERE n - rec_idx + 1 <= 100", "reads"))
+def sample_by_order(spark, d):
+    r = views.reads(spark, d)
+    n = r.agg(F.max("rec_idx")).first()[0]
+    return sampling.sample_by_order(r.select("rec_idx", "name"), r.select("rec_idx", (F.lit(n) - F.col("rec_idx") + 1).alias("place")), 100)
+
+
+@query("SELECT c_custkey, CASE WHEN c_mktsegment = 'BUILDING' THEN false ELSE true END AS flag FROM customer")
+def sample_flags(spark, d):
+    token = F.when(F.col("c_mktsegment") == "BUILDING", " No ").otherwise(F.col("c_mktsegment"))
+    return table(spark, d, "customer").select("c_custkey", samples.flag(token).alias("flag"))
+
+
+@query("SELECT rec_idx, lower(hex(rec_idx)) AS name FROM (SELECT event_id + 1 AS rec_idx FROM events)")
+def rename_hex(spark, d):
+    return sampling.renamed(views.reads(spark, d).select("rec_idx", "event_type").withColumnRenamed("event_type", "name"))
+
+
+@query()
+def kmer_classifier(spark, d):
+    from ..operators import classify
+
+    b = table(spark, d, "benchmark").select(F.col("item_id").cast("string").alias("seq_id"), F.col("text").alias("seq"))
+    refs = [(r["seq"], f"Fungi,P{len(r['seq']) % 3},C{r['seq_id']}") for r in b.orderBy(F.col("seq_id").cast("int")).collect()]  # the references
+    return classify.classify(b, refs, least=0.05)

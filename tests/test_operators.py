@@ -223,3 +223,25 @@ def test_merge_mates():
     assert sequence.merge_mates("AAACCCGGGTTTACGTA", "GGGGTACGTAAACCCGGG", 10) == "AAACCCGGGTTTACGTACCCC"
     assert sequence.merge_mates("AAAAAAAAAAAAAA", "CCCCCCCCCCCCCC") is None
     assert sequence.primer_end("TTACGTGGA", "ACNT", 0.2, 3) == 6
+
+
+def test_column_roles():
+    from seqmill.functions.columns import local_cpus, name_column, seq_column
+
+    assert name_column(["x", "seq"]) == "x" and seq_column(["x", "y"]) == "y" and name_column(["OTU", "a", "ASV"]) == "ASV"
+    with pytest.raises(ValueError):
+        seq_column(["a", "b", "c"])
+    assert local_cpus() >= 1
+
+
+def test_classifier(spark):
+    from seqmill.operators import classify
+
+    rng = random.Random(1)
+    make = lambda: "".join(rng.choice("ACGT") for _ in range(300))
+    refs = [(make(), f"F,P{i % 2},C{i}") for i in range(8)]
+    q = [(f"q{i}", "".join(c if rng.random() > 0.03 else rng.choice("ACGT") for c in s)) for i, (s, _) in enumerate(refs)] + [("none", ""), ("null", None)]
+    got = classify.classify(spark.createDataFrame(q, "seq_id string, seq string"), refs).collect()
+    assert all(0 < r["prob"] <= 1 for r in got)
+    best = {r["seq_id"]: r["taxon"] for r in sorted(got, key=lambda r: r["prob"]) if r["rank"] == "class"}
+    assert best == {f"q{i}": f"C{i}" for i in range(8)}
