@@ -103,8 +103,11 @@ def apply_merges(words: list[list[int]], merges: dict[tuple[int, int], tuple[int
     return out
 
 
-class _Pieces(dict):
-    """Pieces and their ids as bytes; a missing piece raises KeyError for the caller to fill in."""
+def normal(text: str) -> str:
+    """NFC and lower case, one code point at a time as the library does it: a capital sigma has no final form."""
+    if not text.isascii() and not unicodedata.is_normalized("NFC", text):
+        text = unicodedata.normalize("NFC", text)
+    return text.replace("Σ", "σ").lower()
 
 
 class WordBpe:
@@ -127,12 +130,6 @@ class WordBpe:
         self.memo_ids: dict[str, bytes] = {}
         self.memo_text: dict[str, str] = {}
 
-    def _normal(self, text: str) -> str:
-        if not text.isascii() and not unicodedata.is_normalized("NFC", text):
-            text = unicodedata.normalize("NFC", text)
-        # one code point at a time, as the library does: a capital sigma has no final form
-        return text.replace("Σ", "σ").lower()
-
     def pieces(self, text: str) -> list[str]:
         """Pieces of a text in order; a special string is a piece of its own, marked by a leading NUL NUL."""
         parts = self.cut.split(text) if self.cut and "<|" in text else [text]
@@ -141,7 +138,7 @@ class WordBpe:
             if k % 2:
                 out.append("\0\0" + part)
             elif part:
-                part = self._normal(part)
+                part = normal(part)
                 try:
                     part.encode("latin-1")
                     out += self.small.findall(part)

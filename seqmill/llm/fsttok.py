@@ -75,9 +75,9 @@ def _cutter() -> tuple[np.ndarray, np.ndarray]:
 
 
 class Cutter:
-    """Piece starts of texts, with classes as the tokenizers library has them."""
+    """Piece starts of texts by a transducer's tables, with classes as the tokenizers library has them."""
 
-    def __init__(self, ranges: dict[str, list[tuple[int, int]]]):
+    def __init__(self, ranges: dict[str, list[tuple[int, int]]], tables: tuple[np.ndarray, np.ndarray] | None = None):
         self.classes = np.full(0x110000, OTHER, np.uint8)
         for name, c in (("L", LETTER), ("N", NUMBER), ("S", BLANK)):
             for a, b in ranges[name]:
@@ -85,7 +85,8 @@ class Cutter:
         for chars, c in ((" ", SPACE), ("'", QUOTE), ("stdm", STDM), ("rv", RV), ("e", E_), ("l", L_)):
             for x in chars:
                 self.classes[ord(x)] = c
-        self.step, self.mark = _cutter()
+        self.step, self.mark = tables or _cutter()
+        self.states = len(self.step) // _CLASSES
 
     def starts(self, classes: np.ndarray) -> np.ndarray:
         """Whether a piece starts at each character; a text ends with the class END, which is a piece of its own."""
@@ -96,7 +97,7 @@ class Cutter:
         columns = np.ascontiguousarray(cells.reshape(rows, CHUNK).T)
         before = np.empty((CHUNK, rows), np.uint8)
         # maps of all entry states, until they have met in every chunk
-        maps = np.repeat(np.arange(_STATES, dtype=np.uint8)[:, None], rows, 1)
+        maps = np.repeat(np.arange(self.states, dtype=np.uint8)[:, None], rows, 1)
         t = 0
         while t < CHUNK:
             for _ in range(min(MEET, CHUNK - t)):
@@ -111,7 +112,7 @@ class Cutter:
             for t in range(met, CHUNK):
                 before[t] = state
                 state = self.step[state.astype(np.int16) * _CLASSES + columns[t]]
-            maps = np.repeat(state[None], _STATES, 0)
+            maps = np.repeat(state[None], self.states, 0)
         # inclusive prefix scan over the chunks: after each round a map spans twice as many chunks
         scan = maps.T.copy()
         span = 1

@@ -5,11 +5,16 @@ sequences by themselves. The remainders' lengths make a histogram of at most
 ``window - 1`` bins, whatever the corpus; on it, shallow combinations of
 lengths that fill a window exactly are enumerated, their repeat counts are
 solved for by non-negative least squares, rounded and capped by what is there,
-and what is left is packed greedily. The plan has a few thousand rows at most.
+and what is left is packed greedily where that fills windows well. What then
+still is left, such as thousands of copies of one awkward length, is laid end
+to end, on a grid of a few ids, and cut where windows end. The plan has a few
+thousand rows at most.
 
 Each remainder then finds its place by its ordinal among the pieces of its
 length: tasks number their own pieces, and a running sum of the tasks' counts
-gives each task its first ordinal. No piece list meets in one task.
+gives each task its first ordinal. No piece list meets in one task. A piece's
+checksums up to each grid point are stored with it, so that the checksums of
+its parts follow without its ids.
 
 Defined results: a null or empty text is the closing id alone; repeated rows
 are packed once each; null ids are kept; an empty table gives no pieces.
@@ -17,8 +22,10 @@ are packed once each; null ids are kept; an empty table gives no pieces.
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
-from bisect import bisect_right, insort
+from bisect import bisect_right
 
 import numpy as np
 import pyarrow as pa
@@ -26,49 +33,157 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import vocab
-from .bpe import WordBpe
+from .bpe import normal
 from .common import chunks, out_batch, prepare, stored, table, texts_of
 
 WINDOW = 2048
+#: UTF-8 bytes that are cut and looked up at once.
+CHUNK = 1 << 20
 #: The id that closes each document.
 CLOSING_ID = 1
+#: Remainders are cut at multiples of so many ids. It divides the window.
+GRID = 32
+#: Ids that a greedily packed window may always leave empty; where it would leave more, pieces are laid end to end if that leaves less.
+LEAST_ROOM = 8
 #: Rounds of the multiplicative solver, and quantile lengths that combinations of three and of four take their inner lengths from.
 ROUNDS, INNER_3, INNER_4 = 300, 24, 8
 
 
-class _LibraryBpe(WordBpe):
-    """Pieces that are new get their ids from the tokenizers library; the memo of pieces is the same."""
+#: States of the word vocabulary's cutter.
+_GAP, _LETTERS, _NUMBER, _OTHERS, _QUOTE, _QUOTE_RV, _QUOTE_L, _CONTRACTED = range(8)
 
-    def __init__(self, path: str, patterns):
-        super().__init__(path, patterns)
-        from tokenizers import Tokenizer
 
-        self.library = Tokenizer.from_file(path)
+def _word_tables() -> tuple[np.ndarray, np.ndarray]:
+    """The cutter of letters, contractions, single numbers and other marks; white space is cut off character by character."""
+    from .fsttok import BLANK, E_, END, L_, LETTER, NUMBER, OTHER, QUOTE, RV, SPACE, STDM, _CLASSES
+
+    step, mark = np.zeros((8, _CLASSES), np.uint8), np.zeros((8, _CLASSES), np.uint8)
+    letters = (LETTER, STDM, RV, E_, L_)
+    fresh = {END: _GAP, SPACE: _GAP, BLANK: _GAP, NUMBER: _NUMBER, OTHER: _OTHERS, QUOTE: _QUOTE, **{c: _LETTERS for c in letters}}
+    inside = {(_LETTERS, c): _LETTERS for c in letters} | {(s, c): _OTHERS for s in (_OTHERS, _QUOTE) for c in (OTHER, QUOTE)}
+    inside |= {(_QUOTE, STDM): _CONTRACTED, (_QUOTE, RV): _QUOTE_RV, (_QUOTE, L_): _QUOTE_L, (_QUOTE_RV, E_): _CONTRACTED, (_QUOTE_L, L_): _CONTRACTED}
+    for s in range(8):
+        for c in range(_CLASSES):
+            step[s, c], mark[s, c] = (inside[s, c], 0) if (s, c) in inside else (fresh[c], 1)
+            if s in (_QUOTE_RV, _QUOTE_L) and step[s, c] != _CONTRACTED:  # no contraction: the letter before began a piece
+                mark[s, c] = 2 if c in letters else 3
+    return step.ravel(), mark.ravel()
 
-    def learn(self, pieces: set[str]) -> None:
-        from .bpe import MEMO_PIECES
 
-        if len(self.memo_ids) + len(pieces) > MEMO_PIECES:
-            self.memo_ids.clear()
-        fresh = []
-        for p in pieces:
-            if p[2:] in self.special and p.startswith("\0\0"):
-                self.memo_ids[p] = np.array([self.special[p[2:]]], "<u4").tobytes()
-            else:
-                fresh.append(p)
-        # white space keeps pieces apart, and a piece by itself is one word of the library's
-        for a in range(0, len(fresh), 2000):
-            part = fresh[a : a + 2000]
-            e = self.library.encode(" ".join(part), add_special_tokens=False)
-            ids, words = np.array(e.ids, "<u4"), np.array(e.word_ids)
-            ends = np.searchsorted(words, np.arange(len(part) + 1)).tolist()
-            if words[-1] != len(part) - 1:
-                raise AssertionError("the library cut a piece")
-            for k, p in enumerate(part):
-                self.memo_ids[p] = ids[ends[k] : ends[k + 1]].tobytes()
+class LibraryIds:
+    """Ids as the tokenizers library gives them, a chunk of texts at a time.
 
+    Pieces are cut by a transducer and known by two 64-bit hashes; the ids of
+    pieces met before are gathered from a pool, and only new pieces go to the
+    library, all of a chunk at once. The memo is a table of bounded size that
+    begins anew when it is full.
+    """
 
-_OPEN: dict[str, _LibraryBpe] = {}
+    KEPT, BITS = 500_000, 20
+
+    def __init__(self, path: str, ranges: dict):
+        from tokenizers import Tokenizer
+
+        from .fsttok import Cutter
+
+        with open(path, encoding="utf-8") as f:
+            added = json.load(f)["added_tokens"]
+        self.special = {t["content"]: t["id"] for t in added}
+        self.cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
+        self.model = Tokenizer.from_file(path).model
+        self.shown = dict(enumerate(vocab.byte_chars()))
+        self.cutter = Cutter(ranges, _word_tables())
+        self.other = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.uint64)
+        self.reset()
+
+    def reset(self) -> None:
+        self.key = np.zeros((2, 1 << self.BITS), np.uint64)
+        self.at = np.zeros(1 << self.BITS, np.int64)
+        self.size = np.zeros(1 << self.BITS, np.int32)
+        self.pool, self.used, self.filled = np.zeros(1 << 16, np.uint32), 0, 0
+
+    def _slots(self, k1: np.ndarray, k2: np.ndarray) -> np.ndarray:
+        """The slot of each key, or the free one where it belongs."""
+        last = (1 << self.BITS) - 1
+        slot = (k1 >> np.uint64(64 - self.BITS)).astype(np.int64)
+        wrong = np.flatnonzero((self.size[slot] > 0) & ((self.key[0][slot] != k1) | (self.key[1][slot] != k2)))
+        while len(wrong):
+            slot[wrong] = slot[wrong] + 1 & last
+            s = slot[wrong]
+            wrong = wrong[(self.size[s] > 0) & ((self.key[0][s] != k1[wrong]) | (self.key[1][s] != k2[wrong]))]
+        return slot
+
+    def _learn(self, k1: np.ndarray, k2: np.ndarray, pieces: list[str]) -> None:
+        for a in range(0, len(pieces), 2000):
+            part = pieces[a : a + 2000]
+            # the library's own model on the byte characters of a piece
+            found = [[t.id for t in self.model.tokenize(p.encode("utf-8").decode("latin-1").translate(self.shown))] for p in part]
+            ids = np.array([i for x in found for i in x], np.uint32)
+            ends = np.concatenate([[0], np.cumsum([len(x) for x in found])])
+            if self.used + len(ids) > len(self.pool):
+                self.pool = np.concatenate([self.pool, np.zeros(max(len(self.pool), len(ids)), np.uint32)])
+            self.pool[self.used : self.used + len(ids)] = ids
+            own1, own2 = k1[a : a + len(part)], k2[a : a + len(part)]
+            left = np.arange(len(part))
+            while len(left):  # of keys that want the same slot one gets it, and the others look again
+                slot, first = np.unique(self._slots(own1[left], own2[left]), return_index=True)
+                i = left[first]
+                self.key[0, slot], self.key[1, slot] = own1[i], own2[i]
+                self.at[slot], self.size[slot] = self.used + ends[i], ends[i + 1] - ends[i]
+                left = np.delete(left, first)
+            self.used += len(ids)
+            self.filled += len(part)
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text."""
+        from .fsttok import BLANK, END, SPACE
+        from .shingles import _BYTE_PLAIN, _powers, mix
+
+        parts, owner, special = [], [], []
+        for i, text in enumerate(texts):
+            for k, x in enumerate(self.cut.split(text) if self.cut else [text]):
+                parts.append("" if k % 2 else normal(x))
+                owner.append(i)
+                special.append(self.special[x] if k % 2 else -1)
+        joined = "\n".join(parts) + "\n"
+        classes = self.cutter.classes[np.frombuffer(joined.encode("utf-32-le"), np.uint32)]
+        ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1) - 1
+        classes[ends] = END
+        starts = np.flatnonzero(self.cutter.starts(classes))
+        data = np.frombuffer(joined.encode("utf-8"), np.uint8)
+        place = starts if len(data) == len(classes) else np.flatnonzero((data & 0xC0) != 0x80)[starts]
+        stop = np.append(place[1:], len(data))
+        first = classes[starts]
+        keep = np.flatnonzero((first != END) & (first != SPACE) & (first != BLANK))
+        part = np.searchsorted(ends, starts[keep], side="left")
+        a, b = place[keep], stop[keep]
+        up, down = _powers(len(data) + 1)
+        keys = []
+        total = np.zeros(len(data) + 1, np.uint64)
+        for byte in (_BYTE_PLAIN, self.other):
+            np.cumsum(byte[data] * up[:-1], out=total[1:])
+            keys.append(mix((total[b] - total[a]) * down[a] + (b - a).astype(np.uint64)))
+        k1, k2 = keys
+        if self.filled > self.KEPT:
+            self.reset()
+        slot = self._slots(k1, k2)
+        new = np.flatnonzero(self.size[slot] == 0)
+        if len(new):
+            new = new[np.unique(k1[new], return_index=True)[1]]
+            raw = data.tobytes()
+            self._learn(k1[new], k2[new], [raw[a[i] : b[i]].decode("utf-8") for i in new.tolist()])
+            slot = self._slots(k1, k2)
+        size = self.size[slot].astype(np.int64)
+        at = np.repeat(self.at[slot] - np.cumsum(size) + size, size) + np.arange(size.sum())
+        ids = self.pool[at]
+        bounds = np.concatenate([[0], np.cumsum(np.bincount(part, size, len(parts)).astype(np.int64))])
+        out: list[list[np.ndarray]] = [[] for _ in texts]
+        for k, i in enumerate(owner):
+            out[i].append(ids[bounds[k] : bounds[k + 1]] if special[k] < 0 else np.array([special[k]], np.uint32))
+        return [x[0] if len(x) == 1 else np.concatenate(x) for x in out]
+
+
+_OPEN: dict[str, LibraryIds] = {}
 
 
 def combinations(hist: np.ndarray, window: int = WINDOW) -> np.ndarray:
@@ -116,8 +231,8 @@ def nonnegative(rows: np.ndarray, hist: np.ndarray, rounds: int = ROUNDS) -> np.
     return x
 
 
-def make_plan(hist: np.ndarray, window: int = WINDOW) -> list[tuple[dict[int, int], int]]:
-    """(lengths with how often each occurs, repeats) whose repeats use the whole histogram exactly."""
+def make_plan(hist: np.ndarray, window: int = WINDOW) -> tuple[list[tuple[dict[int, int], int]], list[tuple[int, int]]]:
+    """Windows, as lengths with how often each occurs and repeats, and what is laid end to end, as lengths with counts; together the whole histogram."""
     left = np.asarray(hist, np.int64).copy()
     left[0] = 0
     plan: list[tuple[dict[int, int], int]] = []
@@ -135,7 +250,7 @@ def make_plan(hist: np.ndarray, window: int = WINDOW) -> list[tuple[dict[int, in
             if n:
                 left[lengths] -= n * times
                 plan.append((dict(zip(lengths.tolist(), times.tolist(), strict=True)), n))
-    sizes = np.flatnonzero(left).tolist()
+    sizes, stream = np.flatnonzero(left).tolist(), {}
     while sizes:
         room, parts = window, {}
         while room > 0:
@@ -149,18 +264,26 @@ def make_plan(hist: np.ndarray, window: int = WINDOW) -> list[tuple[dict[int, in
             parts[size] = parts.get(size, 0) + n
             room -= n * size
         n = min(int(left[size]) // times for size, times in parts.items())
+        top = max(parts)
+        step = -(-top // GRID) * GRID
+        if room > LEAST_ROOM and room * step > (step - top) * window and int(left @ np.arange(len(left))) > window:
+            # the largest of the lengths goes to the stream, where it leaves less empty, and the others try again
+            parts, n = {top: 1}, int(left[top])
+            stream[top] = n
+        else:
+            plan.append((parts, n))
         for size, times in parts.items():
             left[size] -= n * times
             if not left[size]:
                 sizes.remove(size)
-        plan.append((parts, n))
-    return plan
+    return plan, sorted(stream.items(), reverse=True)
 
 
 class Places:
-    """From a piece's length and its ordinal among that length's pieces to its sequence and offset there."""
+    """From a piece's length and its ordinal among that length's pieces to its sequences and offsets there."""
 
-    def __init__(self, plan: list[tuple[dict[int, int], int]]):
+    def __init__(self, plan: list[tuple[dict[int, int], int]], stream: list[tuple[int, int]] = (), window: int = WINDOW):
+        self.window = window
         used: dict[int, int] = {}
         rows: list[tuple[int, int, int, int, int]] = []
         first = 0
@@ -173,26 +296,89 @@ class Places:
                 at += size * times
             first += n
         rows.sort()
-        table_ = np.array(rows, np.int64).reshape(-1, 5)
-        self.size, self.start, self.first, self.times, self.at = table_.T
+        self.size, self.start, self.first, self.times, self.at = np.array(rows, np.int64).reshape(-1, 5).T
         self.keys = (self.size << 48) + self.start
-        self.sequences = first
-
-    def find(self, length: np.ndarray, ordinal: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        k = np.searchsorted(self.keys, (length << 48) + ordinal, side="right") - 1
-        since = ordinal - self.start[k]
-        return self.first[k] + since // self.times[k], self.at[k] + since % self.times[k] * length
+        # the stream: pieces begin on the grid, and the gaps behind them close again inside each window
+        self.base_seq = first
+        self.stream_from = np.full(window + 1, np.iinfo(np.int64).max, np.int64)
+        self.stream_base = np.zeros(window + 1, np.int64)
+        bases, steps, gaps, before, pos, gap = [0], [1], [0], [0], 0, 0
+        for size, n in stream:
+            step = -(-size // GRID) * GRID
+            self.stream_from[size], self.stream_base[size] = used.get(size, 0), pos
+            bases.append(pos)
+            steps.append(step)
+            gaps.append(step - size)
+            before.append(gap)
+            pos, gap = pos + n * step, gap + n * (step - size)
+        self.bases, self.steps, self.gaps, self.before = (np.array(x, np.int64) for x in (bases, steps, gaps, before))
+        self.sequences = first + -(-pos // window)
+
+    def _gap(self, pos: np.ndarray) -> np.ndarray:
+        """All gaps before positions of the stream that lie in pieces."""
+        k = np.searchsorted(self.bases, pos, side="right") - 1
+        return self.before[k] + (pos - self.bases[k]) // self.steps[k] * self.gaps[k]
+
+    def find(self, length: np.ndarray, ordinal: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Row, start in the piece, length, sequence and offset of every part; a piece has one part, or two where it is cut."""
+        streamed = ordinal >= self.stream_from[length]
+        i = np.flatnonzero(~streamed)
+        n, o = length[i], ordinal[i]
+        k = np.searchsorted(self.keys, (n << 48) + o, side="right") - 1
+        since = o - self.start[k]
+        out = [(i, np.zeros_like(n), n, self.first[k] + since // self.times[k], self.at[k] + since % self.times[k] * n)]
+        i = np.flatnonzero(streamed)
+        if len(i):
+            n, w = length[i], self.window
+            pos = self.stream_base[n] + (ordinal[i] - self.stream_from[n]) * (-(-n // GRID) * GRID)
+            seq = pos // w
+            head = np.minimum(n, (seq + 1) * w - pos)
+            begin = seq * w
+            out.append((i, np.zeros_like(n), head, self.base_seq + seq, pos - begin - (self._gap(pos) - self._gap(begin))))
+            cut = np.flatnonzero(head < n)
+            out.append((i[cut], head[cut], n[cut] - head[cut], self.base_seq + seq[cut] + 1, np.zeros(len(cut), np.int64)))
+        return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
+
+def _zero_bytes() -> np.ndarray:
+    """For each k the columns of the matrix that takes a checksum over 2**k zero bytes."""
+    column = np.array([0xEDB88320] + [1 << i for i in range(31)], np.uint64)  # one zero bit
+    out = []
+    for k in range(3 + 14):
+        if k >= 3:
+            out.append(column)
+        column = _times(column, column)
+    return np.array(out)
+
+
+def _times(columns: np.ndarray, values: np.ndarray) -> np.ndarray:
+    out = np.zeros_like(values)
+    for bit in range(32):
+        out ^= np.where(values >> np.uint64(bit) & np.uint64(1), columns[bit], np.uint64(0))
+    return out
+
+
+_ZEROS = _zero_bytes()
+
+
+def tail_crc(head: np.ndarray, whole: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Checksum of the last ``size`` bytes, from that of what is before them and that of all."""
+    moved = head.astype(np.uint64)
+    for k in range(len(_ZEROS)):
+        there = (size >> k & 1).astype(bool)
+        moved[there] = _times(_ZEROS[k], moved[there])
+    return (moved ^ whole.astype(np.uint64)).astype(np.int64)
 
 
 def cut(docs: DataFrame, path: str | None = None, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Tokenise and cut: full windows from the start, then the remainder.
 
-    ``part`` and ``nth`` number the pieces of each length in each task; they hold once the result is stored.
+    ``grid`` has a remainder's checksums up to each grid point. ``part`` and ``nth`` number the pieces of each length in each task; they hold once the result is stored.
     """
     prepare(docs.sparkSession)
-    path, patterns = path or vocab.default_path("word_bpe_49k.json"), vocab.word_patterns()
+    path, ranges = path or vocab.default_path("word_bpe_49k.json"), vocab.library_ranges()
     docs = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
-    types = {"doc_id": pa.int64(), "start": pa.int64(), "length": pa.int64(), "ids_crc32": pa.int64(), "doc_tokens": pa.int64(), "part": pa.int32(), "nth": pa.int64()}
+    types = {"doc_id": pa.int64(), "start": pa.int64(), "length": pa.int64(), "ids_crc32": pa.int64(), "doc_tokens": pa.int64(), "part": pa.int32(), "nth": pa.int64(), "grid": pa.binary()}
     schema = pa.schema(list(types.items()))
 
     def run(batches):
@@ -201,23 +387,26 @@ def cut(docs: DataFrame, path: str | None = None, window: int = WINDOW, id_col:
         part = TaskContext.get().partitionId()
         closing = np.array([CLOSING_ID], "<u4").tobytes()
         if path not in _OPEN:
-            _OPEN[path] = _LibraryBpe(path, patterns)
-        bpe = _OPEN[path]
+            _OPEN[path] = LibraryIds(path, ranges)
         counts = [0] * (window + 1)
         for batch in batches:
-            for a, b in chunks(batch, "text"):
+            for a, b in chunks(batch, "text", CHUNK):
                 ids = batch.column("doc_id").slice(a, b - a).to_pylist()
                 rows = []
-                for doc, (raw, _) in zip(ids, bpe.encode_bytes(texts_of(batch, "text", a, b)), strict=True):
-                    raw += closing
+                for doc, own in zip(ids, _OPEN[path].encode(texts_of(batch, "text", a, b)), strict=True):
+                    raw = own.astype("<u4").tobytes() + closing
                     n = len(raw) // 4
                     for start in range(0, n, window):
-                        length = min(window, n - start)
-                        rows.append((doc, start, length, zlib.crc32(raw[4 * start : 4 * (start + length)]), n, part, counts[length]))
+                        length, crc, grid = min(window, n - start), 0, []
+                        step = 4 * (window if length == window else GRID)
+                        for at in range(4 * start, 4 * (start + length), step):
+                            crc = zlib.crc32(raw[at : min(at + step, 4 * (start + length))], crc)
+                            grid.append(crc)
+                        rows.append((doc, start, length, crc, n, part, counts[length], None if length == window else np.array(grid, "<u4").tobytes()))
                         counts[length] += 1
                 yield out_batch(schema, map(list, zip(*rows, strict=True)))
 
-    return docs.mapInArrow(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, part int, nth long")
+    return docs.mapInArrow(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, part int, nth long, grid binary")
 
 
 def pack(docs: DataFrame, path: str | None = None, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -233,16 +422,24 @@ def pack(docs: DataFrame, path: str | None = None, window: int = WINDOW, id_col:
     hist = np.zeros(window + 1, np.int64)
     for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect():  # window rows at most
         hist[r["length"]] = r["n"]
-    places = Places(make_plan(hist, window))
+    places = Places(*make_plan(hist, window), window)
     names = ("doc_id", "start", "length", "ids_crc32", "doc_tokens")
-    placed = pieces.join(base, ["length", "part"]).select(*names, (F.col("base") + F.col("nth")).alias("ordinal"))
+    placed = pieces.join(base, ["length", "part"]).select(*names, "grid", (F.col("base") + F.col("nth")).alias("ordinal"))
     schema = pa.schema([(c, pa.int64()) for c in (*names, "sequence_id", "offset")])
 
     def run(batches):
         for batch in batches:
             if batch.num_rows:
-                seq, at = places.find(batch.column("length").to_numpy(), batch.column("ordinal").to_numpy())
-                yield out_batch(schema, [*(batch.column(c) for c in names), pa.array(seq), pa.array(at)])
+                row, at, size, seq, offset = places.find(batch.column("length").to_numpy(), batch.column("ordinal").to_numpy())
+                doc, start, length, crc, tokens = (batch.column(c).take(pa.array(row)).to_numpy(zero_copy_only=False) if c != "doc_id" else batch.column(c).take(pa.array(row)) for c in names)
+                crc = crc.copy()
+                cut_ = np.flatnonzero(size < length)
+                if len(cut_):
+                    grid = batch.column("grid").take(pa.array(row[cut_])).to_pylist()
+                    split = np.where(at[cut_] > 0, at[cut_], size[cut_])  # where the piece is cut
+                    head = np.array([int.from_bytes(g[k : k + 4], "little") for g, k in zip(grid, (4 * (split // GRID - 1)).tolist(), strict=True)], np.int64)
+                    crc[cut_] = np.where(at[cut_] > 0, tail_crc(head, crc[cut_], 4 * size[cut_]), head)
+                yield out_batch(schema, [doc, *(pa.array(x) for x in (start + at, size, crc, tokens, seq, offset))])
 
     return placed.mapInArrow(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 

@@ -9,6 +9,7 @@ BLANKS = b" \t\n\x0b\x0c\r"
 _U = np.uint64
 _RANDOM = np.random.default_rng(20240229)
 _BYTE = _RANDOM.integers(1, 1 << 63, 256, dtype=np.uint64)
+_BYTE_PLAIN = _BYTE.copy()
 _BYTE[65:91] = _BYTE[97:123]  # A-Z are lower-cased, other letters are not
 _BLANK = np.isin(np.arange(256), np.frombuffer(BLANKS, np.uint8))
 _P = _U(0x9E3779B97F4A7C15)
