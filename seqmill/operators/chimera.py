@@ -7,44 +7,56 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _aligned(a: np.ndarray, b: np.ndarray, max_shift: int) -> tuple[int, int]:
-    """Letters of a that match b from the left and from the right, b moved by the shift that matches most, ends free."""
-    best = (-1, 0, 0)
-    for shift in range(-max_shift, max_shift + 1):
-        lo, hi = max(0, shift), min(len(a), len(b) + shift)
-        if hi > lo:
-            best = max(best, (int((a[lo:hi] == b[lo - shift : hi - shift]).sum()), -abs(shift), shift))
-    if best[0] <= 0:
-        return 0, 0
-    shift = best[2]
-    lo, hi = max(0, shift), min(len(a), len(b) + shift)
-    off = np.flatnonzero(a[lo:hi] != b[lo - shift : hi - shift])
-    return (len(a), len(a)) if not len(off) else (lo + int(off[0]), len(a) - lo - int(off[-1]) - 1)
+def _matrix(seqs: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Letters of sequences as rows, zeros behind them, and their lengths."""
+    raw = [s.encode() for s in seqs]
+    size = np.array([len(r) for r in raw], np.int64)
+    out = np.zeros((len(raw), int(size.max(initial=0))), np.uint8)
+    for i, r in enumerate(raw):
+        out[i, : len(r)] = np.frombuffer(r, np.uint8)
+    return out, size
 
 
-def is_bimera(child: str, parents: list[str], one_off: bool = False, min_one_off_distance: int = 4, max_shift: int = 16) -> bool:
-    """Whether the child is the left of one parent and the right of another, without mismatch, or with one where ``one_off``.
+def overlaps(child: str, parents: np.ndarray, size: np.ndarray, max_shift: int) -> tuple[np.ndarray, np.ndarray]:
+    """Letters of the child that each parent matches from the left and from the right.
 
-    Overhanging ends up to ``max_shift`` letters count as matches, and a parent
-    that alone makes all of the child doesn't make it a chimera.
+    A parent is moved by the shift that matches most letters, the nearer to none
+    of equal ones, and its free ends count as matches.
     """
     a = np.frombuffer(child.encode(), np.uint8)
-    n, lefts, rights = len(a), [0], [0]
-    for p in parents:
-        b = np.frombuffer(p.encode(), np.uint8)
-        if child == p:
-            continue
-        left, right = _aligned(a, b, max_shift)
-        if left >= n or right >= n:
-            continue
-        lefts.append(left)
-        rights.append(right)
-    if max(lefts) + max(rights) >= n:
-        return True
-    if not one_off:
+    n, k = len(a), len(parents)
+    most, left, right = np.zeros(k, np.int64), np.zeros(k, np.int64), np.zeros(k, np.int64)
+    wide = np.zeros((k, max(parents.shape[1], n) + 2 * max_shift), np.uint8)
+    wide[:, max_shift : max_shift + parents.shape[1]] = parents
+    at = np.arange(n)
+    for shift in sorted(range(-max_shift, max_shift + 1), key=lambda s: (abs(s), -s)):
+        inside = (at[None] >= shift) & (at[None] < (size + shift)[:, None])
+        same = (wide[:, max_shift - shift : max_shift - shift + n] == a) & inside
+        count = same.sum(1)
+        off = inside & ~same
+        some = off.any(1)
+        first, last = off.argmax(1), n - 1 - off[:, ::-1].argmax(1)
+        better = count > most
+        most = np.where(better, count, most)
+        left = np.where(better, np.where(some, first, n), left)
+        right = np.where(better, np.where(some, n - 1 - last, n), right)
+    return left, right
+
+
+def _judge(n: int, left: np.ndarray, right: np.ndarray, one_off: bool, min_one_off_distance: int) -> bool:
+    part = (left < n) & (right < n)  # a parent that makes all of the child doesn't make it a chimera
+    if not part.any():
         return False
+    a, b = int(left[part].max()), int(right[part].max())
     # one mismatch may lie between the two ends, if both parents differ enough from the child
-    return max(lefts) + max(rights) + 1 >= n and n - max(lefts) >= min_one_off_distance and n - max(rights) >= min_one_off_distance
+    return a + b >= n or one_off and a + b + 1 >= n and n - a >= min_one_off_distance and n - b >= min_one_off_distance
+
+
+def is_bimera(child: str, parents: list[str], one_off: bool = False, min_one_off_distance: int = 4, max_shift: int = 16) -> bool:
+    """Whether the child is the left of one parent and the right of another, without mismatch, or with one where ``one_off``."""
+    if not child or not parents:
+        return False
+    return _judge(len(child), *overlaps(child, *_matrix(parents), max_shift), one_off, min_one_off_distance)
 
 
 def flag_samples(table: DataFrame, seqs: DataFrame, fold: float = 1.5, least: int = 2, one_off: bool = False, min_one_off_distance: int = 4, max_shift: int = 16, tile: int = 512) -> DataFrame:
@@ -64,11 +76,20 @@ def flag_samples(table: DataFrame, seqs: DataFrame, fold: float = 1.5, least: in
         import pandas as pd
 
         kids, old = pdf[pdf.side == 0], pdf[pdf.side == 1].sort_values("nread", ascending=False)
-        counts, texts = old.nread.to_numpy(), old.seq.tolist()
+        counts = old.nread.to_numpy()
+        texts, which = np.unique(old.seq.to_numpy(dtype=object).astype(str), return_inverse=True)
+        letters, size = _matrix(texts.tolist())
+        known: dict[str, tuple[np.ndarray, np.ndarray]] = {}
         flags = []
         for count, text in zip(kids.nread, kids.seq, strict=True):
             k = int(np.searchsorted(-counts, -fold * count, side="left"))
-            flags.append(is_bimera(text, texts[:k], one_off, min_one_off_distance, max_shift))
+            if not k or not text:
+                flags.append(False)
+                continue
+            if text not in known:
+                known[text] = overlaps(text, letters, size, max_shift)
+            left, right = known[text]
+            flags.append(_judge(len(text), left[which[:k]], right[which[:k]], one_off, min_one_off_distance))
         return pd.DataFrame({"seq_idx": kids.seq_idx, "flag": flags})
 
     found = own.unionByName(parents).groupBy("sample", "tile").applyInPandas(kernel, f"seq_idx {dict(rows.dtypes)['seq_idx']}, flag boolean")
