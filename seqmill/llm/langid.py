@@ -1,12 +1,15 @@
 """Operator 1: language identification with string kernels.
 
-The kernel of two texts is the blended-spectrum presence kernel: the number of
-n-grams of one to three symbols that both have, divided by the root of the
+The kernel of two passages is the blended-spectrum presence kernel: the number
+of n-grams of one to three symbols that both have, divided by the root of the
 product of their own numbers. A bounded, per-language sample of labelled rows
-is read; some of its texts are Nyström landmarks, and one ridge regression per
-language, each against the rest, is fitted on the kernel values of the sample
-against the landmarks. A text is then scored by two matrix products over a
-batch: presences by landmark presences, and kernel values by coefficients.
+is read and cut into passages of some hundred symbols; some passages are
+Nyström landmarks, and one ridge regression per language, each against the
+rest, is fitted on the kernel values of the passages against the landmarks. A
+text is scored passage by passage, by two matrix products over a batch:
+presences by landmark presences, and kernel values by coefficients; its values
+are the passages' mean by length. So a text in two languages counts as the one
+of which it has more, and not as the one with more different n-grams.
 
 Symbols are the most frequent lower-case letters of the sample, one symbol for
 all other letters, and one for any run of characters that are no letters.
@@ -26,12 +29,14 @@ from pyspark.sql import functions as F
 from .common import chunks, prepare, table, texts_of
 
 UNKNOWN = "und"
-SYMBOLS = 64
+SYMBOLS = 48
 GRAMS = SYMBOLS + SYMBOLS**2 + SYMBOLS**3
-#: Bounds of what is learned from: texts a language, and landmarks a language.
-SAMPLE, LANDMARKS = 400, 32
-#: Rows whose presences are held at once.
-ROWS = 64
+#: Symbols of a passage.
+PASSAGE = 512
+#: Bounds of what is learned from: texts a language, landmarks a language, and passages of one text.
+SAMPLE, LANDMARKS, PER_TEXT = 400, 32, 16
+#: Passages whose presences are held at once.
+ROWS = 256
 RIDGE = 1e-3
 
 
@@ -59,29 +64,36 @@ class Spectrum:
         known = place[lower]
         self.symbol = np.where(known > 0, known, rank).astype(np.uint8)
 
-    def presences(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """A row of n-gram presences for each text, and whether it has a letter."""
+    def passages(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Symbols of all texts, the passage of each, and the text and the length of each passage; a text without symbols has none."""
         joined = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
         sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-        owner = np.repeat(np.arange(len(texts), dtype=np.int32), sizes)
+        owner = np.repeat(np.arange(len(texts)), sizes)
         s = self.symbol[joined]
-        if len(s):
-            keep = np.ones(len(s), bool)  # one symbol for a run of characters that are no letters
-            keep[1:] = (s[1:] > 0) | (s[:-1] > 0) | (owner[1:] != owner[:-1])
-            s, owner = s[keep].astype(np.int32), owner[keep]
-        seen = np.zeros((len(texts), GRAMS), bool)
-        flat = seen.ravel()
-        base = owner.astype(np.int64) * GRAMS
+        keep = np.ones(len(s), bool)  # one symbol for a run of characters that are no letters
+        keep[1:] = (s[1:] > 0) | (s[:-1] > 0) | (owner[1:] != owner[:-1])
+        s, owner = s[keep].astype(np.int32), owner[keep]
+        n = np.bincount(owner, minlength=len(texts))
+        many = np.where(n > 0, np.maximum(1, n // PASSAGE), 0)
+        first = np.cumsum(many) - many
+        at = np.arange(len(s)) - (np.cumsum(n) - n)[owner]
+        passage = first[owner] + at * many[owner] // np.maximum(n, 1)[owner]
+        return s, passage, np.repeat(np.arange(len(texts)), many), np.bincount(passage, minlength=int(many.sum()))
+
+    def presences(self, s: np.ndarray, passage: np.ndarray, first: int, rows: int) -> np.ndarray:
+        """A row of n-gram presences for each of ``rows`` passages from ``first`` on."""
+        a, b = np.searchsorted(passage, [first, first + rows])
+        s, owner = s[a:b], passage[a:b] - first
+        seen = np.zeros((rows, GRAMS), bool)
+        flat, base = seen.ravel(), owner * GRAMS
         flat[base + s] = True
         if len(s) > 1:
             two = s[:-1] * SYMBOLS + s[1:]
-            inside = owner[1:] == owner[:-1]
-            flat[(base[:-1] + (SYMBOLS + two))[inside]] = True
+            flat[(base[:-1] + (SYMBOLS + two))[owner[1:] == owner[:-1]]] = True
             if len(s) > 2:
                 three = two[:-1] * SYMBOLS + s[2:]
-                inside = owner[2:] == owner[:-2]
-                flat[(base[:-2] + (SYMBOLS + SYMBOLS**2 + three))[inside]] = True
-        return seen, seen[:, 1:SYMBOLS].any(1)
+                flat[(base[:-2] + (SYMBOLS + SYMBOLS**2 + three))[owner[2:] == owner[:-2]]] = True
+        return seen
 
 
 class LanguageModel:
@@ -95,35 +107,36 @@ class LanguageModel:
     def __getstate__(self):
         return self.__dict__ | {"_spectrum": None, "_marks": None}
 
-    def kernel(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def kernel(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Kernel values of each passage against the landmarks, its text, its length, and whether a text has a letter."""
         if self._spectrum is None:
             self._spectrum = Spectrum(self.alphabet)
             self._marks = np.unpackbits(self.packed, axis=0, count=len(self.grams)).astype(np.float32)
-        seen, letters = self._spectrum.presences(texts)
-        own = np.array([np.count_nonzero(row) for row in seen], np.float32)
-        common = seen[:, self.grams].astype(np.float32) @ self._marks
-        return common / np.sqrt(np.maximum(own, 1))[:, None] / self.norms, letters
+        s, passage, text, length = self._spectrum.passages(texts)
+        out = np.empty((len(text), len(self.norms)), np.float32)
+        for a in range(0, len(text), ROWS):
+            seen = self._spectrum.presences(s, passage, a, min(ROWS, len(text) - a))
+            own = np.array([np.count_nonzero(row) for row in seen], np.float32)
+            common = seen[:, self.grams].astype(np.float32) @ self._marks
+            out[a : a + ROWS] = common / np.sqrt(np.maximum(own, 1))[:, None] / self.norms
+        letters = np.bincount(text[passage], s > 0, len(texts)) > 0
+        return out, text, length, letters
 
     def predict(self, texts: list[str]) -> tuple[list[str], list[float]]:
         """Language and score from 0 to 1; a value of the regression of -1 is 0, one of 1 is 1."""
-        langs, scores = [], []
-        for a in range(0, len(texts), ROWS):
-            part = texts[a : a + ROWS]
-            if not self.langs:
-                langs += [UNKNOWN] * len(part)
-                scores += [0.0] * len(part)
-                continue
-            k, letters = self.kernel(part)
-            f = k @ self.weights
-            best = f.argmax(1)
-            value = np.clip((f[np.arange(len(part)), best] + 1) / 2, 0, 1)
-            langs += [self.langs[b] if x else UNKNOWN for b, x in zip(best.tolist(), letters.tolist(), strict=True)]
-            scores += [v if x else 0.0 for v, x in zip(value.tolist(), letters.tolist(), strict=True)]
-        return langs, scores
+        if not self.langs:
+            return [UNKNOWN] * len(texts), [0.0] * len(texts)
+        k, text, length, letters = self.kernel(texts)
+        f = k @ self.weights
+        total = np.maximum(np.bincount(text, length, len(texts)), 1)
+        mean = np.stack([np.bincount(text, length * f[:, j], len(texts)) / total for j in range(len(self.langs))], 1)
+        best = mean.argmax(1)
+        value = np.where(letters, np.clip((mean[np.arange(len(texts)), best] + 1) / 2, 0, 1), 0.0)
+        return [self.langs[b] if x else UNKNOWN for b, x in zip(best.tolist(), letters.tolist(), strict=True)], value.tolist()
 
 
 def fit(texts: list[str], langs: list[str], landmarks: int = LANDMARKS) -> LanguageModel:
-    """Fit on labelled texts held by the driver; the first texts of each language are landmarks."""
+    """Fit on labelled texts held by the driver."""
     known = sorted(set(langs))
     if not known:
         return LanguageModel([], [], np.zeros(0, np.int64), np.zeros((0, 0), np.uint8), np.ones(0, np.float32), np.zeros((0, 0)))
@@ -134,17 +147,22 @@ def fit(texts: list[str], langs: list[str], landmarks: int = LANDMARKS) -> Langu
         freq += np.bincount(c[c > 0], minlength=len(freq))
     alphabet = [int(c) for c in np.argsort(-freq, kind="stable")[: SYMBOLS - 2] if freq[c]]
     spectrum = Spectrum(alphabet)
-    chosen = [i for g in known for i in [i for i, x in enumerate(langs) if x == g][:landmarks]]
-    marks = np.concatenate([spectrum.presences([texts[i]])[0] for i in chosen])
+    s, passage, text, _ = spectrum.passages(texts)
+    # the first passages of each text are learned from, and the middle one of a language's first texts is a landmark
+    rank = np.arange(len(text)) - np.searchsorted(text, text)
+    count = np.bincount(text, minlength=len(texts))
+    label = np.array([known.index(langs[i]) for i in text])
+    chosen = np.concatenate([np.flatnonzero((label == g) & (rank == count[text] // 2))[:landmarks] for g in range(len(known))])
+    marks = np.concatenate([spectrum.presences(s, passage, int(i), 1) for i in chosen])
     grams = np.flatnonzero(marks.any(0))
     norms = np.sqrt(np.maximum(marks.sum(1), 1)).astype(np.float32)
     model = LanguageModel(known, alphabet, grams, np.packbits(marks[:, grams].T, axis=0), norms, np.zeros((len(chosen), len(known))))
-    k_nm = np.concatenate([model.kernel(texts[a : a + ROWS])[0] for a in range(0, len(texts), ROWS)]).astype(float)
-    k_mm = k_nm[chosen]
-    y = np.where(np.array(langs)[:, None] == np.array(known)[None], 1.0, -1.0)
+    k_all = model.kernel(texts)[0].astype(float)
+    use = rank < PER_TEXT
+    k_nm, k_mm, label = k_all[use], k_all[chosen], label[use]
+    y = np.where(label[:, None] == np.arange(len(known))[None], 1.0, -1.0)
     # each language weighs as much as the others together
-    share = np.array([langs.count(x) for x in known])
-    w = np.array([1 / share[known.index(x)] for x in langs])
+    w = 1 / np.bincount(label, minlength=len(known))[label]
     normal = k_nm.T @ (w[:, None] * k_nm) + RIDGE * k_mm + 1e-9 * np.eye(len(chosen))
     model.weights = np.linalg.lstsq(normal, k_nm.T @ (w[:, None] * y), rcond=None)[0]
     return model
