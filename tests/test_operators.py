@@ -245,3 +245,21 @@ def test_classifier(spark):
     assert all(0 < r["prob"] <= 1 for r in got)
     best = {r["seq_id"]: r["taxon"] for r in sorted(got, key=lambda r: r["prob"]) if r["rank"] == "class"}
     assert best == {f"q{i}": f"C{i}" for i in range(8)}
+
+
+def test_denoising(spark):
+    from seqmill.operators import denoise
+
+    rng = random.Random(5)
+    base = "".join(rng.choice("ACGT") for _ in range(60))
+    other = base[:30] + ("A" if base[30] != "A" else "C") + base[31:]
+    reads = []
+    for true, n in ((base, 600), (other, 150)):
+        for _ in range(n):
+            seq = "".join(c if rng.random() > 0.003 else rng.choice("ACGT".replace(c, "")) for c in true)
+            reads.append(("s", seq, ":" * 60))
+    u = denoise.uniques(spark.createDataFrame(reads, "sample string, seq string, qual string"))
+    rates = denoise.learn_rates(u, rounds=2)
+    assert rates.shape == (16, 64) and np.allclose(rates.reshape(4, 4, 64).sum(1), 1)
+    got = denoise.denoise(u, rates).groupBy("centre").agg({"abundance": "sum"}).collect()
+    assert {r[0]: r[1] for r in got}.keys() == {base, other} and sum(r[1] for r in got) == 750
