@@ -2,12 +2,24 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
+ROOT = str(Path(__file__).resolve().parents[2])
+
+
+def importable(spark: SparkSession) -> None:
+    """Let Python workers that see this folder import the package; a cluster gets it by ``--py-files``."""
+    env = spark.sparkContext.environment
+    if ROOT not in env.get("PYTHONPATH", os.environ.get("PYTHONPATH", "")).split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [ROOT, env.get("PYTHONPATH")]))
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` from the folder that ``spark.checkpoint.dir`` names; a local session without one gets a temporary folder."""
     spark = df.sparkSession
