@@ -357,3 +357,18 @@ def groups(docs: DataFrame, size: int = 5, threshold: int = 80, id_col: str = "d
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = groups(table(spark, sf_dir, "documents"), size=3, threshold=85)
     return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
+
+
+SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+    ELSE list_distinct([array_to_string(ws[i:i + 2], ' ') FOR i IN range(1, len(ws) - 1)]) END AS sh FROM w),
+n AS (SELECT doc_id, CAST(len(sh) AS BIGINT) AS n FROM s),
+e AS (SELECT doc_id, unnest(sh) AS x FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM e a JOIN e b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+r(id, c) AS (SELECT doc_id, doc_id FROM n UNION SELECT l.b, r.c FROM r JOIN l ON l.a = r.id)
+SELECT n.doc_id, n.n AS n_shingles, min(c) AS component_id, n.doc_id = min(c) AS kept FROM n JOIN r ON r.id = n.doc_id GROUP BY 1, 2
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, topk, urlrules
+from . import chat, neardup, topk, urlrules
 from .bpe import op8_bpe
 from .chat import op9_chat_format
 from .fsttok import op10_token_counts
@@ -33,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op2_url_filter": urlrules.SQL,
+    "op3_near_duplicates": neardup.SQL,
     "op7_topk": topk.SQL,
     "op9_chat_format": chat.SQL,
 }
