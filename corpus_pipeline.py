@@ -20,9 +20,9 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is one that ``lang`` names; those without a letter go."""
-    model = spark.sparkContext.broadcast(langid.fit(*langid.sample(docs)))
-    return filtered(docs, "text", lambda m, texts: [x != langid.UNKNOWN for x in m.predict(texts)[0]], model)
+    """Documents in the languages that ``lang`` names, as the classifier's margins tell; those without a letter go."""
+    model = spark.sparkContext.broadcast(langid.calibrated(*langid.sample(docs)))
+    return filtered(docs, "text", lambda m, texts: m.accepts(texts), model)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

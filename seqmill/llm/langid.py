@@ -17,10 +17,20 @@ all other letters, and one for any run of characters that are no letters.
 Defined results: a text that is null or has no letter is ``und`` with score 0,
 as is every text where no row is labelled; ties go to the language that sorts
 first; texts are read whole; repeated rows are scored alike.
+
+``calibrated`` adds a rejection for the pipeline: a text's margin is how far the
+best language of each passage is above the second, and it has to reach a share
+of the median margin that held-back labelled texts with about as many n-grams
+have. Texts that fail are cut into short passages and held against short
+passages' margins. So a text in no learned language, or noise, goes, and a
+short text is not held to the margin of a long one; a text stays that goes
+from one learned language to another inside a passage.
 """
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -31,13 +41,15 @@ from .common import chunks, prepare, table, texts_of
 UNKNOWN = "und"
 SYMBOLS = 48
 GRAMS = SYMBOLS + SYMBOLS**2 + SYMBOLS**3
-#: Symbols of a passage.
-PASSAGE = 512
+#: Symbols of a passage, and of a short one.
+PASSAGE, SHORT = 512, 128
 #: Bounds of what is learned from: texts a language, landmarks a language, and passages of one text.
 SAMPLE, LANDMARKS, PER_TEXT = 400, 32, 16
 #: Passages whose presences are held at once.
 ROWS = 256
 RIDGE = 1e-3
+#: Share of the held-back texts' median margin that a text needs, held-back texts that a median is taken of at least, and the number of n-grams below which no less is asked for.
+SHARE, LEAST_HELD, LEAST_GRAMS = 0.4, 8, 16
 
 
 def _letters() -> np.ndarray:
@@ -64,7 +76,7 @@ class Spectrum:
         known = place[lower]
         self.symbol = np.where(known > 0, known, rank).astype(np.uint8)
 
-    def passages(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def passages(self, texts: list[str], size: int = PASSAGE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Symbols of all texts, the passage of each, and the text and the length of each passage; a text without symbols has none."""
         joined = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
         sizes = np.fromiter(map(len, texts), np.int64, len(texts))
@@ -74,7 +86,7 @@ class Spectrum:
         keep[1:] = (s[1:] > 0) | (s[:-1] > 0) | (owner[1:] != owner[:-1])
         s, owner = s[keep].astype(np.int32), owner[keep]
         n = np.bincount(owner, minlength=len(texts))
-        many = np.where(n > 0, np.maximum(1, n // PASSAGE), 0)
+        many = np.where(n > 0, np.maximum(1, n // size), 0)
         first = np.cumsum(many) - many
         at = np.arange(len(s)) - (np.cumsum(n) - n)[owner]
         passage = first[owner] + at * many[owner] // np.maximum(n, 1)[owner]
@@ -109,18 +121,24 @@ class LanguageModel:
 
     def kernel(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Kernel values of each passage against the landmarks, its text, its length, and whether a text has a letter."""
+        k, _, text, length, letters = self._compare(texts)
+        return k, text, length, letters
+
+    def _compare(self, texts: list[str], size: int = PASSAGE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """As ``kernel``, with each passage's number of n-grams behind its kernel values."""
         if self._spectrum is None:
             self._spectrum = Spectrum(self.alphabet)
             self._marks = np.unpackbits(self.packed, axis=0, count=len(self.grams)).astype(np.float32)
-        s, passage, text, length = self._spectrum.passages(texts)
-        out = np.empty((len(text), len(self.norms)), np.float32)
+        s, passage, text, length = self._spectrum.passages(texts, size)
+        out, grams = np.empty((len(text), len(self.norms)), np.float32), np.empty(len(text), np.float32)
         for a in range(0, len(text), ROWS):
             seen = self._spectrum.presences(s, passage, a, min(ROWS, len(text) - a))
             own = np.array([np.count_nonzero(row) for row in seen], np.float32)
             common = seen[:, self.grams].astype(np.float32) @ self._marks
             out[a : a + ROWS] = common / np.sqrt(np.maximum(own, 1))[:, None] / self.norms
+            grams[a : a + ROWS] = own
         letters = np.bincount(text[passage], s > 0, len(texts)) > 0
-        return out, text, length, letters
+        return out, grams, text, length, letters
 
     def predict(self, texts: list[str]) -> tuple[list[str], list[float]]:
         """Language and score from 0 to 1; a value of the regression of -1 is 0, one of 1 is 1."""
@@ -134,6 +152,73 @@ class LanguageModel:
         value = np.where(letters, np.clip((mean[np.arange(len(texts)), best] + 1) / 2, 0, 1), 0.0)
         return [self.langs[b] if x else UNKNOWN for b, x in zip(best.tolist(), letters.tolist(), strict=True)], value.tolist()
 
+    def margins(self, texts: list[str], size: int = PASSAGE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Margin and number of n-grams of each text, means over its passages by length, and whether it has a letter.
+
+        The margin of a passage is the best language's value less the second's, or the value itself where one language is learned.
+        """
+        k, grams, text, length, letters = self._compare(texts, size)
+        f = np.sort(k @ self.weights, axis=1)
+        margin = f[:, -1] - (f[:, -2] if f.shape[1] > 1 else 0)
+        total = np.maximum(np.bincount(text, length, len(texts)), 1)
+        return np.bincount(text, length * margin, len(texts)) / total, np.bincount(text, length * grams, len(texts)) / total, letters
+
+
+class Known:
+    """A model, and the least margin of texts in its languages by the doublings of their number of n-grams, for passages and for short ones."""
+
+    def __init__(self, model: LanguageModel, least: dict[int, np.ndarray]):
+        self.model, self.least = model, least
+
+    def accepts(self, texts: list[str]) -> list[bool]:
+        out = np.zeros(len(texts), bool)
+        left = np.arange(len(texts) if self.model.langs else 0)
+        for size, least in self.least.items():
+            if len(left):
+                margin, grams, letters = self.model.margins([texts[i] for i in left], size)
+                out[left] = letters & (margin >= least[_doublings(grams)])
+                left = left[letters & ~out[left]]
+        return out.tolist()
+
+
+def _doublings(grams: np.ndarray) -> np.ndarray:
+    return np.log2(np.maximum(grams, 1)).astype(int)
+
+
+def _least(margin: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Least margins by doublings.
+
+    Where a number of n-grams has too few texts, the next longer ones' is taken, over the root of two, as kernel
+    values grow with the root of the number of n-grams; from ``LEAST_GRAMS`` down it stays, or a letter would do.
+    """
+    top = _doublings(np.array([GRAMS]))[0]
+    known = [d for d in range(top + 1) if np.count_nonzero(place == d) >= LEAST_HELD]
+    least = np.full(top + 1, -np.inf)
+    for d in range(top, -1, -1) if known else ():
+        if d in known or d > known[-1]:
+            least[d] = SHARE * np.median(margin[place == min(d, known[-1])])
+        else:
+            least[d] = least[d + 1] / (2**0.5 if 2**d >= LEAST_GRAMS else 1)
+    return least
+
+
+def calibrated(texts: list[str], langs: list[str]) -> Known:
+    """A model of all the texts, and least margins from what models of either half of them say of the other half's beginnings.
+
+    Equal texts are of one half. With too few texts for any median, only texts without a letter are rejected.
+    """
+    half = np.array([zlib.crc32(t.encode()) & 1 for t in texts], int)
+    found = {size: ([], []) for size in (PASSAGE, SHORT)}
+    for h in (0, 1):
+        rest, own = np.flatnonzero(half != h), np.flatnonzero(half == h)
+        if len(rest) and len(own):
+            model = fit([texts[i] for i in rest], [langs[i] for i in rest])
+            for size, (margin, place) in found.items():
+                m, grams, letters = model.margins([texts[i][: 4 * PASSAGE] for i in own], size)
+                margin.extend(m[letters])
+                place.extend(_doublings(grams[letters]))
+    return Known(fit(texts, langs), {size: _least(np.array(m), np.array(p, int)) for size, (m, p) in found.items()})
+
 
 def fit(texts: list[str], langs: list[str], landmarks: int = LANDMARKS) -> LanguageModel:
     """Fit on labelled texts held by the driver."""

@@ -466,3 +466,23 @@ def test_pipeline_odd(spark, odd):
     docs = odd.select("doc_id", "text", "lang", "key", "node")
     assert corpus_pipeline.near_dedup(spark, docs, "").filter("doc_id in (4, 5)").count() == 1
     assert corpus_pipeline.known_language(spark, docs, "").filter("text is null or text = ''").count() == 0
+
+
+def test_pipeline_rejects_unlearned_and_noise(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter("length(text) >= 400 and lang <> 'fr'").select("doc_id", "text", "lang")
+    other = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter("length(text) >= 400 and lang = 'fr'").select("doc_id", "text", F.lit(None).cast("string").alias("lang"))
+    rng = random.Random(9)
+    noise = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/   ") for _ in range(2000)) for _ in range(20)]
+    noise += ["Η γλώσσα είναι ένα σύστημα επικοινωνίας", "日本語は日本で話されている言語です。"]
+    letters = [f"{c} 1 2 3" for c in "abcdefghijklmnopqrstuvwxyz"]
+    strange = spark.createDataFrame([(-1 - i, t, None) for i, t in enumerate(noise + letters)], "doc_id long, text string, lang string")
+    kept = {r["doc_id"] for r in corpus_pipeline.known_language(spark, docs.union(other).union(strange), "").select("doc_id").collect()}
+    assert not any(-1 - i in kept for i in range(len(noise)))
+    assert sum(-1 - len(noise) - i in kept for i in range(len(letters))) < len(letters) / 2
+    assert np.mean([r["doc_id"] in kept for r in docs.collect()]) > 0.99
+    assert np.mean([r["doc_id"] in kept for r in other.collect()]) < 0.05
+
+
+def test_language_margins_without_held_back():
+    assert langid.calibrated([], []).accepts(["the"]) == [False]
+    assert langid.calibrated(["the and of"], ["en"]).accepts(["the", "12"]) == [True, False]
