@@ -26,14 +26,25 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates: five words, similarity 0.8."""
+    """The document with the smallest id of each group of near duplicates: five words, similarity 0.8.
+
+    Rows with a null id all stay. Of several rows with one id the one whose text, and then
+    whose other columns as JSON, sort first stays; a null text sorts as empty.
+    """
     found = stored(neardup.groups(docs), "groups")
     gone = found.filter("doc_id <> component_id").select("doc_id").distinct()
     few = gone.limit(neardup.FEW_IDS + 1).count() <= neardup.FEW_IDS
     left = docs.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti").select(docs.columns)
-    # repeated rows of one id are copies of each other
-    twice = found.filter("doc_id = component_id").groupBy("doc_id").count().filter("count > 1")
-    return left.dropDuplicates(["doc_id"]) if twice.limit(1).count() else left
+    twice = found.filter("doc_id = component_id").groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    if not twice.limit(1).count():
+        return left
+    # only rows of repeated ids are moved
+    few = twice.limit(neardup.FEW_IDS + 1).count() <= neardup.FEW_IDS
+    twice = F.broadcast(twice) if few else twice
+    once = left.join(twice, "doc_id", "left_anti").select(docs.columns)
+    order = F.struct(F.coalesce("text", F.lit("")).alias("t"), F.to_json(F.struct(*docs.columns)).alias("j"))
+    first = left.join(twice, "doc_id", "left_semi").groupBy("doc_id").agg(F.min_by(F.struct(*docs.columns), order).alias("row"))
+    return once.unionByName(first.select("row.*"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

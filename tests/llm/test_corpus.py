@@ -486,3 +486,10 @@ def test_pipeline_rejects_unlearned_and_noise(spark):
 def test_language_margins_without_held_back():
     assert langid.calibrated([], []).accepts(["the"]) == [False]
     assert langid.calibrated(["the and of"], ["en"]).accepts(["the", "12"]) == [True, False]
+
+
+def test_pipeline_null_and_repeated_ids(spark):
+    rows = [(None, "one text without an id here", 1), (None, "another text without any id", 2), (None, None, 3), (7, "zebras come last in this order", 4), (7, "apples come first in this order", 5), (7, "apples come first in this order", 6), (8, "a text that is by itself", 7)]
+    for order in (rows, rows[::-1]):
+        docs = spark.createDataFrame(order, "doc_id long, text string, n long").repartition(3)
+        assert sorted(r["n"] for r in corpus_pipeline.near_dedup(spark, docs, "").collect()) == [1, 2, 3, 5, 7]
