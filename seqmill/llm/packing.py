@@ -75,8 +75,9 @@ class LibraryIds:
 
     Pieces are cut by a transducer and known by two 64-bit hashes; the ids of
     pieces met before are gathered from a pool, and only new pieces go to the
-    library, all of a chunk at once. The memo is a table of bounded size that
-    begins anew when it is full.
+    library, all of a chunk at once. The memo begins anew at a chunk when it has
+    more than ``KEPT`` pieces. Within a chunk, which may be one long text, its
+    table doubles before it is half full.
     """
 
     KEPT, BITS = 500_000, 20
@@ -97,15 +98,39 @@ class LibraryIds:
         self.reset()
 
     def reset(self) -> None:
-        self.key = np.zeros((2, 1 << self.BITS), np.uint64)
-        self.at = np.zeros(1 << self.BITS, np.int64)
-        self.size = np.zeros(1 << self.BITS, np.int32)
+        self._empty(self.BITS)
         self.pool, self.used, self.filled = np.zeros(1 << 16, np.uint32), 0, 0
 
+    def _empty(self, bits: int) -> None:
+        self.bits = bits
+        self.key = np.zeros((2, 1 << bits), np.uint64)
+        self.at = np.zeros(1 << bits, np.int64)
+        self.size = np.zeros(1 << bits, np.int32)
+
+    def _room(self, more: int) -> None:
+        """Doubles the table until it is at most half full with ``more`` pieces."""
+        bits = self.bits
+        while 2 * (self.filled + more) > 1 << bits:
+            bits += 1
+        if bits > self.bits:
+            old = np.flatnonzero(self.size)
+            key, at, size = self.key[:, old], self.at[old], self.size[old]
+            self._empty(bits)
+            self._put(key[0], key[1], at, size)
+
+    def _put(self, k1: np.ndarray, k2: np.ndarray, at: np.ndarray, size: np.ndarray) -> None:
+        left = np.arange(len(k1))
+        while len(left):  # of keys that want the same slot one gets it, and the others look again
+            slot, first = np.unique(self._slots(k1[left], k2[left]), return_index=True)
+            i = left[first]
+            self.key[0, slot], self.key[1, slot] = k1[i], k2[i]
+            self.at[slot], self.size[slot] = at[i], size[i]
+            left = np.delete(left, first)
+
     def _slots(self, k1: np.ndarray, k2: np.ndarray) -> np.ndarray:
         """The slot of each key, or the free one where it belongs."""
-        last = (1 << self.BITS) - 1
-        slot = (k1 >> np.uint64(64 - self.BITS)).astype(np.int64)
+        last = (1 << self.bits) - 1
+        slot = (k1 >> np.uint64(64 - self.bits)).astype(np.int64)
         wrong = np.flatnonzero((self.size[slot] > 0) & ((self.key[0][slot] != k1) | (self.key[1][slot] != k2)))
         while len(wrong):
             slot[wrong] = slot[wrong] + 1 & last
@@ -114,6 +139,7 @@ class LibraryIds:
         return slot
 
     def _learn(self, k1: np.ndarray, k2: np.ndarray, pieces: list[str]) -> None:
+        self._room(len(pieces))
         for a in range(0, len(pieces), 2000):
             part = pieces[a : a + 2000]
             # the library's own model on the byte characters of a piece
@@ -124,13 +150,7 @@ class LibraryIds:
                 self.pool = np.concatenate([self.pool, np.zeros(max(len(self.pool), len(ids)), np.uint32)])
             self.pool[self.used : self.used + len(ids)] = ids
             own1, own2 = k1[a : a + len(part)], k2[a : a + len(part)]
-            left = np.arange(len(part))
-            while len(left):  # of keys that want the same slot one gets it, and the others look again
-                slot, first = np.unique(self._slots(own1[left], own2[left]), return_index=True)
-                i = left[first]
-                self.key[0, slot], self.key[1, slot] = own1[i], own2[i]
-                self.at[slot], self.size[slot] = self.used + ends[i], ends[i + 1] - ends[i]
-                left = np.delete(left, first)
+            self._put(own1, own2, self.used + ends[:-1], np.diff(ends))
             self.used += len(ids)
             self.filled += len(part)
 

@@ -242,6 +242,20 @@ def test_packing_ids():
     assert [x.tolist() for x in own.encode(texts)] == [tok.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_packing_ids_of_more_pieces_than_slots():
+    from tokenizers import Tokenizer
+
+    path = vocab.default_path("word_bpe_49k.json")
+    own = packing.LibraryIds(path, vocab.library_ranges())
+    own.BITS, own.KEPT = 6, 20
+    own.reset()
+    tok = Tokenizer.from_file(path)
+    rng = random.Random(8)
+    texts = [" ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(n)) for n in (20, 3000, 40, 500)]
+    for t in [*texts, *texts]:  # each text a chunk
+        assert own.encode([t])[0].tolist() == tok.encode(t, add_special_tokens=False).ids
+
+
 def test_plans_use_all():
     rng = np.random.default_rng(3)
     for _ in range(5):
