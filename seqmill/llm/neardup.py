@@ -17,8 +17,9 @@
    not its square, and no pair that could join two parts goes untested.
 
 The estimate lets pass what is within five standard deviations of the
-threshold; with 28 bands of 5 a pair at a similarity of 0.85 is missed by all
-bands once in ten million. Every link is confirmed exactly.
+threshold. Bands are as long as ``shape`` allows for the threshold: 28 of 5
+minima miss a pair at a similarity of 0.85 once in ten million, 28 of 4 one at
+0.8 four times in ten million. Every link is confirmed exactly.
 
 What is stored in the shared folder: signatures, bucket members, and the sets
 of nodes that have a family. Components are found by rounds of minima and
@@ -43,6 +44,8 @@ from .common import chunks, out_batch, prepare, stored, table, texts_of
 
 BANDS, ROWS, BITS = 28, 5, 4
 HASHES = 144
+#: Share of the pairs at the threshold that all bands may miss.
+MISSED = 1e-6
 #: Rows of a bucket, and sets of a family, that others are held against at once.
 TILE, FAMILY_TILE = 4096, 1024
 #: Ids that may be broadcast to filter sets where they lie: 16 MB. More are joined by a shuffle.
@@ -54,7 +57,15 @@ _B = _RANDOM.integers(0, 1 << 32, HASHES, dtype=np.uint32)
 _LOW = np.uint64(0x1111111111111111)
 
 
-def signatures(values: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def shape(threshold: float) -> tuple[int, int]:
+    """Bands and minima a band: the longest bands, of ``ROWS`` at most, that miss few enough pairs; more than ``BANDS`` of one where none do."""
+    for rows in range(ROWS, 0, -1):
+        if (1 - threshold**rows) ** BANDS <= MISSED:
+            return BANDS, rows
+    return next((n for n in range(BANDS, HASHES) if (1 - threshold) ** n <= MISSED), HASHES), 1
+
+
+def signatures(values: np.ndarray, begins: np.ndarray, bands_of: tuple[int, int] = (BANDS, ROWS)) -> tuple[np.ndarray, np.ndarray]:
     """Packed low bits of the minima and band keys of each set; sets must not be empty."""
     half = (values >> np.uint64(32)).astype(np.uint32)
     minima = np.empty((HASHES, len(begins) - 1), np.uint32)
@@ -63,9 +74,10 @@ def signatures(values: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.n
     minima = minima.T
     low = (minima & np.uint32((1 << BITS) - 1)).astype(np.uint8)
     packed = np.ascontiguousarray(low[:, 0::2] << 4 | low[:, 1::2])
-    bands = np.zeros((len(minima), BANDS), np.uint64)
-    for r in range(ROWS):
-        bands = shingles.mix(bands + minima[:, r : BANDS * ROWS : ROWS] + np.uint64(r + 1))
+    many, rows = bands_of
+    bands = np.zeros((len(minima), many), np.uint64)
+    for r in range(rows):
+        bands = shingles.mix(bands + minima[:, r : many * rows : rows] + np.uint64(r + 1))
     return packed.view("<u8"), bands
 
 
@@ -86,10 +98,11 @@ def passing(threshold: float) -> float:
     return threshold - 5 * np.sqrt(p * (1 - p) / HASHES) / (1 - chance)
 
 
-def sign(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
+def sign(docs: DataFrame, size: int, threshold: int, id_col: str, text_col: str) -> DataFrame:
     """``doc_id, n_shingles, k1, k2, sig, bands``; keys and signatures are null for empty sets."""
     prepare(docs.sparkSession)
     docs = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
+    bands_of = shape(threshold / 100)
     schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("sig", pa.binary()), ("bands", pa.list_(pa.int64()))])
 
     def run(batches):
@@ -101,7 +114,7 @@ def sign(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
                 k1, k2, sig, bands = ([None] * len(n) for _ in range(4))
                 if len(there):
                     own = np.append(begins[there], len(values))
-                    packed, keys = signatures(values, own)
+                    packed, keys = signatures(values, own, bands_of)
                     one = np.add.reduceat(shingles.mix(values + np.uint64(1)), own[:-1]).view(np.int64).tolist()
                     two = np.add.reduceat(shingles.mix(values ^ np.uint64(0xA5A5A5A5A5A5A5A5)), own[:-1]).view(np.int64).tolist()
                     keys = keys.view(np.int64)
@@ -328,7 +341,7 @@ def _joined(labels: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def groups(docs: DataFrame, size: int = 5, threshold: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row: the smallest id of its near-duplicate group."""
-    signed = stored(sign(docs, size, id_col, text_col), "signed")
+    signed = stored(sign(docs, size, threshold, id_col, text_col), "signed")
     full = signed.filter("n_shingles > 0 and doc_id is not null")
     keys = full.groupBy("k1", "k2").agg(F.min("doc_id").alias("node"))
     nodes = full.join(keys.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")

@@ -174,6 +174,13 @@ def test_shingles_and_estimates():
         assert abs(neardup.estimate(sig[0], sig[1]) - j) < 0.13
 
 
+def test_bands_by_threshold():
+    assert neardup.shape(0.85) == (28, 5)
+    for t in (0.2, 0.5, 0.8, 0.85, 0.95):
+        many, rows = neardup.shape(t)
+        assert many * rows <= neardup.HASHES and (1 - t**rows) ** many <= 1e-6
+
+
 # 4 quality
 
 
