@@ -75,6 +75,8 @@ def sample_matches(table: DataFrame, seqs: DataFrame, threshold: float = 0.1, lo
     top = F.greatest(F.length("s1"), F.length("s2"))
     limit = F.floor(top * threshold)
     near = met.select("seq_idx1", "seq_idx2").distinct().join(one, "seq_idx1").join(two, "seq_idx2").filter(F.abs(F.length("s1") - F.length("s2")) <= limit)
-    near = near.withColumn("d", F.levenshtein("s1", "s2", longest)).filter((F.col("d") >= 0) & (F.col("d") <= limit))
+    # a distance above the cap comes as -1, so pairs that may have one are measured without it
+    d = F.when(limit > longest, F.levenshtein("s1", "s2")).otherwise(F.levenshtein("s1", "s2", longest))
+    near = near.withColumn("d", d).filter((F.col("d") >= 0) & (F.col("d") <= limit))
     near = near.select("seq_idx1", "seq_idx2", (F.col("d") / F.greatest(top, F.lit(1))).alias("dist"))
     return met.join(near, ["seq_idx1", "seq_idx2"]).select("sample", "seq_idx1", "seq_idx2", "nread1", "nread2", "dist")

@@ -263,3 +263,11 @@ def test_denoising(spark):
     assert rates.shape == (16, 64) and np.allclose(rates.reshape(4, 4, 64).sum(1), 1)
     got = denoise.denoise(u, rates).groupBy("centre").agg({"abundance": "sum"}).collect()
     assert {r[0]: r[1] for r in got}.keys() == {base, other} and sum(r[1] for r in got) == 750
+
+
+def test_distances_above_the_cap(spark):
+    one = "ACGT" * 250
+    seqs = spark.createDataFrame([(1, one), (2, "G" * 70 + one[70:]), (3, "T" * 300 + one[300:])], "seq_idx int, seq string")
+    table = spark.createDataFrame([("a", i, 1) for i in (1, 2, 3)], "sample string, seq_idx int, nread int")
+    got = curation.sample_matches(table, seqs, 0.1, 20).collect()
+    assert [(r["seq_idx1"], r["seq_idx2"]) for r in got] == [(1, 2)] and 0.02 < got[0]["dist"] <= 0.1
