@@ -7,6 +7,8 @@ import os
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 import pyarrow as pa
@@ -14,10 +16,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 ROOT = str(Path(__file__).resolve().parents[2])
 
-#: Rows of a batch that goes to Python; texts are long, so batches are short.
-BATCH_ROWS = 2000
+#: Rows and bytes of a batch that goes to Python; texts are long, so batches are short. One row may have more bytes.
+BATCH_ROWS, BATCH_BYTES = 2000, 4 << 20
 #: UTF-8 bytes that a vectorised kernel works on at once.
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 19
 
 
 def prepare(spark: SparkSession) -> None:
@@ -28,6 +30,7 @@ def prepare(spark: SparkSession) -> None:
     env.setdefault("OMP_NUM_THREADS", "1")
     env.setdefault("OPENBLAS_NUM_THREADS", "1")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,17 +63,44 @@ def _drop(spark: SparkSession, path: str) -> None:
         pass
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+#: The folder of the operator that runs, for tables that only it needs.
+_SCRATCH: ContextVar[str | None] = ContextVar("scratch", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables that are ``stored`` inside go at the end, but for those to be kept."""
+    path = f"{shared_dir(spark)}/scratch-{uuid.uuid4().hex}"
+    token = _SCRATCH.set(path)
+    try:
+        yield
+    finally:
+        _SCRATCH.reset(token)
+        _drop(spark, path)
+
+
+def stored(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
     This cuts the lineage: lost executors cost no recomputation, and what a
-    task numbered stays as it was numbered. The table goes when Python exits.
+    task numbered stays as it was numbered. Inside ``scratch`` the table goes
+    with it unless it is to be kept; else when it is discarded or Python exits.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    inside = None if keep else _SCRATCH.get()
+    path = f"{inside or shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    atexit.register(_drop, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    if not inside:
+        atexit.register(_drop, spark, path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Drop a stored table that nothing reads any more; any other DataFrame stays as it is."""
+    if path := getattr(df, "_stored", None):
+        _drop(df.sparkSession, path)
 
 
 def chunks(batch: pa.RecordBatch, column: str, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:

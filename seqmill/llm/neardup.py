@@ -1,34 +1,38 @@
 """Operator 3: near-duplicate groups by b-bit MinHash.
 
 1. Each text becomes its set of word shingles, a 128-bit key of that set, and
-   MinHash minima. Minima make band keys; their low bits are packed into a
-   signature of a few words. Texts with equal sets are one node from here on.
-2. Nodes that share a band key share a bucket. Every node is held against its
-   buckets' smallest node: the share of equal packed fields, counted in bits
-   and corrected for chance collisions, estimates the similarity. Then nodes
-   outside their bucket's main group are held against the whole bucket, a tile
-   of bounded size at a time. Pairs that the estimate lets pass make families;
-   a tile gives a spanning forest of them and not all pairs.
-3. Links are confirmed on full sets, inside families: first each node with the
-   bucket's smallest node that it resembles most, then, in families that are
-   still in several parts, all nodes outside the main part against tiles of
-   the family. A tile's inverted index gives every exact intersection, and
-   again a spanning forest of the links. So a group of copies costs a star and
-   not its square, and no pair that could join two parts goes untested.
+   MinHash minima that make band keys. Texts with equal sets are one node from
+   here on, named by the smallest id.
+2. Nodes that share a band key share a bucket. A bucket's smallest node is its
+   hub; the nodes of a hub's buckets are that hub's group, so that two nodes of
+   one bucket are in one group at least. Nodes of groups get their signature,
+   the low bits of all minima packed into a few words, and their full set.
+3. Each node is held against the hub with which it shares the most bands: the
+   share of equal packed fields, counted in bits and corrected for chance
+   collisions, estimates the similarity, and what the estimate lets pass is
+   confirmed on the full sets. So a group of copies costs a star.
+4. Groups that are then still of several labels are searched inside. A task has
+   a tile of one group, of bounded bytes, and holds the nodes outside the
+   group's main label against it. Two sets can reach the threshold only if
+   their prefixes, the rarest few of their shingles, meet, so an index of
+   prefixes gives the pairs that are estimated and confirmed, and a spanning
+   forest of the links goes out: texts of one template that don't link have no
+   pairs. Where a group has several tiles, a node is sent to those tiles alone
+   in which its prefix meets another label's.
 
 The estimate lets pass what is within five standard deviations of the
 threshold. Bands are as long as ``shape`` allows for the threshold: 28 of 5
 minima miss a pair at a similarity of 0.85 once in ten million, 28 of 4 one at
 0.8 four times in ten million. Every link is confirmed exactly.
 
-What is stored in the shared folder: signatures, bucket members, and the sets
-of nodes that have a family. Components are found by rounds of minima and
-pointer jumping over tables; nothing of the corpus is collected.
+What is stored in the shared folder: keys and bands, hubs, group members, and
+the sets of nodes that have a group. Labels are found by pointer jumping and by
+rounds of minima over tables; nothing of the corpus is collected.
 
 Defined results: null texts and texts without words have no shingles, are
 their own component and are linked with nothing; rows with the same id and
-different texts are one node of several sets and belong together; a null id
-is kept, unlinked, with a null component; ties are impossible, since a
+different texts belong together, and so does what is linked with any of them; a
+null id is kept, unlinked, with a null component; ties are impossible, since a
 component is named by its smallest id.
 """
 
@@ -40,16 +44,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import shingles
-from .common import chunks, out_batch, prepare, stored, table, texts_of
+from .common import chunks, out_batch, prepare, scratch, stored, table, texts_of
 
 BANDS, ROWS, BITS = 28, 5, 4
 HASHES = 144
 #: Share of the pairs at the threshold that all bands may miss.
 MISSED = 1e-6
-#: Rows of a bucket, and sets of a family, that others are held against at once.
-TILE, FAMILY_TILE = 4096, 1024
-#: Ids that may be broadcast to filter sets where they lie: 16 MB. More are joined by a shuffle.
-FEW_IDS = 1_000_000
+#: Bytes of the sets of a group that a task holds at once; one set of more is a tile of its own.
+TILE_BYTES = 16 << 20
+#: Sets of a tile up to which all are compared without an index, and candidates of one set from which all common shingles are counted at once.
+FEW_SETS, MANY = 16, 64
+#: Rows of a few numbers each that may be broadcast: 20 MB. More are joined by a shuffle.
+FEW_IDS = 500_000
 
 _RANDOM = np.random.default_rng(577)
 _A = _RANDOM.integers(0, 1 << 31, HASHES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -75,7 +81,7 @@ def signatures(values: np.ndarray, begins: np.ndarray, bands_of: tuple[int, int]
     low = (minima & np.uint32((1 << BITS) - 1)).astype(np.uint8)
     packed = np.ascontiguousarray(low[:, 0::2] << 4 | low[:, 1::2])
     many, rows = bands_of
-    bands = np.zeros((len(minima), many), np.uint64)
+    bands = np.zeros((len(minima), many), np.uint64) + np.arange(many, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)
     for r in range(rows):
         bands = shingles.mix(bands + minima[:, r : many * rows : rows] + np.uint64(r + 1))
     return packed.view("<u8"), bands
@@ -99,11 +105,11 @@ def passing(threshold: float) -> float:
 
 
 def sign(docs: DataFrame, size: int, threshold: int, id_col: str, text_col: str) -> DataFrame:
-    """``doc_id, n_shingles, k1, k2, sig, bands``; keys and signatures are null for empty sets."""
+    """``doc_id, n_shingles, k1, k2, bands``; keys and bands are null for empty sets."""
     prepare(docs.sparkSession)
     docs = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
     bands_of = shape(threshold / 100)
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("sig", pa.binary()), ("bands", pa.list_(pa.int64()))])
+    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("bands", pa.list_(pa.int64()))])
 
     def run(batches):
         for batch in batches:
@@ -111,65 +117,90 @@ def sign(docs: DataFrame, size: int, threshold: int, id_col: str, text_col: str)
                 values, begins = shingles.sets(texts_of(batch, "text", a, b), size)
                 n = np.diff(begins)
                 there = np.flatnonzero(n)
-                k1, k2, sig, bands = ([None] * len(n) for _ in range(4))
+                k1, k2, bands = ([None] * len(n) for _ in range(3))
                 if len(there):
                     own = np.append(begins[there], len(values))
-                    packed, keys = signatures(values, own, bands_of)
+                    keys = signatures(values, own, bands_of)[1].view(np.int64)
                     one = np.add.reduceat(shingles.mix(values + np.uint64(1)), own[:-1]).view(np.int64).tolist()
                     two = np.add.reduceat(shingles.mix(values ^ np.uint64(0xA5A5A5A5A5A5A5A5)), own[:-1]).view(np.int64).tolist()
-                    keys = keys.view(np.int64)
                     for j, i in enumerate(there.tolist()):
-                        k1[i], k2[i], sig[i], bands[i] = one[j], two[j], packed[j].tobytes(), keys[j]
-                yield out_batch(schema, (batch.column("doc_id").slice(a, b - a), pa.array(n), k1, k2, sig, bands))
+                        k1[i], k2[i], bands[i] = one[j], two[j], keys[j]
+                yield out_batch(schema, (batch.column("doc_id").slice(a, b - a), pa.array(n), k1, k2, bands))
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, k1 long, k2 long, sig binary, bands array<long>")
+    return docs.mapInArrow(run, "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>")
 
 
-def _set_bytes(docs: DataFrame, size: int) -> DataFrame:
-    """``node, own`` of every text: its set as ascending 64-bit values."""
-    schema = pa.schema([("node", pa.int64()), ("own", pa.binary())])
+def _sets(docs: DataFrame, size: int) -> DataFrame:
+    """``node, n, sig, own`` of every ``node, text`` with a word: size, packed signature, and the set as ascending 64-bit values."""
+    schema = pa.schema([("node", pa.int64()), ("n", pa.int64()), ("sig", pa.binary()), ("own", pa.binary())])
 
     def run(batches):
         for batch in batches:
             for a, b in chunks(batch, "text"):
                 values, begins = shingles.sets(texts_of(batch, "text", a, b), size)
-                own = [values[begins[i] : begins[i + 1]].tobytes() for i in range(b - a)]
-                yield out_batch(schema, (batch.column("node").slice(a, b - a), own))
+                there = np.flatnonzero(np.diff(begins))
+                if len(there):
+                    own = np.append(begins[there], len(values))
+                    sig = signatures(values, own)[0]
+                    raw = [values[x:y].tobytes() for x, y in zip(own[:-1], own[1:], strict=True)]
+                    yield out_batch(schema, (batch.column("node").slice(a, b - a).take(pa.array(there)), pa.array(np.diff(own)), [x.tobytes() for x in sig], raw))
+
+    return docs.mapInArrow(run, "node long, n long, sig binary, own binary")
+
+
+def small(rows: DataFrame) -> DataFrame:
+    """``rows``, to be broadcast if a count shows that they are few; more are shuffled."""
+    return F.broadcast(rows) if rows.limit(FEW_IDS + 1).count() <= FEW_IDS else rows
+
 
-    return docs.mapInArrow(run, "node long, own binary")
+def _packed(column) -> np.ndarray:
+    """A column of signatures as rows of words."""
+    return np.frombuffer(b"".join(column.to_pylist()), "<u8").reshape(len(column), -1)
 
 
-def only(rows: DataFrame, ids: DataFrame, column: str) -> DataFrame:
-    """Rows whose ``column`` is in ``ids``: ids of a checked size are broadcast, more are shuffled."""
-    ids = ids.toDF(column).distinct()
-    few = ids.limit(FEW_IDS + 1).count() <= FEW_IDS
-    return rows.join(F.broadcast(ids) if few else ids, column, "left_semi")
+def _common(x: np.ndarray, y: np.ndarray) -> int:
+    """Values that two ascending arrays share."""
+    if len(x) < len(y):
+        x, y = y, x
+    return int((x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y).sum())
 
 
 def links(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
-    """Pairs ``a, b`` with 100 * intersection >= threshold * union, on the full sets."""
-    left = only(sets, pairs.select("a"), "node").toDF("a", "set_a")
-    right = only(sets, pairs.select("b"), "node").toDF("b", "set_b")
-    both = pairs.select("a", "b").join(right, "b").join(left, "a")
+    """Pairs ``a, b`` that the estimate lets pass and that have 100 * intersection >= threshold * union on the full sets."""
+    left = sets.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("sig").alias("sig_a"), F.col("own").alias("own_a"))
+    right = sets.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("sig").alias("sig_b"), F.col("own").alias("own_b"))
+    fits = 100 * F.least("n_a", "n_b") >= threshold * F.greatest("n_a", "n_b")
+    both = pairs.select("a", "b").join(right, "b").join(left, "a").filter(fits)
+    least = passing(threshold / 100)
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches):
         for batch in batches:
-            keep = []
-            left, right = batch.column("set_a"), batch.column("set_b")
-            last, x = None, None
-            for i in range(batch.num_rows):
-                raw = left[i].as_py()
-                if raw != last:
-                    last, x = raw, np.frombuffer(raw, "<u8")
-                y = np.frombuffer(right[i].as_py(), "<u8")
-                at = np.searchsorted(x, y)
-                common = int((x[np.minimum(at, len(x) - 1)] == y).sum())
-                keep.append(100 * common >= threshold * (len(x) + len(y) - common))
-            mask = pa.array(keep, pa.bool_())
-            yield out_batch(schema, (batch.column("a").filter(mask), batch.column("b").filter(mask)))
-
-    return both.select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long").distinct()
+            if batch.num_rows:
+                keep = estimate(_packed(batch.column("sig_a")), _packed(batch.column("sig_b"))) >= least
+                left, right = batch.column("own_a"), batch.column("own_b")
+                for i in np.flatnonzero(keep).tolist():
+                    x, y = np.frombuffer(left[i].as_buffer(), "<u8"), np.frombuffer(right[i].as_buffer(), "<u8")
+                    common = _common(x, y)
+                    keep[i] = 100 * common >= threshold * (len(x) + len(y) - common)
+                mask = pa.array(keep)
+                yield out_batch(schema, (batch.column("a").filter(mask), batch.column("b").filter(mask)))
+
+    return both.select("a", "b", "sig_a", "sig_b", "own_a", "own_b").mapInArrow(run, "a long, b long")
+
+
+def roots(parents: DataFrame) -> DataFrame:
+    """``node, label`` for ``node, label`` that name each node's parent, a smaller node: parents are followed by pointer jumping.
+
+    Each round is stored and halves the depth; the last changes nothing.
+    """
+    out = stored(parents, "labels")
+    while True:
+        up = small(out.select(F.col("node").alias("label"), F.col("label").alias("up")))
+        step = stored(out.join(up, "label", "left").select("node", F.coalesce("up", "label").alias("label"), F.col("up").isNotNull().alias("moved")), "labels")
+        out = step.select("node", "label")
+        if not step.filter("moved").limit(1).count():
+            return out
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -190,35 +221,11 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def relabel(nodes: DataFrame, labels: DataFrame, column: str = "label") -> DataFrame:
-    """``column`` of ``nodes`` replaced by its label where it has one."""
+    """``column`` of ``nodes`` replaced by its label where it has one; ``labels`` may be marked for broadcast."""
     labels = labels.select(F.col("node").alias(column), F.col("label").alias("_to"))
     return nodes.join(labels, column, "left").withColumn(column, F.coalesce("_to", column)).drop("_to")
 
 
-def _alike(threshold: int):
-    """Sizes of sets that can reach the threshold."""
-    return 100 * F.least("n", "n2") >= threshold * F.greatest("n", "n2")
-
-
-def _star(members: DataFrame, sigs: DataFrame, threshold: int) -> DataFrame:
-    """``a, b, est`` of every node b and the smallest nodes a of its buckets that the estimate lets pass."""
-    pairs = members.filter("node <> hub").select("hub", "node").distinct()
-    hubs = sigs.select(F.col("node").alias("hub"), F.col("n").alias("n2"), F.col("sig").alias("sig2"))
-    both = pairs.join(sigs, "node").join(hubs, "hub").filter(_alike(threshold)).select("hub", "node", "sig", "sig2")
-    least = passing(threshold / 100)
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("est", pa.float64())])
-
-    def run(batches):
-        for batch in batches:
-            if batch.num_rows:
-                x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u8").reshape(batch.num_rows, -1) for c in ("sig", "sig2"))
-                est = estimate(x, y)
-                mask = pa.array(est >= least)
-                yield out_batch(schema, (batch.column("hub").filter(mask), batch.column("node").filter(mask), pa.array(est).filter(mask)))
-
-    return both.mapInArrow(run, "a long, b long, est double")
-
-
 class Forest:
     """Labels that a task has joined."""
 
@@ -238,133 +245,214 @@ class Forest:
         return x != y
 
 
-def _forest(rows: DataFrame, group: str, columns: tuple[str, ...], hold) -> DataFrame:
-    """``a, b``: a spanning forest of the pairs that ``hold`` finds in each tile.
+def prefixes(n, threshold: int) -> tuple:
+    """Long and short prefix of sets of ``n`` shingles.
 
-    ``rows`` are ``group, tile, outside, node, label, *columns``; the tile's own
-    rows come first, then those that are held against it one at a time.
-    ``hold(inside)`` gives a function from a row to positions inside.
+    Of two sets that reach the threshold, in whatever order all shingles have, the long prefix of one
+    and the short prefix of the other, the smaller or as large, have a shingle in common.
+    """
+    return n + (-threshold * n) // 100 + 1, n + (-2 * threshold * n) // (100 + threshold) + 1
+
+
+class Tile:
+    """Sets of a group, ``(node, label, sig, own)`` each, and what of them a set can be linked with."""
+
+    def __init__(self, rows: list[tuple], threshold: int):
+        self.threshold, self.least = threshold, passing(threshold / 100)
+        self.node = [r[0] for r in rows]
+        self.label = np.array([r[1] for r in rows], np.int64)
+        self.sig = np.frombuffer(b"".join(r[2] for r in rows), "<u8").reshape(len(rows), -1)
+        self.own = [np.frombuffer(r[3], "<u8") for r in rows]
+        self.n = np.array([len(x) for x in self.own], np.int64)
+        self.values = None
+        if len(rows) > FEW_SETS:
+            self._index()
+
+    def _index(self) -> None:
+        owner = np.repeat(np.arange(len(self.own)), self.n)
+        values = np.concatenate(self.own)
+        order = np.argsort(values, kind="stable")
+        self.values, self.owner = values[order], owner[order]
+        self.known, many = np.unique(self.values, return_counts=True)
+        self.many = many
+        rare = np.empty(len(values), np.int64)
+        rare[order] = np.repeat(many, many)
+        order = np.lexsort((values, rare, owner))  # a set's shingles, the rarest of the tile first
+        at = np.arange(len(values)) - np.repeat(np.cumsum(self.n) - self.n, self.n)
+        self.heads = []
+        for many in prefixes(self.n, self.threshold):
+            first = order[at < np.repeat(many, self.n)]
+            first = first[np.argsort(values[first], kind="stable")]
+            self.heads.append((values[first], owner[first]))
+
+    @staticmethod
+    def _met(values: np.ndarray, owner: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Owners of each of ``y`` among ascending ``values``."""
+        lo = np.searchsorted(values, y, "left")
+        m = np.searchsorted(values, y, "right") - lo
+        return owner[np.repeat(lo - np.cumsum(m) + m, m) + np.arange(m.sum())]
+
+    def linked(self, label: int, sig: bytes, own: bytes) -> np.ndarray:
+        """Positions of sets of other labels that are linked with this one."""
+        y = np.frombuffer(own, "<u8")
+        if self.values is None:
+            at = np.arange(len(self.own))
+        else:
+            k = np.minimum(np.searchsorted(self.known, y), len(self.known) - 1)
+            rare = np.where(self.known[k] == y, self.many[k], 0)
+            y_rare = y[np.lexsort((y, rare))]
+            long, short = prefixes(len(y), self.threshold)
+            at = np.unique(np.concatenate([self._met(*self.heads[0], y_rare[:short]), self._met(*self.heads[1], y_rare[:long])]))
+        at = at[(self.label[at] != label) & (100 * np.minimum(self.n[at], len(y)) >= self.threshold * np.maximum(self.n[at], len(y)))]
+        at = at[estimate(self.sig[at], np.frombuffer(sig, "<u8")) >= self.least]
+        if self.values is not None and len(at) > MANY:
+            common = np.bincount(self._met(self.values, self.owner, y), minlength=len(self.own))[at]
+        else:
+            common = np.array([_common(self.own[i], y) for i in at.tolist()], np.int64)
+        return at[100 * common >= self.threshold * (self.n[at] + len(y) - common)]
+
+
+def _forest(rows: DataFrame, threshold: int) -> DataFrame:
+    """``a, b``: a spanning forest of the links that each tile finds.
+
+    ``rows`` are ``hub, tile, foreign, main, node, label, sig, own``: a tile's own sets come first, then
+    those of other tiles. Own sets outside the label ``main`` and the others are held against the own sets.
     """
-    rows = rows.repartition(group, "tile").sortWithinPartitions(group, "tile", "outside", "node")
-    names = (group, "tile", "outside", "node", "label", *columns)
+    names = ("hub", "tile", "foreign", "main", "node", "label", "sig", "own")
+    rows = rows.select(*names).repartition("hub", "tile").sortWithinPartitions("hub", "tile", "foreign", "node")
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches):
-        place, inside, found, forest, labels, out = None, [], None, None, None, []
+        place, inside, tile, forest, out = None, [], None, Forest(), []
+
+        def held(node, label, sig, own):
+            at = tile.linked(label, sig, own)
+            # one pair for each label that is met
+            for k in at[np.unique(tile.label[at], return_index=True)[1]].tolist():
+                if forest.join(int(tile.label[k]), label):
+                    out.append((min(tile.node[k], node), max(tile.node[k], node)))
+
+        def begin():
+            """All own sets are there."""
+            nonlocal tile
+            if tile is None and inside:
+                tile = Tile([r[1:] for r in inside], threshold)
+                for main, *row in inside:
+                    if row[1] != main:
+                        held(*row)
+
         for batch in batches:
-            for key, t, side, *row in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
-                if place != (key, t):
-                    place, inside, found, forest = (key, t), [], None, Forest()
-                if not side:
+            for hub, t, foreign, *row in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
+                if place != (hub, t):
+                    begin()
+                    place, inside, tile, forest = (hub, t), [], None, Forest()
+                if not foreign:
                     inside.append(row)
                 elif inside:
-                    if found is None:
-                        labels = np.array([r[1] for r in inside], np.int64)
-                        found = hold(inside)
-                    at = found(row)
-                    # one pair for each label that is met
-                    for k in at[np.unique(labels[at], return_index=True)[1]].tolist():
-                        if labels[k] != row[1] and forest.join(int(labels[k]), row[1]):
-                            out.append((min(inside[k][0], row[0]), max(inside[k][0], row[0])))
+                    begin()
+                    held(*row[1:])
             if out:
                 yield out_batch(schema, map(list, zip(*out, strict=True)))
-                out = []
-
-    return rows.select(*names).mapInArrow(run, "a long, b long").distinct()
-
-
-def _dealt(rows: DataFrame, group: str, size: DataFrame, tile: int) -> DataFrame:
-    """Every row in one tile of its group by a hash of the node, and rows outside the group's ``main`` label in all of them."""
-    rows = rows.join(size, group)
-    tiles = F.ceil(F.col("c") / tile).cast("int")
-    own = rows.select(group, F.pmod(F.xxhash64("node"), tiles).cast("int").alias("tile"), F.lit(0).alias("outside"), "node", "label")
-    rest = rows.filter("label <> main").select(group, F.explode(F.sequence(F.lit(0), tiles - 1)).alias("tile"), F.lit(1).alias("outside"), "node", "label")
-    return own.unionByName(rest)
-
-
-def _across(members: DataFrame, sigs: DataFrame, labels: DataFrame, threshold: int) -> DataFrame:
-    """Pairs that the estimate lets pass between nodes of one bucket and different labels, as forests."""
-    known = members.select("key", "node", F.col("node").alias("label"), F.col("hub").alias("main"))
-    known = relabel(relabel(known, labels), labels, "main")
-    size = known.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("c")).filter("x <> y").select("key", "c")
-    rows = _dealt(known, "key", size, TILE).join(sigs, "node")
-    least = passing(threshold / 100)
+                out.clear()
+        begin()
+        if out:
+            yield out_batch(schema, map(list, zip(*out, strict=True)))
 
-    def hold(inside):
-        label, n = np.array([r[1] for r in inside], np.int64), np.array([r[2] for r in inside], np.int64)
-        sig = np.frombuffer(b"".join(r[3] for r in inside), "<u8").reshape(len(inside), -1)
+    return rows.mapInArrow(run, "a long, b long").distinct()
 
-        def found(row):
-            fit = np.flatnonzero((label != row[1]) & (100 * np.minimum(n, row[2]) >= threshold * np.maximum(n, row[2])))
-            return fit[estimate(sig[fit], np.frombuffer(row[3], "<u8")) >= least]
 
-        return found
+def _heads(rows: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """``hub, tile, main, node, label, head, short`` for every shingle in a set's long prefix, and whether it is in the short one: what its hub has not comes first, then ascending."""
+    own = sets.select("node", "own")
+    of_hub = sets.select(F.col("node").alias("hub"), F.col("own").alias("of_hub")).groupBy("hub").agg(F.min("of_hub").alias("of_hub"))
+    both = rows.join(own, "node").join(of_hub, "hub")
+    names = ("hub", "tile", "main", "node", "label")
+    schema = pa.schema([*((c, pa.int64()) for c in names), ("head", pa.int64()), ("short", pa.bool_())])
 
-    return _forest(rows, "key", ("n", "sig"), hold)
-
-
-def _inside(families: DataFrame, labels: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
-    """Links on full sets between nodes of one family and different labels, as forests."""
-    rows = relabel(families.select(F.col("label").alias("family"), "node", F.col("node").alias("label")), labels)
-    part = rows.groupBy("family", "label").agg(F.count(F.lit(1)).alias("c"))
-    size = part.groupBy("family").agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("parts"), F.max(F.struct("c", "label")).alias("m")).filter("parts > 1").select("family", "c", F.col("m.label").alias("main"))
-    dealt = _dealt(rows, "family", size, FAMILY_TILE).join(sets, "node")
-
-    def hold(inside):
-        label = np.array([r[1] for r in inside], np.int64)
-        own = [np.frombuffer(r[2], "<u8") for r in inside]
-        n = np.array([len(x) for x in own], np.int64)
-        values, owner = np.concatenate(own), np.repeat(np.arange(len(own)), n)
-        order = np.argsort(values, kind="stable")
-        values, owner = values[order], owner[order]
-
-        def found(row):
-            y = np.frombuffer(row[2], "<u8")
-            lo, hi = np.searchsorted(values, y, "left"), np.searchsorted(values, y, "right")
-            m = hi - lo
-            at = np.repeat(lo - np.cumsum(m) + m, m) + np.arange(m.sum())
-            common = np.bincount(owner[at], minlength=len(own))
-            return np.flatnonzero((label != row[1]) & (100 * common >= threshold * (n + len(y) - common)))
-
-        return found
-
-    return _forest(dealt, "family", ("own",), hold)
+    def run(batches):
+        for batch in batches:
+            heads, shorts = [], []
+            for x, y in zip(batch.column("own").to_pylist(), batch.column("of_hub").to_pylist(), strict=True):
+                x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
+                shared = y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x
+                long, short = prefixes(len(x), threshold)
+                heads.append(np.concatenate([x[~shared], x[shared]])[:long])
+                shorts.append(np.arange(long) < short)
+            if heads:
+                many = pa.array(np.repeat(np.arange(len(heads)), list(map(len, heads))))
+                yield out_batch(schema, [*(batch.column(c).take(many) for c in names), pa.array(np.concatenate(heads).view(np.int64)), pa.array(np.concatenate(shorts))])
+
+    return both.select(*names, "own", "of_hub").mapInArrow(run, "hub long, tile long, main long, node long, label long, head long, short boolean")
+
+
+def _inside(members: DataFrame, best: DataFrame, labels: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """Links on full sets between nodes of one group and different labels, as forests."""
+    size = sets.groupBy("node").agg(F.sum(F.col("n") * 8 + 100).alias("bytes"))
+    known = size.join(small(labels), "node", "left").select("node", "bytes", F.coalesce("label", "node").alias("label"))
+    hubs = members.select("hub").distinct().select("hub", F.col("hub").alias("node"))
+    rows = members.select("hub", "node").union(hubs).join(known, "node")
+    part = rows.groupBy("hub", "label").agg(F.count(F.lit(1)).alias("c"), F.sum("bytes").alias("bytes"), F.max("node").alias("top"))
+    group = part.groupBy("hub").agg(F.sum("c").alias("c"), F.sum("bytes").alias("bytes"), F.count(F.lit(1)).alias("parts"), F.max(F.struct("c", "label")).alias("m"), F.max("top").alias("top")).filter("parts > 1")
+    # a pair that has been tested is done
+    tested = best.select(F.col("a").alias("hub"), F.col("b").alias("top"), F.lit(2).alias("c"))
+    group = stored(group.join(tested, ["hub", "top", "c"], "left_anti").select("hub", F.col("m.label").alias("main"), F.greatest(F.lit(1), F.ceil(F.col("bytes") / TILE_BYTES)).cast("long").alias("tiles")), "groups")
+    mixed = stored(rows.join(small(group), "hub").select("hub", F.pmod(F.xxhash64("node"), F.col("tiles")).alias("tile"), "main", "node", "label", "tiles"), "mixed")
+    dealt = mixed.select("hub", "tile", F.lit(0).alias("foreign"), "main", "node", "label")
+    if group.filter("tiles > 1").limit(1).count():
+        heads = stored(_heads(mixed.filter("tiles > 1").drop("tiles"), sets, threshold), "heads")
+        short = F.when(F.col("short"), F.col("label"))
+        there = heads.groupBy("hub", "head", F.col("tile").alias("to")).agg(F.min("label").alias("x"), F.max("label").alias("y"), F.min(short).alias("x_short"), F.max(short).alias("y_short"))
+        rest = heads.filter("label <> main").join(there, ["hub", "head"]).filter("tile <> to and if(short, x <> label or y <> label, x_short <> label or y_short <> label)")
+        dealt = dealt.union(rest.select("hub", F.col("to").alias("tile"), F.lit(1).alias("foreign"), "main", "node", "label").distinct())
+    return _forest(dealt.join(sets, "node"), threshold)
 
 
 def _joined(labels: DataFrame, pairs: DataFrame) -> DataFrame:
     """Labels after further pairs of nodes: components of the labels, which stand for their nodes."""
-    edges = relabel(relabel(pairs, labels, "a"), labels, "b").filter("a <> b")
-    more = components(edges)
+    few = small(labels)
+    more = components(relabel(relabel(pairs, few, "a"), few, "b").filter("a <> b"))
     known = labels.select("node", "label").union(more.select("node", F.col("node").alias("label"))).groupBy("node").agg(F.min("label").alias("label"))
-    return stored(relabel(known, more), "labels")
+    return stored(relabel(known, small(more)), "labels")
+
+
+def _twins(full: DataFrame, copies: DataFrame) -> DataFrame:
+    """``a, b``: nodes of the different texts of one id, of every id that has several."""
+    several = stored(full.groupBy("doc_id").agg(F.min("k1").alias("x1"), F.max("k1").alias("y1"), F.min("k2").alias("x2"), F.max("k2").alias("y2")).filter("x1 <> y1 or x2 <> y2").select("doc_id"), "several")
+    own = full.select("doc_id", "k1", "k2").join(small(several), "doc_id", "left_semi").join(small(copies.select("k1", "k2", "node")), ["k1", "k2"], "left").select("doc_id", F.coalesce("node", "doc_id").alias("b"))
+    return own.join(own.groupBy("doc_id").agg(F.min("b").alias("a")), "doc_id").filter("a <> b").select("a", "b").distinct()
 
 
 def groups(docs: DataFrame, size: int = 5, threshold: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row: the smallest id of its near-duplicate group."""
-    signed = stored(sign(docs, size, threshold, id_col, text_col), "signed")
+    signed = stored(sign(docs, size, threshold, id_col, text_col), "signed", keep=True)
     full = signed.filter("n_shingles > 0 and doc_id is not null")
-    keys = full.groupBy("k1", "k2").agg(F.min("doc_id").alias("node"))
-    nodes = full.join(keys.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    buckets = nodes.select(F.col("doc_id").alias("node"), F.posexplode("bands").alias("band", "value")).select(F.xxhash64("band", "value").alias("key"), "node")
-    hubs = buckets.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("top")).filter("hub <> top").select("key", "hub")
-    members = stored(buckets.join(hubs, "key").distinct(), "members")
-    sigs = nodes.select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), "sig")
-    sigs = stored(only(sigs, members.select("node"), "node"), "sigs")
-    star = stored(_star(members, sigs, threshold).filter("a <> b"), "star")
-    families = components(star)
-    more = stored(_across(members, sigs, families, threshold), "across")
-    if more.limit(1).count():
-        families = _joined(families, more)
-    texts = docs.select(docs[id_col].cast("long").alias("node"), docs[text_col].cast("string").alias("text"))
-    sets = stored(_set_bytes(only(texts, families.select("node"), "node"), size).filter("length(own) > 0"), "sets")
-    best = star.groupBy("b").agg(F.max(F.struct("est", F.negative("a").alias("minus"))).alias("best")).select(F.negative("best.minus").alias("a"), "b")
-    labels = components(links(best, sets, threshold))
-    more = stored(_inside(families, labels, sets, threshold), "links")
-    if more.limit(1).count():
-        labels = _joined(labels, more)
-    named = keys.join(labels, "node", "left").select("k1", "k2", F.coalesce("label", "node").alias("label"))
-    out = signed.join(named, ["k1", "k2"], "left")
-    return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("label", "doc_id")).alias("component_id"))
+    copies = stored(full.groupBy("k1", "k2").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("c")).filter("c > 1").select("k1", "k2", "node"), "copies", keep=True)
+    few_copies = small(copies)
+    with scratch(docs.sparkSession):
+        nodes = full.join(few_copies, ["k1", "k2"], "left").filter("node is null or node = doc_id")
+        buckets = nodes.select(F.col("doc_id").alias("node"), F.explode("bands").alias("key"))
+        hubs = stored(buckets.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("top")).filter("hub <> top").select("key", "hub"), "hubs")
+        members = stored(buckets.join(small(hubs), "key").filter("node <> hub").groupBy("hub", "node").agg(F.count(F.lit(1)).alias("bands")), "members")
+        ids = stored(members.select("node").union(members.select("hub")).distinct(), "ids")
+        texts = docs.select(docs[id_col].cast("long").alias("node"), docs[text_col].cast("string").alias("text"))
+        sets = stored(_sets(texts.join(small(ids), "node", "left_semi"), size), "sets")
+        if sets.count() > ids.count():  # repeated rows
+            sets = stored(sets.dropDuplicates(["node", "own"]), "sets")
+        best = members.groupBy("node").agg(F.max(F.struct("bands", F.negative("hub").alias("minus"))).alias("best")).select(F.negative("best.minus").alias("a"), F.col("node").alias("b"))
+        best = stored(best, "best")
+        labels = roots(links(best, sets, threshold).groupBy("b").agg(F.min("a").alias("a")).select(F.col("b").alias("node"), F.col("a").alias("label")))
+        more = stored(_inside(members, best, labels, sets, threshold).union(_twins(full, copies)), "links")
+        if more.limit(1).count():
+            labels = _joined(labels, more)
+        labels = stored(labels.filter("label <> node"), "labels", keep=True)
+    few_labels = small(labels)
+    named = relabel(copies.withColumn("label", F.col("node")), few_labels).select(F.col("k1").alias("c1"), F.col("k2").alias("c2"), F.col("label").alias("of_copies"))
+    own = few_labels.select(F.col("node").alias("own"), F.col("label").alias("of_own"))
+    out = signed.filter("n_shingles > 0").select("doc_id", "n_shingles", F.col("k1").alias("c1"), F.col("k2").alias("c2"))
+    out = out.join(F.broadcast(named) if few_copies is not copies else named, ["c1", "c2"], "left").join(own, out.doc_id == own.own, "left")
+    out = out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("of_copies", "of_own", "doc_id")).alias("component_id"))
+    # rows without shingles have no key that they could all meet by
+    return out.union(signed.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
 
 
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,6 +6,8 @@ import numpy as np
 
 #: Words are runs of bytes that are none of these.
 BLANKS = b" \t\n\x0b\x0c\r"
+#: Bytes that are hashed at once, up to the end of a word.
+SEGMENT = 1 << 19
 _U = np.uint64
 _RANDOM = np.random.default_rng(20240229)
 _BYTE = _RANDOM.integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -38,14 +40,28 @@ def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     raw = [t.encode("utf-8", "surrogatepass") for t in texts]
     data = np.frombuffer(b"\n".join(raw) + b"\n", np.uint8)
     ends = np.cumsum(np.fromiter(map(len, raw), np.int64, len(raw)) + 1)
+    hashes, starts, a = [], [], 0
+    while a < len(data):
+        b = a + SEGMENT
+        while b < len(data) and not (blank := _BLANK[data[b - 1 : b + SEGMENT]]).any():
+            b += SEGMENT
+        b = b + int(blank.argmax()) if b < len(data) else len(data)  # after a blank
+        h, start = _hashes(data[a:b])
+        hashes.append(h)
+        starts.append(start + a)
+        a = b
+    return np.concatenate(hashes), np.searchsorted(ends, np.concatenate(starts), side="right")
+
+
+def _hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and start of every word of bytes that end with a blank."""
     blank = _BLANK[data]
     edge = np.flatnonzero(np.diff(blank, prepend=True))
     start, stop = edge[::2], edge[1::2]
     up, down = _powers(len(data) + 1)
     total = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_BYTE[data] * up[:-1], out=total[1:])
-    h = mix((total[stop] - total[start]) * down[start] + (stop - start).astype(np.uint64))
-    return h, np.searchsorted(ends, start, side="right")
+    return mix((total[stop] - total[start]) * down[start] + (stop - start).astype(np.uint64)), start
 
 
 def sets(texts: list[str], size: int = 3) -> tuple[np.ndarray, np.ndarray]:
