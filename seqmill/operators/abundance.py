@@ -95,7 +95,8 @@ def deduplicate_seqs(seqs: DataFrame, hits: DataFrame, id_col: str = "seq_idx")
 def collapse(table: DataFrame, hits: DataFrame, id_col: str = "seq_idx") -> tuple[DataFrame, DataFrame]:
     """The deduplicated table, and the map from old to new index."""
     ids = table.select(id_col).distinct()
-    moved = ids.join(hits.select(F.col("query").alias(id_col), "hit"), id_col, "left").select(F.col(id_col).alias("seq_idx_in"), F.coalesce("hit", id_col).alias("seq_idx_out"))
+    to = hits.groupBy(F.col("query").alias(id_col)).agg(F.min("hit").alias("hit"))
+    moved = ids.join(to, id_col, "left").select(F.col(id_col).alias("seq_idx_in"), F.coalesce("hit", id_col).alias("seq_idx_out"))
     return deduplicate(table, hits, id_col=id_col), _renumbered(moved, hits, "seq_idx_out")
 
 

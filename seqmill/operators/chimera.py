@@ -6,6 +6,9 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Letters of references that each task may hold.
+MOST_LETTERS = 64 << 20
+
 
 def _matrix(seqs: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Letters of sequences as rows, zeros behind them, and their lengths."""
@@ -54,9 +57,13 @@ def _judge(n: int, left: np.ndarray, right: np.ndarray, one_off: bool, min_one_o
 
 def is_bimera(child: str, parents: list[str], one_off: bool = False, min_one_off_distance: int = 4, max_shift: int = 16) -> bool:
     """Whether the child is the left of one parent and the right of another, without mismatch, or with one where ``one_off``."""
-    if not child or not parents:
+    return _made_of(child, _matrix(parents), one_off, min_one_off_distance, max_shift)
+
+
+def _made_of(child: str, parents: tuple[np.ndarray, np.ndarray], one_off: bool = False, min_one_off_distance: int = 4, max_shift: int = 16) -> bool:
+    if not child or not len(parents[0]):
         return False
-    return _judge(len(child), *overlaps(child, *_matrix(parents), max_shift), one_off, min_one_off_distance)
+    return _judge(len(child), *overlaps(child, *parents, max_shift), one_off, min_one_off_distance)
 
 
 def flag_samples(table: DataFrame, seqs: DataFrame, fold: float = 1.5, least: int = 2, one_off: bool = False, min_one_off_distance: int = 4, max_shift: int = 16, tile: int = 512) -> DataFrame:
@@ -104,11 +111,15 @@ def consensus(flags: DataFrame, min_fraction: float = 0.9, ignore: int = 1, id_c
 
 
 def against_references(seqs: DataFrame, refs: list[str], **options) -> DataFrame:
-    """``seq_idx, is_chimera`` of sequences against a reference list of bounded size."""
+    """``seq_idx, is_chimera`` of sequences against a reference list of at most ``MOST_LETTERS``, which is laid out once a task."""
+    if sum(map(len, refs)) > MOST_LETTERS:
+        raise ValueError(f"references of more than {MOST_LETTERS} letters")
     shared = seqs.sparkSession.sparkContext.broadcast(refs)
 
     def run(batches):
+        matrix = None
         for pdf in batches:
-            yield pdf[["seq_idx"]].assign(is_chimera=[is_bimera(s, shared.value, **options) for s in pdf.seq])
+            matrix = matrix or _matrix(shared.value)
+            yield pdf[["seq_idx"]].assign(is_chimera=[_made_of(s, matrix, **options) for s in pdf.seq])
 
     return seqs.select("seq_idx", "seq").mapInPandas(run, f"seq_idx {dict(seqs.dtypes)['seq_idx']}, is_chimera boolean")

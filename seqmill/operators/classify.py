@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from ..functions.taxa import DEFAULT
 from .taxonomy import path_probabilities
 
+#: Letters of references, whose index each task holds.
+MOST_LETTERS = 16 << 20
+
 
 def _kmers(seq: str, k: int) -> list[str]:
     return sorted({seq[i : i + k] for i in range(len(seq) - k + 1)})
@@ -46,7 +49,9 @@ class KmerIndex:
 
 
 def classify(query: DataFrame, refs: list[tuple[str, str]], k: int = 8, rounds: int = 100, words: int = 32, least: float = 0.0, ranks: tuple[str, ...] = DEFAULT.ranks) -> DataFrame:
-    """``seq_id, rank, parent_taxonomy, taxon, prob`` of every query; references are a list of a size that the driver holds."""
+    """``seq_id, rank, parent_taxonomy, taxon, prob`` of every query; references are a list of at most ``MOST_LETTERS``."""
+    if sum(len(s) for s, _ in refs) > MOST_LETTERS:
+        raise ValueError(f"references of more than {MOST_LETTERS} letters")
     index = query.sparkSession.sparkContext.broadcast(KmerIndex(refs, k))
 
     def run(batches):

@@ -5,13 +5,17 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.session import checkpointed
+from ..functions.session import checkpointed, numbered
 from ..functions.taxa import DEFAULT
 
 
+#: Parent taxa that the driver packs into bins: the taxa of a rank, whose number doesn't grow with the sequences.
+PARENTS = 5_000_000
+
+
 def distribute(weights: Iterable[float], most: float) -> list[int]:
     """First bin from 1 with room for each weight in order; a weight above ``most`` has a bin of its own.
 
@@ -69,8 +73,8 @@ def _ops() -> F.Column:
 
 
 def _grouped(table: DataFrame, sizes: DataFrame, parent: str) -> DataFrame:
-    # one row for each parent taxon: small beside the table
-    sizes = sizes.withColumn("ops", _ops()).withColumn("tar_group", F.dense_rank().over(Window.orderBy(F.col(parent).asc_nulls_first())))
+    # one row for each parent taxon
+    sizes = numbered(sizes.withColumn("ops", _ops()), F.col(parent).asc_nulls_first(), name="tar_group")
     return table.alias("t").join(sizes.alias("s"), F.col(f"t.{parent}").eqNullSafe(F.col(f"s.{parent}"))).select("t.*", "s.n_unknown", "s.n_known", "s.ops", "s.tar_group")
 
 
@@ -80,7 +84,7 @@ def large(work: DataFrame, parent: str, least: float = 1e6) -> DataFrame:
 
 
 def _renumbered(work: DataFrame, parent: str) -> DataFrame:
-    groups = work.select(parent).distinct().withColumn("_g", F.dense_rank().over(Window.orderBy(F.col(parent).asc_nulls_first())))
+    groups = numbered(work.select(parent).distinct(), F.col(parent).asc_nulls_first(), name="_g")
     out = work.alias("t").join(groups.alias("g"), F.col(f"t.{parent}").eqNullSafe(F.col(f"g.{parent}"))).select("t.*", "g._g")
     return out.withColumn("tar_group", F.col("_g")).drop("_g")
 
@@ -88,10 +92,12 @@ def _renumbered(work: DataFrame, parent: str) -> DataFrame:
 def small(work: DataFrame, parent: str, most: float = 1e6) -> DataFrame:
     """Groups of at most ``most`` comparisons, packed into bins that hold as many together; the bin is the group.
 
-    Packing looks at one number for each parent taxon, in order of the taxon, on the driver.
+    Packing looks at one number for each parent taxon, in order of the taxon, on the driver; more than ``PARENTS`` are an error.
     """
     work = work.filter(F.col("ops") <= most)
-    sizes = work.groupBy(parent).agg(F.first("ops").alias("ops")).orderBy(F.col(parent).asc_nulls_first()).collect()
+    sizes = work.groupBy(parent).agg(F.first("ops").alias("ops")).orderBy(F.col(parent).asc_nulls_first()).limit(PARENTS + 1).collect()
+    if len(sizes) > PARENTS:
+        raise ValueError(f"more than {PARENTS} parent taxa")
     bins = distribute([r["ops"] for r in sizes], most)
     spark = work.sparkSession
     kind = dict(work.dtypes)[parent]
@@ -105,14 +111,18 @@ def vector_pairs(left: DataFrame, right: DataFrame, block: str, threshold, tile:
     Both sides are ``id, block, v``. Blocks are cut into tiles by a hash of the
     id, and tiles meet in pairs, so that a block of any size is spread; a tile
     pair is a matrix product. ``threshold`` is a number or a map by block.
+    Vectors that are null or hold a null or a NaN are in no pair, and neither
+    are two of different lengths; a vector of zeros is at distance one.
     """
     limit = threshold if isinstance(threshold, dict) else None
+    whole = F.col("v").isNotNull() & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x))
+    left, right = left.filter(whole), right.filter(whole)
     n = right.groupBy(block).agg(F.count(F.lit(1)).alias("_n"))
     tiles = n.select(block, F.ceil(F.col("_n") / tile).cast("int").alias("_t"))
     # the right side is dealt to its tiles; the left side goes to each tile of its block
     r = right.join(tiles, block).select(block, F.pmod(F.xxhash64("id"), F.col("_t")).cast("int").alias("tile"), F.lit(1).alias("side"), "id", "v")
     m = left.join(tiles, block).select(block, F.explode(F.sequence(F.lit(0), F.col("_t") - 1)).alias("tile"), F.lit(0).alias("side"), "id", "v")
-    both = m.unionByName(r)
+    both = m.unionByName(r).withColumn("width", F.size("v"))
     kind = dict(both.dtypes)
 
     def pairs(key, pdf):
@@ -132,7 +142,7 @@ def vector_pairs(left: DataFrame, right: DataFrame, block: str, threshold, tile:
                 parts.append(pd.DataFrame({block: key[0], "id": a.id.to_numpy()[s + i], "id2": b.id.to_numpy()[j], "dist": d[i, j]}))
         return pd.concat(parts) if parts else pd.DataFrame({block: [], "id": [], "id2": [], "dist": []})
 
-    return both.groupBy(block, "tile").applyInPandas(pairs, f"`{block}` {kind[block]}, id {kind['id']}, id2 {kind['id']}, dist double")
+    return both.groupBy(block, "tile", "width").applyInPandas(pairs, f"`{block}` {kind[block]}, id {kind['id']}, id2 {kind['id']}, dist double")
 
 
 def closed_reference(unknown: DataFrame, known: DataFrame, block: str, threshold, closure: bool = False, rounds: int = 50) -> DataFrame:
@@ -178,3 +188,24 @@ def denovo(vectors: DataFrame, block: str, thresholds: dict[str, float]) -> Data
     for name, t in thresholds.items():
         out = out.join(connected(pairs.filter(F.col("dist") <= t), vectors).withColumnRenamed("cluster", name), "id")
     return out
+
+
+def greedy(pairs: DataFrame, nodes: DataFrame, rounds: int = 1000) -> DataFrame:
+    """``query, hit``: clusters about centroids, as taken one after another by ascending id.
+
+    ``pairs`` are ``id, id2, dist`` with ``id < id2`` within the threshold. A node is a centroid if no centroid before it
+    is near; else it goes to its nearest centroid before it, ties to the smaller. Each round settles every node whose
+    near nodes before it are settled, or one of which is a centroid, so rounds are as many as the longest chain of
+    doubts, and not as the nodes.
+    """
+    before = checkpointed(pairs.select(F.col("id").alias("prior"), F.col("id2").alias("id"), "dist"))
+    state = checkpointed(nodes.select("id").distinct().join(before.select("id").distinct().withColumn("near", F.lit(True)), "id", "left").select("id", F.when(F.col("near").isNull(), True).alias("centroid")))
+    for _ in range(rounds):
+        if not state.filter("centroid is null").limit(1).count():
+            found = before.join(state.filter("centroid").select(F.col("id").alias("prior")), "prior").join(state.filter("not centroid").select("id"), "id")
+            return found.groupBy(F.col("id").alias("query")).agg(F.min(F.struct("dist", "prior")).alias("b")).select("query", F.col("b.prior").alias("hit"))
+        open_ = state.filter("centroid is null").select("id")
+        seen = before.join(open_, "id").join(state.select(F.col("id").alias("prior"), "centroid"), "prior").groupBy("id").agg(F.max("centroid").alias("covered"), F.count_if(F.col("centroid").isNull()).alias("open"))
+        step = seen.select("id", F.when(F.col("covered"), False).when(F.col("open") == 0, True).alias("now"))
+        state = checkpointed(state.join(step, "id", "left").select("id", F.coalesce("centroid", "now").alias("centroid")))
+    raise ValueError("no end within the rounds")

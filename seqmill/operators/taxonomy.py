@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import taxa
@@ -28,20 +28,24 @@ def _blank(c: Column) -> Column:
 
 
 def parse_sintax(headers: DataFrame, header: str = "header") -> DataFrame:
-    """``id;...;tax=k:X,p:Y`` to an id and a column for each of nine ranks."""
-    h = F.col(header)
-    tax = F.regexp_extract(h, r"^[^;]+;(?:.*;)?tax=((?:[dkpcofgst]:[^,;]*,)*[dkpcofgst]:[^,;]*)(?:;.*)?$", 1)
-    parts = F.map_from_entries(F.transform(F.split(tax, ","), lambda x: F.struct(F.substring(x, 1, 1), F.substring(x, 3, 1 << 20))))
-    out = headers.select(F.regexp_extract(h, "^[^;]+", 0).alias("seq_id"), parts.alias("m"))
-    return out.select("seq_id", *[F.try_element_at("m", F.lit(k)).alias(r) for k, r in SINTAX_RANKS.items()])
+    """``id;...;tax=k:X,p:Y`` to an id and a column for each of nine ranks; of a letter given twice the first counts, and a header of another form has nulls."""
+    fields = F.split(header, ";")
+    tax = F.try_element_at(F.filter(F.slice(fields, 2, 1 << 20), lambda x: x.startswith("tax=")), F.lit(-1))
+    parts = F.split(F.substring(tax, 5, 1 << 20), ",")
+    good = F.forall(parts, lambda x: F.substring(x, 2, 1).eqNullSafe(":") & F.substring(x, 1, 1).isin(*SINTAX_RANKS))
+    return headers.select(F.get(fields, F.lit(0)).alias("seq_id"), *[F.when(good, _labelled(parts, f"{k}:")).alias(r) for k, r in SINTAX_RANKS.items()])
+
+
+def _labelled(parts: Column, label: str) -> Column:
+    """What follows ``label`` in the first part that begins with it; null where none does."""
+    return F.substring(F.get(F.filter(parts, lambda x: x.startswith(label)), F.lit(0)), len(label) + 1, 1 << 20)
 
 
 def parse_unite(headers: DataFrame, header: str = "header") -> DataFrame:
-    """``id|k__X;p__Y|code`` to an id and a column for each of seven ranks."""
+    """``id|k__X;p__Y|code`` to an id and a column for each of seven ranks; of a letter given twice the first counts, and a header without a bar is an id."""
     fields = F.split(header, r"\|")
-    parts = F.map_from_entries(F.transform(F.split(fields[1], ";"), lambda x: F.struct(F.substring(x, 1, 1), F.substring(x, 4, 1 << 20))))
-    out = headers.select(fields[0].alias("seq_id"), parts.alias("m"))
-    return out.select("seq_id", *[F.nullif(F.try_element_at("m", F.lit(k)), F.lit("")).alias(r) for k, r in UNITE_RANKS.items()])
+    parts = F.split(F.get(fields, F.lit(1)), ";")
+    return headers.select(F.get(fields, F.lit(0)).alias("seq_id"), *[F.nullif(_labelled(parts, f"{k}__"), F.lit("")).alias(r) for k, r in UNITE_RANKS.items()])
 
 
 def parse_bold(headers: DataFrame, header: str = "header") -> DataFrame:
@@ -147,8 +151,14 @@ def tree_by_leaves(paths: DataFrame, col: str = "classification", outgroup: str
     return _with_ids(every.select("classification", "rank", "parent", (F.col("n") / F.lit(float(total))).alias("prior")), outgroup)
 
 
-def path_probabilities(rows: DataFrame, ranks: tuple[str, ...] = DEFAULT.ranks, id_col: str = "seq_id", path: str = "path", prob: str = "prob", least: float = 0.0) -> DataFrame:
-    """Leaf paths with a probability to ``seq_id, rank, parent_taxonomy, taxon, prob``: sums over leaves, from ``least`` on."""
+def path_probabilities(rows: DataFrame, ranks: tuple[str, ...] = DEFAULT.ranks, id_col: str = "seq_id", path: str = "path", prob: str = "prob", least: float = 0.0, most: int | None = None) -> DataFrame:
+    """Leaf paths with a probability to ``seq_id, rank, parent_taxonomy, taxon, prob``: sums over leaves, from ``least`` on.
+
+    Of each id only its ``most`` likeliest leaves count, ties to the path that sorts first.
+    """
+    if most is not None:
+        place = F.row_number().over(Window.partitionBy(id_col).orderBy(F.desc(prob), path))
+        rows = rows.select(id_col, path, prob).withColumn("_place", place).filter(F.col("_place") <= most)
     parts = F.split(path, ",")
     each = rows.select(id_col, F.col(prob).alias("p"), parts.alias("_t"), F.posexplode(parts).alias("i", "taxon"))
     parent = F.when(F.col("i") > 0, F.array_join(F.slice("_t", F.lit(1), F.col("i")), ","))

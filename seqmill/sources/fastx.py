@@ -1,16 +1,15 @@
 """FASTA and FASTQ as tables: reading, writing, splitting, interleaving, renaming, random access.
 
 A record's number in its file is a column, and everything that the order of a
-file means is said with it. Compressed files can't be split, so a file is one
-task; read once, store as Parquet, and go on from there.
+file means is said with it. Compressed files can't be split, so such a file is one
+task, which streams it; read once, store as Parquet, and go on from there.
 """
 
 from __future__ import annotations
 
-import gzip
-import io
+import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.session import numbered
@@ -18,56 +17,53 @@ from ..functions.session import numbered
 SCHEMA = "file string, rec_idx long, name string, description string, seq string, qual string"
 
 
-def records(data: io.TextIOBase, fastq: bool):
-    """(name, description, sequence, quality) of each record; FASTA sequences may have several lines, each record keeps its own header."""
-    if fastq:
-        while header := data.readline():
-            header = header.rstrip("\r\n")
-            if not header:
-                continue
-            seq, _, qual = (data.readline().rstrip("\r\n") for _ in range(3))
-            name, _, rest = header[1:].partition(" ")
-            yield name, rest, seq, qual
-        return
-    header, parts = None, []
-    for line in data:
-        line = line.rstrip("\r\n")
-        if line.startswith(">"):
-            if header is not None:
-                name, _, rest = header.partition(" ")
-                yield name, rest, "".join(parts), None
-            header, parts = line[1:], []
-        elif line and header is not None:
-            parts.append(line.strip())
-    if header is not None:
-        name, _, rest = header.partition(" ")
-        yield name, rest, "".join(parts), None
+def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """``file, block, at, value``: every line with the split that it lies in, and a number that rises inside it.
+
+    Spark's own reader fetches and splits the files, so any store and any size will do.
+    """
+    return spark.read.text(paths).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), "value")
+
+
+def _bases(lines: DataFrame, counted) -> DataFrame:
+    """``file, block, first, before`` of each split: its first line's number, and what is ``counted`` in the file's splits before it. One row a split."""
+    per = lines.groupBy("file", "block").agg(F.min("at").alias("first"), F.sum(counted.cast("long")).alias("n"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    return per.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).select("file", "block", "first", "before")
+
+
+def _headed(rows: DataFrame, header, seq, qual) -> DataFrame:
+    name = F.substring_index(header, " ", 1)
+    return rows.select("file", "rec_idx", name.alias("name"), F.substring(header, F.length(name) + 2, F.length(header)).alias("description"), seq.alias("seq"), qual.alias("qual"))
+
+
+def _fastq(lines: DataFrame) -> DataFrame:
+    at = lines.join(_bases(lines, F.lit(1)), ["file", "block"]).withColumn("at", F.col("before") + F.col("at") - F.col("first"))
+    field = lambda k: F.max(F.when(F.pmod("at", F.lit(4)) == k, F.col("value")))
+    rows = at.groupBy("file", F.floor(F.col("at") / 4 + 1).alias("rec_idx")).agg(field(0).alias("h"), field(1).alias("s"), field(3).alias("q")).filter("h <> ''")
+    return _headed(rows, F.substring("h", 2, 1 << 30), F.coalesce("s", F.lit("")), F.coalesce("q", F.lit("")))
+
+
+def _fasta(lines: DataFrame) -> DataFrame:
+    head = F.col("value").startswith(">")
+    inside = Window.partitionBy("file", "block").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    at = lines.withColumn("own", F.sum(head.cast("long")).over(inside)).join(_bases(lines, head), ["file", "block"])
+    part = F.when(~head, F.struct("block", "at", F.trim("value").alias("value")))
+    rows = at.groupBy("file", (F.col("before") + F.col("own")).alias("rec_idx")).agg(F.max(F.when(head, F.col("value"))).alias("h"), F.collect_list(part).alias("parts")).filter("rec_idx > 0")
+    return _headed(rows, F.substring("h", 2, 1 << 30), F.array_join(F.transform(F.array_sort("parts"), lambda x: x["value"]), ""), F.lit(None).cast("string"))
 
 
 def read_fastx(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Records of files, numbered from 1 in each file. Spark's own reader fetches the bytes, so any store will do."""
-    files = spark.read.format("binaryFile").load(paths if isinstance(paths, list) else [paths]).select("path", "content")
-
-    def run(batches):
-        import pandas as pd
-
-        for pdf in batches:
-            for path, content in zip(pdf.path, pdf.content, strict=True):
-                raw = io.BytesIO(bytes(content))
-                raw = gzip.GzipFile(fileobj=raw) if content[:2] == b"\x1f\x8b" else raw
-                text = io.TextIOWrapper(raw, "utf-8")
-                stem = path.removesuffix(".gz")
-                fastq = stem.endswith(("fastq", "fq"))
-                rows, k = [], 0
-                for k, r in enumerate(records(text, fastq), 1):
-                    rows.append((path, k, *r))
-                    if len(rows) == 20_000:
-                        yield pd.DataFrame(rows, columns=["file", "rec_idx", "name", "description", "seq", "qual"])
-                        rows = []
-                if rows:
-                    yield pd.DataFrame(rows, columns=["file", "rec_idx", "name", "description", "seq", "qual"])
-
-    return files.mapInPandas(run, SCHEMA)
+    """Records of files, numbered from 1 in each file; which are FASTQ their names tell, and which are compressed too.
+
+    Lines are read in splits, and splits' counts number the records, so a file is as many tasks as it has splits.
+    FASTQ has four lines a record, blank lines at its end don't count; FASTA sequences may have several lines.
+    """
+    lines = _lines(spark, paths if isinstance(paths, list) else [paths])
+    fastq = r"\.(fastq|fq)(\.gz)?$"
+    named = [bool(re.search(fastq, f)) for f in lines.inputFiles()]  # the driver's own list of files
+    found = [read(lines.filter(F.col("file").rlike(fastq) == kind)) for read, kind in ((_fastq, True), (_fasta, False)) if kind in named]
+    return found[0].unionByName(found[1]) if len(found) == 2 else found[0] if found else spark.createDataFrame([], SCHEMA)
 
 
 def joined(reads: DataFrame, files: list[str]) -> DataFrame:
@@ -75,7 +71,7 @@ def joined(reads: DataFrame, files: list[str]) -> DataFrame:
     counts = {r["file"]: r["n"] for r in reads.groupBy("file").agg(F.max("rec_idx").alias("n")).collect()}  # one row a file
     start, base = 0, {}
     for f in files:
-        match = next((k for k in counts if k == f or k.endswith(f)), None)
+        match = next((k for k in counts if k == f or k.endswith("/" + f.lstrip("/"))), None)
         if match:
             base[match] = start
             start += counts[match]
@@ -126,7 +122,11 @@ def extract(reads: DataFrame, wanted: DataFrame, renumber: bool = False, rec: st
 
 
 def range_hash(reads: DataFrame, start: int, n: int, rec: str = "rec_idx") -> DataFrame:
-    """A digest of ``n`` records from ``start``: of the records' own digests in order, 32 bytes each."""
-    own = F.md5(F.concat_ws("\n", "name", "seq", F.coalesce("qual", F.lit(""))))
-    part = reads.filter((F.col(rec) >= start) & (F.col(rec) < start + n)).select(F.struct(F.col(rec), own.alias("h")).alias("x"))
-    return part.agg(F.md5(F.array_join(F.transform(F.sort_array(F.collect_list("x")), lambda x: x["h"]), "")).alias("hash"))
+    """A digest of ``n`` records from ``start`` and of their order: sums over 128 bits of each record's digest with its place.
+
+    Sums are made where records lie, so no list of records meets in one task.
+    """
+    own = F.md5(F.concat_ws("\n", (F.col(rec) - start).cast("string"), "name", "seq", F.coalesce("qual", F.lit(""))))
+    part = reads.filter((F.col(rec) >= start) & (F.col(rec) < start + n)).select(own.alias("h"))
+    words = [F.sum(F.conv(F.substring("h", i, 8), 16, 10).cast("decimal(38,0)")) for i in (1, 9, 17, 25)]
+    return part.agg(F.md5(F.concat_ws(",", F.count(F.lit(1)).cast("string"), *[F.coalesce(w, F.lit(0)).cast("string") for w in words])).alias("hash"))
