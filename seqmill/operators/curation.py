@@ -7,6 +7,7 @@ and which is abundant enough beside it, and parents are followed to the root.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -61,22 +62,94 @@ def merged_table(table: DataFrame, parents: DataFrame, id_col: str = "seq_idx")
     return out.groupBy(*keys, id_col).agg(F.sum("nread").cast("bigint").alias("nread"))
 
 
-def sample_matches(table: DataFrame, seqs: DataFrame, threshold: float = 0.1, longest: int = 2000) -> DataFrame:
+def sample_matches(table: DataFrame, seqs: DataFrame, threshold: float = 0.1, longest: int = 2000, gaps: bool = False) -> DataFrame:
     """Pairs of one sample whose edit distance over the longer length is at most the threshold, with both counts.
 
-    Pairs of sequences that meet in any sample are measured once. Lengths alone
-    rule out most; the distance itself stops at its limit.
+    ``near_pairs`` finds the pairs of sequences, whatever their samples, so that no sample's rows are all paired.
     """
+    near = near_pairs(seqs, threshold, longest, gaps)
     a = table.select("sample", F.col("seq_idx").alias("seq_idx1"), F.col("nread").alias("nread1"))
     b = table.select("sample", F.col("seq_idx").alias("seq_idx2"), F.col("nread").alias("nread2"))
-    met = a.join(b, "sample").filter("seq_idx1 < seq_idx2")
-    one = seqs.select(F.col("seq_idx").alias("seq_idx1"), F.col("seq").alias("s1"))
-    two = seqs.select(F.col("seq_idx").alias("seq_idx2"), F.col("seq").alias("s2"))
+    out = a.join(near, "seq_idx1").join(b, ["sample", "seq_idx2"])
+    return out.select("sample", "seq_idx1", "seq_idx2", "nread1", "nread2", "dist", *(("align_length", "n_gap", "max_gap") if gaps else ()))
+
+
+def near_pairs(seqs: DataFrame, threshold: float = 0.1, longest: int = 2000, gaps: bool = False) -> DataFrame:
+    """``seq_idx1, seq_idx2, dist`` of sequences, the smaller index first, whose edit distance over the longer length is at most the threshold.
+
+    k edits spoil k * q of a sequence's q-grams at most, so of two near sequences the k * q + 1 rarest q-grams have one in
+    common; only such pairs are measured. Sequences with fewer different q-grams, short or repetitive ones, are held
+    against all of a fitting length. With ``gaps`` come the columns of ``gap_stats``. Null sequences have no pairs.
+    """
+    if not 0 <= threshold < 1:
+        raise ValueError("the threshold lies from 0 up to 1")
+    wide = threshold / (1 - threshold)  # edits over the shorter length
+    q = max(2, min(12, int(0.6 / wide))) if wide else 12
+    n = F.length("seq")
+    s = seqs.select("seq_idx", "seq", n.alias("n"), F.floor(n * wide + 1e-9).alias("k")).filter("seq is not null")
+    grams = F.when(F.col("n") >= q, F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(n - q + 1, F.lit(1))), lambda i: F.substr("seq", i, F.lit(q))))).otherwise(F.array())
+    s = s.withColumn("grams", grams).withColumn("heads", F.col("k") * q + 1)
+    strong = F.size("grams") >= F.col("heads")
+    each = s.filter(strong).select("seq_idx", "n", "heads", F.explode("grams").alias("gram"))
+    rank = each.groupBy("gram").agg(F.count(F.lit(1)).alias("c"))
+    heads = each.join(rank, "gram").groupBy("seq_idx", "n", "heads").agg(F.sort_array(F.collect_list(F.struct("c", "gram"))).alias("g"))
+    heads = heads.select("seq_idx", "n", F.explode(F.slice("g", F.lit(1), F.col("heads").cast("int"))).alias("x")).select("seq_idx", "n", "x.gram")
+    fits = F.abs(F.col("n") - F.col("n2")) <= F.floor(F.greatest("n", "n2") * threshold + 1e-9)
+    met = heads.join(heads.select(F.col("seq_idx").alias("id2"), F.col("n").alias("n2"), "gram"), "gram").filter(fits & (F.col("seq_idx") < F.col("id2"))).select("seq_idx", "id2")
+    lengths = F.sequence(F.ceil(F.col("n") * (1 - threshold) - 1e-9), F.floor(F.col("n") * (1 + wide) + 1e-9))
+    weak = s.filter(~strong).select("seq_idx", "n", F.explode(lengths).alias("n2"))
+    more = weak.join(s.select(F.col("seq_idx").alias("id2"), F.col("n").cast("long").alias("n2")), "n2").filter(fits & (F.col("seq_idx") != F.col("id2"))).select(F.least("seq_idx", "id2").alias("seq_idx"), F.greatest("seq_idx", "id2").alias("id2"))
+    one = s.select(F.col("seq_idx").alias("seq_idx1"), F.col("seq").alias("s1"))
+    two = s.select(F.col("seq_idx").alias("seq_idx2"), F.col("seq").alias("s2"))
     top = F.greatest(F.length("s1"), F.length("s2"))
-    limit = F.floor(top * threshold)
-    near = met.select("seq_idx1", "seq_idx2").distinct().join(one, "seq_idx1").join(two, "seq_idx2").filter(F.abs(F.length("s1") - F.length("s2")) <= limit)
+    limit = F.floor(top * threshold + 1e-9)
     # a distance above the cap comes as -1, so pairs that may have one are measured without it
     d = F.when(limit > longest, F.levenshtein("s1", "s2")).otherwise(F.levenshtein("s1", "s2", longest))
-    near = near.withColumn("d", d).filter((F.col("d") >= 0) & (F.col("d") <= limit))
-    near = near.select("seq_idx1", "seq_idx2", (F.col("d") / F.greatest(top, F.lit(1))).alias("dist"))
-    return met.join(near, ["seq_idx1", "seq_idx2"]).select("sample", "seq_idx1", "seq_idx2", "nread1", "nread2", "dist")
+    near = met.union(more).distinct().toDF("seq_idx1", "seq_idx2").join(one, "seq_idx1").join(two, "seq_idx2")
+    near = near.withColumn("d", d).filter((F.col("d") >= 0) & (F.col("d") <= limit)).withColumn("dist", F.col("d") / F.greatest(top, F.lit(1)))
+    if not gaps:
+        return near.select("seq_idx1", "seq_idx2", "dist")
+    kind = dict(near.dtypes)["seq_idx1"]
+
+    def run(batches):
+        import pandas as pd
+
+        for pdf in batches:
+            stats = [gap_stats(a, b, k) for a, b, k in zip(pdf.s1, pdf.s2, pdf.d, strict=True)]
+            yield pd.concat([pdf[["seq_idx1", "seq_idx2", "dist"]], pd.DataFrame(stats, columns=["align_length", "n_gap", "max_gap"], index=pdf.index)], axis=1)
+
+    return near.select("seq_idx1", "seq_idx2", "dist", "s1", "s2", "d").mapInPandas(run, f"seq_idx1 {kind}, seq_idx2 {kind}, dist double, align_length long, n_gap long, max_gap long")
+
+
+def gap_stats(a: str, b: str, edits: int) -> tuple[int, int, int]:
+    """Columns, gap letters and the longest run of gaps of one side, of a global alignment of the fewest ``edits`` and then the fewest gap letters.
+
+    A band about the diagonal, as wide as the edits allow, is enough. Of equal ways back a column of two letters
+    comes before a gap in ``b``, and that before one in ``a``.
+    """
+    x, y = (np.frombuffer(t.encode("utf-32-le"), np.uint32) for t in (a, b))
+    n, m, far = len(x), len(y), 1 << 50
+    wrong = n + m + 1
+    gap, c = wrong + 1, np.arange(2 * edits + 1)
+    cost = np.full((n + 1, len(c)), far, np.int64)
+    row = c - edits
+    cost[0] = np.where((row >= 0) & (row <= m), gap * row, far)
+    for i in range(1, n + 1):
+        j = i - edits + c
+        pair = cost[i - 1] + np.where(x[i - 1] != y[np.clip(j - 1, 0, max(m - 1, 0))], wrong, 0) if m else np.full(len(c), far)
+        up = np.append(cost[i - 1, 1:], far) + gap
+        best = np.where((j >= 0) & (j <= m), np.minimum(np.where(j >= 1, pair, far), up), far)
+        best = np.minimum.accumulate(best - gap * c) + gap * c
+        cost[i] = np.where((j >= 0) & (j <= m), np.minimum(best, far), far)
+    i, j, columns, gaps, longest, run, last = n, m, 0, 0, 0, 0, ""
+    while i or j:
+        at, k = cost[i, j - i + edits], j - i + edits
+        if i and j and at == cost[i - 1, k] + (wrong if x[i - 1] != y[j - 1] else 0):
+            i, j, side = i - 1, j - 1, ""
+        elif i and k + 1 < len(c) and at == cost[i - 1, k + 1] + gap:
+            i, side = i - 1, "b"
+        else:
+            j, side = j - 1, "a"
+        run = run + 1 if side and side == last else int(bool(side))
+        last, columns, gaps, longest = side, columns + 1, gaps + bool(side), max(longest, run)
+    return columns, gaps, longest

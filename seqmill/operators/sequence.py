@@ -150,11 +150,14 @@ def walk_cigar(true: str, obs: str, qual: str, cigar: str, offset: int = 33, ind
     """(transition, score) of each aligned letter; with ``indel`` each gap twice, at the letter before and after.
 
     ``X2Y`` is true to observed; ``_2XY`` a letter Y inserted beside X, ``XY2_`` one that is lost.
+    Steps end where a sequence or the scores do.
     """
     out, i, j = [], 0, 0
+    obs = obs[: len(qual)]
     score = lambda k: ord(qual[k]) - offset
     steps = [(int(n), c) for n, c in _STEP.findall(cigar)] or [(len(obs), "=")]
     for n, c in steps:
+        n = min(n, len(true) - i if c == "D" else len(obs) - j if c == "I" else min(len(true) - i, len(obs) - j))
         if c in "=XM":
             out += [(f"{true[i + k]}2{obs[j + k]}", score(j + k)) for k in range(n)]
             i, j = i + n, j + n
@@ -194,25 +197,61 @@ def transitions(rows: DataFrame, offset: int = 33, indel: bool = False) -> DataF
 
 
 def error_rates(counts: np.ndarray, scores: np.ndarray, bins: tuple[int, ...] = (2, 11, 25, 37)) -> np.ndarray:
-    """16 by score rates from 16 by score counts, for scores that come in bins: linear between them, flat beyond.
+    """16 by score rates from 16 by score counts, for scores that come in bins: linear between bins, flat beyond.
 
-    Rows are A2A, A2C, ... T2T; rates lie from 1e-7 to 0.25 and each true letter's add up to one.
+    Rows are A2A, A2C, ... T2T; rates are wrong letters over all of the true letter's, from 1e-7 to 0.25, and each
+    true letter's add up to one. A bin without letters is left out, and a true letter without any has the highest
+    rates. Counts at scores below the least bin or above the greatest are an error.
     """
-    counts = np.asarray(counts, float)
+    counts, scores, bins = np.asarray(counts, float), np.asarray(scores), np.unique(bins)
+    seen = scores[counts.sum(0) > 0]
+    if len(seen) and (seen.max() > bins.max() or seen.min() < bins.min()):
+        raise ValueError(f"scores from {seen.min()} to {seen.max()} aren't within the bins from {bins.min()} to {bins.max()}")
     out = np.zeros((16, len(scores)))
     total = counts.reshape(4, 4, -1).sum(1)
     for row in range(16):
-        if row // 4 == row % 4:
-            continue
-        at, y = [], []
-        for q in bins:
-            k = np.flatnonzero(np.asarray(scores) == q)
-            if len(k) and total[row // 4, k[0]] > 0:
-                at.append(q)
-                y.append((counts[row, k[0]] + 1) / total[row // 4, k[0]])
-        out[row] = np.clip(np.interp(scores, at, y) if at else 0.25, 1e-7, 0.25)
+        if row // 4 != row % 4:
+            known = np.flatnonzero(np.isin(scores, bins) & (total[row // 4] > 0))
+            rate = counts[row, known] / total[row // 4, known]
+            out[row] = np.clip(np.interp(scores, scores[known], rate) if len(known) else 0.25, 1e-7, 0.25)
+    return _completed(out)
+
+
+def _completed(rates: np.ndarray) -> np.ndarray:
+    """With each true letter's own rate, what the wrong letters leave."""
     for a in range(4):
-        out[5 * a] = 1 - out[4 * a : 4 * a + 4].sum(0)
+        rates[5 * a] = 0
+        rates[5 * a] = 1 - rates[4 * a : 4 * a + 4].sum(0)
+    return rates
+
+
+def smoothed_rates(counts: np.ndarray, scores: np.ndarray, span: float = 0.75) -> np.ndarray:
+    """16 by score rates from 16 by score counts, for scores that don't come in bins.
+
+    The logarithm of (wrong + 1) / all is smoothed over the scores by local quadratics, weighted by the letters at a
+    score and by nearness; beyond the scores with letters the curve is flat. Limits are those of ``error_rates``.
+    """
+    counts, scores = np.asarray(counts, float), np.asarray(scores, float)
+    out = np.zeros((16, len(scores)))
+    total = counts.reshape(4, 4, -1).sum(1)
+    for row in range(16):
+        weight = total[row // 4]
+        known = np.flatnonzero(weight > 0)
+        if row // 4 != row % 4:
+            y = np.log10((counts[row, known] + 1) / weight[known])
+            out[row] = np.clip(10 ** np.interp(scores, scores[known], local_quadratics(scores[known], y, weight[known], span)) if len(known) else 0.25, 1e-7, 0.25)
+    return _completed(out)
+
+
+def local_quadratics(x: np.ndarray, y: np.ndarray, weight: np.ndarray, span: float) -> np.ndarray:
+    """The value at each of ``x`` of the parabola fitted to the nearest share ``span`` of the points, tricube weights of the distance."""
+    near = min(len(x), max(3, int(np.ceil(span * len(x)))))
+    out = np.empty(len(x))
+    for i, at in enumerate(x):
+        d = np.abs(x - at)
+        reach = max(np.partition(d, near - 1)[near - 1], 1e-9)
+        w = np.sqrt(weight * np.clip(1 - np.minimum(d / (reach * (1 + 1e-6)), 1) ** 3, 0, None) ** 3)
+        out[i] = np.linalg.lstsq(w[:, None] * np.vander(x - at, min(3, len(x)), increasing=True), w * y, rcond=None)[0][0]
     return out
 
 
@@ -221,7 +260,17 @@ def binned(scores: list[int]) -> bool:
     return len(set(scores)) < 10
 
 
-_INDICATORS = "array<struct<indicator:string,pos:int,len:int>>"
+def _runs(text: Column, pattern: str) -> Column:
+    """``pos`` from 1 and ``len`` of every match, as an array: what lies between matches is added up."""
+    both = F.arrays_zip(F.split(text, pattern, -1).alias("rest"), F.regexp_extract_all(text, F.lit(f"({pattern})")).alias("run"))
+    begin = F.struct(F.lit(1).alias("at"), F.array().cast("array<struct<pos:int,len:int>>").alias("found"))
+
+    def step(acc, x):
+        at = acc["at"] + F.length(x["rest"])
+        n = F.length(F.coalesce(x["run"], F.lit("")))
+        return F.struct((at + n).alias("at"), F.when(n > 0, F.array_append(acc["found"], F.struct(at.alias("pos"), n.alias("len")))).otherwise(acc["found"]).alias("found"))
+
+    return F.aggregate(both, begin, step)["found"]
 
 
 def nuclear_copies(rows: DataFrame, end: int = 659, seq: str = "seq", id_col: str = "seq_id") -> DataFrame:
@@ -230,22 +279,16 @@ def nuclear_copies(rows: DataFrame, end: int = 659, seq: str = "seq", id_col: st
     Lower-case ends go first. A run of gaps or of lower case whose length is no
     multiple of three is a frameshift, unless it begins at 1 or ends before
     ``end``; TAA or TAG is a stop codon where its place from 1 leaves 2 by three.
+    Null and empty sequences have neither.
     """
+    x = rows.select(id_col, F.regexp_replace(F.coalesce(F.col(seq), F.lit("")), "^[acgt]+|[acgt]+$", "").alias("x"))
+    shifts = F.filter(_runs(F.col("x"), "-+|[acgt]+"), lambda r: (r["pos"] != 1) & (r["pos"] + r["len"] != end) & (r["len"] % 3 != 0))
+    stops = F.filter(_runs(F.col("x"), "TA[GA]"), lambda r: r["pos"] % 3 == 2)
 
-    @F.pandas_udf(_INDICATORS)
-    def found(s):
-        import pandas as pd
-
-        out = []
-        for x in s:
-            x = re.sub("^[acgt]+|[acgt]+$", "", x or "")
-            shifts = [("frameshift", m.start() + 1, m.end() - m.start()) for m in re.finditer("-+|[acgt]+", x)]
-            shifts = [t for t in shifts if t[1] != 1 and t[1] + t[2] != end and t[2] % 3]
-            stops = [("stop_codon", m.start() + 1, 3) for m in re.finditer("TA[GA]", x) if (m.start() + 1) % 3 == 2]
-            out.append([{"indicator": a, "pos": b, "len": c} for a, b, c in shifts + stops])
-        return pd.Series(out)
+    def named(found: Column, name: str) -> Column:
+        return F.transform(found, lambda r: F.struct(F.lit(name).alias("indicator"), r["pos"].alias("pos"), r["len"].alias("len")))
 
-    return rows.select(id_col, F.explode(found(F.col(seq))).alias("x")).select(id_col, "x.indicator", "x.pos", "x.len")
+    return x.select(id_col, F.explode(F.concat(named(shifts, "frameshift"), named(stops, "stop_codon"))).alias("r")).select(id_col, "r.indicator", "r.pos", "r.len")
 
 
 def consensus_columns(aligned: Column, reference: str) -> Column:

@@ -184,10 +184,10 @@ def provenance_tag_jump(spark, d):
     return tagjump.flag_reads(reads, tagjump.score(views.seqtab(spark, d), 0.05, 0.05)).select("l_orderkey", "l_linenumber", "sample", "seq_idx", "flags")
 
 
-@query(with_views("""SELECT * FROM (SELECT seq_idx, COUNT(*) FILTER (nread < 20) AS nflag, COUNT(*) AS nsam FROM seqtab_runs GROUP BY 1)
+@query(with_views("""SELECT * FROM (SELECT seq_idx, COUNT(*) FILTER (nread < 45) AS nflag, COUNT(*) AS nsam FROM seqtab_runs GROUP BY 1)
 WHERE nflag >= nsam OR (nflag > 0 AND nflag >= (nsam - 1) * 0.9::DOUBLE)""", "seqtab_runs"))
 def chimera_consensus(spark, d):
-    per = views.seqtab_runs(spark, d).groupBy("seq_idx", "seqrun").agg(F.count_if(F.col("nread") < 20).alias("nflag"), F.count(F.lit(1)).alias("nsam"))
+    per = views.seqtab_runs(spark, d).groupBy("seq_idx", "seqrun").agg(F.count_if(F.col("nread") < 45).alias("nflag"), F.count(F.lit(1)).alias("nsam"))
     return chimera.consensus(per)
 
 
@@ -395,7 +395,7 @@ SELECT i.taxon_id, COALESCE(p.taxon_id, 0), i.rank, i.c, ROUND(CASE i.rank WHEN
  ELSE 0.99 / n * (SELECT COUNT(*) FROM paths WHERE classification = i.c OR starts_with(classification, i.c || ',')) END::DOUBLE, 6)
 FROM ids i LEFT JOIN ids p ON i.parent = p.c, n""", "paths"))
 def build_taxonomy(spark, d):
-    p = views.paths(spark, d).cache()
+    p = views.paths(spark, d)
     inner = p.select(tx.truncate(F.col("classification"), 1).alias("classification")).union(p.select(tx.truncate(F.col("classification"), 2)))
     return taxonomy.tree(p.union(inner)).withColumn("prior", F.round("prior", 6))
 
@@ -512,9 +512,17 @@ def preclosed_large(spark, d):
     return cluster.large(_pre(spark, d), "order", _LIMIT).selectExpr(*_COLS)
 
 
-@query()
+_SMALL = """, t AS (SELECT p AS sp, ops AS sops, ROW_NUMBER() OVER (ORDER BY p) AS i FROM w WHERE ops <= {n}),
+b(i, bins, bin) AS (SELECT 0::BIGINT, []::BIGINT[], 0::BIGINT UNION ALL
+ SELECT b.i + 1, CASE WHEN f IS NULL THEN list_append(bins, t.sops) ELSE list_concat(list_append(bins[:f - 1], bins[f] + t.sops), bins[f + 1:]) END, COALESCE(f, len(bins) + 1)
+ FROM (SELECT b.*, (SELECT MIN(j) FROM range(1, len(bins) + 1) r(j) WHERE bins[j] + (SELECT sops FROM t WHERE t.i = b.i + 1) <= {n}) AS f FROM b) b JOIN t ON t.i = b.i + 1)"""
+_BINNED = "JOIN t ON p = sp JOIN b ON b.i = t.i"
+_MOST = 1200
+
+
+@query(with_views(_PRE + _SMALL.format(n=_MOST) + _WORK.format(g="bin", where=_BINNED), "taxa", recursive=True))
 def preclosed_small(spark, d):
-    return cluster.small(_pre(spark, d), "order", 1e6).selectExpr(*_COLS)
+    return cluster.small(_pre(spark, d), "order", _MOST).selectExpr(*_COLS)
 
 
 @query(with_views(_DEN + _WORK.format(g="tar_group", where="WHERE family IS NULL"), "taxa"))
@@ -527,9 +535,9 @@ def predenovo_large(spark, d):
     return cluster.large(_den(spark, d), "order", 30).selectExpr(*_COLS)
 
 
-@query()
+@query(with_views(_DEN + _SMALL.format(n=100) + _WORK.format(g="bin", where=_BINNED + " WHERE family IS NULL"), "taxa", recursive=True))
 def predenovo_small(spark, d):
-    return cluster.small(_den(spark, d), "order", 1e6).selectExpr(*_COLS)
+    return cluster.small(_den(spark, d), "order", 100).selectExpr(*_COLS)
 
 
 @query("""WITH RECURSIVE w AS (SELECT c_custkey AS k, ROW_NUMBER() OVER (ORDER BY c_custkey) AS i, CAST(c_nationkey + 1 AS DOUBLE) AS w FROM customer),
@@ -554,18 +562,28 @@ _COS = "round(1 - list_cosine_similarity(a.e, b.e), 9)"
 
 
 @query(f"""WITH {_VEC}, k AS (SELECT * FROM vecs WHERE e[1] > 0), u AS (SELECT * FROM vecs WHERE NOT e[1] > 0)
-SELECT id, ref FROM (SELECT a.id, b.id AS ref, ROW_NUMBER() OVER (PARTITION BY a.id ORDER BY {_COS}, b.id) AS r FROM u a JOIN k b ON a.block = b.block AND {_COS} <= 0.6::DOUBLE) WHERE r = 1""")
+SELECT id, ref FROM (SELECT a.id, b.id AS ref, ROW_NUMBER() OVER (PARTITION BY a.id ORDER BY {_COS}, b.id) AS r FROM u a JOIN k b ON a.block = b.block AND {_COS} <= 0.75::DOUBLE) WHERE r = 1""")
 def closed_ref(spark, d):
     v = _vectors(spark, d)
     known = F.get("v", F.lit(0)) > 0
-    return cluster.closed_reference(v.filter(~known), v.filter(known), "block", 0.6)
+    return cluster.closed_reference(v.filter(~known), v.filter(known), "block", 0.75)
 
 
 @query()
 def closed_ref_closure(spark, d):
     v = _vectors(spark, d)
     known = F.get("v", F.lit(0)) > 0.2
-    return cluster.closed_reference(v.filter(~known), v.filter(known), "block", 0.6, closure=True)
+    return cluster.closed_reference(v.filter(~known), v.filter(known), "block", 0.7, closure=True)
+
+
+@query(f"""WITH RECURSIVE {_VEC}, p AS (SELECT a.id, b.id AS id2, {_COS} AS d FROM vecs a JOIN vecs b ON a.block = b.block AND a.id < b.id AND {_COS} <= 0.7::DOUBLE),
+prior AS (SELECT id2, list(id) AS ids FROM p GROUP BY 1), n AS (SELECT id, COALESCE(ids, []) AS ids, ROW_NUMBER() OVER (ORDER BY id) AS i FROM vecs LEFT JOIN prior ON id = id2),
+g(i, found) AS (SELECT 0::BIGINT, []::BIGINT[] UNION ALL SELECT n.i, CASE WHEN list_has_any(found, ids) THEN found ELSE list_append(found, n.id) END FROM g JOIN n ON n.i = g.i + 1),
+c AS (SELECT unnest(found) AS id FROM (SELECT found FROM g ORDER BY i DESC LIMIT 1))
+SELECT query, hit FROM (SELECT p.id2 AS query, p.id AS hit, ROW_NUMBER() OVER (PARTITION BY p.id2 ORDER BY d, p.id) AS r FROM p JOIN c ON p.id = c.id WHERE p.id2 NOT IN (SELECT id FROM c)) WHERE r = 1""")
+def greedy_clusters(spark, d):
+    v = _vectors(spark, d)
+    return cluster.greedy(cluster.vector_pairs(v, v, "block", 0.7).filter("id < id2").select("id", "id2", "dist"), v)
 
 
 _T = {"loose": 0.6, "tight": 0.5}
@@ -689,9 +707,9 @@ def expected_errors(spark, d):
     return table(spark, d, "part").select("p_partkey", F.round(dna.expected_errors(F.col("p_brand")), 9).alias("ee"))
 
 
-@query(f"SELECT p_partkey FROM part WHERE {_EE} <= 0.2::DOUBLE AND length(p_name) >= 5")
+@query(f"SELECT p_partkey FROM part WHERE {_EE} <= 0.665::DOUBLE AND length(p_name) >= 8")
 def filter_reads(spark, d):
-    return sequence.filter_reads(table(spark, d, "part"), max_ee=0.2, min_length=5, seq="p_name", qual="p_brand").select("p_partkey")
+    return sequence.filter_reads(table(spark, d, "part"), max_ee=0.665, min_length=8, seq="p_name", qual="p_brand").select("p_partkey")
 
 
 @query("SELECT s.p_partkey AS rec_idx, u.derep_idx FROM part s JOIN (SELECT p_name, ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, p_name) AS derep_idx FROM part GROUP BY 1) u USING (p_name)")
@@ -706,18 +724,60 @@ def sample_keys(spark, d):
     return table(spark, d, "customer").select(dna.sample_key(p).alias("key"))
 
 
-@query("""SELECT c || '2' || c AS transition, CAST(ascii(q) - 33 AS INTEGER) AS qual, COUNT(*) AS n FROM (
-SELECT unnest(string_split(p_name, '')) AS c, unnest(string_split(rpad(p_brand, CAST(length(p_name) AS INTEGER), '#'), '')) AS q FROM part) GROUP BY 1, 2""")
+@query("""WITH b AS (SELECT p_name AS t, p_partkey % 3 AS k, rpad(p_brand, CAST(length(p_name) + 1 AS INTEGER), '#') AS q, unnest(range(1, length(p_name) + 1)) AS i FROM part)
+SELECT substr(t, i, 1) || '2' || CASE WHEN k = 0 AND i = 4 THEN 'N' ELSE substr(t, i, 1) END AS transition, CAST(ascii(substr(q, i + CASE WHEN k = 1 AND i > 2 THEN 1 WHEN k = 2 AND i > 3 THEN -1 ELSE 0 END, 1)) - 33 AS INTEGER) AS qual, COUNT(*) AS n
+FROM b WHERE NOT (k = 2 AND i = 3) GROUP BY 1, 2""")
 def transition_matrix(spark, d):
-    p = table(spark, d, "part")
-    q = F.rpad("p_brand", F.length("p_name"), F.lit("#"))
-    return sequence.transitions(p.select(F.col("p_name").alias("true_seq"), F.col("p_name").alias("obs_seq"), q.alias("obs_qual"), F.lit("=").alias("cigar")))
+    p = table(spark, d, "part").withColumn("n", F.length("p_name")).withColumn("k", F.col("p_partkey") % 3)
+    part = lambda a, b=None: F.substr("p_name", F.lit(a), F.lit(b) if b else F.col("n"))
+    obs = F.when(F.col("k") == 0, F.concat(part(1, 3), F.lit("N"), part(5))).when(F.col("k") == 1, F.concat(part(1, 2), F.lit("Z"), part(3))).otherwise(F.concat(part(1, 2), part(4)))
+    step = F.when(F.col("k") == 0, F.format_string("3=1X%d=", F.col("n") - 4)).when(F.col("k") == 1, F.format_string("2=1I%d=", F.col("n") - 2)).otherwise(F.format_string("2=1D%d=", F.col("n") - 3))
+    return sequence.transitions(p.select(F.col("p_name").alias("true_seq"), obs.alias("obs_seq"), F.rpad("p_brand", F.col("n") + 1, F.lit("#")).alias("obs_qual"), step.alias("cigar")))
+
+
+_ALIGNED = "ABCDEFGHIJKLMNOPQRSTUVWXYZ ", "ATAGC-TAagTA-CGATAA-TGtCA-C"
 
 
-@query("SELECT p_partkey AS seq_id, 'stop_codon' AS indicator, 5 AS pos, 3 AS len FROM part UNION ALL SELECT p_partkey, 'frameshift', 4, 1 FROM part")
+@query(f"""WITH s AS (SELECT p_partkey AS seq_id, regexp_replace('acg' || translate(upper(p_name || p_type), '{_ALIGNED[0]}', '{_ALIGNED[1]}'), '^[acgt]+|[acgt]+$', '', 'g') AS x FROM part),
+i AS (SELECT *, unnest(range(1, length(x) + 1)) AS i FROM s),
+c AS (SELECT *, CASE WHEN substr(x, i, 1) = '-' THEN 1 WHEN substr(x, i, 1) IN ('a', 'c', 'g', 't') THEN 2 ELSE 0 END AS own, CASE WHEN i = 1 THEN 0 WHEN substr(x, i - 1, 1) = '-' THEN 1 WHEN substr(x, i - 1, 1) IN ('a', 'c', 'g', 't') THEN 2 ELSE 0 END AS before FROM i),
+f AS (SELECT seq_id, 'frameshift' AS indicator, CAST(i AS INTEGER) AS pos, CAST(length(regexp_extract(substr(x, i), '^(-+|[acgt]+)')) AS INTEGER) AS len FROM c WHERE own > 0 AND own <> before AND i > 1)
+SELECT * FROM f WHERE len % 3 <> 0 AND pos + len <> 20 UNION ALL SELECT seq_id, 'stop_codon', CAST(i AS INTEGER), 3 FROM i WHERE substr(x, i, 3) IN ('TAA', 'TAG') AND i % 3 = 2""")
 def numts(spark, d):
-    a = table(spark, d, "part").select(F.col("p_partkey").alias("seq_id"), F.lit("acgACG-TAAGGGCCC").alias("seq"))
-    return sequence.nuclear_copies(a)
+    aligned = F.concat(F.lit("acg"), F.translate(F.upper(F.concat("p_name", "p_type")), *_ALIGNED))
+    return sequence.nuclear_copies(table(spark, d, "part").select(F.col("p_partkey").alias("seq_id"), aligned.alias("seq")), end=20)
+
+
+@query("""WITH c AS (SELECT c_nationkey AS seq_id, 'Fungi' AS k, 'Fungi,' || c_mktsegment AS p, 'Fungi,' || c_mktsegment || ',' || c_name AS path, (c_custkey % 97 + 1) / 1000.0::DOUBLE AS prob FROM customer),
+b AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY seq_id ORDER BY prob DESC, path) AS r FROM c) WHERE r <= 5)
+SELECT seq_id, 'kingdom' AS rank, NULL AS parent_taxonomy, k AS taxon, ROUND(SUM(prob), 9) AS prob FROM b GROUP BY ALL
+UNION ALL SELECT seq_id, 'phylum', k, string_split(p, ',')[2], ROUND(SUM(prob), 9) FROM b GROUP BY ALL UNION ALL SELECT seq_id, 'class', p, string_split(path, ',')[3], ROUND(SUM(prob), 9) FROM b GROUP BY ALL""")
+def top_leaves(spark, d):
+    c = table(spark, d, "customer").select(F.col("c_nationkey").alias("seq_id"), F.concat_ws(",", F.lit("Fungi"), "c_mktsegment", "c_name").alias("path"), ((F.col("c_custkey") % 97 + 1) / 1000).alias("prob"))
+    return taxonomy.path_probabilities(c, most=5).withColumn("prob", F.round("prob", 9))
+
+
+@query()
+def distance_gaps(spark, d):
+    s = table(spark, d, "supplier")
+    t = s.select((F.col("s_suppkey") % 3).alias("sample"), F.col("s_suppkey").alias("seq_idx"), F.lit(1).alias("nread"))
+    return curation.sample_matches(t, s.select(F.col("s_suppkey").alias("seq_idx"), F.regexp_replace("s_name", "[05]", "").alias("seq")), 0.3, gaps=True)
+
+
+@query()
+def denoise(spark, d):
+    """Uniques of reads made of short texts, with the rates that their scores promise."""
+    from ..operators import denoise as dn
+    import numpy as np
+
+    e = table(spark, d, "events")
+    letters = F.translate(F.md5((F.col("user_id") % 5).cast("string")), "0123456789abcdef", "ACGT" * 4)
+    wrong = F.when(F.col("event_id") % 7 == 0, F.concat(F.lit("A"), F.substr(letters, F.lit(2), F.lit(31)))).otherwise(letters)
+    reads = e.select(F.col("event_type").alias("sample"), wrong.alias("seq"), F.lit("I" * 32).alias("qual"))
+    wrong = np.clip(10 ** (-np.arange(42) / 10), 1e-7, 0.75) / 3
+    rates = np.tile(wrong, (16, 1))
+    rates[::5] = 1 - 3 * wrong
+    return dn.denoise(dn.uniques(reads), rates)
 
 
 @query()
@@ -730,6 +790,7 @@ def primer_trim(spark, d):
 def merge_pairs(spark, d):
     p = table(spark, d, "part")
     rev = F.reverse(F.translate(F.concat(F.lit("ACGTACGTACGTAC"), F.lit("GGTT")), dna.CODES, dna.COMPLEMENTS))
+    rev = F.when(F.col("p_partkey") % 4 == 0, F.lit("C" * 18)).otherwise(rev)  # some mates don't overlap
     return sequence.merge_pairs(p.select(F.col("p_partkey").alias("rec_idx"), F.concat(F.translate(F.upper("p_name"), "BDEFGHIJKLMNOPQRSUVWXYZ ", "CAGTACGTACGTACGTACGTACGTA"), F.lit("ACGTACGTACGTAC")).alias("seq_fwd"), rev.alias("seq_rev")))
 
 

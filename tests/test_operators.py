@@ -100,6 +100,131 @@ def test_error_rates():
     counts = np.ones((16, 4)) * 10
     r = sequence.error_rates(counts, np.array([2, 11, 25, 37]))
     assert r.shape == (16, 4) and np.allclose(r.reshape(4, 4, 4).sum(1), 1)
+    # by hand: A2C 10 of 100 at 2 and 1 of 100 at 6, linear between, flat beyond; none of 11; T has no letters
+    scores = np.arange(9)
+    counts = np.zeros((16, 9))
+    counts[0, [2, 6]], counts[1, [2, 6]] = [90, 99], [10, 1]
+    r = sequence.error_rates(counts, scores, (2, 6, 11))
+    assert np.allclose(r[1], [0.1, 0.1, 0.1, 0.0775, 0.055, 0.0325, 0.01, 0.01, 0.01])
+    assert np.allclose(r[2], 1e-7) and np.allclose(r[0], 1 - r[1] - 2e-7) and np.allclose(r[12], 0.25)
+    for bad in ((3, 6), (2, 5)):
+        with pytest.raises(ValueError):
+            sequence.error_rates(counts, scores, bad)
+
+
+def test_smoothed_rates():
+    scores = np.arange(41)
+    true = 10 ** (-1 - 0.05 * scores - 0.001 * (scores - 20) ** 2)
+    total = np.full(41, 1e9)
+    counts = np.zeros((16, 41))
+    for a in range(4):
+        for b in range(4):
+            counts[4 * a + b] = total * (true if a != b else 1 - 3 * true)
+    counts[:, [0, 1, 40]] = 0
+    r = sequence.smoothed_rates(counts, scores)
+    assert np.allclose(r.reshape(4, 4, -1).sum(1), 1)
+    assert np.allclose(np.log10(r[1][2:40]), np.log10(np.clip(true, 1e-7, 0.25))[2:40], atol=0.02) and r[1][0] == r[1][2] and r[1][40] == r[1][39]
+
+
+def test_gaps_and_near_pairs(spark):
+    rng = random.Random(3)
+
+    def slow(a, b):
+        w, far = len(a) + len(b) + 1, {}
+        for i in range(len(a) + 1):
+            for j in range(len(b) + 1):
+                ways = [far[i - 1, j - 1] + w * (a[i - 1] != b[j - 1])] if i and j else []
+                ways += [far[i - 1, j] + w + 1] if i else []
+                ways += [far[i, j - 1] + w + 1] if j else []
+                far[i, j] = min(ways, default=0)
+        return divmod(far[len(a), len(b)], w)  # edits, gap letters
+
+    words = ["".join(rng.choice("ACGT") for _ in range(rng.randrange(1, 60))) for _ in range(30)]
+    for t in list(words):
+        for _ in range(2):
+            x = list(t)
+            for _ in range(rng.randrange(4)):
+                k = rng.randrange(len(x) + 1)
+                x[k : k + rng.randrange(2)] = rng.choice(["", "A", "CC"])
+            words.append("".join(x))
+    words += ["", "", "A" * 40, "A" * 42, "AC" * 20, "AC" * 21]
+    for a, b in zip(words, words[1:], strict=False):
+        edits, gaps = slow(a, b)
+        columns, found, longest = curation.gap_stats(a, b, edits)
+        assert found == gaps and columns == (len(a) + len(b) + gaps) // 2 and (longest > 0) == (gaps > 0) and longest <= gaps
+    assert curation.gap_stats("AACCGGTT", "AAGGTT", 2) == (8, 2, 2)
+    df = spark.createDataFrame([(i, w) for i, w in enumerate(words)] + [(999, None)], "seq_idx long, seq string")
+    for t in (0.0, 0.1, 0.3):
+        got = {(r[0], r[1]): r[2] for r in curation.near_pairs(df, t).collect()}
+        want = {}
+        for j, b in enumerate(words):
+            for i, a in enumerate(words[:j]):
+                top = max(len(a), len(b))
+                if abs(len(a) - len(b)) <= int(top * t + 1e-9) and (e := slow(a, b)[0]) <= int(top * t + 1e-9):
+                    want[i, j] = e / max(top, 1)
+        assert got == want
+    table = spark.createDataFrame([(1, 0, 5), (1, 30, 6), (2, 30, 7)], "sample long, seq_idx long, nread long")
+    rows = curation.sample_matches(table, df, 0.5, gaps=True).collect()
+    assert all(r["sample"] == 1 and r["align_length"] >= r["n_gap"] >= r["max_gap"] for r in rows)
+
+
+def test_greedy_clusters(spark):
+    rng = random.Random(5)
+    edges = {(i, j): rng.choice([0.1, 0.2]) for i in range(60) for j in range(i + 1, 60) if rng.random() < 0.06}
+    got = dict(map(tuple, cluster.greedy(spark.createDataFrame([(i, j, d) for (i, j), d in edges.items()], "id long, id2 long, dist double"), spark.range(60)).collect()))
+    centroids, want = [], {}
+    for j in range(60):
+        near = [(edges[i, j], i) for i in centroids if (i, j) in edges]
+        if near:
+            want[j] = min(near)[1]
+        else:
+            centroids.append(j)
+    assert got == want and len(want) > 20
+
+
+def test_odd_headers_and_vectors(spark):
+    h = lambda *x: spark.createDataFrame([(t,) for t in x], "header string")
+    assert [tuple(r)[:3] for r in taxonomy.parse_sintax(h("a;tax=d:X,d:Y,k:Z", "b", None, "c;size=2;tax=k:Q;")).select("seq_id", "domain", "kingdom").collect()] == [("a", "X", "Z"), ("b", None, None), (None, None, None), ("c", None, "Q")]
+    assert [(r["seq_id"], r["kingdom"], r["phylum"]) for r in taxonomy.parse_unite(h("a|k__X;k__Y;p__|z", "b", None)).collect()] == [("a", "X", None), ("b", None, None), (None, None, None)]
+    assert sequence.walk_cigar("ACGT", "AC", "II", "4=2I1D") == [("A2A", 40), ("C2C", 40)]
+    v = spark.createDataFrame([(1, "a", [1.0, 0.0]), (2, "a", [1.0, 0.1]), (3, "a", None), (4, "a", [1.0, None]), (5, "a", [1.0]), (6, "a", [0.0, 0.0]), (7, None, [1.0, 0.0])], "id long, block string, v array<double>")
+    assert {(r["id"], r["id2"]) for r in cluster.vector_pairs(v, v, "block", 0.5).filter("id < id2").collect()} == {(1, 2)}
+    hits = spark.createDataFrame([(3, 1), (3, 2)], "query long, hit long")
+    table = spark.createDataFrame([(1, i, 1) for i in (1, 2, 3)], "sample long, seq_idx long, nread long")
+    assert sorted(map(tuple, abundance.collapse(table, hits)[1].collect())) == [(1, 1), (2, 2), (3, 1)]
+
+
+def test_top_leaves(spark):
+    rows = spark.createDataFrame([("s", "a,b", 0.5), ("s", "a,c", 0.3), ("s", "d,e", 0.3), ("s", "d,f", 0.1)], "seq_id string, path string, prob double")
+    got = {(r["parent_taxonomy"], r["taxon"]): round(r["prob"], 9) for r in taxonomy.path_probabilities(rows, most=2).collect()}
+    assert got == {(None, "a"): 0.8, ("a", "b"): 0.5, ("a", "c"): 0.3}
+
+
+def test_fastx_in_splits(spark, tmp_path):
+    """Small splits, several files, empty reads, and records over many lines, all numbered as in the files."""
+    rng = random.Random(4)
+    fq = [[(f"r{i} {'x' * rng.randrange(3)}", "ACGT" * rng.randrange(5)) for i in range(300)] for _ in range(2)]
+    for k, reads in enumerate(fq):
+        (tmp_path / f"{k}.fastq").write_text("".join(f"@{h}\r\n{s}\r\n+\r\n{'I' * len(s)}\r\n" for h, s in reads) + "\r\n")
+    fa = [(f"s{i}", ["AC" * rng.randrange(1, 30) for _ in range(rng.randrange(6))]) for i in range(200)]
+    (tmp_path / "ba.fa").write_text("; a comment\n" + "".join(f">{h}\n" + "".join(x + "\n" for x in s) for h, s in fa))
+    (tmp_path / "a.fa").write_text(">only\nA\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    try:
+        rows = fastx.read_fastx(spark, str(tmp_path)).collect()
+        assert fastx._lines(spark, [str(tmp_path / "ba.fa")]).select("block").distinct().count() > 5
+        one = fastx.read_fastx(spark, str(tmp_path / "0.fastq"))
+        a, b = (fastx.range_hash(one.withColumn("rec_idx", x), 10, 50).first()[0] for x in (one.rec_idx, 301 - one.rec_idx))
+        assert a == fastx.range_hash(one.repartition(5), 10, 50).first()[0] != b
+        assert [r["name"] for r in fastx.joined(fastx.read_fastx(spark, [str(tmp_path / "a.fa"), str(tmp_path / "ba.fa")]), ["a.fa"]).collect()] == ["only"]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    by = lambda name: [(r["name"], r["description"], r["seq"], r["qual"]) for r in sorted((r for r in rows if r["file"].endswith("/" + name)), key=lambda r: r["rec_idx"])]
+    for k, reads in enumerate(fq):
+        assert by(f"{k}.fastq") == [(*h.split(" ", 1), s, "I" * len(s)) for h, s in reads]
+    assert by("ba.fa") == [(h, "", "".join(s), None) for h, s in fa]
+    assert sorted(r["rec_idx"] for r in rows if r["file"].endswith("ba.fa")) == list(range(1, 201))
 
 
 def test_samples_are_nested(spark):
