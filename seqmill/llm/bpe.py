@@ -1,11 +1,11 @@
 """Operator 8: byte-pair encoding and decoding with a pair occurrence index.
 
-A partition's texts are cut to the vocabulary's pieces; the pieces not met
-before are laid out as linked lists of symbols, an index maps each adjacent
-pair to all its positions, and the pairs that have a merge are applied in
-ascending rank. Each merge takes its positions from the index, joins the
-symbols and updates the lists of the pairs that it makes. Every text is then
-the concatenation of its pieces' ids.
+A chunk of a partition's texts is cut to the vocabulary's pieces; its pieces not
+met before in this process are laid out as linked lists of symbols, one index
+maps each adjacent pair to all its positions in them, and the pairs that have a
+merge are applied in ascending rank. Each merge takes its positions from the
+index, joins the symbols and updates the lists of the pairs that it makes. Every
+text is then the concatenation of its pieces' ids, and is decoded from these.
 
 Nulls are empty texts; an empty text has no ids. Texts are encoded whole.
 Special strings inside a text are their special ids, as the library has them.
@@ -14,9 +14,6 @@ Special strings inside a text are their special ids, as the library has them.
 from __future__ import annotations
 
 import hashlib
-import re
-import unicodedata
-from collections.abc import Iterator
 from heapq import heappop, heappush
 
 import numpy as np
@@ -25,9 +22,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import vocab
 from .common import chunks, out_batch, prepare, table, texts_of
+from .pieces import PieceIds
 
-#: Pieces that a Python process remembers; beyond that it forgets them all and begins anew.
-MEMO_PIECES = 300_000
+#: Tokens whose names are gathered at once.
+NAMES = 1 << 16
 
 
 def apply_merges(words: list[list[int]], merges: dict[tuple[int, int], tuple[int, int]]) -> list[list[int]]:
@@ -103,118 +101,76 @@ def apply_merges(words: list[list[int]], merges: dict[tuple[int, int], tuple[int
     return out
 
 
-def normal(text: str) -> str:
-    """NFC and lower case, one code point at a time as the library does it: a capital sigma has no final form."""
-    if not text.isascii() and not unicodedata.is_normalized("NFC", text):
-        text = unicodedata.normalize("NFC", text)
-    return text.replace("Σ", "σ").lower()
-
-
-class WordBpe:
+class WordBpe(PieceIds):
     """The vocabulary ``word_bpe_49k.json`` or one of the same form: NFC, lower case, pieces, byte symbols, merges, word ends."""
 
-    def __init__(self, path: str, patterns: tuple[str, str] | None = None):
-        spec = vocab.load(path)
-        model = spec["model"]
-        self.ids: dict[str, int] = dict(model["vocab"])
-        self.end: str = model.get("end_of_word_suffix") or ""
-        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.names = {i: s for s, i in self.ids.items()} | {i: s for s, i in self.special.items()}
-        self.merges = {(self.ids[a], self.ids[b]): (rank, self.ids[a + b]) for rank, (a, b) in enumerate(model["merges"])}
+    def __init__(self, path: str, ranges: dict | None = None):
+        super().__init__(path, ranges or vocab.library_ranges())
+        model = vocab.load(path)["model"]
+        ids: dict[str, int] = model["vocab"]
+        end: str = model.get("end_of_word_suffix") or ""
+        self.names = {i: s for s, i in ids.items()} | {i: s for s, i in self.special.items()}
+        self.merges = {(ids[a], ids[b]): (rank, ids[a + b]) for rank, (a, b) in enumerate(model["merges"])}
         chars = vocab.byte_chars()
-        self.inner = [self.ids[c] for c in chars]
-        self.last = [self.ids[c + self.end] for c in chars]
-        small, every = patterns or vocab.word_patterns()
-        self.small, self.every = re.compile(small), re.compile(every)
-        self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        self.memo_ids: dict[str, bytes] = {}
-        self.memo_text: dict[str, str] = {}
-
-    def pieces(self, text: str) -> list[str]:
-        """Pieces of a text in order; a special string is a piece of its own, marked by a leading NUL NUL."""
-        parts = self.cut.split(text) if self.cut and "<|" in text else [text]
-        out: list[str] = []
-        for k, part in enumerate(parts):
-            if k % 2:
-                out.append("\0\0" + part)
-            elif part:
-                part = normal(part)
-                try:
-                    part.encode("latin-1")
-                    out += self.small.findall(part)
-                except UnicodeEncodeError:
-                    out += self.every.findall(part)
-        return out
-
-    def learn(self, pieces: set[str]) -> None:
-        """Encode pieces not met before, all in one index."""
-        if len(self.memo_ids) + len(pieces) > MEMO_PIECES:
-            self.memo_ids.clear()
-            self.memo_text.clear()
-        fresh = [p for p in pieces if p not in self.memo_ids]
-        plain = [p for p in fresh if not p.startswith("\0\0") or p[2:] not in self.special]
-        inner, last, names = self.inner, self.last, self.names
+        self.inner = [ids[c] for c in chars]
+        self.last = [ids[c + end] for c in chars]
+        raw = [(self.names.get(i, "") + " ").encode("utf-8") if i in self.names else b"" for i in range(max(self.names, default=-1) + 1)]
+        self.name_bytes = np.frombuffer(b"".join(raw), np.uint8)
+        self.name_size = np.fromiter(map(len, raw), np.int64, len(raw))
+        self.name_at = np.cumsum(self.name_size) - self.name_size
+
+    def learned(self, pieces: list[str]) -> list[list[int]]:
+        """Ids of pieces, by one index over all of them."""
+        inner, last = self.inner, self.last
         words = []
-        for p in plain:
+        for p in pieces:
             raw = p.encode("utf-8")
             word = [inner[b] for b in raw]
             word[-1] = last[raw[-1]]
             words.append(word)
-        for p, ids in zip(plain, apply_merges(words, self.merges), strict=True):
-            self.memo_ids[p] = np.array(ids, "<u4").tobytes()
-            self.memo_text[p] = " ".join([names[i] for i in ids])
-        for p in fresh:
-            if p.startswith("\0\0") and p[2:] in self.special:
-                i = self.special[p[2:]]
-                self.memo_ids[p] = np.array([i], "<u4").tobytes()
-                self.memo_text[p] = self.names[i]
-
-    def encode_bytes(self, texts: list[str]) -> Iterator[tuple[bytes, list[str]]]:
-        """Per text its ids as little-endian unsigned 32-bit integers, and its pieces."""
-        group: list[list[str]] = []
-        for start in range(0, len(texts), 256):
-            group = [self.pieces(t) for t in texts[start : start + 256]]
-            known = self.memo_ids
-            missing = {w for w in set().union(*group) if w not in known}
-            if missing:
-                if len(known) + len(missing) > MEMO_PIECES:
-                    missing = set().union(*group)
-                self.learn(missing)
-            for words in group:
-                yield b"".join(map(known.__getitem__, words)), words
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return [np.frombuffer(raw, "<u4").tolist() for raw, _ in self.encode_bytes(texts)]
+        return apply_merges(words, self.merges)
 
     def decode(self, ids: list[int]) -> str:
         """Token strings joined by spaces, special tokens kept: the vocabulary names no decoder."""
         return " ".join(self.names[i] for i in ids if i in self.names)
 
+    def decoded(self, ids: list[np.ndarray]) -> list[bytes]:
+        """``decode`` of each text's ids, in UTF-8, gathered from the names of all tokens."""
+        every = np.concatenate(ids) if ids else np.zeros(0, np.int64)
+        raw, ends = bytearray(), [np.zeros(1, np.int64)]
+        for i in range(0, len(every), NAMES):
+            n = self.name_size[every[i : i + NAMES]]
+            end = np.cumsum(n)
+            at = np.repeat(self.name_at[every[i : i + NAMES]] - end + n, n) + np.arange(int(n.sum()))
+            ends.append(end + len(raw))
+            raw += self.name_bytes[at].tobytes()
+        bounds = np.concatenate(ends)[np.concatenate([[0], np.cumsum([len(x) for x in ids], dtype=np.int64)])].tolist()
+        return [bytes(raw[a : max(a, b - 1)]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+
 
 _OPEN: dict[str, WordBpe] = {}
 
 
-def opened(path: str, patterns: tuple[str, str]) -> WordBpe:
+def opened(path: str, ranges: dict) -> WordBpe:
     """The process's encoder for a file, so that its memo lasts from task to task."""
     if path not in _OPEN:
-        _OPEN[path] = WordBpe(path, patterns)
+        _OPEN[path] = WordBpe(path, ranges)
     return _OPEN[path]
 
 
 def encode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id, ids array<int>, decoded string`` of every text; null texts are empty. Other columns don't matter."""
     prepare(docs.sparkSession)
-    path, patterns = path or vocab.default_path("word_bpe_49k.json"), vocab.word_patterns()
+    path, ranges = path or vocab.default_path("word_bpe_49k.json"), vocab.library_ranges()
     docs = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].cast("string").alias("text"))
     schema = pa.schema([("id", pa.int64()), ("ids", pa.list_(pa.int32())), ("decoded", pa.string())])
 
     def run(batches):
-        bpe = opened(path, patterns)
+        bpe = opened(path, ranges)
         for batch in batches:
             for a, b in chunks(batch, "text"):
-                found = list(bpe.encode_bytes(texts_of(batch, "text", a, b)))
-                ids = [np.frombuffer(raw, "<u4").astype("i4") for raw, _ in found]
-                yield out_batch(schema, (batch.column("id").slice(a, b - a), ids, [bpe.decode(i.tolist()) for i in ids]))
+                ids = bpe.encode(texts_of(batch, "text", a, b))
+                yield out_batch(schema, (batch.column("id").slice(a, b - a), [x.astype("i4") for x in ids], [x.decode("utf-8") for x in bpe.decoded(ids)]))
 
     return docs.mapInArrow(run, "id long, ids array<int>, decoded string")
 
@@ -225,22 +181,17 @@ def digests(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", te
     The ids' bytes are hashed where they are made, so no array leaves Python.
     """
     prepare(docs.sparkSession)
-    path, patterns = path or vocab.default_path("word_bpe_49k.json"), vocab.word_patterns()
+    path, ranges = path or vocab.default_path("word_bpe_49k.json"), vocab.library_ranges()
     docs = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
     schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
 
     def run(batches):
-        bpe = opened(path, patterns)
+        bpe = opened(path, ranges)
         sha = hashlib.sha256
         for batch in batches:
             for a, b in chunks(batch, "text"):
-                n, ids, decoded = [], [], []
-                for raw, words in bpe.encode_bytes(texts_of(batch, "text", a, b)):
-                    n.append(len(raw) // 4)
-                    ids.append(sha(raw).hexdigest())
-                    # each piece's decoded text is kept beside its ids; spaces join tokens, and pieces too
-                    decoded.append(sha(" ".join(map(bpe.memo_text.__getitem__, words)).encode("utf-8")).hexdigest())
-                yield out_batch(schema, (batch.column("doc_id").slice(a, b - a), n, ids, decoded))
+                ids = bpe.encode(texts_of(batch, "text", a, b))
+                yield out_batch(schema, (batch.column("doc_id").slice(a, b - a), [len(x) for x in ids], [sha(x.astype("<u4").tobytes()).hexdigest() for x in ids], [sha(x).hexdigest() for x in bpe.decoded(ids)]))
 
     return docs.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import re
 from functools import lru_cache
 
 
@@ -56,20 +55,3 @@ def library_ranges() -> dict[str, list[tuple[int, int]]]:
                 ranges.append((a, b))
         out[name] = ranges
     return out
-
-
-def char_class(names: str) -> str:
-    """The inside of an ``re`` character class for the library's classes."""
-    return "".join(f"{re.escape(chr(a))}-{re.escape(chr(b))}" if a < b else re.escape(chr(a)) for n in names for a, b in library_ranges()[n])
-
-
-def _within(names: str, top: int) -> str:
-    return "".join(f"{re.escape(chr(a))}-{re.escape(chr(min(b, top)))}" for n in names for a, b in library_ranges()[n] if a <= top)
-
-
-@lru_cache(maxsize=1)
-def word_patterns() -> tuple[str, str]:
-    """Patterns of the word vocabulary's pieces: for texts of the first 256 code points, whose small classes are fast, and for all texts."""
-    # letters first: the alternatives before them in the file's own order all begin with an apostrophe
-    form = "[{L}]+|'(?:s|t|re|ve|m|ll|d)|[{N}]|[^{SLN}]+"
-    return tuple(form.format(L=_within("L", top), N=_within("N", top), SLN=_within("SLN", top)) for top in (0xFF, 0x10FFFF))
