@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 ROOT = str(Path(__file__).resolve().parents[2])
 
-#: Rows and bytes of a batch that goes to Python; texts are long, so batches are short. One row may have more bytes.
-BATCH_ROWS, BATCH_BYTES = 2000, 4 << 20
+#: Rows and bytes of a batch that goes to Python, and rows that are read at once; texts are long, so batches are short. One row may have more bytes.
+BATCH_ROWS, BATCH_BYTES, READ_ROWS = 2000, 4 << 20, 512
 #: UTF-8 bytes that a vectorised kernel works on at once.
 CHUNK_BYTES = 1 << 19
 
@@ -31,6 +31,7 @@ def prepare(spark: SparkSession) -> None:
     env.setdefault("OPENBLAS_NUM_THREADS", "1")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", str(READ_ROWS))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,9 +80,16 @@ def scratch(spark: SparkSession) -> Iterator[None]:
         _drop(spark, path)
 
 
-def stored(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
+#: Files of a small table at least, and rows a task from which it has more.
+FILES, FILE_ROWS = 8, 250_000
+
+
+def stored(df: DataFrame, name: str, keep: bool = False, rows: int | None = None) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
+    ``rows`` is the number of narrow rows that its last stage reads: where they
+    are few, few tasks write them, as each file costs more than its rows.
+
     This cuts the lineage: lost executors cost no recomputation, and what a
     task numbered stays as it was numbered. Inside ``scratch`` the table goes
     with it unless it is to be kept; else when it is discarded or Python exits.
@@ -89,6 +97,8 @@ def stored(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     spark = df.sparkSession
     inside = None if keep else _SCRATCH.get()
     path = f"{inside or shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if rows is not None:
+        df = df.coalesce(max(FILES, -(-rows // FILE_ROWS)))
     df.write.parquet(path)
     if not inside:
         atexit.register(_drop, spark, path)

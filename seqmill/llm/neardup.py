@@ -189,32 +189,33 @@ def links(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     return both.select("a", "b", "sig_a", "sig_b", "own_a", "own_b").mapInArrow(run, "a long, b long")
 
 
-def roots(parents: DataFrame) -> DataFrame:
+def roots(parents: DataFrame, rows: int) -> DataFrame:
     """``node, label`` for ``node, label`` that name each node's parent, a smaller node: parents are followed by pointer jumping.
 
-    Each round is stored and halves the depth; the last changes nothing.
+    Each round is stored and halves the depth; the last changes nothing. ``rows`` bounds the nodes.
     """
-    out = stored(parents, "labels")
+    out = stored(parents, "labels", rows=rows)
     while True:
         up = small(out.select(F.col("node").alias("label"), F.col("label").alias("up")))
-        step = stored(out.join(up, "label", "left").select("node", F.coalesce("up", "label").alias("label"), F.col("up").isNotNull().alias("moved")), "labels")
+        step = stored(out.join(up, "label", "left").select("node", F.coalesce("up", "label").alias("label"), F.col("up").isNotNull().alias("moved")), "labels", rows=rows)
         out = step.select("node", "label")
         if not step.filter("moved").limit(1).count():
             return out
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, rows: int) -> DataFrame:
     """``node, label`` of every node of the edges ``a, b``; the label is the smallest node that can be reached.
 
-    Rounds of taking the least label around and of following labels; each round is stored, and the last changes nothing.
+    Rounds of taking the least label around and of following labels; each round is stored, and the last changes nothing. ``rows`` bounds the edges.
     """
-    both = stored(edges.select("a", "b").union(edges.select("b", "a")).filter("a <> b").distinct(), "edges")
-    labels = stored(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("label")), "labels")
+    both = edges.select("a", "b").union(edges.select("b", "a")).filter("a <> b").distinct()
+    both = stored(both, "edges", rows=rows)
+    labels = stored(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("label")), "labels", rows=rows)
     while True:
         near = both.join(labels, both.b == labels.node).groupBy("a").agg(F.min("label").alias("near"))
         step = labels.join(near, labels.node == near.a, "left").select("node", F.col("label").alias("old"), F.least("label", F.coalesce("near", "label")).alias("label"))
         up = labels.select(F.col("node").alias("label"), F.col("label").alias("up"))
-        step = stored(step.join(up, "label", "left").select("node", "old", F.least("label", F.coalesce("up", "label")).alias("label")), "labels")
+        step = stored(step.join(up, "label", "left").select("node", "old", F.least("label", F.coalesce("up", "label")).alias("label")), "labels", rows=rows)
         labels = step.select("node", "label")
         if not step.filter("old <> label").limit(1).count():
             return labels
@@ -385,8 +386,8 @@ def _heads(rows: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     return both.select(*names, "own", "of_hub").mapInArrow(run, "hub long, tile long, main long, node long, label long, head long, short boolean")
 
 
-def _inside(members: DataFrame, best: DataFrame, labels: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
-    """Links on full sets between nodes of one group and different labels, as forests."""
+def _inside(members: DataFrame, best: DataFrame, labels: DataFrame, sets: DataFrame, threshold: int, many: int) -> DataFrame:
+    """Links on full sets between nodes of one group and different labels, as forests. ``many`` are the members."""
     size = sets.groupBy("node").agg(F.sum(F.col("n") * 8 + 100).alias("bytes"))
     known = size.join(small(labels), "node", "left").select("node", "bytes", F.coalesce("label", "node").alias("label"))
     hubs = members.select("hub").distinct().select("hub", F.col("hub").alias("node"))
@@ -395,8 +396,8 @@ def _inside(members: DataFrame, best: DataFrame, labels: DataFrame, sets: DataFr
     group = part.groupBy("hub").agg(F.sum("c").alias("c"), F.sum("bytes").alias("bytes"), F.count(F.lit(1)).alias("parts"), F.max(F.struct("c", "label")).alias("m"), F.max("top").alias("top")).filter("parts > 1")
     # a pair that has been tested is done
     tested = best.select(F.col("a").alias("hub"), F.col("b").alias("top"), F.lit(2).alias("c"))
-    group = stored(group.join(tested, ["hub", "top", "c"], "left_anti").select("hub", F.col("m.label").alias("main"), F.greatest(F.lit(1), F.ceil(F.col("bytes") / TILE_BYTES)).cast("long").alias("tiles")), "groups")
-    mixed = stored(rows.join(small(group), "hub").select("hub", F.pmod(F.xxhash64("node"), F.col("tiles")).alias("tile"), "main", "node", "label", "tiles"), "mixed")
+    group = stored(group.join(tested, ["hub", "top", "c"], "left_anti").select("hub", F.col("m.label").alias("main"), F.greatest(F.lit(1), F.ceil(F.col("bytes") / TILE_BYTES)).cast("long").alias("tiles")), "groups", rows=many)
+    mixed = stored(rows.join(small(group), "hub").select("hub", F.pmod(F.xxhash64("node"), F.col("tiles")).alias("tile"), "main", "node", "label", "tiles"), "mixed", rows=2 * many)
     dealt = mixed.select("hub", "tile", F.lit(0).alias("foreign"), "main", "node", "label")
     if group.filter("tiles > 1").limit(1).count():
         heads = stored(_heads(mixed.filter("tiles > 1").drop("tiles"), sets, threshold), "heads")
@@ -407,17 +408,17 @@ def _inside(members: DataFrame, best: DataFrame, labels: DataFrame, sets: DataFr
     return _forest(dealt.join(sets, "node"), threshold)
 
 
-def _joined(labels: DataFrame, pairs: DataFrame) -> DataFrame:
+def _joined(labels: DataFrame, pairs: DataFrame, rows: int) -> DataFrame:
     """Labels after further pairs of nodes: components of the labels, which stand for their nodes."""
     few = small(labels)
-    more = components(relabel(relabel(pairs, few, "a"), few, "b").filter("a <> b"))
+    more = components(relabel(relabel(pairs, few, "a"), few, "b").filter("a <> b"), 2 * rows)
     known = labels.select("node", "label").union(more.select("node", F.col("node").alias("label"))).groupBy("node").agg(F.min("label").alias("label"))
-    return stored(relabel(known, small(more)), "labels")
+    return stored(relabel(known, small(more)), "labels", rows=2 * rows)
 
 
-def _twins(full: DataFrame, copies: DataFrame) -> DataFrame:
+def _twins(full: DataFrame, copies: DataFrame, rows: int) -> DataFrame:
     """``a, b``: nodes of the different texts of one id, of every id that has several."""
-    several = stored(full.groupBy("doc_id").agg(F.min("k1").alias("x1"), F.max("k1").alias("y1"), F.min("k2").alias("x2"), F.max("k2").alias("y2")).filter("x1 <> y1 or x2 <> y2").select("doc_id"), "several")
+    several = stored(full.groupBy("doc_id").agg(F.min("k1").alias("x1"), F.max("k1").alias("y1"), F.min("k2").alias("x2"), F.max("k2").alias("y2")).filter("x1 <> y1 or x2 <> y2").select("doc_id"), "several", rows=rows)
     own = full.select("doc_id", "k1", "k2").join(small(several), "doc_id", "left_semi").join(small(copies.select("k1", "k2", "node")), ["k1", "k2"], "left").select("doc_id", F.coalesce("node", "doc_id").alias("b"))
     return own.join(own.groupBy("doc_id").agg(F.min("b").alias("a")), "doc_id").filter("a <> b").select("a", "b").distinct()
 
@@ -426,25 +427,27 @@ def groups(docs: DataFrame, size: int = 5, threshold: int = 80, id_col: str = "d
     """``doc_id, n_shingles, component_id`` of every row: the smallest id of its near-duplicate group."""
     signed = stored(sign(docs, size, threshold, id_col, text_col), "signed", keep=True)
     full = signed.filter("n_shingles > 0 and doc_id is not null")
-    copies = stored(full.groupBy("k1", "k2").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("c")).filter("c > 1").select("k1", "k2", "node"), "copies", keep=True)
+    texts_many = signed.count()
+    copies = stored(full.groupBy("k1", "k2").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("c")).filter("c > 1").select("k1", "k2", "node"), "copies", keep=True, rows=texts_many)
     few_copies = small(copies)
     with scratch(docs.sparkSession):
         nodes = full.join(few_copies, ["k1", "k2"], "left").filter("node is null or node = doc_id")
         buckets = nodes.select(F.col("doc_id").alias("node"), F.explode("bands").alias("key"))
-        hubs = stored(buckets.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("top")).filter("hub <> top").select("key", "hub"), "hubs")
-        members = stored(buckets.join(small(hubs), "key").filter("node <> hub").groupBy("hub", "node").agg(F.count(F.lit(1)).alias("bands")), "members")
-        ids = stored(members.select("node").union(members.select("hub")).distinct(), "ids")
+        hubs = stored(buckets.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("top")).filter("hub <> top").select("key", "hub"), "hubs", rows=BANDS * texts_many)
+        members = stored(buckets.join(small(hubs), "key").filter("node <> hub").groupBy("hub", "node").agg(F.count(F.lit(1)).alias("bands")), "members", rows=BANDS * texts_many)
+        many = members.count()
+        ids = stored(members.select("node").union(members.select("hub")).distinct(), "ids", rows=2 * many)
         texts = docs.select(docs[id_col].cast("long").alias("node"), docs[text_col].cast("string").alias("text"))
         sets = stored(_sets(texts.join(small(ids), "node", "left_semi"), size), "sets")
         if sets.count() > ids.count():  # repeated rows
             sets = stored(sets.dropDuplicates(["node", "own"]), "sets")
         best = members.groupBy("node").agg(F.max(F.struct("bands", F.negative("hub").alias("minus"))).alias("best")).select(F.negative("best.minus").alias("a"), F.col("node").alias("b"))
-        best = stored(best, "best")
-        labels = roots(links(best, sets, threshold).groupBy("b").agg(F.min("a").alias("a")).select(F.col("b").alias("node"), F.col("a").alias("label")))
-        more = stored(_inside(members, best, labels, sets, threshold).union(_twins(full, copies)), "links")
+        best = stored(best, "best", rows=many)
+        labels = roots(links(best, sets, threshold).groupBy("b").agg(F.min("a").alias("a")).select(F.col("b").alias("node"), F.col("a").alias("label")), many)
+        more = stored(_inside(members, best, labels, sets, threshold, many).union(_twins(full, copies, texts_many)), "links", rows=many)
         if more.limit(1).count():
-            labels = _joined(labels, more)
-        labels = stored(labels.filter("label <> node"), "labels", keep=True)
+            labels = _joined(labels, more, 2 * many + more.count())
+        labels = stored(labels.filter("label <> node"), "labels", keep=True, rows=many)
     few_labels = small(labels)
     named = relabel(copies.withColumn("label", F.col("node")), few_labels).select(F.col("k1").alias("c1"), F.col("k2").alias("c2"), F.col("label").alias("of_copies"))
     own = few_labels.select(F.col("node").alias("own"), F.col("label").alias("of_own"))
