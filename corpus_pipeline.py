@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seqmill.llm import langid, neardup, packing, quality
-from seqmill.llm.common import filtered, stored, table
+from seqmill.llm.common import discard, filtered, stored, table
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,7 +31,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Rows with a null id all stay. Of several rows with one id the one whose text, and then
     whose other columns as JSON, sort first stays; a null text sorts as empty.
     """
-    found = stored(neardup.groups(docs), "groups")
+    found = neardup.groups(docs)
+    found = stored(found, "groups", rows=docs.count())
     gone = found.filter("doc_id <> component_id").select("doc_id").distinct()
     few = gone.limit(neardup.FEW_IDS + 1).count() <= neardup.FEW_IDS
     left = docs.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti").select(docs.columns)
@@ -62,5 +63,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each result a table in the shared folder before the next stage reads it."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        before, docs = docs, stored(stage(spark, docs, sf_dir), name)
+        discard(before)
     return STAGES[-1][1](spark, docs, sf_dir)
