@@ -11,8 +11,10 @@ presences by landmark presences, and kernel values by coefficients; its values
 are the passages' mean by length. So a text in two languages counts as the one
 of which it has more, and not as the one with more different n-grams.
 
-Symbols are the most frequent lower-case letters of the sample, one symbol for
-all other letters, and one for any run of characters that are no letters.
+Symbols are the most frequent lower-case letters of the sample; its other letters
+share these symbols by code point, so that texts in a rarer script have n-grams
+too; all letters that the sample has not are one symbol, and any run of
+characters that are no letters is one.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0,
 as is every text where no row is labelled; ties go to the language that sorts
@@ -36,17 +38,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import chunks, prepare, table, texts_of
+from .common import chunks, prepare, stored, table, texts_of
 
 UNKNOWN = "und"
 SYMBOLS = 48
 GRAMS = SYMBOLS + SYMBOLS**2 + SYMBOLS**3
 #: Symbols of a passage, and of a short one.
 PASSAGE, SHORT = 512, 128
-#: Bounds of what is learned from: texts a language, landmarks a language, and passages of one text.
-SAMPLE, LANDMARKS, PER_TEXT = 400, 32, 16
-#: Passages whose presences are held at once.
-ROWS = 256
+#: Bounds of what is learned from: languages, the most frequent; texts a language and their bytes, but for the last text; landmarks a language; passages of one text.
+LANGUAGES, SAMPLE, SAMPLE_BYTES, LANDMARKS, PER_TEXT = 256, 400, 8 << 20, 32, 16
+#: Passages whose presences are held at once, and UTF-8 bytes of the texts that are scored at once.
+ROWS, CHUNK = 64, 1 << 18
 RIDGE = 1e-3
 #: Share of the held-back texts' median margin that a text needs, held-back texts that a median is taken of at least, and the number of n-grams below which no less is asked for.
 SHARE, LEAST_HELD, LEAST_GRAMS = 0.4, 8, 16
@@ -67,12 +69,14 @@ class Spectrum:
     """Texts to presences of n-grams."""
 
     def __init__(self, alphabet: list[int]):
-        #: 0: no letter, 1: another letter, from 2 on: the alphabet
+        #: 0: no letter, 1: another letter, from 2 on: the alphabet, whose letters beyond the symbols share them
         lower = _letters()
         rank = np.zeros(0x110000, np.uint8)
         rank[lower > 0] = 1
         place = np.zeros(0x110000, np.uint8)
-        place[alphabet] = np.arange(2, 2 + len(alphabet), dtype=np.uint8)
+        own, shared = alphabet[: SYMBOLS - 2], np.array(alphabet[SYMBOLS - 2 :], np.int64)
+        place[own] = np.arange(2, 2 + len(own), dtype=np.uint8)
+        place[shared] = 2 + shared % (SYMBOLS - 2)
         known = place[lower]
         self.symbol = np.where(known > 0, known, rank).astype(np.uint8)
 
@@ -230,7 +234,7 @@ def fit(texts: list[str], langs: list[str], landmarks: int = LANDMARKS) -> Langu
     for t in texts:
         c = lower[np.frombuffer(t.encode("utf-32-le"), np.uint32)]
         freq += np.bincount(c[c > 0], minlength=len(freq))
-    alphabet = [int(c) for c in np.argsort(-freq, kind="stable")[: SYMBOLS - 2] if freq[c]]
+    alphabet = [int(c) for c in np.argsort(-freq, kind="stable")[: np.count_nonzero(freq)]]
     spectrum = Spectrum(alphabet)
     s, passage, text, _ = spectrum.passages(texts)
     # the first passages of each text are learned from, and the middle one of a language's first texts is a landmark
@@ -253,21 +257,42 @@ def fit(texts: list[str], langs: list[str], landmarks: int = LANDMARKS) -> Langu
     return model
 
 
-def sample(labelled: DataFrame, per_lang: int = SAMPLE) -> tuple[list[str], list[str]]:
-    """About ``per_lang`` texts of each language, twice that at most, chosen by a hash of the id.
+def sample(labelled: DataFrame, per_lang: int = SAMPLE, most: int = SAMPLE_BYTES) -> tuple[list[str], list[str]]:
+    """The ``per_lang`` texts of each language whose hash of id and text is least; fewer where they have over ``most`` bytes.
 
-    ``labelled`` has ``doc_id, text, lang``. The languages' numbers of rows come first; each
-    language's share is then filtered where it is read, so no window sorts the texts.
+    ``labelled`` has ``doc_id, text, lang``. The languages' numbers of ids come first; a share of each language's rows,
+    enough for half as many texts again, is then taken where it is read. A row counts once however often it is repeated.
+    The rows taken are a small table, of which the driver first gets hashes and lengths, and then the texts it learns from.
     """
     labelled = labelled.filter(F.col("lang").isNotNull() & (F.length("text") > 0))
-    share = {r["lang"]: min(1.0, per_lang / r["n"]) for r in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if not share:
+    ids = F.approx_count_distinct("doc_id") + F.count_if(F.col("doc_id").isNull())
+    found = labelled.groupBy("lang").agg(ids.alias("n"), F.count(F.lit(1)).alias("rows")).orderBy(F.desc("rows"), "lang").limit(LANGUAGES).collect()
+    if not found:
         return [], []
-    part = F.pmod(F.xxhash64(F.lit("langid"), F.col("doc_id")), F.lit(1_000_000)) / 1e6
-    wanted = F.create_map(*[F.lit(x) for kv in share.items() for x in kv])[F.col("lang")]
-    rows = labelled.filter(part < wanted).select("doc_id", "text", "lang").limit(2 * per_lang * len(share)).collect()
-    rows.sort(key=lambda r: (r["lang"], r["doc_id"] is None, r["doc_id"], r["text"]))
-    return [r["text"] for r in rows], [r["lang"] for r in rows]
+    share = {r["lang"]: min(1.0, 1.5 * per_lang / max(1, r["n"])) for r in found}
+    h = fraction(F.xxhash64(F.lit("langid"), F.col("doc_id"), F.col("text")))
+    wanted = F.create_map(*[F.lit(x) for kv in share.items() for x in kv])
+    rows = labelled.select("doc_id", "text", "lang").withColumn("h", h).filter(F.col("h") < wanted[F.col("lang")])
+    rows = stored(rows.groupBy("lang", "h").agg(F.min(F.struct("doc_id", "text")).alias("x")).select("lang", "h", "x.*"), "languages", rows=2 * per_lang * len(share))
+    return taken(rows, "lang", per_lang, most)[:2]
+
+
+def fraction(h):
+    """A 64-bit hash as a number from 0 to 1, in steps of 2 ** -53."""
+    return F.shiftrightunsigned(h, 11) / float(1 << 53)
+
+
+def taken(rows: DataFrame, column: str, bound: int, most: int) -> tuple[list[str], list, list]:
+    """Texts of the ``bound`` least ``h`` of each value of ``column``, up to the one that brings them to ``most`` bytes, with the values and ids."""
+    seen, last = {}, {}
+    for r in sorted(rows.select(column, "h", F.octet_length("text").alias("n")).collect(), key=lambda r: r["h"]):
+        many, size = seen.get(r[column], (0, 0))
+        if many < bound and size < most:
+            seen[r[column]], last[r[column]] = (many + 1, size + r["n"]), r["h"]
+    cut = F.create_map(*[F.lit(x) for kv in last.items() for x in kv])[F.col(column)] if last else F.lit(-1.0)
+    got = rows.filter(F.col("h") <= cut).collect()
+    got.sort(key=lambda r: (r[column], r["doc_id"] is None, r["doc_id"], r["text"]))
+    return [r["text"] for r in got], [r[column] for r in got], [r["doc_id"] for r in got]
 
 
 def score(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -282,7 +307,7 @@ def score(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_co
     def run(batches):
         model = shared.value
         for batch in batches:
-            for a, b in chunks(batch, "text", 1 << 20):
+            for a, b in chunks(batch, "text", CHUNK):
                 lang, value = model.predict(texts_of(batch, "text", a, b))
                 own = [batch.column(c).slice(a, b - a) for c in names]
                 yield pa.RecordBatch.from_arrays([*own, pa.array(lang, pa.string()), pa.array(value, pa.float64())], names=[*names, "lang_pred", "score"])

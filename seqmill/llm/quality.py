@@ -26,15 +26,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import chunks, prepare, table, texts_of
-from .langid import remainder
+from .common import chunks, prepare, stored, table, texts_of
+from .langid import fraction, remainder, taken
 
-#: Bound of labelled rows that are learned from.
-SAMPLE = 4000
+#: Bounds of labelled rows that are learned from, and of their bytes, but for the last text.
+SAMPLE, SAMPLE_BYTES = 4000, 32 << 20
 VOCABULARY, DIMENSIONS, ONES, NEAR = 8000, 64, 6, 2
 HIDDEN, EPOCHS, RATE, DECAY = 24, 400, 0.02, 1e-4
 #: Words whose ids a Python process remembers.
-MEMO_WORDS = 300_000
+MEMO_WORDS = 100_000
 EXTRA = 7
 
 _WORD = re.compile(r"[^\W\d_]+|\d+|[^\s\w]+|_+")
@@ -167,18 +167,23 @@ def fit(texts: list[str], labels: list[int], held: list[bool]) -> QualityModel:
     return model
 
 
-def sample(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> tuple[list[str], list[int], list[bool]]:
-    """Texts and labels of about ``bound`` documents chosen by a hash of the id; a fifth of them are held back for the temperature."""
+def sample(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE, most: int = SAMPLE_BYTES) -> tuple[list[str], list[int], list[bool]]:
+    """Texts and labels of the ``bound`` labelled ids whose hash is least; fewer where their texts have over ``most`` bytes.
+
+    Of an id with several texts the first in order counts. A fifth of the ids are held back for the temperature.
+    """
     labels = labels.filter(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    labels = labels.withColumn("h", fraction(F.xxhash64(F.lit("quality"), F.col("doc_id"))))
     n = labels.count()
     if not n:
         return [], [], []
-    part = F.pmod(F.xxhash64(F.lit("quality"), F.col("doc_id")), F.lit(1_000_000)) / 1e6
-    # the labels' share that is asked for has a bound, so it may be broadcast and the texts stay where they are
-    chosen = labels.filter(part < min(1.0, bound / n)).limit(2 * bound)
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").limit(2 * bound).collect()
-    rows.sort(key=lambda r: (r["doc_id"], r["text"] or ""))
-    return [r["text"] or "" for r in rows], [int(r["quality"] > 0) for r in rows], [zlib.crc32(f"held {r['doc_id']}".encode()) % 5 == 0 for r in rows]
+    # half as many ids again as are asked for, as not all may have a text; they may be broadcast, so the texts stay where they are
+    chosen = labels.filter(F.col("h") < min(1.0, 1.5 * bound / n))
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "quality", "h").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
+    rows = stored(rows.withColumns({"all": F.lit(0)}), "labelled", rows=2 * bound)
+    least = {r["doc_id"]: r["quality"] for r in rows.select("doc_id", "quality").collect()}
+    texts, _, ids = taken(rows, "all", bound, most)
+    return texts, [int(least[i] > 0) for i in ids], [zlib.crc32(f"held {i}".encode()) % 5 == 0 for i in ids]
 
 
 def score(docs: DataFrame, model: QualityModel, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
