@@ -22,6 +22,7 @@ ties go to the smaller id.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,8 +34,8 @@ from .common import out_batch, prepare, table
 
 #: Buckets by length, rows of a candidate block, of a query block and of the seed.
 BUCKETS, BLOCK, QUERIES, SEED = 16, 2048, 1024, 2048
-#: Groups of candidate blocks, as many as a query block is sent to.
-GROUPS = 48
+#: Groups of candidate blocks, as many as a query block is sent to: so many at least, and one for so many full blocks.
+GROUPS, PER_GROUP = 48, 16
 #: Local cosine threshold from which coordinates prune, and coordinates that are looked at.
 COSINE, FOCUS = 0.35, 3
 #: Products of a magnitude up to this are exact in doubles.
@@ -165,7 +166,7 @@ def _pack_candidates(edges: np.ndarray, groups: int):
             order = np.lexsort((ids, -n2))
             for a in range(0, len(order), BLOCK):
                 made += 1
-                yield out_batch(schema, [[x] for x in ((part * 31 + made) % groups, *_packed(ids[order[a : a + BLOCK]], m[order[a : a + BLOCK]]))])
+                yield out_batch(schema, [[x] for x in (zlib.crc32(b"%d %d" % (part, made)) % groups, *_packed(ids[order[a : a + BLOCK]], m[order[a : a + BLOCK]]))])
 
         for batch in batches:
             if not batch.num_rows:
@@ -221,12 +222,14 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 10) -> DataFrame:
     width = max((len(r["v"]) for r in seed), default=0)
     seed_m = np.array([list(r["v"]) + [0] * (width - len(r["v"])) for r in seed], np.int64).reshape(len(seed), width)
     cuts = [i / BUCKETS for i in range(1, BUCKETS)]
-    edges = np.unique(np.array(candidates.agg(F.percentile_approx("n2", cuts, 1000)).first()[0] or [], float))
+    cuts, rows = candidates.agg(F.percentile_approx("n2", cuts, 1000), F.count(F.lit(1))).first()
+    edges = np.unique(np.array(cuts or [], float))
+    groups = max(GROUPS, -(-rows // (BLOCK * PER_GROUP)))
     asked = queries.groupBy("vec_id").agg(F.min("v").alias("v"))
     n = asked.count()
-    blocks = candidates.mapInArrow(_pack_candidates(edges, GROUPS), "grp int, ids binary, raw binary, width int")
+    blocks = candidates.mapInArrow(_pack_candidates(edges, groups), "grp int, ids binary, raw binary, width int")
     asked = asked.repartition(max(1, -(-n // QUERIES))).mapInArrow(_pack_queries(seed_ids, seed_m, k), "q_ids binary, q_raw binary, q_width int, theta binary")
-    asked = asked.withColumn("grp", F.explode(F.sequence(F.lit(0), F.lit(GROUPS - 1))))
+    asked = asked.withColumn("grp", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
     found = asked.join(blocks, "grp").select("q_ids", "q_raw", "q_width", "theta", "ids", "raw", "width").mapInArrow(_search(k), "query_id long, vec_id long, score long")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
