@@ -16,7 +16,7 @@ every text comes back code point by code point.
 Rendering and checking are done before rows are gathered by conversation; the
 shuffle moves rendered turns, and what reads a conversation back streams over
 its sorted turns with running hashes, so a conversation of any length needs
-the memory of one turn.
+the memory of a batch of turns. The parser reads a turn once, left to right.
 
 Defined results: null texts and roles are empty; turns that tie are ordered by
 their rendered form; null turns come first; rows with a null conversation id
@@ -35,7 +35,10 @@ from pyspark.sql import functions as F
 from .common import chunks, out_batch, prepare, table
 
 OPEN, CLOSE, ESCAPE = "###", "</turn>", "\\"
-_ESCAPED = re.compile(r"\\(\\|###|</turn>)")
+#: A run of escaped backslashes, or one escape; what else the parser stops at, and where content ends.
+_RUN, _ONE = r"((?:\\\\)+)", r"\\(###|</turn>{})?"
+_ESCAPED = re.compile(_RUN + r"|\\(###|</turn>)")
+_STOPS = {stop: re.compile("|".join((_RUN, _ONE.format(line), f"({re.escape(stop)})", "###", "</turn>"))) for stop, line in (("\n", r"|\n"), ("\n</turn>\n", ""))}
 
 
 def escape(text: str, line: bool = False) -> str:
@@ -46,7 +49,7 @@ def escape(text: str, line: bool = False) -> str:
 
 def unescape(text: str) -> str:
     """The text of rendered content."""
-    return _ESCAPED.sub(r"\1", text)
+    return _ESCAPED.sub(lambda m: m[2] or m[1][: len(m[1]) // 2], text)
 
 
 class Broken(ValueError):
@@ -55,27 +58,23 @@ class Broken(ValueError):
 
 def _content(raw: str, at: int, stop: str) -> tuple[str, int]:
     """Content from ``at`` up to an unescaped ``stop``, and the place after that; an unescaped control string is an error."""
-    out, n = [], len(raw)
-    while True:
-        ends = [k for k in (raw.find(ESCAPE, at), raw.find(OPEN, at), raw.find(CLOSE, at), raw.find(stop, at)) if k >= 0]
-        k = min(ends, default=-1)
-        if k < 0:
-            raise Broken("content has no end")
-        out.append(raw[at:k])
-        if raw.startswith(stop, k):
-            return "".join(out), k + len(stop)
-        if raw[k] != ESCAPE:
-            raise Broken(f"control string at {k}")
-        for x in (ESCAPE, OPEN, CLOSE, "\n"):
-            if raw.startswith(x, k + 1) and (x != "\n" or stop == "\n"):
-                out.append(x)
-                at = k + 1 + len(x)
-                break
+    end = raw.find(stop, at)
+    plain = raw[at:end] if end >= 0 else ESCAPE
+    if ESCAPE not in plain and OPEN not in plain and CLOSE not in plain:
+        return plain, end + len(stop)
+    out = []
+    for m in _STOPS[stop].finditer(raw, at):
+        out.append(raw[at : m.start()])
+        at = m.end()
+        if m[1]:
+            out.append(m[1][: len(m[1]) // 2])
+        elif m[3]:
+            return "".join(out), at
+        elif m[0][0] == ESCAPE:
+            out.append(m[2] or ESCAPE)
         else:
-            out.append(ESCAPE)
-            at = k + 1
-        if at > n:
-            raise Broken("content has no end")
+            raise Broken(f"control string at {m.start()}")
+    raise Broken("content has no end")
 
 
 #: What closes a turn; the line end before it belongs to the template.
