@@ -14,7 +14,11 @@ token of the longer prefix is the one suffix token that may stand after the
 last token before it; whether two tokens may stand side by side depends on
 those two alone. Every transition is annotated with the change in the count of
 tokens. Transitions are compiled when first taken and kept in a dense table.
-A piece resets the counter, so that the counts of pieces add up.
+A piece resets the counter, so that the counts of pieces add up. A long piece is
+cut into chunks that are run side by side. Their maps hold the entry states met
+so far, at first those that the bytes just before a chunk lead to; a prefix scan
+composes the maps up to the first chunk whose entry state no map has, and that
+state is then run through all chunks.
 
 Defined results: null texts are empty, empty texts have no tokens, texts are
 read whole, repeated rows are counted once each, null ids are kept.
@@ -37,6 +41,12 @@ START, SPACE_1, SPACE_N, BLANK_1, BLANK_N, IN_LETTERS, IN_NUMBERS, IN_OTHERS, FR
 _STATES = 12
 #: Characters of a chunk, and the steps after which entry states are first looked at for having met.
 CHUNK, MEET = 512, 8
+#: UTF-8 bytes of the texts whose pieces are run side by side.
+CHUNK_BYTES = 1 << 21
+#: Bytes from which a piece is long, of its chunks, read before a chunk to guess its entry state, and of a long piece that are run side by side.
+LONG, SPAN, LEAD, BLOCK = 4096, 256, 48, 1 << 20
+#: Entry states that are run through all chunks of a block; what then is left of the block is run in order.
+ENTRIES = 64
 
 
 def _cutter() -> tuple[np.ndarray, np.ndarray]:
@@ -254,12 +264,25 @@ class Counter:
         return to << 8 | change + 128
 
     def count(self, data: np.ndarray, begin: np.ndarray, length: np.ndarray) -> np.ndarray:
-        """Token counts of byte ranges, all ranges a step at a time."""
-        if self.filled > self.KEPT:
-            self.reset()
+        """Token counts of byte ranges: long ones by composed maps, the others all a step at a time, ``BLOCK`` bytes at once."""
+        out = np.zeros(len(begin), np.int64)
+        long = length >= LONG
+        for i in np.flatnonzero(long).tolist():
+            out[i] = self._long(data[begin[i] : begin[i] + length[i]])
+        short = np.flatnonzero(~long)
+        block = np.cumsum(length[short]) // BLOCK
+        for k in np.unique(block).tolist():
+            own = short[np.searchsorted(block, k, "left") : np.searchsorted(block, k, "right")]
+            if self.filled > self.KEPT:
+                self.reset()
+            out[own] = self._run(data, begin[own], length[own], np.zeros(len(own), np.int64))[1]
+        return out
+
+    def _run(self, data: np.ndarray, begin: np.ndarray, length: np.ndarray, entry: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Exit states and token counts of byte ranges, each from its entry state."""
         order = np.argsort(-length, kind="stable")
         at, size = begin[order], length[order]
-        state = np.zeros(len(at), np.int64)
+        state = entry[order]
         total = np.zeros(len(at), np.int64)
         active = len(at)
         for t in range(int(size[0]) if active else 0):
@@ -268,9 +291,60 @@ class Counter:
             found = self.look(state[:active] << 8 | data[at[:active] + t])
             state[:active] = found >> 8
             total[:active] += (found & 255) - 128
-        out = np.empty_like(total)
-        out[order] = total
-        return out
+        exits, out = np.empty_like(state), np.empty_like(total)
+        exits[order], out[order] = state, total
+        return exits, out
+
+    def _long(self, data: np.ndarray) -> int:
+        """Token count of one long piece, ``BLOCK`` bytes after another."""
+        state, total = 0, 0
+        for a in range(0, len(data), BLOCK):
+            if self.filled > self.KEPT:  # the state outlives the table
+                key = self.keys[state]
+                self.reset()
+                state = self.number.setdefault(key, len(self.keys))
+                if state == len(self.keys):
+                    self.keys.append(key)
+            state, many = self._block(data[max(0, a - LEAD) : a + BLOCK], min(a, LEAD), state)
+            total += many
+        return total
+
+    def _block(self, data: np.ndarray, first: int, state: int) -> tuple[int, int]:
+        """Exit state and token count of ``data`` from ``first`` on."""
+        begin = np.arange(first, len(data), SPAN)
+        length = np.minimum(SPAN, len(data) - begin)
+        rows = len(begin)
+        lead = np.minimum(begin, LEAD)
+        guess = self._run(data, begin - lead, lead, np.zeros(rows, np.int64))[0]
+        # the maps: a column for each known entry state, after a column for each chunk's own guess
+        entry = [guess]
+        exits, counts = (x[:, None] for x in self._run(data, begin, length, guess))
+        known = [state]
+        while True:
+            more = self._run(data, begin, length, np.full(rows, known[-1], np.int64))
+            entry.append(np.full(rows, known[-1], np.int64))
+            exits, counts = np.column_stack([exits, more[0]]), np.column_stack([counts, more[1]])
+            # the column at which the next chunk has this exit state, or one beyond all where it has none
+            none = len(entry)
+            hop = np.full((rows, none + 1), none, np.int64)
+            for c in reversed(range(none)):
+                hop[:-1, :none][exits[:-1] == entry[c][1:, None]] = c
+            scan, span = hop[:-1].copy(), 1
+            while span < rows - 1:
+                scan[span:] = np.take_along_axis(scan[span:], scan[:-span], 1)
+                span *= 2
+            column = np.append(1, scan[:, 1])  # the first chunk's entry state is the first that is known
+            lost = np.flatnonzero(column == none)
+            if not len(lost):
+                at = np.arange(rows)
+                return int(exits[-1, column[-1]]), int(counts[at, column].sum())
+            k = int(lost[0])
+            state = int(exits[k - 1, column[k - 1]])
+            if len(known) == ENTRIES:
+                at = np.arange(k)
+                last, many = self._run(data, begin[k : k + 1], np.array([len(data) - begin[k]]), np.array([state]))
+                return int(last[0]), int(counts[at, column[:k]].sum() + many[0])
+            known.append(state)
 
 
 class TokenCounter:
@@ -326,7 +400,7 @@ def token_counts(docs: DataFrame, path: str | None = None, limit: int = 1024, id
         if path not in _OPEN:
             _OPEN[path] = TokenCounter(path, ranges)
         for batch in batches:
-            for a, b in chunks(batch, "text"):
+            for a, b in chunks(batch, "text", CHUNK_BYTES):
                 n = _OPEN[path].counts(texts_of(batch, "text", a, b))
                 size = pc.fill_null(pc.binary_length(batch.column("text").slice(a, b - a)), 0).cast(pa.int64())
                 yield out_batch(schema, (batch.column("doc_id").slice(a, b - a), size, pa.array(n), pa.array(n > limit)))
