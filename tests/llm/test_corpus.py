@@ -74,11 +74,63 @@ def test_language_kernel():
     assert m.predict(["der die das und nicht " * 300 + "the and of that with " * 100])[0] == ["de"]
 
 
+def test_language_passages():
+    """Cutting into passages, kernel values, regression and means by length against plain loops."""
+    langs = ["de", "en", "es"] * 3
+    m = langid.fit([f"{x} {x[::-1]} the and of that {i} der die das" * (1 + i) for i, x in enumerate(langs)], langs)
+    spectrum = langid.Spectrum(m.alphabet)
+    marks = [{int(m.grams[i]) for i in np.flatnonzero(row)} for row in np.unpackbits(m.packed, axis=0, count=len(m.grams)).T]
+    rng = random.Random(6)
+    for text in ("the and of " * 200, "".join(rng.choice("dertha  1É") for _ in range(1700)), "x", "éé das! das? ", "der " * 128, "a1b22c" * 300):
+        symbols = []
+        for c in text:
+            s = int(spectrum.symbol[ord(c)])
+            if s or not symbols or symbols[-1]:
+                symbols.append(s)
+        many = max(1, len(symbols) // langid.PASSAGE)
+        parts = [[s for i, s in enumerate(symbols) if i * many // len(symbols) == k] for k in range(many)]
+        mean = np.zeros(len(m.langs))
+        for p in parts:
+            base = langid.SYMBOLS
+            own = {s for s in p} | {base + a * base + b for a, b in zip(p, p[1:], strict=False)} | {base + base**2 + (a * base + b) * base + c for a, b, c in zip(p, p[1:], p[2:], strict=False)}
+            k = [len(own & x) / len(own) ** 0.5 / norm for x, norm in zip(marks, m.norms, strict=True)]
+            mean += len(p) * (np.array(k) @ m.weights) / len(symbols)
+        (lang,), (value,) = m.predict([text])
+        assert lang == m.langs[int(np.argmax(mean))] and abs(value - np.clip((mean.max() + 1) / 2, 0, 1)) < 1e-4
+
+
 def test_language_odd(spark, odd):
     got = langid.score(odd, langid.fit(*langid.sample(odd)), keep=("label", "score")).collect()
     assert len(got) == 7 and [r["lang_pred"] for r in got if r["doc_id"] in (1, 2)] == ["und", "und"]
 
 
+def test_samples_hold_rare_classes_and_repeated_rows(spark):
+    """A language of five rows beside many, and one id with most of all rows."""
+    many = spark.range(40_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"), F.lit("en").alias("lang"))
+    rare = spark.createDataFrame([(-1 - i, f"rare {i}", "xx") for i in range(5)], "doc_id long, text string, lang string")
+    hot = spark.range(60_000).select(F.lit(7).cast("long").alias("doc_id"), F.lit("hot").alias("text"), F.lit("en").alias("lang"))
+    docs = many.union(rare).union(hot)
+    texts, langs = langid.sample(docs, 50)
+    assert sorted(t for t, x in zip(texts, langs, strict=True) if x == "xx") == [f"rare {i}" for i in range(5)]
+    assert langs.count("en") == 50 and texts.count("hot") <= 1
+    assert langid.sample(docs, 50, 20)[1].count("xx") == 4  # whole texts until there are 20 bytes
+    labels = docs.select("doc_id", (F.col("doc_id") < 20_000).cast("int").alias("quality"))
+    texts, y, held = quality.sample(docs, labels, 200)
+    assert len(texts) == 200 and texts.count("hot") <= 1 and 60 < sum(y) < 140 and 20 < sum(held) < 60
+
+
+def test_letters_beyond_the_symbols():
+    """A rarer script has n-grams though other scripts fill the symbols."""
+    latin, greek, cyrillic = "abcdefghijklmnopqrstuvwxyzéèêëàâäöüßñçøåæœ", "αβγδεζηθικλμνξοπρστυφχψω", "абвгдежзийклмнопрстуфхцчшщъыьэюя"
+    rng = random.Random(4)
+    word = lambda letters: "".join(rng.choice(letters) for _ in range(6))
+    words = {g: [word(x) for _ in range(40)] for g, x in {"la": latin, "el": greek, "e2": greek, "ru": cyrillic}.items()}
+    text = lambda g: " ".join(rng.choice(words[g]) for _ in range(60))
+    langs = [g for g in words for _ in range(40 if g == "la" else 10)]
+    model = langid.fit([text(g) for g in langs], langs)
+    assert model.predict([text(g) for g in words])[0] == list(words)
+
+
 # 2 URLs
 
 
@@ -108,6 +160,15 @@ def test_urls_by_token_are_all_rules():
         assert index.judge(url)[2] == (want.text if want else None)
 
 
+def test_urls_odd(spark):
+    """Nulls, a very long url, repeated rows and columns named as the result's."""
+    long = "http://A.com/en/" + "x" * 300_000
+    rows = [(None, None, "h", 1), (1, long, None, 2), (1, long, None, 2), (2, "", "h", None)]
+    df = spark.createDataFrame(rows, "page_id long, url string, host string, rule int").withColumns({"path": F.lit(0), "verdict": F.lit(None).cast("string")})
+    got = sorted(((r["page_id"], r["host"], len(r["path"]), r["rule"], r["verdict"]) for r in urlrules.judge(df, urlrules.RULES).collect()), key=repr)
+    assert got == sorted([(None, "", 0, None, "allow"), (1, "a.com", 300_004, "com/en/", "block"), (1, "a.com", 300_004, "com/en/", "block"), (2, "", 0, None, "allow")], key=repr)
+
+
 # 3 near duplicates
 
 
@@ -134,6 +195,63 @@ def brute_groups(docs, size, threshold):
     return {d: (len(sets[i]), least[root(i)]) for i, (d, _) in enumerate(docs)}
 
 
+def test_template_families(spark):
+    """Texts that share a template at a similarity of 0.7 and don't link: the pairs held against each other stay few, also across tiles."""
+    rng = random.Random(21)
+    template = [rng.getrandbits(60) for _ in range(140)]
+    sets = [np.array(sorted({*template, *(rng.getrandbits(60) for _ in range(30))}), np.uint64) for _ in range(5000)]
+    for i in range(0, 100, 2):  # some pairs are near copies
+        sets[i + 1] = np.array(sorted({*sets[i].tolist()[:-4], *(rng.getrandbits(60) for _ in range(4))}), np.uint64)
+    sig = neardup.signatures(np.concatenate(sets), np.concatenate([[0], np.cumsum(list(map(len, sets)))]))[0]
+    rows = [(i, i, sig[i].tobytes(), x.tobytes()) for i, x in enumerate(sets)]
+    tile = neardup.Tile(rows, 80)
+    held = []
+    tile._met = lambda values, owner, y: held.append(len(y)) or (met := neardup.Tile._met(values, owner, y), held.append(len(met)))[0]
+    found = {(i, j) for i in range(200) for j in tile.linked(*rows[i][1:]).tolist()}
+    assert found == {(i, i ^ 1) for i in range(100)}
+    assert sum(held[1::2]) < 200 * 60  # of 200 x 5,000 pairs
+
+
+@pytest.mark.parametrize("size,threshold", [(3, 85), (5, 80)])
+def test_near_duplicates_in_tiles(spark, monkeypatch, size, threshold):
+    """Groups far larger than a tile, and tables that are too many to broadcast, against brute force."""
+    monkeypatch.setattr(neardup, "TILE_BYTES", 1 << 14)
+    monkeypatch.setattr(neardup, "FEW_IDS", 3)
+    rng = random.Random(31)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(120)]
+    docs = []
+    for i in range(160):  # a chain of drifting texts, and texts that share most of the base
+        if i % 3:
+            base = list(base)
+            base[rng.randrange(len(base))] = f"v{i}"
+            docs.append((i, " ".join(base)))
+        else:
+            own = list(base)
+            for _ in range(rng.choice([2, 4, 6, 8])):
+                own[rng.randrange(len(own))] = f"u{i}-{rng.random()}"
+            docs.append((i, " ".join(own)))
+    docs += [(500 + i, docs[i][1]) for i in range(0, 60, 7)] + [(3, docs[90][1]), (600, None), (601, " ")]
+    rng.shuffle(docs)
+    found = neardup.groups(spark.createDataFrame(docs, "doc_id long, text string"), size, threshold).collect()
+    whole = brute_groups([(k, t) for k, (_, t) in enumerate(docs)], size, threshold)  # by row, and then rows of one id together
+    up = list(range(len(docs)))
+
+    def root(x):
+        return x if up[x] == x else root(up[x])
+
+    for k in range(len(docs)):
+        up[root(k)] = root(whole[k][1])
+    first = {}
+    for k, (d, t) in enumerate(docs):
+        if (t or "").split():
+            up[root(k)] = root(first.setdefault(d, k))
+    least = defaultdict(lambda: 1 << 60)
+    for k, (d, _) in enumerate(docs):
+        least[root(k)] = min(least[root(k)], d)
+    assert sorted((r[0], r[1], r[2]) for r in found) == sorted((d, whole[k][0], least[root(k)]) for k, (d, _) in enumerate(docs))
+    assert len(set(least.values())) > 3
+
+
 @pytest.mark.parametrize("size,threshold", [(3, 85), (5, 80)])
 def test_near_duplicates(spark, size, threshold):
     rng = random.Random(size)
@@ -199,8 +317,59 @@ def test_quality_odd(spark, odd):
     assert {r["score"] for r in quality.score(odd, none, keep=("label",)).select("score").collect()} == {0.5}
     labels = spark.createDataFrame([(2, 1), (3, 0), (4, 1), (4, 0), (None, 1), (5, None)], "doc_id long, quality int")
     texts, y, held = quality.sample(odd, labels)
-    assert len(texts) == 4 and sorted(y) == [0, 0, 0, 1]
-    assert all(0 <= r["score"] <= 1 for r in quality.score(odd, quality.fit(texts, y, [False] * 4)).collect())
+    # a row counts once, however often it is repeated
+    assert len(texts) == 3 and sorted(y) == [0, 0, 1]
+    assert all(0 <= r["score"] <= 1 for r in quality.score(odd, quality.fit(texts, y, [False] * 3)).collect())
+
+
+def test_quality_slow_version():
+    """Vectors, pooling, network and temperature against plain loops."""
+    import math
+    import re
+
+    rng = random.Random(8)
+    words = ["alpha", "Beta", "GAMMA", "deLta", "12", "--", "epsilon", "!!", "zeta", "x"]
+    texts = ["".join(rng.choice(words) + rng.choice([" ", " ", "\n"]) for _ in range(rng.randrange(1, 60))) for _ in range(60)] + [""]
+    labels = [int("zeta" in t) for t in texts]
+    held = [i % 4 == 0 for i in range(len(texts))]
+    m = quality.fit(texts, labels, held)
+    seen = [re.findall(r"[^\W\d_]+|\d+|[^\s\w]+|_+", t) for t in texts]
+    learned = [w for w, h in zip(seen, held, strict=True) if not h]
+    count = defaultdict(int)
+    for ws in learned:
+        for w in ws:
+            count[w] += 1
+    names = [*quality.SHAPES, *sorted((w for w in count if count[w] > 1), key=lambda w: (-count[w], w))]
+    number = {w: i for i, w in enumerate(names)}
+    of = lambda w: number.get(w, quality.shape(w))
+    context = np.zeros((len(names), quality.DIMENSIONS))
+    for ws in learned:
+        for i, w in enumerate(ws):
+            for j in range(max(0, i - quality.NEAR), min(len(ws), i + quality.NEAR + 1)):
+                if i != j:
+                    context[of(w)] += quality.index_vector(names[of(ws[j])])
+    total = sum(count.values())
+    vectors = [(quality.index_vector(w) / quality.ONES**0.5 + c / max(np.linalg.norm(c), 1e-6)) * (1e-2 / (1e-2 + (count[w] / total if i >= len(quality.SHAPES) else 1 / 50))) for i, (w, c) in enumerate(zip(names, context, strict=True))]
+    assert m.vocabulary == names[len(quality.SHAPES) :] and np.allclose(m.vectors, vectors, atol=1e-5)
+    logit = []
+    for t, ws in zip(texts, seen, strict=True):
+        x = np.zeros(quality.DIMENSIONS + len(quality.SHAPES) + quality.EXTRA)
+        if n := len(ws):
+            x[: quality.DIMENSIONS] = sum(vectors[of(w)] for w in ws) / n
+            for k in range(len(quality.SHAPES)):
+                x[quality.DIMENSIONS + k] = math.sqrt(sum(of(w) == k for w in ws) / n)
+            lines = t.split("\n")
+            again, marks = sum(a == b for a, b in zip(ws, ws[1:], strict=False)), sum(not w[0].isalnum() and (w[0] not in ".,;:'\"-?" or len(w) > 1) for w in ws)
+            x[-quality.EXTRA :] = math.log1p(n), math.sqrt(again / n), math.sqrt(1 - len(set(lines)) / len(lines)), len(set(ws)) / n**0.8, math.sqrt(marks / n), math.log1p(len(t) / len(lines)), math.log1p(len(t) / n)
+        a, b, c, d = m.weights
+        hidden = [math.tanh(sum((x[i] - m.mean[i]) / m.scale[i] * a[i, h] for i in range(len(x))) + b[h]) for h in range(quality.HIDDEN)]
+        logit.append(sum(v * w for v, w in zip(hidden, c, strict=True)) + d[0])
+    assert np.allclose(m.score(texts), [1 / (1 + math.exp(-v / m.temperature)) for v in logit], atol=1e-3)
+
+    def loss(temperature):
+        return np.mean([math.log1p(math.exp(-(v if y else -v) / temperature)) for v, y, h in zip(logit, labels, held, strict=True) if h])
+
+    assert loss(m.temperature) <= min(loss(g) for g in np.exp(np.linspace(np.log(0.2), np.log(10), 60))) + 1e-4
 
 
 # 5 packing
@@ -383,8 +552,8 @@ def test_bpe_is_the_library():
     own, tok = bpe.WordBpe(path), Tokenizer.from_file(path)
     for t in ODD + fuzz(3000, 8):
         ids = own.encode([t])[0]
-        assert ids == tok.encode(t, add_special_tokens=False).ids
-        assert own.decode(ids) == tok.decode(ids, skip_special_tokens=False)
+        assert ids.tolist() == tok.encode(t, add_special_tokens=False).ids
+        assert own.decode(ids.tolist()) == own.decoded([ids])[0].decode() == tok.decode(ids, skip_special_tokens=False)
 
 
 def test_bpe_digests(spark, odd):
@@ -430,6 +599,28 @@ def test_counts_are_the_library():
     assert own.counts(texts).tolist() == want
 
 
+@pytest.mark.parametrize("entries", [1, 64])
+def test_counts_of_long_pieces(monkeypatch, entries):
+    """Composed chunk maps, and what is left in order, against the library."""
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(fsttok, "ENTRIES", entries)
+    monkeypatch.setattr(fsttok, "LONG", 100)
+    monkeypatch.setattr(fsttok, "SPAN", 32)
+    monkeypatch.setattr(fsttok, "LEAD", 5)
+    monkeypatch.setattr(fsttok, "BLOCK", 1000)
+    path = vocab.default_path("byte_bpe_50k.json")
+    own, tok = fsttok.TokenCounter(path, vocab.library_ranges()), Tokenizer.from_file(path)
+    rng = random.Random(12)
+    texts = ["a" * 3000, "=" * 2500, " " * 5000, "ab" * 700, "abcdefghijklm" * 300, "日本語" * 300, "x" * 100, "y" * 99]
+    texts += ["".join(rng.choice(letters) for _ in range(rng.randrange(90, 4000))) for letters in ("ab", "the", "antion", "0123456789", "aàéü", "abcdefghijklmnopqrstuvwxyz") for _ in range(6)]
+    texts.append(" ".join(texts))
+    want = [len(tok.encode(t, add_special_tokens=False).ids) for t in texts]
+    assert own.counts(texts).tolist() == want
+    own.counter.KEPT = 50
+    assert own.counts(texts).tolist() == want
+
+
 def test_counts_odd(spark, odd):
     got = {(r["doc_id"], r["n_bytes"], r["over_limit"]) for r in fsttok.token_counts(odd).collect()}
     assert (1, 0, False) in got and (2, 0, False) in got and (3, 300_000, True) in got
@@ -452,6 +643,20 @@ def test_chat_round_trip():
             chat.parse(bad)
 
 
+def test_chat_long_and_clashing(spark):
+    """Time grows with the text and not its square, and columns may have the names that are used inside."""
+    import time
+
+    for text in ("\\" * 500_001, "\\###" * 100_000, "</turn>\\" * 100_000, "\n" * 300_000):
+        t = time.process_time()
+        shown = chat.render("user", text)
+        ((_, got, a, b),) = chat.parse(shown)
+        assert got == text and chat.unescape(shown[a:b]) == text and time.process_time() - t < 2
+    rows = spark.createDataFrame([(1, 0, "assistant", "long " * 100_000, "x", 5), (1, 0, "assistant", None, None, None)], "conv_id long, turn long, role string, text string, rendered string, position int")
+    (got,) = chat.digests(rows).collect()
+    assert got["n_turns"] == 2 and got["loss_chars"] == 500_000
+
+
 def test_chat_spans(spark):
     rows = spark.createDataFrame([(1, 1, "assistant", "b </turn>"), (1, 0, "user", "a"), (None, None, None, None), (1, 2, "assistant", "c")], "conv_id long, turn long, role string, text string")
     got = chat.format_conversations(rows).filter("conv_id = 1").orderBy("position").collect()
@@ -489,6 +694,35 @@ def test_pipeline_odd(spark, odd):
     assert corpus_pipeline.known_language(spark, docs, "").filter("text is null or text = ''").count() == 0
 
 
+def test_pipeline_stages_odd(spark, odd, tmp_path):
+    """Each stage, and all together, on nulls, repeats, very long texts and clashing columns, and on no rows."""
+    docs = odd.drop("score")
+    spark.createDataFrame([(2, 0, 1), (3, 1, 0), (4, 1, None), (4, 0, 0), (None, 1, 1)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    stages = dict(corpus_pipeline.STAGES)
+    for name in ("quality", "language", "near_dedup"):
+        out = stages[name](spark, docs, str(tmp_path))
+        assert out.columns == docs.columns and out.exceptAll(docs).count() == 0
+        assert stages[name](spark, docs.limit(0), str(tmp_path)).count() == 0
+    kept = stages["near_dedup"](spark, docs, str(tmp_path))
+    assert sorted((r["doc_id"] or 0) for r in kept.select("doc_id").collect()) == [0, 1, 2, 3, 4]
+    pieces = stages["packing"](spark, docs, str(tmp_path)).groupBy("doc_id").agg(F.countDistinct("start").alias("n"), F.sum("length").alias("ids")).collect()
+    assert {r["doc_id"] for r in pieces} == {None, 1, 2, 3, 4, 5} and {r["ids"] for r in pieces if r["doc_id"] in (1, 2)} == {1}
+    assert stages["packing"](spark, docs.limit(0), str(tmp_path)).count() == 0
+    whole = corpus_pipeline.run(spark, str(tmp_path)).select("doc_id").distinct().collect()
+    assert {r["doc_id"] for r in whole} <= {None, 3, 4}
+
+
+def test_top_k_odd(spark):
+    """Nulls, repeated rows, a very long vector and clashing columns."""
+    rows = [(0, [1.0, 2.0], "x"), (0, [1.0, 2.0], "x"), (1, [0.5] * 3000, None), (2, None, "x"), (3, [1.0, None], "x"), (4, [float("nan")], "x"), (None, [1.0], "x"), (5, [-1.0, 3.0], None), (6, [], "x")]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, score string").withColumns({"n2": F.lit(1), "v": F.lit(2), "grp": F.lit(3)})
+    side = topk.scaled(df)
+    got = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in topk.top_k(side.filter("vec_id = 0"), side, 2).collect())
+    assert got == [(0, 1, 5, (-1 + 6) * 1024**2), (0, 2, 1, 3 * 512 * 1024)]
+    assert topk.top_k(side.limit(0), side, 2).count() == 0 and topk.top_k(side, side.limit(0), 2).count() == 0
+
+
 def test_pipeline_rejects_unlearned_and_noise(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter("length(text) >= 400 and lang <> 'fr'").select("doc_id", "text", "lang")
     other = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter("length(text) >= 400 and lang = 'fr'").select("doc_id", "text", F.lit(None).cast("string").alias("lang"))
