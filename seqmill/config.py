@@ -124,6 +124,50 @@ class Parallel:
         return min(n, self.max_workers) if self.max_workers else n
 
 
+@dataclass(frozen=True)
+class Controls:
+    """Files of spikes and of positive controls; none where they are null or false."""
+
+    spike: str | None = None
+    positive: str | None = None
+
+    def __post_init__(self):
+        for name in ("spike", "positive"):
+            given = getattr(self, name)
+            _check(given is not True, f"{name} is a file, false or empty")
+            object.__setattr__(self, name, given or None)
+
+
+@dataclass(frozen=True)
+class AddedReference:
+    """Sequences and their taxonomy, both or neither."""
+
+    fasta: str | None = None
+    table: str | None = None
+
+    def __post_init__(self):
+        _check((self.fasta is None) == (self.table is None), "added references need both fasta and table")
+
+
+@dataclass(frozen=True)
+class Sintax:
+    reftax: str | None = None
+
+    def __post_init__(self):
+        _check(self.reftax is not None, "sintax needs its reference")
+
+
+@dataclass(frozen=True)
+class Bayesant:
+    reftax: str | None = None
+    model: str | None = None
+    aligned: bool = False
+
+    def __post_init__(self):
+        _check(self.reftax is not None or self.model is not None, "bayesant needs a reference or a model")
+        _check(isinstance(self.aligned, bool), "aligned is true or false")
+
+
 _PRIMER = re.compile("^[ACGTMRWSYKVHDBNIacgtmrwsykvhdbni]+$")
 
 
@@ -146,7 +190,11 @@ class PipelineConfig:
     ranks: Ranks = field(default_factory=Ranks)
     rarefy: tuple[dict, ...] = ()
     otu_table: tuple[str, ...] = ("dense",)
-    controls: dict = field(default_factory=dict)
+    control: Controls = field(default_factory=Controls)
+    added_reference: AddedReference = field(default_factory=AddedReference)
+    sintax: Sintax | None = None
+    bayesant: Bayesant | None = None
+    guilds: bool = False
     supplemental: dict = field(default_factory=dict)
     classifiers: dict = field(default_factory=dict)
     path: str = "."
@@ -154,11 +202,12 @@ class PipelineConfig:
     def __post_init__(self):
         _check(self.orient in ("fwd", "rev", "mixed", "custom"), "orient is fwd, rev, mixed or custom")
         _check(self.orient != "custom" or self.custom_sample_table is not None, "orient custom needs a custom sample table")
+        _check(isinstance(self.guilds, bool), "guilds is true or false")
         _check(self.duplicate_samples in ("error", "merge"), "duplicate_samples is error or merge")
         for p in (self.forward_primer, self.reverse_primer):
             _check(p is None or bool(_PRIMER.match(p)), "a primer is made of IUPAC codes")
 
-    _SECTIONS = {"trimming": Trim, "filtering": Filter, "tag_jump": TagJump, "lulu": Curation, "clustering": Clusters, "amplicon_model": Model, "parallelism": Parallel}
+    _SECTIONS = {"trimming": Trim, "filtering": Filter, "tag_jump": TagJump, "lulu": Curation, "clustering": Clusters, "amplicon_model": Model, "parallelism": Parallel, "control": Controls, "added_reference": AddedReference, "sintax": Sintax, "bayesant": Bayesant}
 
     @classmethod
     def from_mapping(cls, options: dict) -> PipelineConfig:
@@ -188,7 +237,8 @@ class PipelineConfig:
 
     def folder(self, kind: str) -> str:
         """The folder of raw, trimmed, filtered, rarefied or later data under the project's path."""
-        places = {"meta": "metadata", "seq": "sequences", "raw": "sequences/01_raw", "trim": "sequences/02_trim", "filt": "sequences/03_filter", "rarefy": "sequences/04_rarefied", "asv": "sequences/05_denoised", "aligned": "sequences/06_aligned", "output": "output", "log": "logs"}
+        # fixed values: folder names
+        places = {"meta": "meta", "seq": "sequences", "raw": "sequences/01_raw", "trim": "sequences/02_trimmed", "filt": "sequences/03_filtered", "protax": "sequences/07_protax", "rarefy": "sequences/04_rarefied", "asv": "sequences/05_denoised", "aligned": "sequences/06_aligned", "output": "output", "log": "logs"}
         return f"{self.path.rstrip('/')}/{places[kind]}"
 
 

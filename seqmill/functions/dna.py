@@ -51,6 +51,7 @@ def expected_errors(qual: Column, offset: int = 33) -> Column:
 
 def sample_key(path: Column) -> Column:
     """File name without direction, read and stage."""
+    # fixed value: how file names end
     return F.regexp_replace(F.element_at(F.split(path, "/"), -1), r"_(fwd|rev)_R[12](_(filt|trim))?\.fastq\.gz$", "")
 
 

@@ -57,9 +57,10 @@ def parse_bold(headers: DataFrame, header: str = "header") -> DataFrame:
 
 def parse_bayesant(headers: DataFrame, ranks: tuple[str, ...] = DEFAULT.ranks, header: str = "header") -> DataFrame:
     """``id Root;X;Y``: parts after the root are ranks in order."""
-    h = F.col(header)
-    parts = F.split(F.regexp_extract(h, r"^\S+\s+(Root(?:;[^;]*)+)$", 1), ";")
-    return headers.select(F.regexp_extract(h, r"^[^\s;]+", 0).alias("seq_id"), *[_blank(F.get(parts, F.lit(i + 1))).alias(r) for i, r in enumerate(ranks)])
+    fields = F.split(header, r"\s+", 2)
+    parts = F.split(F.get(fields, F.lit(1)), ";")
+    rooted = F.get(parts, F.lit(0)) == "Root"
+    return headers.select(F.substring_index(F.get(fields, F.lit(0)), ";", 1).alias("seq_id"), *[F.when(rooted, _blank(F.get(parts, F.lit(i + 1)))).alias(r) for i, r in enumerate(ranks)])
 
 
 def parse_headers(headers: DataFrame, ranks: tuple[str, ...] = DEFAULT.ranks, rank_map: dict[str, str] | None = None, header: str = "header") -> DataFrame | None:

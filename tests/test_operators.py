@@ -316,6 +316,15 @@ def test_config():
             PipelineConfig.from_mapping(bad)
 
 
+def test_config_sections():
+    c = PipelineConfig.from_mapping({"control": [{"spike": "s.fa"}, {"positive": False}], "added_reference": {"fasta": "a.fa", "table": "a.tsv"}, "bayesant": {"model": "m.rds", "aligned": True}, "guilds": True, "path": "p/"})
+    assert (c.control.spike, c.control.positive, c.added_reference.table, c.bayesant.aligned, c.sintax, c.guilds) == ("s.fa", None, "a.tsv", True, None, True)
+    assert [c.folder(k) for k in ("meta", "trim", "filt", "protax")] == ["p/meta", "p/sequences/02_trimmed", "p/sequences/03_filtered", "p/sequences/07_protax"]
+    for bad in ({"control": {"spike": True}}, {"added_reference": {"fasta": "a.fa"}}, {"bayesant": {}}, {"sintax": {}}, {"guilds": "yes"}):
+        with pytest.raises(ValueError):
+            PipelineConfig.from_mapping(bad)
+
+
 def test_clusters_nest(spark):
     rng = np.random.default_rng(0)
     rows = [(i, i % 2, rng.normal(size=4).tolist()) for i in range(60)]
