@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dna import COMPLEMENTS, CODES, expected_errors, primer_pattern, qualities
+from ..functions.dna import COMPLEMENTS, CODES, IUPAC, expected_errors, primer_pattern, qualities
 from ..functions.session import numbered
 
 
@@ -58,28 +58,55 @@ def cut_ends(reads: DataFrame, cut: tuple[int, int], seq: str = "seq", qual: str
     return reads
 
 
-def primer_end(seq: str, primer: str, max_err: float, min_overlap: int) -> int | None:
-    """Where the best match of a primer ends: least edits over IUPAC codes, the leftmost of those; None for too many."""
-    from ..functions.dna import IUPAC
+#: Cells of letters and of costs that primers are aligned in at once; one read of more is aligned alone.
+CELLS = 4 << 20
 
-    n, limit = len(primer), int(max_err * len(primer))
-    cost, start = list(range(n + 1)), [0] * (n + 1)
-    best = None
-    for j, c in enumerate(seq, 1):
-        old, old_start = cost[:], start[:]
-        cost[0], start[0] = 0, j
-        for i in range(1, n + 1):
-            same = old[i - 1] + (c not in IUPAC.get(primer[i - 1], ""))
-            cost[i], start[i] = min((same, old_start[i - 1]), (old[i] + 1, old_start[i]), (cost[i - 1] + 1, start[i - 1]))
-        if cost[n] <= limit and j - start[n] >= min(min_overlap, n) and (best is None or cost[n] < best[0]):
-            best = (cost[n], j)
-    return best[1] if best else None
+
+def primer_ends(seqs: list[str | None], primer: str, max_err: float, min_overlap: int) -> np.ndarray:
+    """Where the best match of a primer ends in each read: least edits over IUPAC codes, the leftmost of those; 0 for too many.
+
+    All reads of a group are aligned a letter at a time, the longest first. A cost and the
+    place where its match begins are one number, so the least has the earliest beginning.
+    """
+    n, limit, need = len(primer), int(max_err * len(primer)), min(min_overlap, len(primer))
+    raw = [(x or "").upper().encode("ascii", "replace") for x in seqs]
+    size = np.array([len(r) for r in raw], np.int64)
+    out = np.zeros(len(raw), np.int64)
+    order = np.argsort(-size, kind="stable")
+    at = 0
+    while at < len(order) and size[order[at]]:
+        top = int(size[order[at]])
+        group = order[at : at + max(1, CELLS // (top + n + 1))]
+        at += len(group)
+        letters = np.zeros((top, len(group)), np.uint8)
+        for k, i in enumerate(group.tolist()):
+            letters[: size[i], k] = np.frombuffer(raw[i], np.uint8)
+        wide = top + 1
+        wrong = np.full((256, n), wide, np.int64)
+        for i, code in enumerate(primer):
+            wrong[[ord(c) for c in IUPAC.get(code, "")], i] = 0
+        gaps = np.arange(n + 1) * wide
+        cost = np.repeat(gaps[None], len(group), 0)
+        best, end = np.full(len(group), limit + 1), np.zeros(len(group), np.int64)
+        there = np.searchsorted(-size[group], -np.arange(1, wide), side="right").tolist()
+        for j, m in enumerate(there, 1):
+            old, cost = cost[:m], np.empty((m, n + 1), np.int64)
+            cost[:, 0] = j
+            np.minimum(old[:, :-1] + wrong[letters[j - 1, :m]], old[:, 1:] + wide, out=cost[:, 1:])
+            cost -= gaps
+            np.minimum.accumulate(cost, axis=1, out=cost)
+            cost += gaps
+            edits, begin = np.divmod(cost[:, n], wide)
+            better = np.flatnonzero((edits < best[:m]) & (j - begin >= need))
+            best[better], end[better] = edits[better], j
+        out[group] = end
+    return out
 
 
 def trim_primer(reads: DataFrame, primer: str, max_err: float = 0.2, min_overlap: int = 10, discard: bool = True, action: str = "trim", seq: str = "seq", qual: str | None = "qual") -> DataFrame:
     """Cut what lies up to the primer's end; an exact primer by a regular expression in the engine, else by edit distance.
 
-    ``action`` is trim, retain (the primer stays) or none.
+    ``action`` is trim, retain (the primer stays) or none. Null reads match nothing.
     """
     primer = primer.upper()
     if max_err == 0:
@@ -91,9 +118,9 @@ def trim_primer(reads: DataFrame, primer: str, max_err: float = 0.2, min_overlap
         def ends(s):
             import pandas as pd
 
-            return pd.Series([primer_end((x or "").upper(), primer, max_err, min_overlap) for x in s], dtype="Int32")
+            return pd.Series(primer_ends(s.tolist(), primer, max_err, min_overlap), dtype="int32")
 
-        end = ends(F.col(seq))
+        end = F.nullif(ends(F.col(seq)), F.lit(0))
     out = reads.withColumn("_end", end)
     if discard:
         out = out.filter("_end is not null")

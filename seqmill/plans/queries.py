@@ -569,7 +569,12 @@ def closed_ref(spark, d):
     return cluster.closed_reference(v.filter(~known), v.filter(known), "block", 0.75)
 
 
-@query()
+@query(f"""WITH RECURSIVE {_VEC}, p AS (SELECT a.id, b.id AS id2, {_COS} AS d FROM vecs a JOIN vecs b ON a.block = b.block AND NOT coalesce(a.e[1] > 0.2, false) AND {_COS} <= 0.7::DOUBLE),
+g(k, id, ref, fresh) AS (SELECT 0, id, id, true FROM vecs WHERE e[1] > 0.2 UNION ALL (
+  WITH s AS (SELECT * FROM g WHERE (SELECT bool_or(fresh) FROM g))
+  SELECT k + 1, id, ref, false FROM s UNION ALL
+  SELECT min(s.k) + 1, p.id, arg_min(s.ref, (p.d, s.ref)), true FROM s JOIN p ON p.id2 = s.id AND s.fresh WHERE p.id NOT IN (SELECT id FROM s) GROUP BY p.id))
+SELECT id, min(ref) AS ref FROM g WHERE id NOT IN (SELECT id FROM g WHERE k = 0) GROUP BY 1""")
 def closed_ref_closure(spark, d):
     v = _vectors(spark, d)
     known = F.get("v", F.lit(0)) > 0.2
@@ -780,13 +785,25 @@ def denoise(spark, d):
     return dn.denoise(dn.uniques(reads), rates)
 
 
-@query()
+#: A primer as it is, with a wrong, an added and a lost letter, and none, behind a few letters.
+_PRIMERS = ("TTACGTGGA", "TACCTAGA", "GGACGGTCGT", "CACGAGTT", "TTTTT")
+
+
+@query(f"""WITH r AS (SELECT p_partkey AS rec_idx, [{", ".join(f"'{x}'" for x in _PRIMERS)}][1 + p_partkey % 5] || upper(p_name) AS seq FROM part),
+e AS (SELECT rec_idx, seq, j, l, list_min([levenshtein(seq[j - l + 1:j], 'ACGT' || x || 'G') FOR x IN ['A', 'C', 'G', 'T']]) AS c
+  FROM (SELECT *, unnest(range(1, len(seq) + 1)) AS j FROM r), (SELECT unnest([5, 6, 7]) AS l) WHERE l <= j),
+b AS (SELECT rec_idx, seq, j, min(c) AS c, arg_min(l, c * 10 - l) AS l FROM e GROUP BY 1, 2, 3)
+SELECT rec_idx, seq[arg_min(j, c * 1000 + j) + 1:] AS seq FROM b WHERE c <= 1 AND l >= 6 GROUP BY rec_idx, seq""")
 def primer_trim(spark, d):
-    r = table(spark, d, "part").select(F.col("p_partkey").alias("rec_idx"), F.concat(F.lit("TTACGTGGA"), F.upper("p_name")).alias("seq"))
+    head = F.get(F.array(*map(F.lit, _PRIMERS)), (F.col("p_partkey") % 5).cast("int"))
+    r = table(spark, d, "part").select(F.col("p_partkey").alias("rec_idx"), F.concat(head, F.upper("p_name")).alias("seq"))
     return sequence.trim_primer(r, "ACGTNG", qual=None, min_overlap=6)
 
 
-@query()
+@query("""WITH p AS (SELECT p_partkey AS rec_idx, translate(upper(p_name), 'BDEFGHIJKLMNOPQRSUVWXYZ ', 'CAGTACGTACGTACGTACGTACGT') || 'ACGTACGTACGTAC' AS a, CASE WHEN p_partkey % 4 = 0 THEN repeat('G', 18) ELSE 'ACGTACGTACGTACGGTT' END AS b FROM part),
+o AS (SELECT *, greatest(0, k) AS lo, least(len(a), k + len(b)) AS hi FROM (SELECT *, unnest(range(12 - len(b), len(a) - 11)) AS k FROM p)),
+m AS (SELECT rec_idx, arg_max(k, (hi - lo) * 10000 + k) AS k FROM o WHERE hi - lo >= 12 AND a[lo + 1:hi] = b[lo - k + 1:hi - k] GROUP BY 1)
+SELECT rec_idx, a AS seq_fwd, translate(reverse(b), 'ACGT', 'TGCA') AS seq_rev, CASE WHEN k IS NOT NULL THEN b[1:greatest(0, -k)] || a || b[greatest(0, len(a) - k) + 1:] END AS seq, k IS NOT NULL AS accept FROM p LEFT JOIN m USING (rec_idx)""")
 def merge_pairs(spark, d):
     p = table(spark, d, "part")
     rev = F.reverse(F.translate(F.concat(F.lit("ACGTACGTACGTAC"), F.lit("GGTT")), dna.CODES, dna.COMPLEMENTS))

@@ -5,6 +5,7 @@ import pytest
 
 from seqmill.config import PipelineConfig
 from seqmill.functions import taxa
+from seqmill.functions.dna import IUPAC
 from seqmill.functions.session import numbered, running_count
 from seqmill.operators import abundance, chimera, cluster, curation, rollup, sampling, samples, sequence, tagjump, taxonomy
 from seqmill.sources import adapters, fastx, tables
@@ -356,7 +357,65 @@ def test_stream(spark, sf_dir, tmp_path):
 def test_merge_mates():
     assert sequence.merge_mates("AAACCCGGGTTTACGTA", "GGGGTACGTAAACCCGGG", 10) == "AAACCCGGGTTTACGTACCCC"
     assert sequence.merge_mates("AAAAAAAAAAAAAA", "CCCCCCCCCCCCCC") is None
-    assert sequence.primer_end("TTACGTGGA", "ACNT", 0.2, 3) == 6
+
+
+def slow_primer_end(seq, primer, max_err, min_overlap):
+    n, limit = len(primer), int(max_err * len(primer))
+    cost, best = [(i, 0) for i in range(n + 1)], None
+    for j, c in enumerate(seq, 1):
+        old, cost = cost, [(0, j)]
+        for i in range(1, n + 1):
+            wrong = c not in IUPAC.get(primer[i - 1], "")
+            cost.append(min((old[i - 1][0] + wrong, old[i - 1][1]), (old[i][0] + 1, old[i][1]), (cost[i - 1][0] + 1, cost[i - 1][1])))
+        if cost[n][0] <= limit and j - cost[n][1] >= min(min_overlap, n) and (best is None or cost[n][0] < best[0]):
+            best = (cost[n][0], j)
+    return best[1] if best else 0
+
+
+def test_primer_ends(spark, monkeypatch):
+    assert sequence.primer_ends(["TTACGTGGA", None, ""], "ACNT", 0.2, 3).tolist() == [6, 0, 0]
+    rng = random.Random(5)
+    reads = ["".join(rng.choices("ACGTNacé", k=rng.choice([0, 1, 3, 9, 40]))) for _ in range(300)]
+    reads += [r[:5] + "ACGT" * 3 + r for r in reads[:50]]
+    for primer, most, least in (("ACGTNG", 0.2, 6), ("RYACGTAC", 0.4, 3), ("ACGTACGTAC", 0.3, 10), ("A", 1.0, 1), ("AC-T", 0.5, 9)):
+        want = [slow_primer_end(r.upper(), primer, most, least) for r in reads]
+        for cells in (64, 4 << 20):
+            monkeypatch.setattr(sequence, "CELLS", cells)
+            assert sequence.primer_ends(reads, primer, most, least).tolist() == want
+    rows = spark.createDataFrame([(1, "TTACGTGGA"), (2, None), (3, "")], "rec_idx int, seq string")
+    assert [tuple(r) for r in sequence.trim_primer(rows, "ACGTNG", qual=None, min_overlap=6).collect()] == [(1, "A")]
+    assert sequence.trim_primer(rows, "ACGTNG", qual=None, min_overlap=6, discard=False).count() == 3
+
+
+def test_tools(spark, tmp_path, monkeypatch):
+    """Commands and parsers with stubs in the tools' places, which write what they were given."""
+
+    def stub(name, body):
+        path = tmp_path / name
+        path.write_text("#!/bin/sh\nset -e\nopt() { k=$1; shift; while [ $# -gt 0 ]; do [ \"$1\" = \"$k\" ] && echo \"$2\"; shift; done; }\neval last=\\${$#}\n" + body)
+        path.chmod(0o755)
+        monkeypatch.setenv(name.replace("-", "_"), str(path))
+
+    seqs = spark.createDataFrame([("a", "ACGT"), ("b", "GG")], "seq_id string, seq string").coalesce(1)
+    stub("hmmalign", 'cp "$last" "$(opt -o "$@")"')
+    assert sorted(map(tuple, adapters.profile_alignment(seqs, "/p.hmm").collect())) == [("a", "ACGT"), ("b", "GG")]
+    stub("nhmmer", f"printf '#{'-' * 3}{(' ' + '-' * 5) * 15}\\n' > \"$(opt --tblout \"$@\")\"")
+    assert adapters.nucleotide_hits(seqs, "/p.hmm").collect() == []
+    line = " ".join(["t1   ", "-    ", "  100", "q1   ", "-    ", "   50", "1e-10", " 30.5", "  0.1", *["    1"] * 13, "text of it"])
+    rule = "#" + "-" * 4 + (" " + "-" * 5) * 21 + " " + "-" * 10
+    stub("hmmsearch", f"printf '%s\\n%s\\n' '{rule}' '{line}' > \"$(opt --domtblout \"$@\")\"")
+    hit = adapters.profile_hits(seqs, "/p.hmm").first()
+    assert (hit.target_name, hit.tlen, hit.query_name, hit.full_score, hit.description) == ("t1", 100, "q1", 30.5, "text of it")
+    stub("epa-ng", 'cp "$(opt --query "$@")" "$(opt --outdir "$@")/epa_result.jplace"')
+    stub("gappa", 'test -s "$(opt --jplace-path "$@")"\nprintf \'name\\tLWR\\tfract\\taLWR\\tafract\\ttaxopath\\na\\t1\\t0.25\\t1\\t0.75\\tK;P\\n\' > "$(opt --out-dir "$@")/per_query.tsv"')
+    rows = adapters.placed(seqs, "/m", "/t", "GTR", "/x", "/o", ("kingdom", "phylum", "class")).collect()
+    assert sorted((r["seq_id"], r["rank"], r["parent_taxonomy"], r["taxon"] or "", r["prob"]) for r in rows) == [("a", "class", "K,P", "", 0.25), ("a", "phylum", "K", "P", 0.75)]
+    stub("classifier", "echo 'a X 0.5 X,unk 0.25'")
+    rows = adapters.assigned(seqs, "classifier", ["/one", "/two"], known=(), ranks=("kingdom", "phylum")).collect()
+    assert sorted((r["rank"], r["taxon"] or "", r["prob"]) for r in rows) == [("kingdom", "X", 0.5), ("phylum", "", 0.25)]
+    stub("hmmalign", "exit 3")
+    with pytest.raises(Exception, match="CalledProcessError|returned non-zero"):
+        adapters.profile_alignment(seqs, "/p.hmm").collect()
 
 
 def test_column_roles():
