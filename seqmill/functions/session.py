@@ -20,15 +20,25 @@ def importable(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join(filter(None, [ROOT, env.get("PYTHONPATH")]))
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir``.
+
+    Where the session has none, a local master gets a temporary folder and any
+    other master a folder under the warehouse, which is shared as well.
+    """
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found and spark.sparkContext.master.startswith("local"):
+        found = "file://" + tempfile.mkdtemp(prefix="seqmill-")
+        spark.conf.set("spark.checkpoint.dir", found)
+    return (found or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_seqmill_checkpoints").rstrip("/")
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` from the folder that ``spark.checkpoint.dir`` names; a local session without one gets a temporary folder."""
     spark = df.sparkSession
     sc = spark.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
-        known = spark.conf.get("spark.checkpoint.dir", None)
-        if not known and not sc.master.startswith("local"):
-            known = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_seqmill_checkpoints"
-        sc.setCheckpointDir(known or tempfile.mkdtemp(prefix="seqmill-"))
+        sc.setCheckpointDir(shared_dir(spark))
     return df.checkpoint()
 
 

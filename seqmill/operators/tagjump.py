@@ -11,20 +11,25 @@ LEAST = 0.1
 SURVIVED = 0x08
 
 
-def score(table: DataFrame, f: float, p: float, id_col: str = "seq_idx", sample: str = "sample", least: float = LEAST) -> DataFrame:
+def score(table: DataFrame, f: float, p: float, id_col: str = "seq_idx", sample: str = "sample", least: float = LEAST, by: str | None = None) -> DataFrame:
     """``total``, ``uncross`` and ``is_tag_jump`` beside every row.
 
     With N reads of the sequence overall and n samples, z = f N / n, and the
     score is 2 / (1 + exp(x / z) ** p). Totals are aggregated and joined back,
     so that a sequence with a large part of the rows is added up before it
-    moves. Null counts add nothing and have no score.
+    moves. Null counts add nothing and have no score. With ``by`` reads and
+    samples are those of a run, such as the sequencing run, which must not be null.
     """
-    n = table.agg(F.countDistinct(sample)).first()[0]
-    total = table.groupBy(id_col).agg(F.sum("nread").cast("bigint").alias("total"))
-    z = F.lit(float(f)) * F.col("total") / F.lit(float(max(n, 1)))
+    keys = [by] if by else []
+    total = table.groupBy(*keys, id_col).agg(F.sum("nread").cast("bigint").alias("total"))
+    if by:
+        n = table.select(by, sample).distinct().groupBy(by).agg(F.count(sample).alias("_n"))
+        out = table.join(total, [*keys, id_col]).join(n, by)
+    else:
+        out = table.join(total, id_col).withColumn("_n", F.lit(table.agg(F.countDistinct(sample)).first()[0]))
+    z = F.lit(float(f)) * F.col("total") / F.greatest(F.col("_n"), F.lit(1)).cast("double")
     value = F.lit(2.0) / (F.lit(1.0) + F.exp(F.lit(float(p)) * F.col("nread") / F.nullif(z, F.lit(0.0))))
-    out = table.join(total, id_col).withColumn("uncross", value)
-    return out.withColumn("is_tag_jump", F.col("uncross") >= least)
+    return out.withColumn("uncross", value).drop("_n").withColumn("is_tag_jump", F.col("uncross") >= least)
 
 
 def summarize(scored: DataFrame, sample: str = "sample") -> DataFrame:
