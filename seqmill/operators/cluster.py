@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.session import checkpointed, numbered
 from ..functions.taxa import DEFAULT
+from .distance import configured, vector_pairs, with_limit
 
+__all__ = ["closed_reference", "connected", "denovo", "distribute", "greedy", "large", "levels", "preclosed", "predenovo", "small", "vector_pairs"]
 
+#: Links of a block that one task follows; blocks of more are followed by joins.
+LINKS = 500_000
 #: Parent taxa that the driver packs into bins: the taxa of a rank, whose number doesn't grow with the sequences.
 PARENTS = 5_000_000
 
@@ -105,72 +108,67 @@ def small(work: DataFrame, parent: str, most: float = 1e6) -> DataFrame:
     return work.alias("t").join(packed.alias("p"), F.col(f"t.{parent}").eqNullSafe(F.col(f"p.{parent}"))).select("t.*", "p._bin").withColumn("tar_group", F.col("_bin")).drop("_bin")
 
 
-def vector_pairs(left: DataFrame, right: DataFrame, block: str, threshold, tile: int = 2048) -> DataFrame:
-    """``block, id, id2, dist`` of vectors of one block whose cosine distance is within the threshold.
+def closed_reference(unknown: DataFrame, known: DataFrame, block: str, threshold, closure: bool = False, distance: str | dict = "cosine") -> DataFrame:
+    """``id, ref``: the nearest known row of each unknown one within the threshold of their block, ties to the smaller id.
 
-    Both sides are ``id, block, v``. Blocks are cut into tiles by a hash of the
-    id, and tiles meet in pairs, so that a block of any size is spread; a tile
-    pair is a matrix product. ``threshold`` is a number or a map by block.
-    Vectors that are null or hold a null or a NaN are in no pair, and neither
-    are two of different lengths; a vector of zeros is at distance one.
+    With ``closure``, what was matched becomes the next reference and carries its own reference's id, until nothing more
+    is matched. Links within the threshold are found once and stored; waves then go over links alone: in one task for
+    each block of at most ``LINKS`` of them, and as rounds of joins, however many, over larger ones.
     """
-    limit = threshold if isinstance(threshold, dict) else None
-    whole = F.col("v").isNotNull() & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x))
-    left, right = left.filter(whole), right.filter(whole)
-    n = right.groupBy(block).agg(F.count(F.lit(1)).alias("_n"))
-    tiles = n.select(block, F.ceil(F.col("_n") / tile).cast("int").alias("_t"))
-    # the right side is dealt to its tiles; the left side goes to each tile of its block
-    r = right.join(tiles, block).select(block, F.pmod(F.xxhash64("id"), F.col("_t")).cast("int").alias("tile"), F.lit(1).alias("side"), "id", "v")
-    m = left.join(tiles, block).select(block, F.explode(F.sequence(F.lit(0), F.col("_t") - 1)).alias("tile"), F.lit(0).alias("side"), "id", "v")
-    both = m.unionByName(r).withColumn("width", F.size("v"))
-    kind = dict(both.dtypes)
-
-    def pairs(key, pdf):
-        top = limit.get(key[0], limit.get("_NA_", 0.0)) if limit is not None else threshold
-        a, b = pdf[pdf.side == 0], pdf[pdf.side == 1]
+    pairs = configured(distance)
+    near = pairs(unknown, known, block, threshold)
+    first = near.groupBy("id").agg(F.min(F.struct("dist", F.col("id2").alias("ref"))).alias("b")).select("id", "b.ref")
+    if not closure:
+        return first
+    own = pairs(unknown, None, block, threshold)
+    links = own.select(block, "id", "id2", "dist").union(own.select(block, F.col("id2").alias("id"), F.col("id").alias("id2"), "dist"))
+    first, links = checkpointed(first), checkpointed(links.withColumn("b", F.struct(F.col(block))).drop(block))
+    large = links.groupBy("b").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > LINKS).select("b")
+    rest = links.join(large, "b", "left_anti").join(first.withColumnRenamed("ref", "known"), "id", "left")
+    # a matched row has no other reference, so only links from unmatched rows count, and what the others carry
+    rest = rest.join(first.select(F.col("id").alias("id2"), F.col("ref").alias("from")), "id2", "left").filter("known is null")
+    kind = dict(first.dtypes)["id"]
+
+    def waves(pdf):
         import pandas as pd
 
-        parts = []
-        if len(a) and len(b):
-            y = np.stack(b.v.to_numpy()).astype(float)
-            y /= np.maximum(np.linalg.norm(y, axis=1, keepdims=True), 1e-300)
-            for s in range(0, len(a), tile):
-                x = np.stack(a.v.to_numpy()[s : s + tile]).astype(float)
-                x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
-                d = np.round(1 - x @ y.T, 9)
-                i, j = np.nonzero(d <= top)
-                parts.append(pd.DataFrame({block: key[0], "id": a.id.to_numpy()[s + i], "id2": b.id.to_numpy()[j], "dist": d[i, j]}))
-        return pd.concat(parts) if parts else pd.DataFrame({block: [], "id": [], "id2": [], "dist": []})
-
-    return both.groupBy(block, "tile", "width").applyInPandas(pairs, f"`{block}` {kind[block]}, id {kind['id']}, id2 {kind['id']}, dist double")
-
-
-def closed_reference(unknown: DataFrame, known: DataFrame, block: str, threshold, closure: bool = False, rounds: int = 50) -> DataFrame:
-    """``id, ref``: each unknown vector's nearest known one within the threshold, ties to the smaller id.
-
-    With ``closure``, what was matched becomes the next reference and carries
-    its own reference's id, until nothing more is matched.
-    """
-    refs = known.select("id", block, "v", F.col("id").alias("ref"))
-    rest, found = unknown, None
-    for _ in range(rounds):
-        near = vector_pairs(rest, refs.select("id", block, "v"), block, threshold)
-        label = refs.select(F.col("id").alias("id2"), "ref")
-        best = near.join(label, "id2").groupBy("id").agg(F.min(F.struct("dist", "ref")).alias("b")).select("id", "b.ref")
-        best = checkpointed(best)
-        found = best if found is None else found.unionByName(best)
-        if not closure or not best.limit(1).count():
+        towards: dict = {}
+        for i, j, d in zip(pdf.id.tolist(), pdf.id2.tolist(), pdf.dist.tolist(), strict=True):
+            towards.setdefault(j, []).append((i, d))
+        ref = {j: r for j, r in zip(pdf.id2.tolist(), pdf["from"].tolist(), strict=True) if not pd.isna(r)}
+        wave, out = dict(ref), {}
+        while wave:
+            best: dict = {}
+            for j, r in wave.items():
+                for i, d in towards.get(j, ()):
+                    if i not in ref and (i not in best or (d, r) < best[i]):
+                        best[i] = (d, r)
+            wave = {i: r for i, (_, r) in best.items()}
+            ref |= wave
+            out |= wave
+        return pd.DataFrame({"id": list(out), "ref": list(out.values())}, columns=["id", "ref"])
+
+    found = first.unionByName(rest.select("b", "id", "id2", "dist", F.col("from")).groupBy("b").applyInPandas(waves, f"id {kind}, ref {kind}"))
+    if not large.limit(1).count():
+        return found
+    links = checkpointed(links.join(large, "b", "left_semi").drop("b"))
+    wave = done = first
+    rounds = 0
+    while True:
+        step = links.join(wave.select(F.col("id").alias("id2"), "ref"), "id2").join(done.select("id"), "id", "left_anti")
+        wave = checkpointed(step.groupBy("id").agg(F.min(F.struct("dist", "ref")).alias("b")).select("id", "b.ref"))
+        if not wave.limit(1).count():
             return found
-        refs = checkpointed(rest.join(best, "id"))
-        rest = checkpointed(rest.join(best.select("id"), "id", "left_anti"))
-    raise ValueError("no closure within the rounds")
+        done, found, rounds = done.unionByName(wave), found.unionByName(wave), rounds + 1
+        if not rounds % 16:  # plans stay short
+            done, found = checkpointed(done), checkpointed(found)
 
 
-def connected(edges: DataFrame, nodes: DataFrame, rounds: int = 100) -> DataFrame:
+def connected(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """``id, cluster``: the smallest id that can be reached, by rounds of neighbours' minima and pointer jumping."""
     both = checkpointed(edges.select("id", "id2").union(edges.select(F.col("id2").alias("id"), F.col("id").alias("id2"))).filter("id <> id2").distinct())
     out = nodes.select("id", F.col("id").alias("cluster"))
-    for _ in range(rounds):
+    while True:  # the least label moves on in each round, or nothing does
         near = both.join(out.toDF("id2", "c2"), "id2").groupBy("id").agg(F.min("c2").alias("c2"))
         step = out.join(near, "id", "left").select("id", F.col("cluster").alias("was"), F.least("cluster", F.coalesce("c2", "cluster")).alias("cluster"))
         up = out.toDF("cluster", "up")
@@ -178,19 +176,122 @@ def connected(edges: DataFrame, nodes: DataFrame, rounds: int = 100) -> DataFram
         out = step.select("id", "cluster")
         if not step.filter("was <> cluster").limit(1).count():
             return out
-    raise ValueError("no fixed point within the rounds")
 
 
-def denovo(vectors: DataFrame, block: str, thresholds: dict[str, float]) -> DataFrame:
-    """``id`` and for each threshold its single-linkage cluster, named by the smallest id; nested as the thresholds are."""
-    pairs = checkpointed(vector_pairs(vectors, vectors, block, max(thresholds.values())).filter("id < id2"))
-    out = vectors.select("id")
-    for name, t in thresholds.items():
-        out = out.join(connected(pairs.filter(F.col("dist") <= t), vectors).withColumnRenamed("cluster", name), "id")
-    return out
+def levels(thresholds: dict) -> list[tuple[str, float | dict]]:
+    """Levels from the tightest to the loosest; each a number, or a map by taxon with ``_NA_`` for the others.
 
+    Clusters are nested, so in each taxon the thresholds have to come in the same order; a taxon that one map names and
+    another doesn't has the other's ``_NA_``.
+    """
+    maps = {k: v if isinstance(v, dict) else {"_NA_": v} for k, v in thresholds.items()}
+    taxa = set().union(*maps.values())
+    of = lambda k, x: maps[k].get(x, maps[k].get("_NA_", -1.0))
+    order = sorted(maps, key=lambda k: of(k, "_NA_"))
+    for x in taxa:
+        if any(of(a, x) > of(b, x) for a, b in zip(order, order[1:], strict=False)):
+            raise ValueError(f"thresholds of {x} aren't in the order of the others")
+    return [(k, thresholds[k]) for k in order]
+
+
+def denovo(rows: DataFrame, block: str, thresholds: dict, distance: str | dict = "cosine") -> DataFrame:
+    """``id`` and for each threshold its single-linkage cluster, named by the smallest id; nested as the thresholds are.
+
+    A threshold is a number or a map by block, as ``levels`` has it. Links up to the loosest are found once. A minimum
+    spanning forest of a block has all its clusters at every threshold: one task cuts the forest of a block with at most
+    ``LINKS`` links. Of larger blocks tiles of links keep their forests, and what is left is joined level by level, from
+    the tightest on, each level's clusters being the nodes of the next.
+    """
+    order = levels(thresholds)
+    taxa = {x for _, t in order if isinstance(t, dict) for x in t} - {"_NA_"}
+    of = lambda t, x: t.get(x, t.get("_NA_", -1.0)) if isinstance(t, dict) else t
+    loosest = order[-1][1]
+    top = {x: of(loosest, x) for x in taxa} | {"_NA_": of(loosest, "_NA_")} if taxa else loosest
+    top = {k: v for k, v in top.items() if v >= 0} if isinstance(top, dict) else top
+    links = checkpointed(configured(distance)(rows, None, block, top).withColumn("b", F.struct(F.col(block))).drop(block))
+    large = links.groupBy("b").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > LINKS)
+    names = [k for k, _ in order]
+    kind = dict(rows.dtypes)["id"]
+
+    def joined(pdf):
+        """Links in order of their distance that join two trees, and what finds a node's root."""
+        up: dict = {}
+
+        def root(x):
+            while (y := up.get(x, x)) != x:
+                up[x] = x = up.get(y, y)
+            return x
+
+        def steps():
+            pdf_ = pdf.sort_values(["dist", "id", "id2"])
+            for k, i, j, d in zip(pdf_.index.tolist(), pdf_.id.tolist(), pdf_.id2.tolist(), pdf_.dist.tolist(), strict=True):
+                a, b = root(i), root(j)
+                if a != b:
+                    yield k, a, b, d
+
+        return up, root, steps
+
+    def cut(key, pdf):
+        import pandas as pd
 
-def greedy(pairs: DataFrame, nodes: DataFrame, rounds: int = 1000) -> DataFrame:
+        taxon = key[0][block] if isinstance(key[0], dict) else key[0]
+        up, root, steps = joined(pdf)
+        nodes = pd.unique(pd.concat([pdf.id, pdf.id2])).tolist()
+        limits, out = [of(t, taxon if taxon is None or taxon in taxa else str(taxon)) for _, t in order], {"id": nodes}
+        at = 0
+
+        def close():
+            out[names[at]] = [root(x) for x in nodes]
+
+        for _, a, b, d in steps():
+            while at < len(limits) and d > limits[at]:
+                close()
+                at += 1
+            if at == len(limits):
+                break
+            up[max(a, b)] = min(a, b)
+        while at < len(limits):
+            close()
+            at += 1
+        return pd.DataFrame(out)
+
+    plain = links.select(F.col(f"b.{block}").alias(block), "b", "id", "id2", "dist").join(large, "b", "left_anti").drop("b")
+    out = plain.groupBy(block).applyInPandas(cut, f"id {kind}, " + ", ".join(f"`{n}` {kind}" for n in names))
+    if large.limit(1).count():
+        out = out.unionByName(_contracted(links.join(large, "b"), order, block, joined))
+    every = rows.select("id").join(out, "id", "left")
+    return every.select("id", *[F.coalesce(k, "id").alias(k) for k in thresholds])
+
+
+def _contracted(links: DataFrame, order: list, block: str, joined) -> DataFrame:
+    """Clusters of blocks with many links, level by level over what is left of the links."""
+    kind = dict(links.dtypes)["id"]
+
+    def forest(pdf):
+        up, _, steps = joined(pdf)
+        keep = []
+        for k, a, b, _ in steps():
+            up[max(a, b)] = min(a, b)
+            keep.append(k)
+        return pdf.loc[keep, ["_b", "id", "id2", "dist"]]
+
+    tile = F.pmod(F.xxhash64("id", "id2"), F.ceil(F.col("n") / LINKS)).cast("int")
+    own = links.select(F.col(f"b.{block}").alias("_b"), "id", "id2", "dist", tile.alias("tile"))
+    rest = checkpointed(own.groupBy("_b", "tile").applyInPandas(forest, f"_b {dict(own.dtypes)['_b']}, id {kind}, id2 {kind}, dist double"))
+    nodes = rest.select("id").union(rest.select(F.col("id2").alias("id"))).distinct()
+    out = nodes.withColumn("_now", F.col("id"))
+    for name, t in order:
+        near = with_limit(rest, "_b", t).filter("dist <= _t").select("id", "id2")
+        ends = near.select("id").union(near.select(F.col("id2").alias("id"))).distinct()
+        label = checkpointed(connected(near, ends))
+        out = out.join(label.toDF("_now", "_up"), "_now", "left").withColumn("_now", F.coalesce("_up", "_now")).drop("_up").withColumn(name, F.col("_now"))
+        for c in ("id", "id2"):
+            rest = rest.join(label.toDF(c, "_up"), c, "left").withColumn(c, F.coalesce("_up", c)).drop("_up")
+        rest = checkpointed(rest.filter("id <> id2").groupBy("_b", F.least("id", "id2").alias("id"), F.greatest("id", "id2").alias("id2")).agg(F.min("dist").alias("dist")))
+    return out.drop("_now")
+
+
+def greedy(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """``query, hit``: clusters about centroids, as taken one after another by ascending id.
 
     ``pairs`` are ``id, id2, dist`` with ``id < id2`` within the threshold. A node is a centroid if no centroid before it
@@ -200,7 +301,7 @@ def greedy(pairs: DataFrame, nodes: DataFrame, rounds: int = 1000) -> DataFrame:
     """
     before = checkpointed(pairs.select(F.col("id").alias("prior"), F.col("id2").alias("id"), "dist"))
     state = checkpointed(nodes.select("id").distinct().join(before.select("id").distinct().withColumn("near", F.lit(True)), "id", "left").select("id", F.when(F.col("near").isNull(), True).alias("centroid")))
-    for _ in range(rounds):
+    while True:  # the smallest open node is settled in each round at least
         if not state.filter("centroid is null").limit(1).count():
             found = before.join(state.filter("centroid").select(F.col("id").alias("prior")), "prior").join(state.filter("not centroid").select("id"), "id")
             return found.groupBy(F.col("id").alias("query")).agg(F.min(F.struct("dist", "prior")).alias("b")).select("query", F.col("b.prior").alias("hit"))
@@ -208,4 +309,3 @@ def greedy(pairs: DataFrame, nodes: DataFrame, rounds: int = 1000) -> DataFrame:
         seen = before.join(open_, "id").join(state.select(F.col("id").alias("prior"), "centroid"), "prior").groupBy("id").agg(F.max("centroid").alias("covered"), F.count_if(F.col("centroid").isNull()).alias("open"))
         step = seen.select("id", F.when(F.col("covered"), False).when(F.col("open") == 0, True).alias("now"))
         state = checkpointed(state.join(step, "id", "left").select("id", F.coalesce("centroid", "now").alias("centroid")))
-    raise ValueError("no end within the rounds")

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.session import following, numbered
+from .distance import candidates, measured
 
 
 def ranked_ids(table: DataFrame, id_col: str = "seq_idx") -> DataFrame:
@@ -62,51 +63,41 @@ def merged_table(table: DataFrame, parents: DataFrame, id_col: str = "seq_idx")
     return out.groupBy(*keys, id_col).agg(F.sum("nread").cast("bigint").alias("nread"))
 
 
-def sample_matches(table: DataFrame, seqs: DataFrame, threshold: float = 0.1, longest: int = 2000, gaps: bool = False) -> DataFrame:
+def sample_matches(table: DataFrame, seqs: DataFrame, threshold: float = 0.1, gaps: bool = False) -> DataFrame:
     """Pairs of one sample whose edit distance over the longer length is at most the threshold, with both counts.
 
-    ``near_pairs`` finds the pairs of sequences, whatever their samples, so that no sample's rows are all paired.
+    Pairs are looked for inside samples only, and a pair that several samples have is measured once.
     """
-    near = near_pairs(seqs, threshold, longest, gaps)
+    if not 0 <= threshold < 1:
+        raise ValueError("the threshold lies from 0 up to 1")
+    rows = table.select("sample", F.col("seq_idx").alias("id")).distinct().join(seqs.select(F.col("seq_idx").alias("id"), "seq"), "id")
+    rows = rows.withColumns({"side": F.lit(0), "_t": F.lit(float(threshold))})
+    found = candidates(rows, block="sample")
+    pairs = found.select(F.least("x", "y").alias("seq_idx1"), F.greatest("x", "y").alias("seq_idx2")).distinct()
+    near = _near(pairs, seqs, threshold, gaps)
     a = table.select("sample", F.col("seq_idx").alias("seq_idx1"), F.col("nread").alias("nread1"))
     b = table.select("sample", F.col("seq_idx").alias("seq_idx2"), F.col("nread").alias("nread2"))
     out = a.join(near, "seq_idx1").join(b, ["sample", "seq_idx2"])
     return out.select("sample", "seq_idx1", "seq_idx2", "nread1", "nread2", "dist", *(("align_length", "n_gap", "max_gap") if gaps else ()))
 
 
-def near_pairs(seqs: DataFrame, threshold: float = 0.1, longest: int = 2000, gaps: bool = False) -> DataFrame:
+def near_pairs(seqs: DataFrame, threshold: float = 0.1, gaps: bool = False) -> DataFrame:
     """``seq_idx1, seq_idx2, dist`` of sequences, the smaller index first, whose edit distance over the longer length is at most the threshold.
 
-    k edits spoil k * q of a sequence's q-grams at most, so of two near sequences the k * q + 1 rarest q-grams have one in
-    common; only such pairs are measured. Sequences with fewer different q-grams, short or repetitive ones, are held
-    against all of a fitting length. With ``gaps`` come the columns of ``gap_stats``. Null sequences have no pairs.
+    Candidates come from ``distance.candidates``. With ``gaps`` come the columns of ``gap_stats``. Null sequences have no pairs.
     """
     if not 0 <= threshold < 1:
         raise ValueError("the threshold lies from 0 up to 1")
-    wide = threshold / (1 - threshold)  # edits over the shorter length
-    q = max(2, min(12, int(0.6 / wide))) if wide else 12
-    n = F.length("seq")
-    s = seqs.select("seq_idx", "seq", n.alias("n"), F.floor(n * wide + 1e-9).alias("k")).filter("seq is not null")
-    grams = F.when(F.col("n") >= q, F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(n - q + 1, F.lit(1))), lambda i: F.substr("seq", i, F.lit(q))))).otherwise(F.array())
-    s = s.withColumn("grams", grams).withColumn("heads", F.col("k") * q + 1)
-    strong = F.size("grams") >= F.col("heads")
-    each = s.filter(strong).select("seq_idx", "n", "heads", F.explode("grams").alias("gram"))
-    rank = each.groupBy("gram").agg(F.count(F.lit(1)).alias("c"))
-    heads = each.join(rank, "gram").groupBy("seq_idx", "n", "heads").agg(F.sort_array(F.collect_list(F.struct("c", "gram"))).alias("g"))
-    heads = heads.select("seq_idx", "n", F.explode(F.slice("g", F.lit(1), F.col("heads").cast("int"))).alias("x")).select("seq_idx", "n", "x.gram")
-    fits = F.abs(F.col("n") - F.col("n2")) <= F.floor(F.greatest("n", "n2") * threshold + 1e-9)
-    met = heads.join(heads.select(F.col("seq_idx").alias("id2"), F.col("n").alias("n2"), "gram"), "gram").filter(fits & (F.col("seq_idx") < F.col("id2"))).select("seq_idx", "id2")
-    lengths = F.sequence(F.ceil(F.col("n") * (1 - threshold) - 1e-9), F.floor(F.col("n") * (1 + wide) + 1e-9))
-    weak = s.filter(~strong).select("seq_idx", "n", F.explode(lengths).alias("n2"))
-    more = weak.join(s.select(F.col("seq_idx").alias("id2"), F.col("n").cast("long").alias("n2")), "n2").filter(fits & (F.col("seq_idx") != F.col("id2"))).select(F.least("seq_idx", "id2").alias("seq_idx"), F.greatest("seq_idx", "id2").alias("id2"))
-    one = s.select(F.col("seq_idx").alias("seq_idx1"), F.col("seq").alias("s1"))
-    two = s.select(F.col("seq_idx").alias("seq_idx2"), F.col("seq").alias("s2"))
-    top = F.greatest(F.length("s1"), F.length("s2"))
-    limit = F.floor(top * threshold + 1e-9)
-    # a distance above the cap comes as -1, so pairs that may have one are measured without it
-    d = F.when(limit > longest, F.levenshtein("s1", "s2")).otherwise(F.levenshtein("s1", "s2", longest))
-    near = met.union(more).distinct().toDF("seq_idx1", "seq_idx2").join(one, "seq_idx1").join(two, "seq_idx2")
-    near = near.withColumn("d", d).filter((F.col("d") >= 0) & (F.col("d") <= limit)).withColumn("dist", F.col("d") / F.greatest(top, F.lit(1)))
+    rows = seqs.select(F.lit(0).alias("block"), F.col("seq_idx").alias("id"), "seq", F.lit(0).alias("side"), F.lit(float(threshold)).alias("_t"))
+    found = candidates(rows)
+    return _near(found.select(F.least("x", "y").alias("seq_idx1"), F.greatest("x", "y").alias("seq_idx2")), seqs, threshold, gaps)
+
+
+def _near(pairs: DataFrame, seqs: DataFrame, threshold: float, gaps: bool) -> DataFrame:
+    """Pairs that are within the threshold, measured."""
+    one = seqs.select(F.col("seq_idx").alias("seq_idx1"), F.col("seq").alias("s1"))
+    two = seqs.select(F.col("seq_idx").alias("seq_idx2"), F.col("seq").alias("s2"))
+    near = measured(pairs.join(one, "seq_idx1").join(two, "seq_idx2").withColumn("_t", F.lit(float(threshold))))
     if not gaps:
         return near.select("seq_idx1", "seq_idx2", "dist")
     kind = dict(near.dtypes)["seq_idx1"]

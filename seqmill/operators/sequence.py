@@ -16,8 +16,10 @@ def dereplicate(reads: DataFrame, seq: str = "seq", qual: str = "qual") -> tuple
     """Unique sequences, most abundant first, with mean scores by position; and the map from read to unique.
 
     Scores are added up by position before they meet, so a sequence with a
-    third of the reads is no single group of them.
+    third of the reads is no single group of them. Reads without a sequence are
+    in neither table.
     """
+    reads = reads.filter(F.col(seq).isNotNull())
     per = reads.select(seq, F.posexplode_outer(qualities(F.col(qual))).alias("pos", "q")).groupBy(seq, "pos").agg(F.avg("q").alias("q"), F.count(F.lit(1)).alias("n"))
     mean = per.groupBy(seq).agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "q"))), lambda x: x["q"]).alias("mean_qual"), F.max("n").alias("abundance"))
     uniques = numbered(mean, F.desc("abundance"), seq, name="derep_idx")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dna
 from ..functions import taxa as tx
-from ..operators import abundance, chimera, cluster, curation, provenance, rollup, samples, sampling, sequence, tagjump, taxonomy
+from ..operators import abundance, chimera, cluster, curation, distance, provenance, rollup, samples, sampling, sequence, tagjump, taxonomy
 from ..sources import fastx
 from ..streaming import summaries
 from . import views
@@ -240,7 +240,7 @@ FROM t a JOIN t b ON a.sample = b.sample AND a.seq_idx < b.seq_idx WHERE levensh
 def distance_pairs(spark, d):
     s = table(spark, d, "supplier")
     t = s.select(F.col("s_nationkey").alias("sample"), F.col("s_suppkey").alias("seq_idx"), F.lit(1).alias("nread"))
-    return curation.sample_matches(t, s.select(F.col("s_suppkey").alias("seq_idx"), F.col("s_name").alias("seq")), 0.1, 64)
+    return curation.sample_matches(t, s.select(F.col("s_suppkey").alias("seq_idx"), F.col("s_name").alias("seq")), 0.1)
 
 
 # ---- provenance
@@ -588,7 +588,7 @@ c AS (SELECT unnest(found) AS id FROM (SELECT found FROM g ORDER BY i DESC LIMIT
 SELECT query, hit FROM (SELECT p.id2 AS query, p.id AS hit, ROW_NUMBER() OVER (PARTITION BY p.id2 ORDER BY d, p.id) AS r FROM p JOIN c ON p.id = c.id WHERE p.id2 NOT IN (SELECT id FROM c)) WHERE r = 1""")
 def greedy_clusters(spark, d):
     v = _vectors(spark, d)
-    return cluster.greedy(cluster.vector_pairs(v, v, "block", 0.7).filter("id < id2").select("id", "id2", "dist"), v)
+    return cluster.greedy(cluster.vector_pairs(v, None, "block", 0.7).select("id", "id2", "dist"), v)
 
 
 _T = {"loose": 0.6, "tight": 0.5}
@@ -602,6 +602,53 @@ def denovo_clusters(spark, d):
     return cluster.denovo(_vectors(spark, d), "block", _T)
 
 
+_STRINGS = "seqs AS (SELECT p_partkey AS id, p_brand AS block, p_size, replace(p_name || p_type, ' ', '') AS seq FROM part)"
+_EDIT = "levenshtein(a.seq, b.seq)::DOUBLE / greatest(length(a.seq), length(b.seq))"
+_CLOSE = {"Brand#11": 0.1, "Brand#23": 0.3, "_NA_": 0.2}
+
+
+def _strings(spark, d):
+    return table(spark, d, "part").select(F.col("p_partkey").alias("id"), F.col("p_brand").alias("block"), "p_size", F.replace(F.concat("p_name", "p_type"), F.lit(" "), F.lit("")).alias("seq"))
+
+
+def _by_taxon(t, column="a.block"):
+    """SQL of a threshold by taxon."""
+    return f"CASE {column} " + " ".join(f"WHEN '{k}' THEN {v}::DOUBLE" for k, v in t.items() if k != "_NA_") + f" ELSE {t['_NA_']}::DOUBLE END"
+
+
+@query(f"""WITH {_STRINGS} SELECT id, ref FROM (SELECT a.id, b.id AS ref, ROW_NUMBER() OVER (PARTITION BY a.id ORDER BY {_EDIT}, b.id) AS r FROM seqs a JOIN seqs b ON a.block = b.block AND a.p_size > 25 AND b.p_size <= 25
+  AND levenshtein(a.seq, b.seq) <= floor(greatest(length(a.seq), length(b.seq)) * ({_by_taxon(_CLOSE)}) + 1e-9)) WHERE r = 1""")
+def closed_ref_edit(spark, d):
+    s = _strings(spark, d)
+    return cluster.closed_reference(s.filter("p_size > 25"), s.filter("p_size <= 25"), "block", _CLOSE, distance="edit")
+
+
+_LEVELS = {"species": {"Brand#11": 0.1, "_NA_": 0.15}, "genus": {"Brand#11": 0.15, "Brand#23": 0.3, "_NA_": 0.2}, "family": 0.3}
+
+
+def _level(name):
+    t = _LEVELS[name]
+    return f"dist <= {_by_taxon(t, 'block')} + 1e-12" if isinstance(t, dict) else f"dist <= {t}::DOUBLE + 1e-12"
+
+
+@query(f"WITH RECURSIVE {_STRINGS}, e AS (SELECT a.block, a.id, b.id AS id2, {_EDIT} AS dist FROM seqs a JOIN seqs b ON a.block = b.block AND a.id <> b.id), "
+       + ", ".join(f"{n}(id, c) AS (SELECT id, id FROM seqs UNION SELECT e.id2, {n}.c FROM {n} JOIN e ON e.id = {n}.id AND {_level(n)} AND {n}.c < e.id2)" for n in _LEVELS)
+       + " SELECT id, " + ", ".join(f"(SELECT MIN(c) FROM {n} WHERE {n}.id = seqs.id) AS {n}" for n in _LEVELS) + " FROM seqs")
+def denovo_by_taxon(spark, d):
+    return cluster.denovo(_strings(spark, d), "block", _LEVELS, "edit")
+
+
+_ALIGNED = "seqs AS (SELECT p_partkey AS id, p_brand AS block, upper(rpad(replace(p_name || p_type, ' ', '-'), 28, '-')) AS seq FROM part)"
+
+
+@query(f"""WITH {_ALIGNED}, i AS (SELECT unnest(range(1, 29)) AS i),
+p AS (SELECT a.block, a.id, b.id AS id2, count(*) AS n, count(*) FILTER (a.seq[i] <> b.seq[i]) AS k FROM seqs a JOIN seqs b ON a.block = b.block AND a.id < b.id, i WHERE a.seq[i] <> '-' AND b.seq[i] <> '-' GROUP BY ALL)
+SELECT block, id, id2, round(k::DOUBLE / n, 9) AS dist FROM p WHERE n >= 10 AND round(k::DOUBLE / n, 9) <= 0.3::DOUBLE""")
+def hamming_links(spark, d):
+    s = table(spark, d, "part").select(F.col("p_partkey").alias("id"), F.col("p_brand").alias("block"), F.rpad(F.replace(F.concat("p_name", "p_type"), F.lit(" "), F.lit("-")), 28, "-").alias("seq"))
+    return distance.hamming_pairs(s, None, "block", 0.3, min_overlap=10).withColumn("dist", F.round("dist", 9))
+
+
 # ---- sample tables and sampling
 
 

@@ -33,7 +33,8 @@ def _bases(lines: DataFrame, counted) -> DataFrame:
 
 
 def _headed(rows: DataFrame, header, seq, qual) -> DataFrame:
-    name = F.substring_index(header, " ", 1)
+    # the name ends before the first white space, the description begins behind it
+    name = F.regexp_extract(header, r"^\S*", 0)
     return rows.select("file", "rec_idx", name.alias("name"), F.substring(header, F.length(name) + 2, F.length(header)).alias("description"), seq.alias("seq"), qual.alias("qual"))
 
 

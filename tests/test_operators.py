@@ -462,5 +462,18 @@ def test_distances_above_the_cap(spark):
     one = "ACGT" * 250
     seqs = spark.createDataFrame([(1, one), (2, "G" * 70 + one[70:]), (3, "T" * 300 + one[300:])], "seq_idx int, seq string")
     table = spark.createDataFrame([("a", i, 1) for i in (1, 2, 3)], "sample string, seq_idx int, nread int")
-    got = curation.sample_matches(table, seqs, 0.1, 20).collect()
+    got = curation.sample_matches(table, seqs, 0.1).collect()
     assert [(r["seq_idx1"], r["seq_idx2"]) for r in got] == [(1, 2)] and 0.02 < got[0]["dist"] <= 0.1
+
+
+def test_names_end_at_white_space(spark, tmp_path):
+    (tmp_path / "a.fastq").write_text("@r1\tdesc one\nAC\n+\nII\n@r2 x\nAC\n+\nII\n@r3\nAC\n+\nII\n")
+    (tmp_path / "b.fasta").write_text(">s1\t d\nAC\n>\nG\n")
+    got = {(r["name"], r["description"]) for r in fastx.read_fastx(spark, [str(tmp_path / "a.fastq"), str(tmp_path / "b.fasta")]).collect()}
+    assert got == {("r1", "desc one"), ("r2", "x"), ("r3", ""), ("s1", " d"), ("", "")}
+
+
+def test_reads_without_a_sequence_are_not_dereplicated(spark):
+    reads = spark.createDataFrame([(1, "AC", "II"), (2, None, "II"), (3, "AC", None), (4, None, None)], "rec_idx long, seq string, qual string")
+    uniques, where = sequence.dereplicate(reads)
+    assert [r["seq"] for r in uniques.collect()] == ["AC"] and sorted(r["rec_idx"] for r in where.collect()) == [1, 3]
