@@ -45,8 +45,10 @@ SYMBOLS = 48
 GRAMS = SYMBOLS + SYMBOLS**2 + SYMBOLS**3
 #: Symbols of a passage, and of a short one.
 PASSAGE, SHORT = 512, 128
-#: Bounds of what is learned from: languages, the most frequent; texts a language and their bytes, but for the last text; landmarks a language; passages of one text.
-LANGUAGES, SAMPLE, SAMPLE_BYTES, LANDMARKS, PER_TEXT = 256, 400, 8 << 20, 32, 16
+#: Bounds of what is learned from, by language: texts, their bytes but for the last text, landmarks; and passages of one text.
+SAMPLE, SAMPLE_BYTES, LANDMARKS, PER_TEXT = 400, 8 << 20, 32, 16
+#: The same of all languages, which share these where they are many; each has one text and one landmark at least.
+ALL_TEXTS, ALL_BYTES, ALL_LANDMARKS = 20_000, 256 << 20, 1024
 #: Passages whose presences are held at once, and UTF-8 bytes of the texts that are scored at once.
 ROWS, CHUNK = 64, 1 << 18
 RIDGE = 1e-3
@@ -225,8 +227,9 @@ def calibrated(texts: list[str], langs: list[str]) -> Known:
 
 
 def fit(texts: list[str], langs: list[str], landmarks: int = LANDMARKS) -> LanguageModel:
-    """Fit on labelled texts held by the driver."""
+    """Fit on labelled texts held by the driver; each language has at most ``landmarks``, and all together ``ALL_LANDMARKS``, but one at least."""
     known = sorted(set(langs))
+    landmarks = min(landmarks, max(1, ALL_LANDMARKS // max(1, len(known))))
     if not known:
         return LanguageModel([], [], np.zeros(0, np.int64), np.zeros((0, 0), np.uint8), np.ones(0, np.float32), np.zeros((0, 0)))
     lower = _letters()
@@ -240,7 +243,8 @@ def fit(texts: list[str], langs: list[str], landmarks: int = LANDMARKS) -> Langu
     # the first passages of each text are learned from, and the middle one of a language's first texts is a landmark
     rank = np.arange(len(text)) - np.searchsorted(text, text)
     count = np.bincount(text, minlength=len(texts))
-    label = np.array([known.index(langs[i]) for i in text])
+    place = {g: k for k, g in enumerate(known)}
+    label = np.array([place[langs[i]] for i in text], int)
     chosen = np.concatenate([np.flatnonzero((label == g) & (rank == count[text] // 2))[:landmarks] for g in range(len(known))])
     marks = np.concatenate([spectrum.presences(s, passage, int(i), 1) for i in chosen])
     grams = np.flatnonzero(marks.any(0))
@@ -260,19 +264,22 @@ def fit(texts: list[str], langs: list[str], landmarks: int = LANDMARKS) -> Langu
 def sample(labelled: DataFrame, per_lang: int = SAMPLE, most: int = SAMPLE_BYTES) -> tuple[list[str], list[str]]:
     """The ``per_lang`` texts of each language whose hash of id and text is least; fewer where they have over ``most`` bytes.
 
+    Where there are many languages, each has its share of ``ALL_TEXTS`` and ``ALL_BYTES``, one text at least.
     ``labelled`` has ``doc_id, text, lang``. The languages' numbers of ids come first; a share of each language's rows,
     enough for half as many texts again, is then taken where it is read. A row counts once however often it is repeated.
     The rows taken are a small table, of which the driver first gets hashes and lengths, and then the texts it learns from.
     """
     labelled = labelled.filter(F.col("lang").isNotNull() & (F.length("text") > 0))
     ids = F.approx_count_distinct("doc_id") + F.count_if(F.col("doc_id").isNull())
-    found = labelled.groupBy("lang").agg(ids.alias("n"), F.count(F.lit(1)).alias("rows")).orderBy(F.desc("rows"), "lang").limit(LANGUAGES).collect()
+    found = labelled.groupBy("lang").agg(ids.alias("n")).collect()  # one row a language
     if not found:
         return [], []
+    per_lang, most = min(per_lang, max(1, ALL_TEXTS // len(found))), min(most, max(1, ALL_BYTES // len(found)))
     share = {r["lang"]: min(1.0, 1.5 * per_lang / max(1, r["n"])) for r in found}
     h = fraction(F.xxhash64(F.lit("langid"), F.col("doc_id"), F.col("text")))
-    wanted = F.create_map(*[F.lit(x) for kv in share.items() for x in kv])
-    rows = labelled.select("doc_id", "text", "lang").withColumn("h", h).filter(F.col("h") < wanted[F.col("lang")])
+    # one row a language
+    wanted = F.broadcast(labelled.sparkSession.createDataFrame(list(share.items()), "lang string, share double"))
+    rows = labelled.select("doc_id", "text", "lang").withColumn("h", h).join(wanted, "lang").filter(F.col("h") < F.col("share"))
     rows = stored(rows.groupBy("lang", "h").agg(F.min(F.struct("doc_id", "text")).alias("x")).select("lang", "h", "x.*"), "languages", rows=2 * per_lang * len(share))
     return taken(rows, "lang", per_lang, most)[:2]
 
@@ -289,8 +296,8 @@ def taken(rows: DataFrame, column: str, bound: int, most: int) -> tuple[list[str
         many, size = seen.get(r[column], (0, 0))
         if many < bound and size < most:
             seen[r[column]], last[r[column]] = (many + 1, size + r["n"]), r["h"]
-    cut = F.create_map(*[F.lit(x) for kv in last.items() for x in kv])[F.col(column)] if last else F.lit(-1.0)
-    got = rows.filter(F.col("h") <= cut).collect()
+    cut = rows.sparkSession.createDataFrame(list(last.items()), f"`{column}` {dict(rows.dtypes)[column]}, last double")
+    got = rows.join(F.broadcast(cut), column).filter(F.col("h") <= F.col("last")).collect()
     got.sort(key=lambda r: (r[column], r["doc_id"] is None, r["doc_id"], r["text"]))
     return [r["text"] for r in got], [r[column] for r in got], [r["doc_id"] for r in got]
 

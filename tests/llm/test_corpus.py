@@ -119,6 +119,23 @@ def test_samples_hold_rare_classes_and_repeated_rows(spark):
     assert len(texts) == 200 and texts.count("hot") <= 1 and 60 < sum(y) < 140 and 20 < sum(held) < 60
 
 
+def test_three_hundred_languages(spark, tmp_path, monkeypatch):
+    """All labels are learned, however many: texts and landmarks a language fall instead; the pipeline's stage keeps all of them."""
+    monkeypatch.setattr(langid, "ALL_TEXTS", 1200)
+    rng = random.Random(12)
+    words = {f"l{k:03}": ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(5)) for _ in range(12)] for k in range(300)}
+    rows = [(k * 300 + i, " ".join(rng.choice(words[g]) for _ in range(50)), g) for k in range(8) for i, g in enumerate(words)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").coalesce(4)
+    texts, langs = langid.sample(docs)
+    assert len(set(langs)) == 300 and all(0 < langs.count(g) <= 4 for g in words)
+    model = langid.fit(texts, langs)
+    assert model.langs == sorted(words) and len(model.norms) <= langid.ALL_LANDMARKS
+    new = [" ".join(rng.choice(words[g]) for _ in range(50)) for g in words]
+    assert np.mean([a == b for a, b in zip(model.predict(new)[0], words, strict=True)]) > 0.95
+    kept = corpus_pipeline.known_language(spark, docs, str(tmp_path)).groupBy("lang").count()
+    assert kept.count() == 300
+
+
 def test_letters_beyond_the_symbols():
     """A rarer script has n-grams though other scripts fill the symbols."""
     latin, greek, cyrillic = "abcdefghijklmnopqrstuvwxyzéèêëàâäöüßñçøåæœ", "αβγδεζηθικλμνξοπρστυφχψω", "абвгдежзийклмнопрстуфхцчшщъыьэюя"
