@@ -6,23 +6,27 @@ last return the columns of ``documents``. Null texts count as empty.
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seqmill.llm import langid, neardup, packing, quality
-from seqmill.llm.common import discard, filtered, stored, table
+from seqmill.llm.common import discard, filtered, merged, stored, table
+
+LOG = logging.getLogger("corpus_pipeline")
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts; it learns from a bounded sample of ``labels`` and these texts."""
     model = spark.sparkContext.broadcast(quality.fit(*quality.sample(docs, table(spark, sf_dir, "labels"))))
-    return filtered(docs, "text", lambda m, texts: (m.score(texts) >= quality.ACCEPT).tolist(), model)
+    return filtered(merged(docs), "text", lambda m, texts: (m.score(texts) >= quality.ACCEPT).tolist(), model)
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in the languages that ``lang`` names, as the classifier's margins tell; those without a letter go."""
     model = spark.sparkContext.broadcast(langid.calibrated(*langid.sample(docs)))
-    return filtered(docs, "text", lambda m, texts: m.accepts(texts), model)
+    return filtered(merged(docs), "text", lambda m, texts: m.accepts(texts), model)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,6 +35,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Rows with a null id all stay. Of several rows with one id the one whose text, and then
     whose other columns as JSON, sort first stays; a null text sorts as empty.
     """
+    docs = merged(docs)
     found = neardup.groups(docs)
     found = stored(found, "groups", rows=docs.count())
     gone = found.filter("doc_id <> component_id").select("doc_id").distinct()
@@ -44,13 +49,15 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     twice = F.broadcast(twice) if few else twice
     once = left.join(twice, "doc_id", "left_anti").select(docs.columns)
     order = F.struct(F.coalesce("text", F.lit("")).alias("t"), F.to_json(F.struct(*docs.columns)).alias("j"))
-    first = left.join(twice, "doc_id", "left_semi").groupBy("doc_id").agg(F.min_by(F.struct(*docs.columns), order).alias("row"))
+    shared = left.join(twice, "doc_id", "left_semi")
+    LOG.warning("%d rows have their id in common with others; one row of each of %d ids stays", shared.count(), twice.count())
+    first = shared.groupBy("doc_id").agg(F.min_by(F.struct(*docs.columns), order).alias("row"))
     return once.unionByName(first.select("row.*"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of the documents that are left."""
-    return packing.pack(docs)
+    return packing.pack(merged(docs))
 
 
 STAGES = [("quality", good_quality), ("language", known_language), ("near_dedup", near_dedup), ("packing", packed)]

@@ -107,6 +107,20 @@ def stored(df: DataFrame, name: str, keep: bool = False, rows: int | None = None
     return out
 
 
+#: Bytes of a table that a task reads at least, and tasks that it is read by in any case.
+SPLIT_BYTES, TASKS = 16 << 20, 24
+
+
+def merged(df: DataFrame) -> DataFrame:
+    """``df`` with small splits read together: a task for each ``SPLIT_BYTES`` of its files, ``TASKS`` at least.
+
+    Whatever the splits of a session are, a table is then written as few files; each file costs the executor more than
+    its rows do where tasks are tiny.
+    """
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.coalesce(min(1 << 20, max(TASKS, -(-size // SPLIT_BYTES))))
+
+
 def discard(df: DataFrame) -> None:
     """Drop a stored table that nothing reads any more; any other DataFrame stays as it is."""
     if path := getattr(df, "_stored", None):
