@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 
 from ..functions.session import numbered
 
+#: Names of FASTQ files, or of folders that Spark wrote one to.
+FASTQ = r"\.(fastq|fq)(/part-[^/]*)?(\.gz)?$"
+
 SCHEMA = "file string, rec_idx long, name string, description string, seq string, qual string"
 
 
@@ -61,9 +64,8 @@ def read_fastx(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     FASTQ has four lines a record, blank lines at its end don't count; FASTA sequences may have several lines.
     """
     lines = _lines(spark, paths if isinstance(paths, list) else [paths])
-    fastq = r"\.(fastq|fq)(\.gz)?$"
-    named = [bool(re.search(fastq, f)) for f in lines.inputFiles()]  # the driver's own list of files
-    found = [read(lines.filter(F.col("file").rlike(fastq) == kind)) for read, kind in ((_fastq, True), (_fasta, False)) if kind in named]
+    named = [bool(re.search(FASTQ, f)) for f in lines.inputFiles()]  # the driver's own list of files
+    found = [read(lines.filter(F.col("file").rlike(FASTQ) == kind)) for read, kind in ((_fastq, True), (_fasta, False)) if kind in named]
     return found[0].unionByName(found[1]) if len(found) == 2 else found[0] if found else spark.createDataFrame([], SCHEMA)
 
 
