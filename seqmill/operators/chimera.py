@@ -6,9 +6,6 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Letters of references that each task may hold.
-MOST_LETTERS = 64 << 20
-
 
 def _matrix(seqs: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Letters of sequences as rows, zeros behind them, and their lengths."""
@@ -66,18 +63,23 @@ def _made_of(child: str, parents: tuple[np.ndarray, np.ndarray], one_off: bool =
     return _judge(len(child), *overlaps(child, *parents, max_shift), one_off, min_one_off_distance)
 
 
-def flag_samples(table: DataFrame, seqs: DataFrame, fold: float = 1.5, least: int = 2, one_off: bool = False, min_one_off_distance: int = 4, max_shift: int = 16, tile: int = 512) -> DataFrame:
-    """``seq_idx, nflag, nsam``: in how many of its samples a sequence looks chimeric.
+def _ends(children: DataFrame, parents: DataFrame, fold: float, max_shift: int, tile: int) -> DataFrame:
+    """``sample, seq_idx, n, a, b``: the most letters of each child that a parent makes from its left and from its right.
 
-    A sample's sequences are dealt into tiles by a hash, and its possible
-    parents, those of at least ``least`` and ``fold`` times the tile's smallest
-    count, go to each of its tiles, so one sample is spread over tasks.
+    Parents have more than ``fold`` times the child's count, and none that makes all of the child is one. Both sides of a
+    sample are dealt to tiles by a hash and tiles meet in pairs, so a group has ``2 * tile`` rows or so, whatever the
+    sample; the most over all tiles is the most of the sample. Samples are compared null-safe.
     """
-    rows = table.join(seqs.select("seq_idx", "seq"), "seq_idx").select("sample", "seq_idx", "nread", "seq")
-    n = rows.groupBy("sample").agg(F.ceil(F.count(F.lit(1)) / tile).cast("int").alias("_t"), F.min("nread").alias("_m"))
-    rows = rows.join(n, "sample")
-    own = rows.select("sample", F.pmod(F.xxhash64("seq_idx"), F.col("_t")).cast("int").alias("tile"), F.lit(0).alias("side"), "seq_idx", "nread", "seq")
-    parents = rows.filter((F.col("nread") >= least) & (F.col("nread") > F.lit(float(fold)) * F.col("_m"))).select("sample", F.explode(F.sequence(F.lit(0), F.col("_t") - 1)).alias("tile"), F.lit(1).alias("side"), "seq_idx", "nread", "seq")
+    whole = F.length("seq") > 0
+    sides = [x.filter(whole).select(F.struct("sample").alias("s"), "seq_idx", F.col("nread").cast("double").alias("nread"), "seq") for x in (children, parents)]
+    n = [x.groupBy("s").agg(F.ceil(F.count(F.lit(1)) / tile).cast("int").alias(c)) for x, c in zip(sides, ("_l", "_r"), strict=True)]
+    tiles = n[0].join(n[1], "s")
+    own = lambda c: F.pmod(F.xxhash64("seq_idx", "seq"), F.col(c)).cast("int")
+    every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    left = sides[0].join(tiles, "s").select("s", own("_l").alias("i"), every("_r").alias("j"), F.lit(0).alias("side"), "seq_idx", "nread", "seq")
+    right = sides[1].join(tiles, "s").select("s", every("_l").alias("i"), own("_r").alias("j"), F.lit(1).alias("side"), "seq_idx", "nread", "seq")
+    both = left.unionByName(right).select(F.col("s.sample").alias("sample"), "i", "j", "side", "seq_idx", "nread", "seq")
+    kind = dict(both.dtypes)
 
     def kernel(key, pdf):
         import pandas as pd
@@ -87,20 +89,44 @@ def flag_samples(table: DataFrame, seqs: DataFrame, fold: float = 1.5, least: in
         texts, which = np.unique(old.seq.to_numpy(dtype=object).astype(str), return_inverse=True)
         letters, size = _matrix(texts.tolist())
         known: dict[str, tuple[np.ndarray, np.ndarray]] = {}
-        flags = []
-        for count, text in zip(kids.nread, kids.seq, strict=True):
+        out = []
+        for i, count, text in zip(kids.seq_idx, kids.nread, kids.seq, strict=True):
             k = int(np.searchsorted(-counts, -fold * count, side="left"))
-            if not k or not text:
-                flags.append(False)
-                continue
-            if text not in known:
-                known[text] = overlaps(text, letters, size, max_shift)
-            left, right = known[text]
-            flags.append(_judge(len(text), left[which[:k]], right[which[:k]], one_off, min_one_off_distance))
-        return pd.DataFrame({"seq_idx": kids.seq_idx, "flag": flags})
+            if k:
+                if text not in known:
+                    known[text] = overlaps(text, letters, size, max_shift)
+                x, y = (e[which[:k]] for e in known[text])
+                part = (x < len(text)) & (y < len(text))
+                if part.any():
+                    out.append((i, len(text), int(x[part].max()), int(y[part].max())))
+        return pd.DataFrame(out, columns=["seq_idx", "n", "a", "b"]).assign(sample=key[0])[["sample", "seq_idx", "n", "a", "b"]]
 
-    found = own.unionByName(parents).groupBy("sample", "tile").applyInPandas(kernel, f"seq_idx {dict(rows.dtypes)['seq_idx']}, flag boolean")
-    return found.groupBy("seq_idx").agg(F.count_if("flag").alias("nflag"), F.count(F.lit(1)).alias("nsam"))
+    found = both.groupBy("sample", "i", "j").applyInPandas(kernel, f"sample {kind['sample']}, seq_idx {kind['seq_idx']}, n long, a long, b long")
+    return found.groupBy("sample", "seq_idx").agg(F.max("n").alias("n"), F.max("a").alias("a"), F.max("b").alias("b"))
+
+
+def _chimeric(one_off: bool, min_one_off_distance: int):
+    """Whether two ends make the whole, or all but one letter where both differ enough from it."""
+    whole = F.col("a") + F.col("b") >= F.col("n")
+    if not one_off:
+        return whole
+    far = (F.col("n") - F.col("a") >= min_one_off_distance) & (F.col("n") - F.col("b") >= min_one_off_distance)
+    return whole | (F.col("a") + F.col("b") + 1 >= F.col("n")) & far
+
+
+def flag_samples(table: DataFrame, seqs: DataFrame, fold: float = 1.5, least: int = 2, one_off: bool = False, min_one_off_distance: int = 4, max_shift: int = 16, tile: int = 512) -> DataFrame:
+    """``seq_idx, nflag, nsam``: in how many of its samples a sequence looks chimeric.
+
+    Possible parents have at least ``least`` reads and more than ``fold`` times the sample's smallest count. Null and
+    empty sequences are in samples, but never flagged and no parents.
+    """
+    rows = table.join(seqs.select("seq_idx", "seq"), "seq_idx").select("sample", "seq_idx", "nread", "seq")
+    few = rows.groupBy(F.struct("sample").alias("s")).agg(F.min("nread").alias("_m"))
+    parents = rows.withColumn("s", F.struct("sample")).join(few, "s").filter((F.col("nread") >= least) & (F.col("nread") > F.lit(float(fold)) * F.col("_m")))
+    ends = _ends(rows, parents, fold, max_shift, tile).filter(_chimeric(one_off, min_one_off_distance))
+    flags = ends.groupBy("seq_idx").agg(F.count(F.lit(1)).alias("nflag"))
+    total = rows.groupBy("seq_idx").agg(F.countDistinct(F.struct("sample")).alias("nsam"))
+    return total.join(flags, "seq_idx", "left").select("seq_idx", F.coalesce("nflag", F.lit(0)).cast("long").alias("nflag"), "nsam")
 
 
 def consensus(flags: DataFrame, min_fraction: float = 0.9, ignore: int = 1, id_col: str = "seq_idx") -> DataFrame:
@@ -110,16 +136,12 @@ def consensus(flags: DataFrame, min_fraction: float = 0.9, ignore: int = 1, id_c
     return total.filter((F.col("nflag") >= F.col("nsam")) | some)
 
 
-def against_references(seqs: DataFrame, refs: list[str], **options) -> DataFrame:
-    """``seq_idx, is_chimera`` of sequences against a reference list of at most ``MOST_LETTERS``, which is laid out once a task."""
-    if sum(map(len, refs)) > MOST_LETTERS:
-        raise ValueError(f"references of more than {MOST_LETTERS} letters")
-    shared = seqs.sparkSession.sparkContext.broadcast(refs)
-
-    def run(batches):
-        matrix = None
-        for pdf in batches:
-            matrix = matrix or _matrix(shared.value)
-            yield pdf[["seq_idx"]].assign(is_chimera=[_made_of(s, matrix, **options) for s in pdf.seq])
+def against_references(seqs: DataFrame, refs: DataFrame, one_off: bool = False, min_one_off_distance: int = 4, max_shift: int = 16, tile: int = 512) -> DataFrame:
+    """``seq_idx, is_chimera`` of sequences against ``refs(seq)``, of any number: tiles of both meet in pairs.
 
-    return seqs.select("seq_idx", "seq").mapInPandas(run, f"seq_idx {dict(seqs.dtypes)['seq_idx']}, is_chimera boolean")
+    A null or empty sequence is no chimera; without references there are none.
+    """
+    child = seqs.select(F.lit(0).alias("sample"), "seq_idx", F.lit(0).alias("nread"), "seq")
+    parent = refs.select(F.lit(0).alias("sample"), F.lit(None).cast(dict(seqs.dtypes)["seq_idx"]).alias("seq_idx"), F.lit(1).alias("nread"), "seq").distinct()
+    ends = _ends(child, parent, 1.0, max_shift, tile).filter(_chimeric(one_off, min_one_off_distance)).select("seq_idx", F.lit(True).alias("is_chimera"))
+    return seqs.select("seq_idx").join(ends, "seq_idx", "left").withColumn("is_chimera", F.coalesce("is_chimera", F.lit(False)))

@@ -21,22 +21,51 @@ def sample_fraction(reads: DataFrame, numerator: int, denominator: int, seed: in
     """``numerator`` reads of each block of ``denominator``; a last block that is short is sampled as if it were full."""
     if not 0 <= numerator <= denominator:
         raise ValueError("the numerator must be from 0 to the denominator")
+    return reads.join(_places(reads, denominator, seed, rec).filter(F.col("_rank") <= numerator).select(rec), rec, "left_semi")
+
+
+def _places(reads: DataFrame, denominator: int, seed: int, rec: str) -> DataFrame:
+    """``_rank`` of every place of the blocks that have reads: a full block's random order has the missing reads in it too."""
     order = Window.partitionBy("_block").orderBy(_key(seed, rec), rec)
-    # a full block's random order has the missing reads in it too: each read's own place is drawn among all
     block = F.floor((F.col(rec) - 1) / denominator)
     full = reads.select(block.alias("_block")).distinct().select("_block", F.explode(F.sequence(F.lit(1), F.lit(denominator))).alias("_i"))
-    places = full.select("_block", (F.col("_block") * denominator + F.col("_i")).alias(rec)).withColumn("_rank", F.row_number().over(order))
-    return reads.join(places.filter(F.col("_rank") <= numerator).select(rec), rec, "left_semi")
+    return full.select("_block", (F.col("_block") * denominator + F.col("_i")).alias(rec)).withColumn("_rank", F.row_number().over(order)).select(rec, "_rank")
+
+
+def sample_levels(reads: DataFrame, numerators: list[int], denominator: int, seed: int = 1, rec: str = "rec_idx") -> DataFrame:
+    """Several nested samples in one pass: a read once for each ``level``, a numerator, whose sample has it.
+
+    One random order gives each read's rank in its block, and the rank says which samples have the read, so the reads are
+    scanned once; written by ``level``, each sample is a partition.
+    """
+    if not numerators or not all(0 <= n <= denominator for n in numerators):
+        raise ValueError("numerators must be from 0 to the denominator")
+    levels = sorted(set(numerators))
+    ranked = reads.join(_places(reads, denominator, seed, rec).filter(F.col("_rank") <= levels[-1]), rec)
+    own = F.filter(F.array(*map(F.lit, levels)), lambda n: n >= F.col("_rank"))
+    return ranked.withColumn("level", F.explode(own)).drop("_rank")
 
 
 def sample_fractions(reads: DataFrame, numerators: list[int], denominator: int, seed: int = 1, rec: str = "rec_idx") -> dict[int, DataFrame]:
-    """Several nested samples of one random order."""
-    return {n: sample_fraction(reads, n, denominator, seed, rec) for n in numerators}
+    """The samples of ``sample_levels`` one by one."""
+    every = sample_levels(reads, numerators, denominator, seed, rec)
+    return {n: every.filter(F.col("level") == n).drop("level") for n in numerators}
 
 
 def sample_number(reads: DataFrame, number: int, seed: int = 1, rec: str = "rec_idx") -> DataFrame:
-    """The ``number`` reads that come first in a random order, or all; a top-k, so each task keeps ``number`` at most."""
-    return reads.orderBy(_key(seed, rec), rec).limit(number)
+    """The ``number`` reads that come first in a random order, or all.
+
+    Counts of the order's first four digits, 65,536 rows, say in which of these the last read lies; those before it are
+    all in, and only its own reads, one in 65,536, are put in order.
+    """
+    digits = F.substring(_key(seed, rec), 1, 4)
+    before = Window.orderBy("_d").rowsBetween(Window.unboundedPreceding, -1)
+    counts = reads.groupBy(digits.alias("_d")).agg(F.count(F.lit(1)).alias("_n")).withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    cut = counts.filter((F.col("_before") < number) & (F.col("_before") + F.col("_n") >= number)).first()
+    if cut is None:
+        return reads if number > 0 else reads.limit(0)
+    last = reads.filter(digits == cut["_d"]).orderBy(_key(seed, rec), rec).limit(number - cut["_before"])
+    return reads.filter(digits < cut["_d"]).unionByName(last)
 
 
 def sample_numbers(reads: DataFrame, numbers: list[int], seed: int = 1, rec: str = "rec_idx") -> dict[int, DataFrame]:

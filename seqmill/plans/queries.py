@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -9,8 +10,9 @@ from pyspark.sql import functions as F
 
 from ..functions import dna
 from ..functions import taxa as tx
+from ..functions.session import checkpointed, shared_dir
 from ..operators import abundance, chimera, cluster, curation, distance, provenance, rollup, samples, sampling, sequence, tagjump, taxonomy
-from ..sources import fastx
+from ..sources import fastx, fastx_index
 from ..streaming import summaries
 from . import views
 from .views import table, with_views
@@ -699,6 +701,12 @@ def sample_fraction(spark, d):
     return sampling.sample_fraction(views.reads(spark, d), 13, 100).select("rec_idx", "name")
 
 
+@query(with_views(f""", p AS (SELECT b * 100 + i AS rec_idx, b FROM (SELECT DISTINCT (rec_idx - 1) // 100 AS b FROM reads), range(1, 101) r(i)),
+k AS (SELECT rec_idx, ROW_NUMBER() OVER (PARTITION BY b ORDER BY {_MD5}, rec_idx) AS n FROM p) SELECT CAST(level AS INTEGER) AS level, rec_idx, name FROM reads JOIN k USING (rec_idx), unnest([1, 5, 25, 60]) l(level) WHERE n <= level""", "reads"))
+def sample_levels(spark, d):
+    return sampling.sample_levels(views.reads(spark, d), [60, 5, 1, 25], 100).select("level", "rec_idx", "name")
+
+
 @query(with_views(f"SELECT rec_idx, name FROM (SELECT *, ROW_NUMBER() OVER (ORDER BY {_MD5}, rec_idx) AS n FROM reads) WHERE n <= 250", "reads"))
 def sample_number(spark, d):
     return sampling.sample_number(views.reads(spark, d), 250).select("rec_idx", "name")
@@ -728,6 +736,16 @@ def random_access(spark, d):
     return fastx.extract(views.reads(spark, d).select("rec_idx", "name"), wanted, renumber=True).select("req_pos", "rec_idx", "name")
 
 
+@query(with_views("SELECT o_orderkey AS req_pos, o_custkey AS rec_idx, name, event_type AS seq FROM orders JOIN reads ON rec_idx = o_custkey", "reads"))
+def indexed_access(spark, d):
+    """Reads are written to files, which are indexed; the orders ask for records of all files in order, many of them again and again."""
+    reads = views.reads(spark, d).select("rec_idx", "name", F.col("event_type").alias("seq"), F.repeat(F.lit("I"), F.length("event_type")).alias("qual"))
+    path = fastx.write_fastx(reads, f"{shared_dir(spark)}/reads-{uuid.uuid4().hex}.fastq")
+    index = checkpointed(fastx_index.build(spark, path, 100))
+    wanted = table(spark, d, "orders").select(F.col("o_orderkey").alias("req_pos"), F.col("o_custkey").alias("of_all"))
+    return fastx_index.read(index, fastx_index.located(index, wanted)).join(wanted, "req_pos").select("req_pos", F.col("of_all").alias("rec_idx"), "name", "seq")
+
+
 # ---- sequences and qualities
 
 

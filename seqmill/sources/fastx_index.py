@@ -146,6 +146,15 @@ def ranges(index: DataFrame, wanted: DataFrame) -> DataFrame:
     return met.groupBy(*index.columns).agg(F.sort_array(F.collect_list("rec_idx")).alias("need"))
 
 
+def located(index: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``req_pos, file, rec_idx`` of ``wanted(req_pos, of_all)``: numbers of records of all files, in order of their names, as one."""
+    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)  # one row a file
+    files = index.groupBy("file").agg(F.max("last_rec").alias("n")).withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    cut = files.withColumn("bucket", F.explode(F.sequence(F.floor((F.col("base") + 1) / BUCKET), F.floor((F.col("base") + F.col("n")) / BUCKET))))
+    met = wanted.withColumn("bucket", F.floor(F.col("of_all") / BUCKET)).join(cut, "bucket").filter((F.col("of_all") > F.col("base")) & (F.col("of_all") <= F.col("base") + F.col("n")))
+    return met.select("req_pos", "file", (F.col("of_all") - F.col("base")).alias("rec_idx"))
+
+
 def _records(text: bytes, fastq: bool) -> Iterator[tuple[str, str, str | None]]:
     """Header, sequence and scores of each record of whole lines."""
     lines = text.decode("utf-8", "replace").split("\n")

@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from seqmill.config import PipelineConfig
 from seqmill.functions import taxa
@@ -477,3 +478,41 @@ def test_reads_without_a_sequence_are_not_dereplicated(spark):
     reads = spark.createDataFrame([(1, "AC", "II"), (2, None, "II"), (3, "AC", None), (4, None, None)], "rec_idx long, seq string, qual string")
     uniques, where = sequence.dereplicate(reads)
     assert [r["seq"] for r in uniques.collect()] == ["AC"] and sorted(r["rec_idx"] for r in where.collect()) == [1, 3]
+
+
+def test_chimeras_in_tiles(spark):
+    """Flags don't depend on tiles, are those of every child against its own parents, and nulls are neither."""
+    rng = random.Random(21)
+    base = ["".join(rng.choice("ACGT") for _ in range(30)) for _ in range(6)]
+    mixed = [a[: (k := rng.randrange(5, 25))] + b[k:] for a in base for b in base if a != b]
+    odd = [m[:7] + ("A" if m[7] != "A" else "C") + m[8:] for m in mixed[:10]]
+    texts = base + mixed + odd + [None, ""]
+    seqs = spark.createDataFrame(list(enumerate(texts)), "seq_idx long, seq string")
+    rows = [(s, i, rng.choice([1, 2, 9, 30]) if i >= 6 else rng.choice([20, 50])) for s in ("x", "y", None) for i in range(len(texts)) if i >= len(texts) - 2 or rng.random() < 0.7]
+    table = spark.createDataFrame(rows, "sample string, seq_idx long, nread long")
+    for one_off in (False, True):
+        want = {}
+        for s, i, n in rows:
+            parents = [texts[j] for t, j, m in rows if t == s and m >= 2 and m > 1.5 * n and texts[j]]
+            flag = bool(texts[i]) and chimera.is_bimera(texts[i], parents, one_off, 2, 3)
+            a, b = want.get(i, (0, 0))
+            want[i] = (a + flag, b + 1)
+        for tile in (512, 4):
+            got = chimera.flag_samples(table, seqs, one_off=one_off, min_one_off_distance=2, max_shift=3, tile=tile).collect()
+            assert {r[0]: (r[1], r[2]) for r in got} == want and len(got) == len(want)
+    refs = spark.createDataFrame([(b,) for b in base] + [(None,)], "seq string")
+    for tile in (512, 2):
+        got = chimera.against_references(seqs, refs, max_shift=3, tile=tile).collect()
+        assert {r[0]: r[1] for r in got} == {i: bool(t) and chimera.is_bimera(t, base, max_shift=3) for i, t in enumerate(texts)}
+    assert not chimera.against_references(seqs, refs.limit(0)).filter("is_chimera").count()
+
+
+def test_samples_in_one_pass(spark):
+    reads = spark.range(1, 1051).select(F.col("id").alias("rec_idx"), F.lit("x").alias("name"))
+    every = sampling.sample_levels(reads, [50, 3, 10], 100)
+    own = lambda n: {r[0] for r in every.filter(F.col("level") == n).select("rec_idx").collect()}
+    assert own(3) < own(10) < own(50) and all(own(n) == {r[0] for r in sampling.sample_fraction(reads, n, 100).collect()} for n in (3, 10, 50))
+    assert every._jdf.queryExecution().executedPlan().toString().count("Range (1, 1051") <= 2 and len(own(3)) in range(30, 34)
+    for n in (0, 1, 7, 1049, 1050, 5000):
+        got = [r[0] for r in sampling.sample_number(reads, n).collect()]
+        assert len(got) == len(set(got)) == min(n, 1050) and (n < 7 or set(got) >= {r[0] for r in sampling.sample_number(reads, 7).collect()})
