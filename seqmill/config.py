@@ -39,7 +39,7 @@ class Trim:
     def __post_init__(self):
         _check(0 <= self.max_err, "max_err must not be negative")
         _check(self.min_overlap >= 1, "min_overlap must be positive")
-        _check(self.action in ("retain", "trim", "none"), "action is retain, trim or none")
+        _check(self.action in ("retain", "trim", "mask", "lowercase", "none"), "action is retain, trim, mask, lowercase or none")
 
     def update(self, **new) -> Trim:
         """These options with others in their place; unknown names are left alone."""

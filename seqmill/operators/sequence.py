@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dna import COMPLEMENTS, CODES, IUPAC, expected_errors, primer_pattern, qualities
-from ..functions.session import numbered
+from ..functions.session import checkpointed, numbered
 
 
 def dereplicate(reads: DataFrame, seq: str = "seq", qual: str = "qual") -> tuple[DataFrame, DataFrame]:
@@ -105,33 +105,97 @@ def primer_ends(seqs: list[str | None], primer: str, max_err: float, min_overlap
     return out
 
 
-def trim_primer(reads: DataFrame, primer: str, max_err: float = 0.2, min_overlap: int = 10, discard: bool = True, action: str = "trim", seq: str = "seq", qual: str | None = "qual") -> DataFrame:
-    """Cut what lies up to the primer's end; an exact primer by a regular expression in the engine, else by edit distance.
-
-    ``action`` is trim, retain (the primer stays) or none. Null reads match nothing.
-    """
+def primer_end(seq: str, primer: str, max_err: float, min_overlap: int) -> Column:
+    """Letters up to a primer's end, null where it isn't found; an exact primer by a regular expression in the engine, else by edit distance."""
     primer = primer.upper()
     if max_err == 0:
         head = F.regexp_extract(F.upper(F.col(seq)), f"^.*?{primer_pattern(primer)}", 0)
-        end = F.when(F.length(head) > 0, F.length(head))
-    else:
+        return F.when(F.length(head) > 0, F.length(head))
+
+    @F.pandas_udf("int")
+    def ends(s):
+        import pandas as pd
+
+        return pd.Series(primer_ends(s.tolist(), primer, max_err, min_overlap), dtype="int32")
+
+    return F.nullif(ends(F.col(seq)), F.lit(0))
 
-        @F.pandas_udf("int")
-        def ends(s):
-            import pandas as pd
 
-            return pd.Series(primer_ends(s.tolist(), primer, max_err, min_overlap), dtype="int32")
+#: What becomes of the letters up to a primer's end: cut, cut but for the primer, N in their place, lower case, or left.
+ACTIONS = ("trim", "retain", "mask", "lowercase", "none")
 
-        end = F.nullif(ends(F.col(seq)), F.lit(0))
-    out = reads.withColumn("_end", end)
+
+def _cut_to(reads: DataFrame, end: Column, primer: str, action: str, seq: str, qual: str | None) -> DataFrame:
+    if action not in ACTIONS:
+        raise ValueError(f"an action is one of {', '.join(ACTIONS)}")
+    at = F.greatest(F.coalesce(end - (len(primer) if action == "retain" else 0), F.lit(0)), F.lit(0))
+    rest = lambda c: F.substr(F.col(c), at + 1, F.length(c))
+    if action in ("trim", "retain"):
+        return reads.withColumns({c: rest(c) for c in [seq] + ([qual] if qual else [])})
+    head = F.repeat(F.lit("N"), at) if action == "mask" else F.lower(F.left(F.col(seq), at))
+    return reads if action == "none" else reads.withColumn(seq, F.concat(head, rest(seq)))
+
+
+def trim_primer(reads: DataFrame, primer: str, max_err: float = 0.2, min_overlap: int = 10, discard: bool = True, action: str = "trim", seq: str = "seq", qual: str | None = "qual") -> DataFrame:
+    """Cut what lies up to the primer's end, as ``ACTIONS`` has it. Null reads match nothing."""
+    out = reads.withColumn("_end", primer_end(seq, primer, max_err, min_overlap))
     if discard:
         out = out.filter("_end is not null")
-    if action != "none":
-        at = F.coalesce(F.col("_end") - (len(primer) if action == "retain" else 0), F.lit(0))
-        at = F.greatest(at, F.lit(0))
-        for c in [seq] + ([qual] if qual else []):
-            out = out.withColumn(c, F.substr(F.col(c), at + 1, F.length(c)))
-    return out.drop("_end")
+    return _cut_to(out, F.col("_end"), primer, action, seq, qual).drop("_end")
+
+
+def low_end(scores: Column, cutoff: float) -> Column:
+    """How many scores at the end are cut: from the last on, sums of what each lacks to the cutoff are taken until one is negative, and the cut is where the sum is greatest."""
+    state = F.struct(F.lit(0).alias("i"), F.lit(0.0).alias("sum"), F.lit(0.0).alias("best"), F.lit(0).alias("cut"), F.lit(False).alias("over"))
+
+    def step(s, q):
+        total = s["sum"] + F.lit(float(cutoff)) - q
+        over = s["over"] | (total < 0)
+        better = ~over & (total > s["best"])
+        return F.struct((s["i"] + 1).alias("i"), total.alias("sum"), F.when(better, total).otherwise(s["best"]).alias("best"), F.when(better, s["i"] + 1).otherwise(s["cut"]).alias("cut"), over.alias("over"))
+
+    return F.aggregate(F.reverse(scores), state, step, lambda s: s["cut"])
+
+
+def cut_quality(reads: DataFrame, ends: tuple[float, ...], seq: str = "seq", qual: str = "qual") -> DataFrame:
+    """Take low scores from the end, or with two cutoffs the first from the beginning and the second from the end."""
+    own = qualities(F.col(qual))
+    out = reads.withColumn("_z", low_end(own, ends[-1]))
+    out = out.withColumn("_a", low_end(F.reverse(own), ends[0]) if len(ends) > 1 else F.lit(0))
+    n = F.greatest(F.length(qual) - F.col("_a") - F.col("_z"), F.lit(0))
+    return out.withColumns({c: F.substr(F.col(c), F.col("_a") + 1, n) for c in (seq, qual)}).drop("_a", "_z")
+
+
+def trim_pairs(pairs: DataFrame, primer_R1: str, primer_R2: str, max_err: float = 0.2, min_overlap: int = 10, action: str = "retain", discard: bool = True, either: bool = False, max_n: int | None = None, max_ee: float | None = None, min_length: int | None = None, max_length: int | None = None, truncQ_R1: tuple | None = None, truncQ_R2: tuple | None = None, cut_R1: tuple | None = None, cut_R2: tuple | None = None, qual: bool = True) -> DataFrame:
+    """Mates ``seq_R1, seq_R2`` (and ``qual_R1, qual_R2``) trimmed together: a pair stays or goes as a whole.
+
+    In this order: fixed letters are cut, a positive number at the beginning and a negative one at the end; low scores;
+    the primers, each from its mate. A pair goes if either mate has no primer, where ``discard``, or fails a filter. With
+    ``either`` a pair whose mates have each other's primer is trimmed by these, and ``orient`` says ``rev``, else ``fwd``.
+    Names and defaults are those of ``config.Trim``. Null mates have no primer and fail every filter.
+    """
+    out = pairs
+    for mate, cuts, cutoffs in (("R1", cut_R1, truncQ_R1), ("R2", cut_R2, truncQ_R2)):
+        seq, score = f"seq_{mate}", f"qual_{mate}"
+        for n in cuts or ():
+            own = [seq, *([score] if qual else [])]
+            out = out.withColumns({c: F.substr(F.col(c), F.lit(max(n, 0) + 1), F.greatest(F.length(c) - abs(n), F.lit(0))) for c in own})
+        out = cut_quality(out, cutoffs, seq, score) if cutoffs and qual else out
+    ends = {"_a": ("seq_R1", primer_R1), "_b": ("seq_R2", primer_R2)} | ({"_c": ("seq_R1", primer_R2), "_d": ("seq_R2", primer_R1)} if either else {})
+    out = out.withColumns({k: primer_end(c, p, max_err, min_overlap) for k, (c, p) in ends.items()})
+    both = F.col("_a").isNotNull() & F.col("_b").isNotNull()
+    turned = ~both & F.col("_c").isNotNull() & F.col("_d").isNotNull() if either else F.lit(False)
+    out = out.withColumn("_turned", turned)
+    if discard:
+        out = out.filter(both | F.col("_turned"))
+    # the primer that is retained is as long as the one that was found
+    for mate, own, other, p, q in (("R1", "_a", "_c", primer_R1, primer_R2), ("R2", "_b", "_d", primer_R2, primer_R1)):
+        end = F.when(F.col("_turned"), F.col(other) - (len(q) - len(p) if action == "retain" else 0)).otherwise(F.col(own)) if either else F.col(own)
+        out = _cut_to(out.withColumn("_end", end), F.col("_end"), p, action, f"seq_{mate}", f"qual_{mate}" if qual else None)
+    out = out.withColumn("orient", F.when(F.col("_turned"), "rev").otherwise("fwd")) if either else out
+    for mate in ("R1", "R2"):
+        out = filter_reads(out, max_ee if qual else None, max_n, min_length, max_length, f"seq_{mate}", f"qual_{mate}")
+    return out.drop(*ends, "_turned", "_end")
 
 
 _SWAP = str.maketrans(CODES, COMPLEMENTS)
@@ -172,6 +236,24 @@ def merge_pairs(pairs: DataFrame, min_overlap: int = 12, max_mismatch: int = 0,
     return pairs.withColumn("seq", merged("seq_fwd", "seq_rev")).withColumn("accept", F.col("seq").isNotNull())
 
 
+def merge_denoised(reads: DataFrame, by: tuple[str, ...] = ("sample",), rec: str = "rec_idx", **options) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Merge the denoised mates ``seq_fwd, seq_rev`` of reads: merged sequences, rejected pairs, and the map from read to sequence.
+
+    Reads with the same two sequences in one sample are one pair with an abundance, so each pair is aligned once. Merged:
+    ``seq, abundance, n_pairs`` by sample, pairs that give the same sequence added up. Rejected: the pairs that don't
+    overlap, with their abundance. The map has every read, with null where a mate is null or the pair was rejected.
+    Options are those of ``merge_pairs``.
+    """
+    both = F.col("seq_fwd").isNotNull() & F.col("seq_rev").isNotNull()
+    unique = reads.filter(both).groupBy(*by, "seq_fwd", "seq_rev").agg(F.count(F.lit(1)).alias("abundance"))
+    pairs = checkpointed(merge_pairs(unique, **options))
+    merged = pairs.filter("accept").groupBy(*by, "seq").agg(F.sum("abundance").alias("abundance"), F.count(F.lit(1)).alias("n_pairs"))
+    rejected = pairs.filter("not accept").select(*by, "seq_fwd", "seq_rev", "abundance")
+    keys = [F.col(f"r.{c}").eqNullSafe(F.col(f"p.{c}")) for c in (*by, "seq_fwd", "seq_rev")]
+    where = reads.alias("r").join(pairs.filter("accept").alias("p"), keys, "left").select(f"r.{rec}", "p.seq")
+    return merged, rejected, where
+
+
 _STEP = re.compile(r"(\d+)([=XMID])")
 
 

@@ -865,6 +865,25 @@ def primer_trim(spark, d):
     return sequence.trim_primer(r, "ACGTNG", qual=None, min_overlap=6)
 
 
+_PAIRS = """p AS (SELECT p_partkey AS rec_idx, p_partkey % 3 = 0 AS turned, p_size % 4 AS k, [upper(p_name), 'TTACGTAG' || upper(p_name), 'CACGTTGN' || upper(p_name)][1 + p_size % 3] AS x, [upper(p_type), 'GGCATR' || upper(p_type), 'AGGCATA' || upper(p_type)][1 + p_partkey % 3] AS y FROM part),
+q AS (SELECT rec_idx, CASE WHEN turned THEN y ELSE x END AS s1, CASE WHEN turned THEN x ELSE y END AS s2 FROM p),
+e AS (SELECT *, NULLIF(length(regexp_extract(s1, '^.*?ACGT[ACGT]G', 0)), 0) AS a, NULLIF(length(regexp_extract(s2, '^.*?GGCAT[AG]', 0)), 0) AS b,
+  NULLIF(length(regexp_extract(s1, '^.*?GGCAT[AG]', 0)), 0) AS c, NULLIF(length(regexp_extract(s2, '^.*?ACGT[ACGT]G', 0)), 0) AS d FROM q)"""
+
+
+@query(f"""WITH {_PAIRS} SELECT rec_idx, CASE WHEN a > 0 AND b > 0 THEN 'fwd' ELSE 'rev' END AS orient, CASE WHEN a > 0 AND b > 0 THEN s1[a - 5:] ELSE s1[c - 5:] END AS seq_R1, CASE WHEN a > 0 AND b > 0 THEN s2[b - 5:] ELSE s2[d - 5:] END AS seq_R2
+FROM e WHERE a > 0 AND b > 0 OR c > 0 AND d > 0""")
+def paired_trim(spark, d):
+    p = table(spark, d, "part")
+    pick = lambda n, *x: F.get(F.array(*x), n.cast("int"))
+    name, kind = F.upper("p_name"), F.upper("p_type")
+    x = pick(F.col("p_size") % 3, name, F.concat(F.lit("TTACGTAG"), name), F.concat(F.lit("CACGTTGN"), name))
+    y = pick(F.col("p_partkey") % 3, kind, F.concat(F.lit("GGCATR"), kind), F.concat(F.lit("AGGCATA"), kind))
+    turned = F.col("p_partkey") % 3 == 0
+    mates = p.select(F.col("p_partkey").alias("rec_idx"), F.when(turned, y).otherwise(x).alias("seq_R1"), F.when(turned, x).otherwise(y).alias("seq_R2"))
+    return sequence.trim_pairs(mates, "ACGTNG", "GGCATR", max_err=0, either=True, qual=False)
+
+
 @query("""WITH p AS (SELECT p_partkey AS rec_idx, translate(upper(p_name), 'BDEFGHIJKLMNOPQRSUVWXYZ ', 'CAGTACGTACGTACGTACGTACGT') || 'ACGTACGTACGTAC' AS a, CASE WHEN p_partkey % 4 = 0 THEN repeat('G', 18) ELSE 'ACGTACGTACGTACGGTT' END AS b FROM part),
 o AS (SELECT *, greatest(0, k) AS lo, least(len(a), k + len(b)) AS hi FROM (SELECT *, unnest(range(12 - len(b), len(a) - 11)) AS k FROM p)),
 m AS (SELECT rec_idx, arg_max(k, (hi - lo) * 10000 + k) AS k FROM o WHERE hi - lo >= 12 AND a[lo + 1:hi] = b[lo - k + 1:hi - k] GROUP BY 1)
@@ -876,6 +895,20 @@ def merge_pairs(spark, d):
     return sequence.merge_pairs(p.select(F.col("p_partkey").alias("rec_idx"), F.concat(F.translate(F.upper("p_name"), "BDEFGHIJKLMNOPQRSUVWXYZ ", "CAGTACGTACGTACGTACGTACGTA"), F.lit("ACGTACGTACGTAC")).alias("seq_fwd"), rev.alias("seq_rev")))
 
 
+_MATES = """p AS (SELECT p_partkey AS rec_idx, p_brand AS sample, translate(upper(p_type), 'BDEFGHIJKLMNOPQRSUVWXYZ ', 'CAGTACGTACGTACGTACGTACGT') || 'ACGTACGTACGTAC' AS a, CASE WHEN p_size % 4 = 0 THEN repeat('G', 18) WHEN p_size % 4 = 1 THEN 'CGTACGTACGTACGGTT' ELSE 'ACGTACGTACGTACGGTT' END AS b FROM part),
+o AS (SELECT *, greatest(0, k) AS lo, least(len(a), k + len(b)) AS hi FROM (SELECT *, unnest(range(12 - len(b), len(a) - 11)) AS k FROM p)),
+m AS (SELECT rec_idx, arg_max(k, (hi - lo) * 10000 + k) AS k FROM o WHERE hi - lo >= 12 AND a[lo + 1:hi] = b[lo - k + 1:hi - k] GROUP BY 1)"""
+
+
+@query(f"""WITH {_MATES} SELECT sample, seq, COUNT(*) AS abundance, COUNT(DISTINCT (a, b)) AS n_pairs FROM (SELECT p.*, b[1:greatest(0, -k)] || a || b[greatest(0, len(a) - k) + 1:] AS seq FROM p JOIN m USING (rec_idx)) GROUP BY 1, 2""")
+def merge_denoised(spark, d):
+    size = F.col("p_size") % 4
+    b = F.when(size == 0, F.lit("G" * 18)).when(size == 1, F.lit("CGTACGTACGTACGGTT")).otherwise(F.lit("ACGTACGTACGTACGGTT"))
+    a = F.concat(F.translate(F.upper("p_type"), "BDEFGHIJKLMNOPQRSUVWXYZ ", "CAGTACGTACGTACGTACGTACGT"), F.lit("ACGTACGTACGTAC"))
+    p = table(spark, d, "part").select(F.col("p_partkey").alias("rec_idx"), F.col("p_brand").alias("sample"), a.alias("seq_fwd"), dna.revcomp(b).alias("seq_rev"))
+    return sequence.merge_denoised(p)[0]
+
+
 # ---- streams, run as batches here; tests run them as streams
 
 

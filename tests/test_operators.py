@@ -516,3 +516,69 @@ def test_samples_in_one_pass(spark):
     for n in (0, 1, 7, 1049, 1050, 5000):
         got = [r[0] for r in sampling.sample_number(reads, n).collect()]
         assert len(got) == len(set(got)) == min(n, 1050) and (n < 7 or set(got) >= {r[0] for r in sampling.sample_number(reads, 7).collect()})
+
+
+def test_pairs_are_trimmed_together(spark):
+    """Against each mate trimmed by itself: both or none; orientation, actions, scores, fixed cuts, filters, nulls."""
+    rng = random.Random(31)
+    p, q = "ACGTTGCA", "GGCATTAC"
+    word = lambda n: "".join(rng.choice("ACGT") for _ in range(n))
+    near = lambda x: x[: (k := rng.randrange(8))] + rng.choice("ACGT") + x[k + 1 :]
+    rows = []
+    for i in range(120):
+        a, b = (rng.choice(["", word(3)]) + rng.choice([x, near(x), ""]) + word(15) for x in ((p, q) if i % 3 else (q, p)))
+        rows.append((i, a, "".join(chr(33 + rng.choice([2, 20, 38])) for _ in a), b, "".join(chr(33 + rng.choice([2, 20, 38])) for _ in b)))
+    rows += [(500, None, None, p + "ACGT", "I" * 12), (501, "", "", "", "")]
+    df = spark.createDataFrame(rows, "rec_idx long, seq_R1 string, qual_R1 string, seq_R2 string, qual_R2 string")
+    one = lambda mate, primer, action: {r["rec_idx"]: (r["s"], r["q"]) for r in sequence.trim_primer(df.select("rec_idx", F.col(f"seq_{mate}").alias("s"), F.col(f"qual_{mate}").alias("q")), primer, 0.15, 8, action=action, seq="s", qual="q").collect()}
+    for action in ("trim", "retain", "mask", "lowercase", "none"):
+        a, b, c, d = one("R1", p, action), one("R2", q, action), one("R1", q, action), one("R2", p, action)
+        got = {r["rec_idx"]: (r["orient"], r["seq_R1"], r["qual_R1"], r["seq_R2"], r["qual_R2"]) for r in sequence.trim_pairs(df, p, q, 0.15, 8, action, either=True).collect()}
+        want = {i: ("rev", *c[i], *d[i]) for i in c if i in d} | {i: ("fwd", *a[i], *b[i]) for i in a if i in b}
+        assert got == want and {x[0] for x in got.values()} == {"fwd", "rev"}, action
+    assert set(one("R1", p, "trim")) & set(one("R2", q, "trim")) == {r[0] for r in sequence.trim_pairs(df, p, q, 0.15, 8).collect()}
+    assert sequence.trim_pairs(df, p, q, discard=False).count() == len(rows)
+    with pytest.raises(ValueError):
+        sequence.trim_pairs(df, p, q, action="cut")
+
+    def low(scores, cutoff):
+        total, best, cut = 0, 0, 0
+        for k, x in enumerate(reversed(scores), 1):
+            total += cutoff - x
+            if total < 0:
+                break
+            if total > best:
+                best, cut = total, k
+        return cut
+
+    got = {r["rec_idx"]: r for r in sequence.trim_pairs(df, p, q, discard=False, action="none", cut_R1=(2, -3), truncQ_R1=(10, 15), truncQ_R2=(5,), min_length=6).collect()}
+    want = {}
+    for i, a, x, b, y in rows:
+        if a is not None:
+            a, x = a[2:][:-3], x[2:][:-3]
+            s = [ord(c) - 33 for c in x]
+            u, v = low(s[::-1], 10), low(s, 15)
+            a = a[u : max(u, len(a) - v)]
+            w = low([ord(c) - 33 for c in y], 5)
+            b = b[: len(b) - w]
+            if len(a) >= 6 and len(b) >= 6:
+                want[i] = (a, b)
+    assert {i: (r["seq_R1"], r["seq_R2"]) for i, r in got.items()} == want and 50 < len(want) < 120
+
+
+def test_denoised_pairs_are_merged_once(spark):
+    from seqmill.functions.dna import CODES, COMPLEMENTS
+
+    rc = lambda x: x.translate(str.maketrans(CODES, COMPLEMENTS))[::-1]
+    whole, lone = "ACGTTGCATTGACCATGGATCCTAGGAC", "TTTTTTTTTTTTTTTTTTTT"
+    pairs = [(whole[:22], rc(whole[8:])), (whole[:24], rc(whole[8:])), (lone, rc(whole[8:])), (None, rc(whole))]
+    reads = spark.createDataFrame([(i, s, *pairs[i % 4]) for i, s in enumerate(["a", "a", "b", None, "a"] * 20)], "rec_idx long, sample string, seq_fwd string, seq_rev string")
+    merged, rejected, where = sequence.merge_denoised(reads)
+    rows = reads.collect()
+    want = {}
+    for r in rows:
+        if r["rec_idx"] % 4 < 2:
+            want[r["sample"]] = want.get(r["sample"], 0) + 1
+    assert {(r["sample"], r["seq"]): (r["abundance"], r["n_pairs"]) for r in merged.collect()} == {(s, whole): (n, 2) for s, n in want.items()}
+    assert sum(r["abundance"] for r in rejected.collect()) == 25 and {r["seq_fwd"] for r in rejected.collect()} == {lone}
+    assert {r["rec_idx"]: r["seq"] for r in where.collect()} == {r["rec_idx"]: whole if r["rec_idx"] % 4 < 2 else None for r in rows}
