@@ -20,7 +20,7 @@ def has_alphabet(seq: Column, alphabet: str) -> Column:
     """Whether all characters are of the alphabet; null stays null."""
     import re
 
-    return seq.rlike(f"^[{re.escape(alphabet)}]*$")
+    return seq.rlike(rf"^[{re.escape(alphabet)}]*\z")
 
 
 def seq_hash(seq: Column) -> Column:

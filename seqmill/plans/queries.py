@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import dna
 from ..functions import taxa as tx
 from ..functions.session import checkpointed, shared_dir
-from ..operators import abundance, chimera, cluster, curation, distance, provenance, rollup, samples, sampling, sequence, tagjump, taxonomy
+from ..operators import abundance, bayes, chimera, cluster, curation, distance, provenance, rollup, samples, sampling, search, sequence, tagjump, taxonomy
 from ..sources import fastx, fastx_index
 from ..streaming import summaries
 from . import views
@@ -1001,3 +1001,19 @@ def kmer_classifier(spark, d):
     b = table(spark, d, "benchmark").select(F.col("item_id").cast("string").alias("seq_id"), F.col("text").alias("seq"))
     refs = [(r["seq"], f"Fungi,P{len(r['seq']) % 3},C{r['seq_id']}") for r in b.orderBy(F.col("seq_id").cast("int")).collect()]  # the references
     return classify.classify(b, refs, least=0.05)
+
+
+@query(f"""WITH {_STRINGS}, h AS (SELECT a.id AS seq_id, b.id AS ref_id, {_EDIT} AS d FROM seqs a JOIN seqs b ON a.p_size > 40 AND b.p_size <= 40 AND levenshtein(a.seq, b.seq) <= floor(greatest(length(a.seq), length(b.seq)) * 0.2::DOUBLE + 1e-9))
+SELECT seq_id, ref_id, CAST(place AS INTEGER) AS place, round(100 * (1 - d), 6) AS identity FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY seq_id ORDER BY d, ref_id) AS place FROM h) WHERE place <= 3""")
+def global_hits(spark, d):
+    s = _strings(spark, d).select("id", "seq", "p_size")
+    return search.global_hits(s.filter("p_size > 40"), s.filter("p_size <= 40"), 0.8, 3).withColumn("identity", F.round("identity", 6))
+
+
+@query()
+def leaf_posteriors(spark, d):
+    """Texts as letters, each with its language as the family and the first of its source's name and number as taxa."""
+    t = table(spark, d, "documents").filter("text is not null")
+    seq = F.translate(F.upper("text"), "BDEFHIJKLMNOPQRSUVWXYZ", "CAGTACGTACGTACGTACGTAC")
+    refs = t.select(seq.alias("seq"), F.concat_ws(",", F.lit("Fungi"), F.coalesce("lang", F.lit("none")), F.coalesce("source", F.lit("none"))).alias("path"))
+    return bayes.predict(t.select(F.col("doc_id").alias("seq_id"), seq.alias("seq")), bayes.fit(refs, 4), 4).withColumn("prob", F.round("prob", 9))
