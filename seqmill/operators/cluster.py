@@ -146,7 +146,7 @@ def closed_reference(unknown: DataFrame, known: DataFrame, block: str, threshold
             wave = {i: r for i, (_, r) in best.items()}
             ref |= wave
             out |= wave
-        return pd.DataFrame({"id": list(out), "ref": list(out.values())}, columns=["id", "ref"])
+        return pd.DataFrame({"id": pd.Series(list(out), dtype=object), "ref": pd.Series(list(out.values()), dtype=object)})
 
     found = first.unionByName(rest.select("b", "id", "id2", "dist", F.col("from")).groupBy("b").applyInPandas(waves, f"id {kind}, ref {kind}"))
     if not large.limit(1).count():

@@ -155,8 +155,10 @@ def tile_pairs(left: DataFrame, right: DataFrame | None, block: str, threshold,
             if same:
                 keep = x < y if b is a else slice(None)
                 x, y, z = np.minimum(x, y)[keep], np.maximum(x, y)[keep], z[keep]
-            parts.append(pd.DataFrame({block: [key[0]] * len(x), "id": x, "id2": y, "dist": z}))
-        return pd.concat(parts) if parts else pd.DataFrame({block: [], "id": [], "id2": [], "dist": []})
+            parts.append((x, y, z))
+        x, y, z = parts[0] if parts else ([], [], [])
+        # no rows have a type of their own, else strings would come as numbers
+        return pd.DataFrame({block: pd.Series([key[0]] * len(x), dtype=object), "id": pd.Series(x, dtype=object), "id2": pd.Series(y, dtype=object), "dist": pd.Series(z, dtype=float)})
 
     return both.groupBy(block, "width", "i", "j").applyInPandas(pairs, f"`{block}` {kind[block]}, id {kind['id']}, id2 {kind['id']}, dist double")
 

@@ -200,3 +200,14 @@ def test_thresholds_by_taxon(spark, monkeypatch, most):
     assert [k for k, _ in cluster.levels(t)] == ["species", "genus", "family"]
     with pytest.raises(ValueError):
         cluster.levels({"a": {"x": 0.5, "_NA_": 0.1}, "b": 0.2})
+
+
+def test_ids_and_blocks_are_strings(spark):
+    """Groups without a pair, and ids and blocks that are strings."""
+    rows = [("a", "p", "ACGTACGTAC"), ("b", "p", "ACGTACGTAT"), ("c", "p", "TTTTTTTTTT"), ("d", "q", "ACGTACGTAC"), ("e", "q", "GGGGGGGGGG"), ("f", "r", "CCCCCCCCCC")]
+    df = spark.createDataFrame(rows, "id string, block string, seq string")
+    for method in ("edit", "hamming"):
+        assert [(r["block"], r["id"], r["id2"]) for r in distance.configured({"method": method})(df, None, "block", 0.1).collect()] == [("p", "a", "b")]
+        got = cluster.closed_reference(df.filter("id <> 'a'"), df.filter("id = 'a'"), "block", 0.1, closure=True, distance=method)
+        assert list(map(tuple, got.collect())) == [("b", "a")]
+        assert {r["id"]: r["x"] for r in cluster.denovo(df, "block", {"x": 0.1}, method).collect()} == {"a": "a", "b": "a", "c": "c", "d": "d", "e": "e", "f": "f"}
