@@ -850,6 +850,23 @@ def denoise(spark, d):
     return dn.denoise(dn.uniques(reads), rates)
 
 
+@query()
+def denoise_lengths(spark, d):
+    """Reads of the parts that were sold, whose quantity tells what went wrong: a wrong, a lost or an added letter, or nothing."""
+    from ..operators import denoise as dn
+    import numpy as np
+
+    part = table(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), F.translate(F.concat(*[F.md5(c) for c in ("p_name", "p_type", "p_brand")]), "0123456789abcdef", "ACGT" * 4).alias("true"))
+    at = (F.col("l_suppkey") % 96).cast("int")
+    head, tail = F.substr("true", F.lit(1), at), F.substr("true", at + 2)
+    wrong = F.when(F.col("l_quantity") == 1, F.translate(F.substr("true", at + 1, F.lit(1)), "ACGT", "CGTA")).when(F.col("l_quantity") == 2, F.lit("")).when(F.col("l_quantity") == 3, F.concat(F.substr("true", at + 1, F.lit(1)), F.lit("G"))).otherwise(F.substr("true", at + 1, F.lit(1)))
+    reads = table(spark, d, "lineitem").join(part, "l_partkey").select(F.concat("l_returnflag", "l_linestatus").alias("sample"), F.concat(head, wrong, tail).alias("seq"))
+    promised = np.clip(10 ** (-np.arange(42) / 10), 1e-7, 0.75) / 3
+    rates = np.tile(promised, (16, 1))
+    rates[::5] = 1 - 3 * promised
+    return dn.denoise(dn.uniques(reads.withColumn("qual", F.translate("seq", "ACGT", "5555"))), rates, indel=1e-3)
+
+
 #: A primer as it is, with a wrong, an added and a lost letter, and none, behind a few letters.
 _PRIMERS = ("TTACGTGGA", "TACCTAGA", "GGACGGTCGT", "CACGAGTT", "TTTTT")
 
