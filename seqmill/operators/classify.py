@@ -3,64 +3,65 @@
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.taxa import DEFAULT
+from . import kmers
 from .taxonomy import path_probabilities
 
-#: Letters of references, whose index each task holds.
-MOST_LETTERS = 16 << 20
 
+def draws(seq: str, own: int, rounds: int, words: int) -> np.ndarray:
+    """Places among a sequence's ``own`` k-mers that each round draws; they follow from the sequence, so equal sequences agree."""
+    return np.random.default_rng(zlib.crc32(seq.encode())).integers(0, own, (rounds, words))
 
-def _kmers(seq: str, k: int) -> list[str]:
-    return sorted({seq[i : i + k] for i in range(len(seq) - k + 1)})
 
+def _best(seq: str, postings: kmers.Postings, k: int, rounds: int, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """The most drawn k-mers that a reference has, by round, and the first reference that has them."""
+    own = kmers.words(seq, k)
+    drawn, place = np.unique(draws(seq, len(own), rounds, words), return_inverse=True)
+    times = np.zeros((rounds, len(drawn)), np.float32)
+    np.add.at(times, (np.repeat(np.arange(rounds), words), place.ravel()), 1)
+    has = np.zeros((len(drawn), postings.n), np.float32)
+    has[postings.hits(own[drawn])] = 1
+    count = times @ has
+    first = count.argmax(1)
+    return count[np.arange(rounds), first].astype(np.int32), first
 
-class KmerIndex:
-    """References by k-mer. A reference is a sequence and its path of taxa, complete to the tip."""
 
-    def __init__(self, refs: list[tuple[str, str]], k: int = 8):
-        self.k, self.paths = k, [p for _, p in refs]
-        places: dict[str, list[int]] = {}
-        for i, (s, _) in enumerate(refs):
-            for w in _kmers(s.upper(), k):
-                places.setdefault(w, []).append(i)
-        self.places = {w: np.array(x, np.int32) for w, x in places.items()}
+def classify(query: DataFrame, refs: DataFrame, k: int = 8, rounds: int = 100, words: int = 32, least: float = 0.0, ranks: tuple[str, ...] = DEFAULT.ranks, query_letters: int = kmers.QUERY_LETTERS, ref_letters: int = kmers.REF_LETTERS) -> DataFrame:
+    """``seq_id, rank, parent_taxonomy, taxon, prob`` of every row of ``query(seq_id, seq)``.
 
-    def classify(self, seq: str, rounds: int = 100, words: int = 32) -> list[tuple[str, float]]:
-        """Paths with the share of rounds that they win; the draws follow from the sequence, so equal sequences agree."""
-        own = _kmers(seq.upper(), self.k)
-        if not own or not self.paths:
-            return []
-        rng = np.random.default_rng(zlib.crc32(seq.encode()))
-        none = np.zeros(0, np.int32)
-        hits = [self.places.get(w, none) for w in own]
-        wins: Counter = Counter()
-        for _ in range(rounds):
-            draw = rng.integers(0, len(own), words)
-            count = np.bincount(np.concatenate([hits[i] for i in draw] or [none]), minlength=len(self.paths))
-            if count.max() > 0:
-                wins[self.paths[int(count.argmax())]] += 1
-        return [(p, n / rounds) for p, n in sorted(wins.items())]
+    ``refs`` has ``ref_id``, one row each, ``seq`` and ``path``, the taxa complete to the tip, in any number. A round goes
+    to the reference with most of its k-mers, ties to the smaller id, and a path's probability is its share of the rounds;
+    a round that no reference has a k-mer of goes to none. Different texts are classified once. Both sides meet in tiles,
+    of which each gives the best of a round, and the best of those is the round's. Sequences that are null or shorter
+    than ``k`` have no rows, and such references win nothing.
+    """
+    long = F.octet_length("seq") >= k
+    texts = query.select(F.col("seq").cast("string").alias("seq")).filter(long).distinct().withColumn("key", F.md5("seq"))
+    known = refs.select("ref_id", F.col("seq").cast("string").alias("seq")).filter(long)
+    kind = dict(refs.dtypes)["ref_id"]
 
-
-def classify(query: DataFrame, refs: list[tuple[str, str]], k: int = 8, rounds: int = 100, words: int = 32, least: float = 0.0, ranks: tuple[str, ...] = DEFAULT.ranks) -> DataFrame:
-    """``seq_id, rank, parent_taxonomy, taxon, prob`` of every query; references are a list of at most ``MOST_LETTERS``."""
-    if sum(len(s) for s, _ in refs) > MOST_LETTERS:
-        raise ValueError(f"references of more than {MOST_LETTERS} letters")
-    index = query.sparkSession.sparkContext.broadcast(KmerIndex(refs, k))
-
-    def run(batches):
+    def kernel(asked, there):
         import pandas as pd
 
-        for pdf in batches:
-            rows = [(i, p, x) for i, s in zip(pdf.seq_id, pdf.seq, strict=True) for p, x in index.value.classify(s or "", rounds, words)]
-            yield pd.DataFrame(rows, columns=["seq_id", "path", "prob"])
-
-    kind = dict(query.dtypes)["seq_id"]
-    paths = query.select("seq_id", F.col("seq").cast("string").alias("seq")).mapInPandas(run, f"seq_id {kind}, path string, prob double")
+        there = there.sort_values("ref_id")
+        ids, postings, keys, parts = there.ref_id.to_numpy(), kmers.Postings(there.seq.tolist(), k), [], [np.zeros((3, 0), np.int64)]
+        for key, seq in zip(asked.key, asked.seq, strict=True):
+            if len(ids):
+                count, first = _best(seq, postings, k, rounds, words)
+                at = np.flatnonzero(count)
+                keys += [key] * len(at)
+                parts.append(np.stack([at, count[at], first[at]]))
+        at, count, first = np.concatenate(parts, 1)
+        return pd.DataFrame({"key": pd.Series(keys, dtype=object), "round": at, "shared": count, "ref_id": ids[first]})
+
+    met = kmers.meet(texts, known, "key", "ref_id", query_letters, ref_letters)
+    found = met.applyInPandas(kernel, f"key string, round int, shared int, ref_id {kind}")
+    won = found.groupBy("key", "round").agg(F.min(F.struct(-F.col("shared"), "ref_id")).alias("w")).select("key", F.col("w.ref_id").alias("ref_id"))
+    shares = won.groupBy("key", "ref_id").count().join(refs.select("ref_id", "path"), "ref_id").groupBy("key", "path").agg((F.sum("count") / rounds).alias("prob"))
+    paths = query.select("seq_id", F.md5(F.col("seq").cast("string")).alias("key")).join(shares, "key").select("seq_id", "path", "prob")
     return path_probabilities(paths, ranks, least=least)

@@ -1015,9 +1015,9 @@ def rename_hex(spark, d):
 def kmer_classifier(spark, d):
     from ..operators import classify
 
-    b = table(spark, d, "benchmark").select(F.col("item_id").cast("string").alias("seq_id"), F.col("text").alias("seq"))
-    refs = [(r["seq"], f"Fungi,P{len(r['seq']) % 3},C{r['seq_id']}") for r in b.orderBy(F.col("seq_id").cast("int")).collect()]  # the references
-    return classify.classify(b, refs, least=0.05)
+    b = table(spark, d, "benchmark").select("item_id", F.col("item_id").cast("string").alias("seq_id"), F.col("text").alias("seq"))
+    refs = b.select(F.col("item_id").alias("ref_id"), "seq", F.format_string("Fungi,P%s,C%s", (F.length("seq") % 3).cast("string"), "seq_id").alias("path"))
+    return classify.classify(b.select("seq_id", "seq"), refs, least=0.05)
 
 
 @query(f"""WITH {_STRINGS}, h AS (SELECT a.id AS seq_id, b.id AS ref_id, {_EDIT} AS d FROM seqs a JOIN seqs b ON a.p_size > 40 AND b.p_size <= 40 AND levenshtein(a.seq, b.seq) <= floor(greatest(length(a.seq), length(b.seq)) * 0.2::DOUBLE + 1e-9))

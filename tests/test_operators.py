@@ -433,12 +433,29 @@ def test_classifier(spark):
 
     rng = random.Random(1)
     make = lambda: "".join(rng.choice("ACGT") for _ in range(300))
-    refs = [(make(), f"F,P{i % 2},C{i}") for i in range(8)]
-    q = [(f"q{i}", "".join(c if rng.random() > 0.03 else rng.choice("ACGT") for c in s)) for i, (s, _) in enumerate(refs)] + [("none", ""), ("null", None)]
-    got = classify.classify(spark.createDataFrame(q, "seq_id string, seq string"), refs).collect()
-    assert all(0 < r["prob"] <= 1 for r in got)
+    refs = [(i, make(), f"F,P{i % 2},C{i}") for i in range(8)]
+    refs += [(8 + i, s[:150] + make()[:150], f"F,P{i % 2},C{i}") for i, s, _ in refs[:4]] + [(20, None, "F,P0,C9"), (21, "ACG", "F,P1,C9"), (22, refs[3][1], "F,P1,D")]
+    q = [(f"q{i}", "".join(c if rng.random() > 0.03 else rng.choice("ACGT") for c in s)) for i, s, _ in refs[:8]] + [("none", ""), ("null", None), ("short", "ACGTACG"), ("far", "N" * 50)]
+    q += [("copy", q[0][1]), ("q1", q[1][1])]
+    # every round by itself, over all references at once
+    want: dict = {}
+    for name, s in q:
+        own = [s[i : i + 8].encode() for i in range(len(s or "") - 7)]
+        own = sorted(set(own), key=lambda w: int.from_bytes(w, "little"))
+        for draw in classify.draws(s, len(own), 100, 32) if own else ():
+            count, ref = max((sum(own[x].decode() in r for x in draw), -i) for i, r, _ in refs if r)
+            path = next(p for i, _, p in refs if i == -ref)
+            for n in range(1, 4) if count else ():
+                t = ",".join(path.split(",")[:n])
+                want[name, t] = want.get((name, t), 0) + 0.01
+    frame = spark.createDataFrame(q, "seq_id string, seq string")
+    known = spark.createDataFrame(refs, "ref_id long, seq string, path string")
+    for letters in (1 << 20, 2048):
+        got = classify.classify(frame, known, query_letters=letters, ref_letters=letters).collect()
+        assert {(r["seq_id"], ",".join(filter(None, [r["parent_taxonomy"], r["taxon"]]))): round(r["prob"], 6) for r in got} == {k: round(v, 6) for k, v in want.items()}
     best = {r["seq_id"]: r["taxon"] for r in sorted(got, key=lambda r: r["prob"]) if r["rank"] == "class"}
-    assert best == {f"q{i}": f"C{i}" for i in range(8)}
+    assert best == {f"q{i}": f"C{i}" for i in range(8)} | {"copy": "C0"}
+    assert not classify.classify(frame, known.limit(0)).count() and not classify.classify(frame.limit(0), known).count()
 
 
 def test_denoising(spark):
