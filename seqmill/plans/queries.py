@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import dna
 from ..functions import taxa as tx
 from ..functions.session import checkpointed, shared_dir
-from ..operators import abundance, bayes, chimera, cluster, curation, distance, provenance, rollup, samples, sampling, search, sequence, tagjump, taxonomy
+from ..operators import abundance, bayes, chimera, chimera_score, cluster, curation, distance, provenance, rollup, samples, sampling, search, sequence, tagjump, taxonomy
 from ..sources import fastx, fastx_index
 from ..streaming import summaries
 from . import views
@@ -206,6 +206,18 @@ stats AS (SELECT child, parent, parent_place, COUNT(*) AS shared, MIN(ratio) AS
 """
 
 
+@query()
+def chimera_scores(spark, d):
+    """Texts, texts with every 40th letter changed, and so changed the first half of each with the last of the next, against all."""
+    b = table(spark, d, "benchmark").filter("text is not null").select(F.col("item_id").alias("ref_id"), F.col("text").alias("seq"))
+    half = F.floor(F.length("seq") / 2).cast("int")
+    ends = b.select((F.col("ref_id") - 1).alias("ref_id"), F.substring("seq", half + 1, F.length("seq")).alias("tail"))
+    worn = lambda c: F.regexp_replace(c, "([^~]{39})[^~]", "$1~")
+    mixed = b.join(ends, "ref_id").select((F.col("ref_id") * 3 + 2).alias("seq_idx"), worn(F.concat(F.substring("seq", F.lit(1), half), "tail")).alias("seq"))
+    own = b.select((F.col("ref_id") * 3).alias("seq_idx"), "seq").unionByName(b.select((F.col("ref_id") * 3 + 1).alias("seq_idx"), worn("seq").alias("seq")))
+    return chimera_score.reference_scores(own.unionByName(mixed), b).withColumn("score", F.round("score", 9))
+
+
 def _curated(ratio: str, value: float) -> str:
     return f"""fit AS (SELECT child, arg_min(parent, parent_place) AS parent FROM stats JOIN ids ON ids.seq_idx = child WHERE shared >= 0.1::DOUBLE * occ AND {ratio} > {value} GROUP BY 1),
 walk(child, parent) AS (SELECT child, parent FROM fit UNION SELECT w.child, f.parent FROM walk w JOIN fit f ON w.parent = f.child),
