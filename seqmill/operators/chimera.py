@@ -76,15 +76,14 @@ def _ends(children: DataFrame, parents: DataFrame, fold: float, max_shift: int,
     tiles = n[0].join(n[1], "s")
     own = lambda c: F.pmod(F.xxhash64("seq_idx", "seq"), F.col(c)).cast("int")
     every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
-    left = sides[0].join(tiles, "s").select("s", own("_l").alias("i"), every("_r").alias("j"), F.lit(0).alias("side"), "seq_idx", "nread", "seq")
-    right = sides[1].join(tiles, "s").select("s", every("_l").alias("i"), own("_r").alias("j"), F.lit(1).alias("side"), "seq_idx", "nread", "seq")
-    both = left.unionByName(right).select(F.col("s.sample").alias("sample"), "i", "j", "side", "seq_idx", "nread", "seq")
-    kind = dict(both.dtypes)
+    left = sides[0].join(tiles, "s").select("s.sample", own("_l").alias("i"), every("_r").alias("j"), "seq_idx", "nread", "seq")
+    right = sides[1].join(tiles, "s").select(F.col("s.sample").alias("sample"), every("_l").alias("i"), own("_r").alias("j"), *[F.col(c).alias(c) for c in ("nread", "seq")])  # names of its own, as both may be of one table
+    kind = dict(left.dtypes)
 
-    def kernel(key, pdf):
+    def kernel(key, kids, old):
         import pandas as pd
 
-        kids, old = pdf[pdf.side == 0], pdf[pdf.side == 1].sort_values("nread", ascending=False)
+        old = old.sort_values("nread", ascending=False)
         counts = old.nread.to_numpy()
         texts, which = np.unique(old.seq.to_numpy(dtype=object).astype(str), return_inverse=True)
         letters, size = _matrix(texts.tolist())
@@ -101,7 +100,7 @@ def _ends(children: DataFrame, parents: DataFrame, fold: float, max_shift: int,
                     out.append((i, len(text), int(x[part].max()), int(y[part].max())))
         return pd.DataFrame(out, columns=["seq_idx", "n", "a", "b"]).assign(sample=key[0])[["sample", "seq_idx", "n", "a", "b"]]
 
-    found = both.groupBy("sample", "i", "j").applyInPandas(kernel, f"sample {kind['sample']}, seq_idx {kind['seq_idx']}, n long, a long, b long")
+    found = left.groupBy("sample", "i", "j").cogroup(right.groupBy("sample", "i", "j")).applyInPandas(kernel, f"sample {kind['sample']}, seq_idx {kind['seq_idx']}, n long, a long, b long")
     return found.groupBy("sample", "seq_idx").agg(F.max("n").alias("n"), F.max("a").alias("a"), F.max("b").alias("b"))
 
 
@@ -142,6 +141,6 @@ def against_references(seqs: DataFrame, refs: DataFrame, one_off: bool = False,
     A null or empty sequence is no chimera; without references there are none.
     """
     child = seqs.select(F.lit(0).alias("sample"), "seq_idx", F.lit(0).alias("nread"), "seq")
-    parent = refs.select(F.lit(0).alias("sample"), F.lit(None).cast(dict(seqs.dtypes)["seq_idx"]).alias("seq_idx"), F.lit(1).alias("nread"), "seq").distinct()
+    parent = refs.select(F.lit(0).alias("sample"), F.lit(None).alias("seq_idx"), F.lit(1).alias("nread"), "seq").distinct()
     ends = _ends(child, parent, 1.0, max_shift, tile).filter(_chimeric(one_off, min_one_off_distance)).select("seq_idx", F.lit(True).alias("is_chimera"))
     return seqs.select("seq_idx").join(ends, "seq_idx", "left").withColumn("is_chimera", F.coalesce("is_chimera", F.lit(False)))

@@ -63,5 +63,5 @@ def meet(query: DataFrame, refs: DataFrame, key: str, ref: str, query_letters: i
     own = lambda c, n: F.pmod(F.xxhash64(c), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     left = query.select(one, key, "seq").join(tiles, "_b").select(own(key, "_i").alias("i"), every("_j").alias("j"), key, "seq")
-    right = refs.select(one, ref, "seq").join(tiles, "_b").select(every("_i").alias("i"), own(ref, "_j").alias("j"), ref, "seq")
+    right = refs.select(one, ref, "seq").join(tiles, "_b").select(every("_i").alias("i"), own(ref, "_j").alias("j"), *[F.col(c).alias(c) for c in (ref, "seq")])  # names of its own, as both may be of one table
     return left.groupBy("i", "j").cogroup(right.groupBy("i", "j"))

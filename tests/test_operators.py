@@ -522,6 +522,8 @@ def test_chimeras_in_tiles(spark):
         got = chimera.against_references(seqs, refs, max_shift=3, tile=tile).collect()
         assert {r[0]: r[1] for r in got} == {i: bool(t) and chimera.is_bimera(t, base, max_shift=3) for i, t in enumerate(texts)}
     assert not chimera.against_references(seqs, refs.limit(0)).filter("is_chimera").count()
+    large = chimera.against_references(seqs.withColumn("seq_idx", F.col("seq_idx") + (1 << 60)), refs, max_shift=3)
+    assert {r[0] - (1 << 60): r[1] for r in large.collect()} == {r[0]: r[1] for r in got}  # ids beyond the doubles
 
 
 def test_samples_in_one_pass(spark):
