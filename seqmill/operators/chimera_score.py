@@ -187,6 +187,8 @@ def reference_scores(seqs: DataFrame, refs: DataFrame, k: int = 8, most: int = 4
     near = found.withColumn("_place", place).filter(F.col("_place") <= most).select("key", "ref_id").distinct()
     lists = near.join(known, "ref_id").groupBy("key").agg(F.array_sort(F.collect_list(F.struct("ref_id", "seq"))).alias("refs"))  # at most 4 * most
     asked = texts.join(lists, "key").select("key", "seq", F.col("refs.ref_id").alias("ids"), F.col("refs.seq").alias("refs"))
+    spread = int(seqs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    asked = asked.repartition(spread, F.xxhash64("key"))  # few bytes, much work: by another hash than the lists, or it would be left out and put together
 
     def run(batches):
         import pandas as pd
