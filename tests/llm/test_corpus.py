@@ -162,6 +162,14 @@ def test_urls():
         assert index.judge(url) == want
 
 
+def test_urls_allowed_by_a_rule():
+    """The contract allows net/de/, but for what a longer rule blocks."""
+    index = urlrules.RuleIndex(urlrules.RULES)
+    assert index.judge("http://blog.example.net/de/7") == ("blog.example.net", "/de/7", "net/de/", "allow")
+    assert index.judge("http://blog.example.net/de/80") == ("blog.example.net", "/de/80", "example.net/de/8", "block")
+    assert {(r.text, r.action) for r in urlrules.RULES} == {("com/en/", "block"), ("example.com/en/7", "allow"), ("net/de/", "allow"), ("example.net/de/8", "block"), ("org/es/", "block")}
+
+
 def test_urls_by_token_are_all_rules():
     rng = random.Random(1)
     rules = [urlrules.Rule(rng.choice(["allow", "block"]), rng.choice(["a.com", "com", "b.org", ""]) + rng.choice(["", "/", "/x/", "/x/y", "/x/y/z"])) for _ in range(40)]
