@@ -26,10 +26,14 @@ def sample_fraction(reads: DataFrame, numerator: int, denominator: int, seed: in
 
 def _places(reads: DataFrame, denominator: int, seed: int, rec: str) -> DataFrame:
     """``_rank`` of every place of the blocks that have reads: a full block's random order has the missing reads in it too."""
-    order = Window.partitionBy("_block").orderBy(_key(seed, rec), rec)
+    # blocks are few bytes, and would be put together in one task before their places, many more, are made; by another hash
+    # than their own they are dealt anew, and the windows stay where they are
+    order = Window.partitionBy("_part", "_block").orderBy(_key(seed, rec), rec)
     block = F.floor((F.col(rec) - 1) / denominator)
-    full = reads.select(block.alias("_block")).distinct().select("_block", F.explode(F.sequence(F.lit(1), F.lit(denominator))).alias("_i"))
-    return full.select("_block", (F.col("_block") * denominator + F.col("_i")).alias(rec)).withColumn("_rank", F.row_number().over(order)).select(rec, "_rank")
+    blocks = reads.select(block.alias("_block")).distinct().withColumn("_part", F.xxhash64("_block"))
+    blocks = blocks.repartition(int(reads.sparkSession.conf.get("spark.sql.shuffle.partitions")), "_part")
+    full = blocks.select("_part", "_block", F.explode(F.sequence(F.lit(1), F.lit(denominator))).alias("_i"))
+    return full.select("_part", "_block", (F.col("_block") * denominator + F.col("_i")).alias(rec)).withColumn("_rank", F.row_number().over(order)).select(rec, "_rank")
 
 
 def sample_levels(reads: DataFrame, numerators: list[int], denominator: int, seed: int = 1, rec: str = "rec_idx") -> DataFrame:

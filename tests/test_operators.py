@@ -601,3 +601,10 @@ def test_denoised_pairs_are_merged_once(spark):
     assert {(r["sample"], r["seq"]): (r["abundance"], r["n_pairs"]) for r in merged.collect()} == {(s, whole): (n, 2) for s, n in want.items()}
     assert sum(r["abundance"] for r in rejected.collect()) == 25 and {r["seq_fwd"] for r in rejected.collect()} == {lone}
     assert {r["rec_idx"]: r["seq"] for r in where.collect()} == {r["rec_idx"]: whole if r["rec_idx"] % 4 < 2 else None for r in rows}
+
+
+def test_places_are_spread(spark):
+    """Blocks are few bytes, and their places, many more, are not made in one task."""
+    reads = spark.range(1, 5001).select(F.col("id").alias("rec_idx"))
+    parts = sampling._places(reads, 10, 1, "rec_idx").select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+    assert len(parts) == int(spark.conf.get("spark.sql.shuffle.partitions")) and sum(r["count"] for r in parts) == 5000
