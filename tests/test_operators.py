@@ -608,3 +608,9 @@ def test_places_are_spread(spark):
     reads = spark.range(1, 5001).select(F.col("id").alias("rec_idx"))
     parts = sampling._places(reads, 10, 1, "rec_idx").select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
     assert len(parts) == int(spark.conf.get("spark.sql.shuffle.partitions")) and sum(r["count"] for r in parts) == 5000
+
+
+def test_levels_of_spread_places(spark):
+    reads = spark.range(1, 1001).select(F.col("id").alias("rec_idx"))
+    got = sampling.sample_levels(reads, [2, 7], 10)
+    assert {(r["level"], r["n"]) for r in got.groupBy("level").agg(F.count(F.lit(1)).alias("n")).collect()} == {(2, 200), (7, 700)}
