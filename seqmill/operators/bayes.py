@@ -14,8 +14,6 @@ the best go on, those within ``NATS``, beside which the others are nothing.
 
 from __future__ import annotations
 
-from itertools import product
-
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,12 +26,23 @@ from .taxonomy import path_probabilities
 NATS = 40.0
 #: Leaves and queries of a tile.
 LEAVES, QUERIES = 2048, 2048
-#: K-mers of a window of a text.
-WINDOW = 256
 
 
-def _codes(k: int) -> dict[str, int]:
-    return {"".join(x): i for i, x in enumerate(product("ACGT", repeat=k))}
+_VALUE = np.full(256, -1, np.int64)
+_VALUE[[ord(c) for c in "ACGT"]] = range(4)
+
+
+def _counts(seq: str, k: int) -> np.ndarray:
+    """How often the upper-case sequence has each k-mer of A, C, G and T."""
+    v = _VALUE[np.frombuffer(seq.encode("latin-1", "replace"), np.uint8)]
+    n = len(v) - k + 1
+    if n <= 0:
+        return np.zeros(4**k, np.int64)
+    code, whole = np.zeros(n, np.int64), np.ones(n, bool)
+    for j in range(k):
+        code = 4 * code + v[j : j + n]
+        whole &= v[j : j + n] >= 0
+    return np.bincount(code[whole], minlength=4**k)
 
 
 def fit(refs: DataFrame, k: int = 5, smooth: float = 64.0) -> DataFrame:
@@ -44,13 +53,19 @@ def fit(refs: DataFrame, k: int = 5, smooth: float = 64.0) -> DataFrame:
     """
     if not 0 < k <= 7 or smooth <= 0:
         raise ValueError("k is from 1 to 7, and smooth is positive")
-    codes, wide = _codes(k), 4**k
+    wide = 4**k
     refs = refs.select(F.upper("seq").alias("seq"), "path").filter("seq is not null and path is not null")
-    cut = lambda c, step, size: F.when(F.length(c) >= k, F.transform(F.sequence(F.lit(1), F.length(c) - k + 1, F.lit(step)), lambda i: F.substr(c, i, F.lit(size)))).otherwise(F.array().cast("array<string>"))
-    # a place in a long text is found from its beginning, so texts are cut to windows first
-    windows = refs.select("path", F.explode(cut("seq", WINDOW, WINDOW + k - 1)).alias("part"))
-    each = windows.select("path", F.explode(cut("part", 1, k)).alias("kmer")).filter(F.col("kmer").rlike(r"^[ACGT]*\z"))
-    counts = checkpointed(each.groupBy("path", "kmer").agg(F.count(F.lit(1)).alias("c")))
+
+    def counted(batches):
+        import pandas as pd
+
+        for pdf in batches:
+            # one row of counts for each leaf of a batch of texts
+            for path, seqs in pdf.groupby("path", sort=False).seq:
+                c = sum(_counts(s, k) for s in seqs)
+                yield pd.DataFrame({"path": path, "kmer": np.flatnonzero(c), "c": c[c > 0]})
+
+    counts = checkpointed(refs.select("path", "seq").mapInPandas(counted, "path string, kmer int, c long").groupBy("path", "kmer").agg(F.sum("c").alias("c")))
     leaves = checkpointed(refs.groupBy("path").agg(F.count(F.lit(1)).alias("n")).withColumn("taxa", F.split("path", ",")))
     depth = leaves.agg(F.max(F.size("taxa"))).first()[0] or 0
     head = lambda j: F.array_join(F.slice(F.split("path", ","), 1, j), ",") if j else F.lit("")
@@ -71,7 +86,7 @@ def fit(refs: DataFrame, k: int = 5, smooth: float = 64.0) -> DataFrame:
                 for own, up in zip(pdf.own, pdf.of_up, strict=True):
                     c = np.zeros(wide)
                     for x in own if own is not None else ():
-                        c[codes[x["kmer"]]] = x["c"]
+                        c[x["kmer"]] = x["c"]
                     out.append((c + smooth * (np.full(wide, 1 / wide) if up is None else np.asarray(up))) / (c.sum() + smooth))
                 yield pd.DataFrame({"at": pdf["at"].astype(object), "p": out})
 
@@ -98,19 +113,13 @@ def posteriors(query: DataFrame, model: DataFrame, k: int = 5) -> DataFrame:
     kind = dict(query.dtypes)["seq_id"]
     left = query.filter("seq is not null").select(F.pmod(F.xxhash64("seq_id"), F.lit(tiles)).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("j"), "seq_id", F.upper("seq").alias("seq"))
     right = leaf.select(F.explode(F.sequence(F.lit(0), F.lit(tiles - 1))).alias("i"), "j", "path", "logs", "prior")
-    value = np.full(256, -1, np.int64)
-    value[[ord(c) for c in "ACGT"]] = range(4)
 
     def kernel(key, q, m):
         import pandas as pd
 
         counts = np.zeros((len(q), 4**k))
         for i, s in enumerate(q.seq):
-            v = value[np.frombuffer(s.encode("latin-1", "replace"), np.uint8)]
-            if len(v) >= k:
-                win = np.lib.stride_tricks.sliding_window_view(v, k)
-                win = win[(win >= 0).all(1)]
-                counts[i] = np.bincount(win @ 4 ** np.arange(k - 1, -1, -1), minlength=4**k)
+            counts[i] = _counts(s, k)
         some = np.flatnonzero(counts.any(1))
         if not len(some) or not len(m):
             return pd.DataFrame({"seq_id": q.seq_id.iloc[:0], "path": pd.Series([], dtype=object), "log": pd.Series([], dtype=float)})

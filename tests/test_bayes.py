@@ -101,3 +101,14 @@ def test_global_hits_measure_copies_once(spark, monkeypatch):
     one = {x["seq_id"]: x["ref_id"] for x in search.global_hits(spark.createDataFrame(q, "id long, seq string"), spark.createDataFrame(r, "id long, seq string"), 0.9).collect()}
     assert one == {i: best(t)[0][1] for i, t in q}
     assert sum(seen) <= 2 * 9
+
+
+def test_counts_of_a_text(spark):
+    import collections
+
+    from seqmill.operators import bayes as by
+
+    for text in ("", "ACG", "ACGT", "ACGTNACGTTT", "É" * 5 + "ACGTACGT", "A" * 1000):
+        found = by._counts(text, 4)
+        want = collections.Counter(text[i : i + 4] for i in range(len(text) - 3) if set(text[i : i + 4]) <= set("ACGT"))
+        assert {i: int(c) for i, c in enumerate(found) if c} == {sum("ACGT".index(x) * 4 ** (3 - j) for j, x in enumerate(w)): c for w, c in want.items()}
