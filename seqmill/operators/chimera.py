@@ -43,6 +43,55 @@ def overlaps(child: str, parents: np.ndarray, size: np.ndarray, max_shift: int)
     return left, right
 
 
+#: Texts whose ends a worker keeps, and letters of them together; beyond that it begins anew.
+KNOWN, KNOWN_LETTERS = 2_048, 1 << 22
+
+
+class Ends:
+    """Ends of texts that other texts make, kept from group to group of a worker, as samples have many texts in common.
+
+    What is kept is a table of the texts met, children by parents, so its size is bounded whatever is asked; ends depend
+    on the two texts and the shift alone.
+    """
+
+    def __init__(self, max_shift: int, most: int = KNOWN, letters: int = KNOWN_LETTERS):
+        self.max_shift, self.most, self.room = max_shift, most, letters
+        self.clear()
+
+    def clear(self) -> None:
+        self.at: dict[str, int] = {}
+        self.letters = 0
+        self.ends = np.full((2, 0, 0), -1, np.int32)
+
+    def of(self, children: list[str], parents: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Letters from the left and from the right, children by parents; texts of each side are different ones."""
+        new = [t for t in dict.fromkeys([*children, *parents]) if t not in self.at]
+        if len(self.at) + len(new) > self.most or self.letters + sum(map(len, new)) > self.room:
+            self.clear()
+            new = list(dict.fromkeys([*children, *parents]))
+            if len(new) > self.most or sum(map(len, new)) > self.room:  # too many to keep
+                made = _matrix(parents)
+                found = [overlaps(c, *made, self.max_shift) for c in children]
+                return np.stack([x for x, _ in found]), np.stack([y for _, y in found])
+        for t in new:
+            self.at[t] = len(self.at)
+            self.letters += len(t)
+        if (n := len(self.at)) > self.ends.shape[1]:
+            wider = np.full((2, size := min(self.most, max(256, 2 * n)), size), -1, np.int32)
+            wider[:, : self.ends.shape[1], : self.ends.shape[1]] = self.ends
+            self.ends = wider
+        i, j = (np.array([self.at[t] for t in side]) for side in (children, parents))
+        open_ = self.ends[0][np.ix_(i, j)] < 0
+        for row in np.flatnonzero(open_.any(1)):
+            some = np.flatnonzero(open_[row])
+            self.ends[:, i[row], j[some]] = overlaps(children[row], *_matrix([parents[x] for x in some]), self.max_shift)
+        return self.ends[0][np.ix_(i, j)], self.ends[1][np.ix_(i, j)]
+
+
+#: What this worker keeps, by shift.
+_ENDS: dict[int, Ends] = {}
+
+
 def _judge(n: int, left: np.ndarray, right: np.ndarray, one_off: bool, min_one_off_distance: int) -> bool:
     part = (left < n) & (right < n)  # a parent that makes all of the child doesn't make it a chimera
     if not part.any():
@@ -72,9 +121,11 @@ def _ends(children: DataFrame, parents: DataFrame, fold: float, max_shift: int,
     """
     whole = F.length("seq") > 0
     sides = [x.filter(whole).select(F.struct("sample").alias("s"), "seq_idx", F.col("nread").cast("double").alias("nread"), "seq") for x in (children, parents)]
+    # of a parent's copies the most abundant is one to whatever child any of them is one
+    sides[1] = sides[1].groupBy("s", "seq").agg(F.max("nread").alias("nread"))
     n = [x.groupBy("s").agg(F.ceil(F.count(F.lit(1)) / tile).cast("int").alias(c)) for x, c in zip(sides, ("_l", "_r"), strict=True)]
     tiles = n[0].join(n[1], "s")
-    own = lambda c: F.pmod(F.xxhash64("seq_idx", "seq"), F.col(c)).cast("int")
+    own = lambda c: F.pmod(F.xxhash64(*(["seq_idx", "seq"] if c == "_l" else ["seq"])), F.col(c)).cast("int")
     every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
     left = sides[0].join(tiles, "s").select("s.sample", own("_l").alias("i"), every("_r").alias("j"), "seq_idx", "nread", "seq")
     right = sides[1].join(tiles, "s").select(F.col("s.sample").alias("sample"), every("_l").alias("i"), own("_r").alias("j"), *[F.col(c).alias(c) for c in ("nread", "seq")])  # names of its own, as both may be of one table
@@ -83,22 +134,19 @@ def _ends(children: DataFrame, parents: DataFrame, fold: float, max_shift: int,
     def kernel(key, kids, old):
         import pandas as pd
 
+        if not len(kids) or not len(old):
+            return pd.DataFrame([], columns=["sample", "seq_idx", "n", "a", "b"])
         old = old.sort_values("nread", ascending=False)
-        counts = old.nread.to_numpy()
         texts, which = np.unique(old.seq.to_numpy(dtype=object).astype(str), return_inverse=True)
-        letters, size = _matrix(texts.tolist())
-        known: dict[str, tuple[np.ndarray, np.ndarray]] = {}
-        out = []
-        for i, count, text in zip(kids.seq_idx, kids.nread, kids.seq, strict=True):
-            k = int(np.searchsorted(-counts, -fold * count, side="left"))
-            if k:
-                if text not in known:
-                    known[text] = overlaps(text, letters, size, max_shift)
-                x, y = (e[which[:k]] for e in known[text])
-                part = (x < len(text)) & (y < len(text))
-                if part.any():
-                    out.append((i, len(text), int(x[part].max()), int(y[part].max())))
-        return pd.DataFrame(out, columns=["seq_idx", "n", "a", "b"]).assign(sample=key[0])[["sample", "seq_idx", "n", "a", "b"]]
+        own, child = np.unique(kids.seq.to_numpy(dtype=object).astype(str), return_inverse=True)
+        size = np.array([len(t) for t in own.tolist()])
+        # parents that a child may have, the most abundant ones
+        many = np.searchsorted(-old.nread.to_numpy(), -fold * kids.nread.to_numpy(), side="left")
+        left, right = _ENDS.setdefault(max_shift, Ends(max_shift)).of(own.tolist(), texts.tolist())
+        part = (left < size[:, None]) & (right < size[:, None])  # a parent that makes all of the child is none
+        a, b = (np.maximum.accumulate(np.where(part, x, -1)[:, which], axis=1)[child, np.maximum(many, 1) - 1] for x in (left, right))
+        some = (many > 0) & (a >= 0)
+        return pd.DataFrame({"sample": key[0], "seq_idx": kids.seq_idx[some], "n": size[child][some], "a": a[some], "b": b[some]})
 
     found = left.groupBy("sample", "i", "j").cogroup(right.groupBy("sample", "i", "j")).applyInPandas(kernel, f"sample {kind['sample']}, seq_idx {kind['seq_idx']}, n long, a long, b long")
     return found.groupBy("sample", "seq_idx").agg(F.max("n").alias("n"), F.max("a").alias("a"), F.max("b").alias("b"))

@@ -614,3 +614,25 @@ def test_levels_of_spread_places(spark):
     reads = spark.range(1, 1001).select(F.col("id").alias("rec_idx"))
     got = sampling.sample_levels(reads, [2, 7], 10)
     assert {(r["level"], r["n"]) for r in got.groupBy("level").agg(F.count(F.lit(1)).alias("n")).collect()} == {(2, 200), (7, 700)}
+
+
+def test_chimera_ends_are_kept(monkeypatch):
+    """Ends of two texts are found once a worker, and are the same where nothing can be kept."""
+    import random
+
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("ACGT") for _ in range(rng.randrange(1, 20))) for _ in range(40)]
+    texts = list(dict.fromkeys(texts))
+    asked, real = [], chimera.overlaps
+    monkeypatch.setattr(chimera, "overlaps", lambda child, parents, size, shift: (asked.append(len(size)), real(child, parents, size, shift))[1])
+    kept, few = chimera.Ends(2), chimera.Ends(2, most=12)
+    for _ in range(8):
+        kids, old = rng.sample(texts, 10), rng.sample(texts, 15)
+        want = [real(c, *chimera._matrix(old), 2) for c in kids]
+        for ends in (kept, few):
+            left, right = ends.of(kids, old)
+            assert [x.tolist() for x in left] == [x.tolist() for x, _ in want] and [x.tolist() for x in right] == [x.tolist() for _, x in want]
+    del asked[:]
+    kept.of(texts, texts)
+    kept.of(texts[:9], texts)
+    assert sum(asked) < len(texts) ** 2
