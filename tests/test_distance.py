@@ -247,3 +247,16 @@ def test_clusters_measure_copies_once(spark, monkeypatch):
     want = {i: (least(b, {t}) if b else i, least(b, near if t in near else {t})) for b, i, t in rows}
     assert got == want | {5000: (5000, 5000)}
     assert sum(seen) <= 2 * 9
+
+
+def test_hamming_compares_copies_once(spark, monkeypatch):
+    texts = ["ACGTACGTACGT", "acgtacgtacga", "AC----------", None]
+    rows = [("x", 4 * i + (i + j) % 4, t) for i in range(10) for j, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "block string, id long, seq string")
+    seen, real = [], distance.tile_pairs
+    monkeypatch.setattr(distance, "tile_pairs", lambda left, *a: (seen.append(left.count()), real(left, *a))[1])
+    got = distance.hamming_pairs(df, None, "block", 0.1, min_overlap=3).collect()
+    known = [(i, t.upper()) for _, i, t in rows if t and "-" not in t]
+    want = {(i, j, round(sum(x != y for x, y in zip(s, t, strict=True)) / 12, 9)) for i, s in known for j, t in known if i < j}
+    assert len(got) == len(want) and {(r["id"], r["id2"], r["dist"]) for r in got} == want
+    assert seen == [3]
