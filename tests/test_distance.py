@@ -249,6 +249,20 @@ def test_clusters_measure_copies_once(spark, monkeypatch):
     assert sum(seen) <= 2 * 9
 
 
+def test_matches_measure_copies_once(spark, monkeypatch):
+    rows, df = copies(spark, 12)
+    seqs = df.filter("block = 'x' or seq is null").select(F.col("id").alias("seq_idx"), "seq")
+    t = seqs.select((F.col("seq_idx") % 2).alias("sample"), "seq_idx", (F.col("seq_idx") + 1).alias("nread"))
+    text = {i: s for b, i, s in rows if b}
+    apart = lambda i, j: sum(x != y for x, y in zip(text[i], text[j], strict=True)) / 16
+    want = {(i % 2, i, j, i + 1, j + 1, apart(i, j)) for i in text for j in text if i < j and i % 2 == j % 2 and apart(i, j) <= 0.1}
+    seen, real = [], curation.measured
+    monkeypatch.setattr(curation, "measured", lambda pairs: (seen.append(pairs.count()), real(pairs))[1])
+    got = curation.sample_matches(t, seqs, 0.1).collect()
+    assert len(got) == len(want) and set(map(tuple, got)) == want
+    assert sum(seen) <= 9
+
+
 def test_hamming_compares_copies_once(spark, monkeypatch):
     texts = ["ACGTACGTACGT", "acgtacgtacga", "AC----------", None]
     rows = [("x", 4 * i + (i + j) % 4, t) for i in range(10) for j, t in enumerate(texts)]
