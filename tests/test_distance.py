@@ -263,6 +263,25 @@ def test_matches_measure_copies_once(spark, monkeypatch):
     assert sum(seen) <= 9
 
 
+def test_matches_of_texts_and_members(spark):
+    """Without copies: pairs between the smallest of each text of a sample, and each other one with its smallest."""
+    rows, df = copies(spark, 12)
+    seqs = df.filter("block = 'x'").select(F.col("id").alias("seq_idx"), "seq")
+    t = seqs.select((F.col("seq_idx") % 2).alias("sample"), "seq_idx", F.col("seq_idx").alias("nread"))
+    every = curation.sample_matches(t, seqs, 0.1, gaps=True).collect()
+    first = {}
+    text = {i: s for b, i, s in rows if b}
+    for i in sorted(text):
+        first.setdefault((i % 2, text[i]), i)
+    stands = lambda i: first[i % 2, text[i]]
+    got = curation.sample_matches(t, seqs, 0.1, gaps=True, copies=False).collect()
+    want = {tuple(r) for r in every if text[r[1]] != text[r[2]] and stands(r[1]) == r[1] and stands(r[2]) == r[2] or text[r[1]] == text[r[2]] and stands(r[2]) == r[1]}
+    assert len(got) == len(want) and set(map(tuple, got)) == want
+    # what is left out follows from what is there
+    linked = {frozenset((r["seq_idx1"], r["seq_idx2"])) for r in got}
+    assert all(text[r[1]] == text[r[2]] or frozenset((stands(r[1]), stands(r[2]))) in linked for r in every)
+
+
 def test_hamming_compares_copies_once(spark, monkeypatch):
     texts = ["ACGTACGTACGT", "acgtacgtacga", "AC----------", None]
     rows = [("x", 4 * i + (i + j) % 4, t) for i in range(10) for j, t in enumerate(texts)]
