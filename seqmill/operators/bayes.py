@@ -28,6 +28,8 @@ NATS = 40.0
 LEAVES, QUERIES = 2048, 2048
 
 
+#: K-mers of a text that are looked at together, so that a long text takes no more memory.
+WINDOW = 1 << 16
 _VALUE = np.full(256, -1, np.int64)
 _VALUE[[ord(c) for c in "ACGT"]] = range(4)
 
@@ -35,14 +37,16 @@ _VALUE[[ord(c) for c in "ACGT"]] = range(4)
 def _counts(seq: str, k: int) -> np.ndarray:
     """How often the upper-case sequence has each k-mer of A, C, G and T."""
     v = _VALUE[np.frombuffer(seq.encode("latin-1", "replace"), np.uint8)]
-    n = len(v) - k + 1
-    if n <= 0:
-        return np.zeros(4**k, np.int64)
-    code, whole = np.zeros(n, np.int64), np.ones(n, bool)
-    for j in range(k):
-        code = 4 * code + v[j : j + n]
-        whole &= v[j : j + n] >= 0
-    return np.bincount(code[whole], minlength=4**k)
+    out = np.zeros(4**k, np.int64)
+    for at in range(0, len(v) - k + 1, WINDOW):
+        part = v[at : at + WINDOW + k - 1]
+        n = len(part) - k + 1
+        code, whole = np.zeros(n, np.int64), np.ones(n, bool)
+        for j in range(k):
+            code = 4 * code + part[j : j + n]
+            whole &= part[j : j + n] >= 0
+        out += np.bincount(code[whole], minlength=4**k)
+    return out
 
 
 def fit(refs: DataFrame, k: int = 5, smooth: float = 64.0) -> DataFrame:
