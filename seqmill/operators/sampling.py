@@ -6,6 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Places of a block that are put in order inside a row; larger blocks have a row for each place.
+WIDE = 4_096
+
+
 def _key(seed: int, rec: str) -> Column:
     return F.md5(F.concat_ws("-", F.lit(str(seed)), F.col(rec).cast("string")))
 
@@ -21,7 +25,27 @@ def sample_fraction(reads: DataFrame, numerator: int, denominator: int, seed: in
     """``numerator`` reads of each block of ``denominator``; a last block that is short is sampled as if it were full."""
     if not 0 <= numerator <= denominator:
         raise ValueError("the numerator must be from 0 to the denominator")
-    return reads.join(_places(reads, denominator, seed, rec).filter(F.col("_rank") <= numerator).select(rec), rec, "left_semi")
+    return _ranked(reads, numerator, denominator, seed, rec).drop("_rank")
+
+
+def _ranked(reads: DataFrame, most: int, denominator: int, seed: int, rec: str) -> DataFrame:
+    """Reads whose ``_rank`` in the random order of all places of their block is at most ``most``.
+
+    The first ``most`` places of a block are one row, made once, and its reads are looked up there as they come: neither reads nor
+    places are sorted or held, and what a task holds are its blocks, a row for ``denominator`` reads.
+    """
+    if denominator > WIDE:
+        return reads.join(_places(reads, denominator, seed, rec).filter(F.col("_rank") <= most), rec)
+    block = F.floor((F.col(rec) - 1) / denominator)
+    place = lambda i: F.col("_block") * denominator + i
+    key = lambda r: F.md5(F.concat_ws("-", F.lit(str(seed)), r.cast("string")))
+    keyed = F.transform(F.sequence(F.lit(1), F.lit(denominator)), lambda i: F.struct(key(place(i)).alias("k"), place(i).alias("r"), i.alias("i")))
+    first = F.transform(F.slice(F.sort_array(keyed), 1, most), lambda x: x["i"])
+    blocks = reads.select(block.alias("_block")).distinct().select("_block", first.alias("_first"))
+    # not a broadcast: blocks are few bytes until their places are made
+    found = reads.withColumn("_block", block).join(blocks.hint("shuffle_hash"), "_block")
+    rank = F.array_position("_first", (F.col(rec) - F.col("_block") * denominator).cast("int"))
+    return found.withColumn("_rank", rank).filter("_rank > 0").select(*reads.columns, "_rank")
 
 
 def _places(reads: DataFrame, denominator: int, seed: int, rec: str) -> DataFrame:
@@ -45,7 +69,7 @@ def sample_levels(reads: DataFrame, numerators: list[int], denominator: int, see
     if not numerators or not all(0 <= n <= denominator for n in numerators):
         raise ValueError("numerators must be from 0 to the denominator")
     levels = sorted(set(numerators))
-    ranked = reads.join(_places(reads, denominator, seed, rec).filter(F.col("_rank") <= levels[-1]), rec)
+    ranked = _ranked(reads, levels[-1], denominator, seed, rec)
     own = F.filter(F.array(*map(F.lit, levels)), lambda n: n >= F.col("_rank"))
     return ranked.withColumn("level", F.explode(own)).drop("_rank")
 

@@ -616,6 +616,22 @@ def test_levels_of_spread_places(spark):
     assert {(r["level"], r["n"]) for r in got.groupBy("level").agg(F.count(F.lit(1)).alias("n")).collect()} == {(2, 200), (7, 700)}
 
 
+def test_ranks_are_looked_up_in_rows_of_blocks(spark, monkeypatch):
+    """No sort, window or broadcast of places; the same reads as by a window, for odd ids, copies, and all numerators."""
+    ids = [(i, f"n{i}") for i in [*range(1, 1000, 3), 5, 5, 0, -7, 10**12, 10**12 + 1]] + [(None, "none")]
+    reads = spark.createDataFrame(ids, "rec_idx long, name string")
+    kept = lambda df: sorted(map(tuple, df.collect()), key=repr)
+    cases = [lambda: sampling.sample_levels(reads, [2, 7, 0], 10), lambda: sampling.sample_levels(reads, [0], 10)]
+    cases += [lambda n=n: sampling.sample_fraction(reads, n, 10) for n in (0, 3, 10)]
+    got = [kept(c()) for c in cases]
+    run = cases[0]()
+    run.collect()
+    plan = run._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "ShuffledHashJoin" in plan and not any(x in plan for x in ("Sort ", "Window ", "Broadcast"))
+    monkeypatch.setattr(sampling, "WIDE", 0)
+    assert got == [kept(c()) for c in cases] and got[1] == got[2] == [] and len(got[4]) == len(ids) - 1
+
+
 def test_chimera_ends_are_kept(monkeypatch):
     """Ends of two texts are found once a worker, and are the same where nothing can be kept."""
     import random
