@@ -32,8 +32,10 @@ DEFAULTS = {
 def cleaned(table: DataFrame, f: float, p: float, least_score: float, min_reads: int, min_samples: int) -> DataFrame:
     """Rows of ``seqrun, sample, seq_idx, nread`` that are no tag jumps, of sequences that are common enough in their run, with ``uncross`` and ``share``."""
     scored = tagjump.score(table, f, p, least=least_score, by="seqrun").filter("not is_tag_jump").select("seqrun", "sample", "seq_idx", "nread", "uncross")
+    # several branches read what is scored, so it is stored and not scored again for each
+    scored = checkpointed(scored)
     common_ = scored.groupBy("seqrun", "seq_idx").agg(F.sum("nread").alias("r"), F.count(F.lit(1)).alias("s")).filter((F.col("r") >= min_reads) & (F.col("s") >= min_samples))
-    kept = scored.join(common_.select("seqrun", "seq_idx"), ["seqrun", "seq_idx"], "left_semi")
+    kept = scored.join(common_.select("seqrun", "seq_idx").hint("shuffle_hash"), ["seqrun", "seq_idx"], "left_semi")
     total = kept.groupBy("seqrun", "sample").agg(F.sum("nread").alias("of_sample"))
     return kept.join(total, ["seqrun", "sample"]).withColumn("share", F.col("nread") / F.col("of_sample")).drop("of_sample")
 
@@ -45,7 +47,7 @@ def run(spark: SparkSession, counts: str, taxonomy: str, output: str, **settings
     rows = spark.read.parquet(counts).select(F.coalesce(F.col(c["run"]).cast("string"), F.lit(c["unnamed"])).alias("seqrun"), F.col(c["sample"]).cast("string").alias("sample"), F.col(c["sequence"]).cast("long").alias("seq_idx"), F.col(c["reads"]).alias("nread"))
     rows = rows.filter(F.col("seqrun").isin(c["runs"])) if c["runs"] is not None else rows
     whole = F.col("sample").isNotNull() & F.col("seq_idx").isNotNull() & F.col("nread").isNotNull()
-    read = {"rows": rows.count(), "dropped": rows.filter(~whole).count()}
+    read = rows.agg(F.count(F.lit(1)).alias("rows"), F.count_if(~whole).alias("dropped")).first().asDict()
     common.LOG.info("read %d rows of %s, %d of them without sample, sequence or count", read["rows"], counts, read["dropped"])
     key = F.struct("seqrun", "sample").alias("key")
     # the long table is read by several branches, so it is stored once

@@ -21,6 +21,15 @@ def test_same_rows_as_sql(spark, sf_dir, name):
     same(spark, sf_dir, queries.QUERIES[name], queries.ORACLE_SQL[name])
 
 
+def test_counts_are_scored_once(spark):
+    """What sums, shares and rows read is stored, and rows aren't sorted to meet totals."""
+    rows = [(f"r{i % 2}", f"s{i % 7}", i % 5, 1 + i * i % 40) for i in range(70)]
+    table = spark.createDataFrame(rows, "seqrun string, sample string, seq_idx long, nread long").distinct()
+    out = community_table.cleaned(table, 0.05, 0.05, 1.0, 1, 1)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert out.count() and "EXP(" not in plan and "strategy=shuffle_hash" in plan
+
+
 def files(path):
     return {str(p): p.stat().st_mtime_ns for p in Path(path).rglob("part-*")}
 
