@@ -24,7 +24,7 @@ def score(table: DataFrame, f: float, p: float, id_col: str = "seq_idx", sample:
     total = table.groupBy(*keys, id_col).agg(F.sum("nread").cast("bigint").alias("total"))
     if by:
         n = table.select(by, sample).distinct().groupBy(by).agg(F.count(sample).alias("_n"))
-        out = table.join(total.hint("shuffle_hash"), [*keys, id_col]).join(n, by)  # rows needn't be sorted to meet few totals
+        out = table.join(total.hint("shuffle_hash"), [*keys, id_col]).join(F.broadcast(n), by)  # rows aren't sorted to meet few totals, nor dealt to as few tasks as there are runs
     else:
         out = table.join(total, id_col).withColumn("_n", F.lit(table.agg(F.countDistinct(sample)).first()[0]))
     z = F.lit(float(f)) * F.col("total") / F.greatest(F.col("_n"), F.lit(1)).cast("double")

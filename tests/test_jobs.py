@@ -30,6 +30,15 @@ def test_counts_are_scored_once(spark):
     assert out.count() and "EXP(" not in plan and "strategy=shuffle_hash" in plan
 
 
+def test_rows_are_not_dealt_by_run(spark):
+    """Runs are few, so rows that were dealt by run would be in as few tasks."""
+    from seqmill.operators import tagjump
+
+    table = spark.range(50).selectExpr("'r' seqrun", "id % 7 sample", "id % 5 seq_idx", "id + 1 nread")
+    plan = tagjump.score(table, 0.05, 0.05, by="seqrun")._jdf.queryExecution().optimizedPlan().toString()
+    assert "(strategy=broadcast)" in plan
+
+
 def files(path):
     return {str(p): p.stat().st_mtime_ns for p in Path(path).rglob("part-*")}
 
