@@ -293,3 +293,24 @@ def test_hamming_compares_copies_once(spark, monkeypatch):
     want = {(i, j, round(sum(x != y for x, y in zip(s, t, strict=True)) / 12, 9)) for i, s in known for j, t in known if i < j}
     assert len(got) == len(want) and {(r["id"], r["id2"], r["dist"]) for r in got} == want
     assert seen == [3]
+
+
+def test_shared_beginnings_are_no_segments(spark):
+    """Names that differ behind a long beginning: few candidates, where segments of the beginning would meet all of a block."""
+    rows = [(i, i % 2, f"Supplier#{i:09d}", 0, 0.1) for i in range(3000)]
+    df = spark.createDataFrame([*rows, (9000, 2, "Supplier#", 0, 0.1), (9001, None, "", 0, 0.1)], "id long, block int, seq string, side int, _t double")
+    found = distance.candidates(df)
+    near = distance.edit_pairs(df.select("block", "id", "seq"), None, "block", 0.1)
+    want = sum(1 for i in range(3000) for p in (1, 10, 100, 1000) for v in range(i + p, i + 10 * p, p) if v < 3000 and v // p % 10 > i // p % 10 and v // (10 * p) == i // (10 * p) and v % 2 == i % 2)
+    assert near.count() == want and found.count() < 80 * 3000
+
+
+def test_blocks_where_all_are_near_meet_in_tiles(spark):
+    """Short texts at many edits: each pair once, from tiles, and texts that are no longer than their edits."""
+    texts = ["abcd"[: i % 5] + "".join("xyz"[i // 3**k % 3] for k in range(3)) for i in range(60)] + ["a", "", "abcdxyzxyzxyz"]
+    df = spark.createDataFrame([(i, 0, "pre" + t, 0, 0.6) for i, t in enumerate(dict.fromkeys(texts))], "id long, block int, seq string, side int, _t double")
+    texts = {r["id"]: r["seq"] for r in df.collect()}
+    found = [frozenset((r["x"], r["y"])) for r in distance.candidates(df, tile=8).collect()]
+    assert len(found) == len(set(found))
+    top = lambda i, j: int(max(len(texts[i]), len(texts[j])) * 0.6 + 1e-9)
+    assert {frozenset((i, j)) for i in texts for j in texts if i < j and edits(texts[i], texts[j]) <= top(i, j)} <= set(found)
