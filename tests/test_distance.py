@@ -314,3 +314,17 @@ def test_blocks_where_all_are_near_meet_in_tiles(spark):
     assert len(found) == len(set(found))
     top = lambda i, j: int(max(len(texts[i]), len(texts[j])) * 0.6 + 1e-9)
     assert {frozenset((i, j)) for i in texts for j in texts if i < j and edits(texts[i], texts[j]) <= top(i, j)} <= set(found)
+
+
+def test_gaps_of_many_pairs(monkeypatch):
+    """Many pairs at a time give what each gives alone, and the other order's longest run beside it."""
+    rng = random.Random(5)
+    pairs = [tuple("".join(rng.choice("AB☃") for _ in range(rng.randrange(12))) for _ in "ab") for _ in range(300)] + [("XYXAY", "XY")]
+    d = np.array([edits(a, b) for a, b in pairs])
+    for cells in (1 << 20, 200):
+        monkeypatch.setattr(curation, "CELLS", cells)
+        columns, gaps, longest, turned = curation.gap_table([a for a, _ in pairs], [b for _, b in pairs], d)
+        for k, (a, b) in enumerate(pairs):
+            assert (columns[k], gaps[k], longest[k]) == curation.gap_stats(a, b, d[k]) and turned[k] == curation.gap_stats(b, a, d[k])[2]
+            assert gaps[k] >= abs(len(a) - len(b)) and 2 * columns[k] == len(a) + len(b) + gaps[k]
+    assert (longest[-1], gaps[-1]) == (2, 3)
