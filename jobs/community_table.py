@@ -29,11 +29,14 @@ DEFAULTS = {
 }
 
 
-def cleaned(table: DataFrame, f: float, p: float, least_score: float, min_reads: int, min_samples: int) -> DataFrame:
-    """Rows of ``seqrun, sample, seq_idx, nread`` that are no tag jumps, of sequences that are common enough in their run, with ``uncross`` and ``share``."""
+def cleaned(table: DataFrame, f: float, p: float, least_score: float, min_reads: int, min_samples: int, stored=checkpointed) -> DataFrame:
+    """Rows of ``seqrun, sample, seq_idx, nread`` that are no tag jumps, of sequences that are common enough in their run, with ``uncross`` and ``share``.
+
+    ``stored`` keeps a table that is read more than once.
+    """
     scored = tagjump.score(table, f, p, least=least_score, by="seqrun").filter("not is_tag_jump").select("seqrun", "sample", "seq_idx", "nread", "uncross")
     # several branches read what is scored, so it is stored and not scored again for each
-    scored = checkpointed(scored)
+    scored = stored(scored)
     common_ = scored.groupBy("seqrun", "seq_idx").agg(F.sum("nread").alias("r"), F.count(F.lit(1)).alias("s")).filter((F.col("r") >= min_reads) & (F.col("s") >= min_samples))
     kept = scored.join(common_.select("seqrun", "seq_idx").hint("shuffle_hash"), ["seqrun", "seq_idx"], "left_semi")
     total = kept.groupBy("seqrun", "sample").agg(F.sum("nread").alias("of_sample"))
@@ -50,13 +53,13 @@ def run(spark: SparkSession, counts: str, taxonomy: str, output: str, **settings
     read = rows.agg(F.count(F.lit(1)).alias("rows"), F.count_if(~whole).alias("dropped")).first().asDict()
     common.LOG.info("read %d rows of %s, %d of them without sample, sequence or count", read["rows"], counts, read["dropped"])
     key = F.struct("seqrun", "sample").alias("key")
-    # the long table is read by several branches, so it is stored once
-    table = checkpointed(abundance.long_table(rows.filter(whole).select(key, "seq_idx", "nread"), "key", "seq_idx").select("sample.*", F.col("seq").alias("seq_idx"), "nread"))
-    taxa = spark.read.parquet(taxonomy).select(F.col(c["taxonomy_sequence"]).cast("long").alias("seq_idx"), *[F.col(x).cast("string").alias(r) for r, x in c["ranks"].items()])
-    # one row a sequence, so no count is doubled
-    taxa = taxa.filter("seq_idx is not null").groupBy("seq_idx").agg(*[F.min(r).alias(r) for r in c["ranks"]]) if c["ranks"] else taxa.select("seq_idx").distinct()
-    out = cleaned(table, c["f"], c["p"], c["least_score"], c["min_reads"], c["min_samples"]).join(taxa, "seq_idx", "left")
-    common.overwritten(out.select("sample", "seq_idx", "nread", "uncross", "share", *c["ranks"], "seqrun"), output, "seqrun")
+    with common.without_leftovers(spark) as stored:
+        table = abundance.long_table(rows.filter(whole).select(key, "seq_idx", "nread"), "key", "seq_idx").select("sample.*", F.col("seq").alias("seq_idx"), "nread")
+        taxa = spark.read.parquet(taxonomy).select(F.col(c["taxonomy_sequence"]).cast("long").alias("seq_idx"), *[F.col(x).cast("string").alias(r) for r, x in c["ranks"].items()])
+        # one row a sequence, so no count is doubled
+        taxa = taxa.filter("seq_idx is not null").groupBy("seq_idx").agg(*[F.min(r).alias(r) for r in c["ranks"]]) if c["ranks"] else taxa.select("seq_idx").distinct()
+        out = cleaned(table, c["f"], c["p"], c["least_score"], c["min_reads"], c["min_samples"], stored).join(taxa, "seq_idx", "left")
+        common.overwritten(out.select("sample", "seq_idx", "nread", "uncross", "share", *c["ranks"], "seqrun"), output, "seqrun")
     there = written(spark, output, c["ranks"])
     r = (there if c["runs"] is None else there.filter(F.col("seqrun").isin(c["runs"]))).agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("nread"), F.lit(0)).alias("reads")).first()
     common.LOG.info("wrote %d rows with %d reads to %s", r["rows"], r["reads"], output)

@@ -132,6 +132,19 @@ def test_community_again_and_by_run(spark, sf_dir, tmp_path):
     assert {k for k in before if "seqrun=N" not in k} == {k for k in after if "seqrun=N" not in k} and not {k for k in before if "seqrun=N" in k} & set(after)
 
 
+def test_community_leaves_nothing_but_its_output(spark, sf_dir, tmp_path):
+    """No checkpoint, stored table or changed setting stays behind, also when the job fails."""
+    from seqmill.functions.session import shared_dir
+
+    scratch = Path(shared_dir(spark).removeprefix("file:"))
+    before, held, was = files(scratch), spark.sparkContext._jsc.getPersistentRDDs().size(), spark.conf.get(common.CLEANUP, None)
+    community_table.run(spark, f"{sf_dir}/lineitem.parquet", f"{sf_dir}/part.parquet", str(tmp_path / "out"), **queries.COMMUNITY)
+    with pytest.raises(ZeroDivisionError), common.without_leftovers(spark) as stored:
+        assert stored(stored(spark.range(9)).filter("id > 3")).count() == 5 and spark.conf.get(common.CLEANUP) == "true"
+        raise ZeroDivisionError
+    assert files(scratch) == before and spark.sparkContext._jsc.getPersistentRDDs().size() == held and spark.conf.get(common.CLEANUP, None) == was
+
+
 def test_community_of_odd_rows(spark, tmp_path):
     rows = [("r", "a", 1, 5.0), ("r", "a", 1, 5.0), (None, "a", 1, 7.0), ("r", None, 1, 1.0), ("r", "b", None, 1.0), ("r", "b", 2, None), ("r", "b", 3, 4.0)]
     spark.createDataFrame(rows, "seqrun string, sample string, seq_idx long, nread double").withColumns({"key": F.lit(1), "total": F.lit("x"), "genus": F.lit("own")}).write.parquet(str(tmp_path / "counts"))
