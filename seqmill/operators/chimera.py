@@ -112,6 +112,11 @@ def _made_of(child: str, parents: tuple[np.ndarray, np.ndarray], one_off: bool =
     return _judge(len(child), *overlaps(child, *parents, max_shift), one_off, min_one_off_distance)
 
 
+def _dealt(side: DataFrame) -> DataFrame:
+    """A side of a join that is hashed in tasks, never sent whole."""
+    return side.hint("shuffle_hash")
+
+
 def _ends(children: DataFrame, parents: DataFrame, fold: float, max_shift: int, tile: int) -> DataFrame:
     """``sample, seq_idx, n, a, b``: the most letters of each child that a parent makes from its left and from its right.
 
@@ -124,11 +129,11 @@ def _ends(children: DataFrame, parents: DataFrame, fold: float, max_shift: int,
     # of a parent's copies the most abundant is one to whatever child any of them is one
     sides[1] = sides[1].groupBy("s", "seq").agg(F.max("nread").alias("nread"))
     n = [x.groupBy("s").agg(F.ceil(F.count(F.lit(1)) / tile).cast("int").alias(c)) for x, c in zip(sides, ("_l", "_r"), strict=True)]
-    tiles = n[0].join(n[1], "s")
+    tiles = n[0].join(_dealt(n[1]), "s")
     own = lambda c: F.pmod(F.xxhash64(*(["seq_idx", "seq"] if c == "_l" else ["seq"])), F.col(c)).cast("int")
     every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
-    left = sides[0].join(tiles, "s").select("s.sample", own("_l").alias("i"), every("_r").alias("j"), "seq_idx", "nread", "seq")
-    right = sides[1].join(tiles, "s").select(F.col("s.sample").alias("sample"), every("_l").alias("i"), own("_r").alias("j"), *[F.col(c).alias(c) for c in ("nread", "seq")])  # names of its own, as both may be of one table
+    left = sides[0].join(_dealt(tiles), "s").select("s.sample", own("_l").alias("i"), every("_r").alias("j"), "seq_idx", "nread", "seq")
+    right = sides[1].join(_dealt(tiles), "s").select(F.col("s.sample").alias("sample"), every("_l").alias("i"), own("_r").alias("j"), *[F.col(c).alias(c) for c in ("nread", "seq")])  # names of its own, as both may be of one table
     kind = dict(left.dtypes)
 
     def kernel(key, kids, old):
@@ -167,13 +172,15 @@ def flag_samples(table: DataFrame, seqs: DataFrame, fold: float = 1.5, least: in
     Possible parents have at least ``least`` reads and more than ``fold`` times the sample's smallest count. Null and
     empty sequences are in samples, but never flagged and no parents.
     """
-    rows = table.join(seqs.select("seq_idx", "seq"), "seq_idx").select("sample", "seq_idx", "nread", "seq")
+    # files of repeated texts look small enough to send, but they and the samples' counts are as many as there are, so each join
+    # deals both sides to tasks, and the driver holds none
+    rows = table.join(_dealt(seqs.select("seq_idx", "seq")), "seq_idx").select("sample", "seq_idx", "nread", "seq")
     few = rows.groupBy(F.struct("sample").alias("s")).agg(F.min("nread").alias("_m"))
-    parents = rows.withColumn("s", F.struct("sample")).join(few, "s").filter((F.col("nread") >= least) & (F.col("nread") > F.lit(float(fold)) * F.col("_m")))
+    parents = rows.withColumn("s", F.struct("sample")).join(_dealt(few), "s").filter((F.col("nread") >= least) & (F.col("nread") > F.lit(float(fold)) * F.col("_m")))
     ends = _ends(rows, parents, fold, max_shift, tile).filter(_chimeric(one_off, min_one_off_distance))
     flags = ends.groupBy("seq_idx").agg(F.count(F.lit(1)).alias("nflag"))
     total = rows.groupBy("seq_idx").agg(F.countDistinct(F.struct("sample")).alias("nsam"))
-    return total.join(flags, "seq_idx", "left").select("seq_idx", F.coalesce("nflag", F.lit(0)).cast("long").alias("nflag"), "nsam")
+    return total.join(_dealt(flags), "seq_idx", "left").select("seq_idx", F.coalesce("nflag", F.lit(0)).cast("long").alias("nflag"), "nsam")
 
 
 def consensus(flags: DataFrame, min_fraction: float = 0.9, ignore: int = 1, id_col: str = "seq_idx") -> DataFrame:

@@ -632,6 +632,15 @@ def test_ranks_are_looked_up_in_rows_of_blocks(spark, monkeypatch):
     assert got == [kept(c()) for c in cases] and got[1] == got[2] == [] and len(got[4]) == len(ids) - 1
 
 
+def test_chimeras_send_no_table(spark):
+    """Parts and counts of samples are dealt to tasks, however small their files look; the driver gathers none to send it."""
+    table = spark.range(400).selectExpr("id % 20 sample", "id % 50 seq_idx", "1 + id % 9 nread")
+    seqs = spark.range(50).selectExpr("id seq_idx", "concat('ACGTTGCA', if(id % 3 = 0, 'GGCC', 'TTAA'), id % 7) seq")
+    out = chimera.flag_samples(table, seqs, max_shift=2)
+    assert out.count() == 50 and len(out.collect()) == 50
+    assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
+
+
 def test_chimera_ends_are_kept(monkeypatch):
     """Ends of two texts are found once a worker, and are the same where nothing can be kept."""
     import random
